@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from feldspark.functions.hashing import driver_normal, uniform
+from feldspark.functions.hashing import driver_normal
 from feldspark.operators.models import complete_rows
 from feldspark.session import materialize
 
 _ACTIVATIONS = {
-    "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(float)),
+    "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(z.dtype)),
     "tanh": (np.tanh, lambda z: 1.0 - np.tanh(z) ** 2),
 }
 
@@ -55,7 +55,7 @@ def _gradient(flat, sizes, x, y, activation) -> tuple[np.ndarray, float]:
     slope = _ACTIVATIONS[activation][1]
     inputs, sums = _forward(flat, sizes, x, activation)
     error = inputs[-1][:, 0] - y
-    delta = (2.0 / len(y)) * error[:, None]
+    delta = y.dtype.type(2.0 / len(y)) * error[:, None]
     parts: list[np.ndarray] = []
     layers = _unpack(flat, sizes)
     for i in range(len(layers) - 1, -1, -1):
@@ -124,7 +124,7 @@ def train_mlp(
     """
     rows = complete_rows(df, [*features, target])
     names = [*features, target]
-    draw = uniform(seed, *[F.col(n) for n in names])
+    draw = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 20)) / F.lit(float(1 << 20))
     marked = rows.withColumn("_held", draw < F.lit(validation_split))
     fitted = F.col("_held") == F.lit(False)
     row = marked.agg(
@@ -177,14 +177,14 @@ def train_mlp(
 
 def _worker_round(shared, sizes, activation, batch_size, learning_rate, weight_decay):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = shared.value
+        start = shared.value.astype(np.float32)
         flat = start.copy()
         first, second = np.zeros_like(flat), np.zeros_like(flat)
         step, rows, held = 0, 0, 0
         error, held_error = 0.0, 0.0
         for frame in batches:
             apart = frame["_held"].to_numpy(dtype=bool)
-            values = frame.drop(columns="_held").to_numpy(dtype=float)
+            values = frame.drop(columns="_held").to_numpy(dtype=np.float32)
             kept, aside = values[~apart], values[apart]
             if len(aside):
                 held += len(aside)
@@ -203,7 +203,7 @@ def _worker_round(shared, sizes, activation, batch_size, learning_rate, weight_d
                 error += loss * len(part)
         if rows or held:
             yield pd.DataFrame({
-                "weights": [flat.tolist()], "rows": [rows], "error": [error],
+                "weights": [flat.astype(float).tolist()], "rows": [rows], "error": [error],
                 "held": [held], "held_error": [held_error],
             })
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from feldspark.functions.expressions import kolmogorov_pvalue
 from feldspark.functions.missing import number
-from feldspark.operators.ordering import CHUNK_ROWS, cut_points, in_blocks, rank_within, with_bucket
-from feldspark.session import materialize
+from feldspark.operators.ordering import (
+    CHUNK_ROWS, MAX_CHUNKS, SKETCH_ACCURACY, group_sizes, in_blocks, rank_within, with_bucket,
+)
 
 # Metric names, limits, alert types and message texts.
 THRESHOLDS = (
@@ -40,14 +41,20 @@ def loss_spikes(
 ) -> DataFrame:
     """Losses above ``factor`` times the mean of up to ``window - 1`` losses before them.
 
-    Each context is cut into blocks of consecutive positions that repeat the last rows
-    of the block before, so the sliding window of a hot context runs in many tasks.
+    If some context is too large for one task, contexts are cut into blocks of consecutive
+    positions that repeat the last rows of the block before, so that the sliding window of
+    a hot context runs in many tasks.
     """
     slim = metrics.select("seq", context, "ts", number(metrics, "value").alias("value"))
-    placed = rank_within(slim, [context], ["ts", "seq"], chunk_rows=chunk_rows)
-    blocks = in_blocks(placed, "position", max(chunk_rows, window), halo=window - 1)
-    past = Window.partitionBy(context, "_block").orderBy("position").rowsBetween(1 - window, -1)
-    seen = blocks.withColumn("previous", F.avg("value").over(past)).filter("_own")
+    sizes = group_sizes(slim, [context])
+    if sizes[0] <= chunk_rows:
+        past = Window.partitionBy(context).orderBy("ts", "seq").rowsBetween(1 - window, -1)
+        seen = slim.withColumn("previous", F.avg("value").over(past))
+    else:
+        placed = rank_within(slim, [context], ["ts", "seq"], chunk_rows=chunk_rows, sizes=sizes)
+        blocks = in_blocks(placed, "position", max(chunk_rows, window), halo=window - 1)
+        past = Window.partitionBy(context, "_block").orderBy("position").rowsBetween(1 - window, -1)
+        seen = blocks.withColumn("previous", F.avg("value").over(past)).filter("_own")
     return seen.filter(
         (F.col("previous") > 0) & (F.col("value") > F.col("previous") * F.lit(factor))
     ).select("seq", context, "ts", "value", "previous")
@@ -55,59 +62,85 @@ def loss_spikes(
 
 def ks_drift(
     reference: DataFrame, current: DataFrame, features: Sequence[str],
-    alpha: float = DRIFT_ALPHA, chunk_rows: int = CHUNK_ROWS,
+    alpha: float = DRIFT_ALPHA, chunk_rows: int = CHUNK_ROWS, min_chunks: int = 200,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature: statistic, p-value, decision.
 
-    Both samples are counted per distinct value (so ties and hot values shrink first)
-    and parted into ordered chunks per feature. The distribution gap at a value is the
-    gap before its chunk plus the running gap inside it; no feature is sorted in one task.
+    Sketched cut points part each feature into ordered chunks, and one counting pass
+    gives the distribution gap at every chunk end. Inside a chunk the gap cannot grow
+    by more than the shares the chunk holds, so only chunks that may hide a larger gap
+    are looked at value by value; only their rows are shuffled, counted per distinct
+    value first. No feature is sorted in one task.
     """
-    sides = []
-    for sample, side in ((reference, 0), (current, 1)):
-        rows = [F.struct(F.lit(f).alias("feature"), number(sample, f).alias("x")) for f in features]
-        sides.append(sample.select(F.inline(F.array(*rows))).withColumn("_side", F.lit(side)))
-    counted = materialize(
-        sides[0].unionByName(sides[1]).filter(F.col("x").isNotNull())
-        # -0.0 and 0.0 are one value
-        .withColumn("x", F.col("x") + F.lit(0.0))
-        .groupBy("feature", "x")
-        .agg(F.count_if(F.col("_side") == 0).alias("a"), F.count_if(F.col("_side") == 1).alias("b")),
-        "values",
+    both = _one_side(reference, features, 0).unionByName(_one_side(current, features, 1))
+    summed = both.agg(*[
+        F.struct(
+            F.count_if(F.col("_side") == 0).alias("n"), F.count_if(F.col("_side") == 1).alias("m")
+        ).alias("rows"),
+        *[F.struct(
+            F.count_if(F.col(f"x{i}").isNotNull() & (F.col("_side") == 0)).alias("n"),
+            F.count_if(F.col(f"x{i}").isNotNull() & (F.col("_side") == 1)).alias("m"),
+        ).alias(f"x{i}") for i in range(len(features))],
+    ]).first()
+    most = sum(summed["rows"])
+    chunks = min(max(min_chunks, -(-most // chunk_rows)), MAX_CHUNKS)
+    steps = [k / chunks for k in range(1, chunks)]
+    cuts = both.agg(*[
+        F.percentile_approx(f"x{i}", steps, max(SKETCH_ACCURACY, 10 * chunks)) for i in range(len(features))
+    ]).first()
+    staged = both
+    for i in range(len(features)):
+        staged = with_bucket(staged, f"x{i}", cuts[i] or [], f"c{i}")
+    tall = staged.select("_side", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("f"), F.col(f"c{i}").alias("chunk"), F.col(f"x{i}").alias("x"))
+        for i in range(len(features))
+    ]))).filter(F.col("x").isNotNull())
+    one = [F.count_if(F.col("_side") == 0).alias("a"), F.count_if(F.col("_side") == 1).alias("b")]
+    counted = tall.groupBy("f", "chunk").agg(*one).collect()  # at most one row per feature and chunk
+
+    at_ends: dict[int, float] = {}
+    starts = []
+    for i in range(len(features)):
+        n, m = summed[f"x{i}"]
+        if not n or not m:
+            continue
+        a = b = 0
+        bounds = []
+        for r in sorted((r for r in counted if r["f"] == i), key=lambda r: r["chunk"]):
+            most_above = abs((a + r["a"]) / n - b / m)
+            most_below = abs(a / n - (b + r["b"]) / m)
+            bounds.append((max(most_above, most_below), r["chunk"], a, b))
+            a, b = a + r["a"], b + r["b"]
+            at_ends[i] = max(at_ends.get(i, 0.0), abs(a / n - b / m))
+        starts += [(i, chunk, a0, b0) for bound, chunk, a0, b0 in bounds if bound > at_ends[i]]
+    spark = reference.sparkSession
+    known = spark.createDataFrame(
+        [(i, f, summed[f"x{i}"]["n"], summed[f"x{i}"]["m"], at_ends[i]) for i, f in enumerate(features) if i in at_ends],
+        "f int, feature string, n long, m long, at_ends double",
     )
-    sizes = {r["feature"]: r for r in counted.groupBy("feature").agg(
-        F.sum("a").alias("n"), F.sum("b").alias("m"), F.count(F.lit(1)).alias("distinct")).collect()}
-    tested = {f: s for f, s in sizes.items() if s["n"] and s["m"]}
-    if not tested:
-        return counted.select(
-            "feature", F.lit(0.0).alias("ks_statistic"), F.lit(1.0).alias("ks_pvalue"), F.lit(False).alias("drift_detected")
-        ).filter(F.lit(False))
-
-    chunked = []
-    for f, s in tested.items():
-        mine = counted.filter(F.col("feature") == f)
-        part = with_bucket(mine, "x", cut_points(mine, F.col("x"), s["distinct"], chunk_rows), "_chunk")
-        chunked.append(part.withColumn("_n", F.lit(s["n"])).withColumn("_m", F.lit(s["m"])))
-    placed = reduce(DataFrame.unionByName, chunked)
-    keys = ["feature", "_chunk"]
-    before = Window.partitionBy("feature").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy(*keys).agg(F.sum("a").alias("_a"), F.sum("b").alias("_b")).select(
-        *keys,
-        F.coalesce(F.sum("_a").over(before), F.lit(0)).alias("_a0"),
-        F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"),
+    open_ = spark.createDataFrame(starts, "f int, chunk int, a0 long, b0 long")
+    values = tall.join(F.broadcast(open_), ["f", "chunk"]).groupBy("f", "chunk", "a0", "b0", "x").agg(*one)
+    inside = Window.partitionBy("f", "chunk", "a0", "b0").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    running = values.select(
+        "f", (F.col("a0") + F.sum("a").over(inside)).alias("ra"), (F.col("b0") + F.sum("b").over(inside)).alias("rb")
     )
-    inside = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    running = placed.withColumn("_ra", F.sum("a").over(inside)).withColumn("_rb", F.sum("b").over(inside))
-    gap = F.abs((F.col("_a0") + F.col("_ra")) / F.col("_n") - (F.col("_b0") + F.col("_rb")) / F.col("_m"))
-    tests = running.join(starts, keys).groupBy("feature").agg(
-        F.max(gap).alias("ks_statistic"), F.max("_n").alias("_n"), F.max("_m").alias("_m")
+    gap = F.max(F.abs(F.col("ra") / F.col("n") - F.col("rb") / F.col("m"))).alias("within")
+    within = running.join(F.broadcast(known), "f").groupBy("f").agg(gap)
+    tests = known.join(within, "f", "left").withColumn(
+        "ks_statistic", F.greatest("at_ends", "within")
     )
-    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("_n"), F.col("_m"))
+    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n"), F.col("m"))
     return tests.select("feature", "ks_statistic", p.alias("ks_pvalue")).withColumn(
         "drift_detected", F.col("ks_pvalue") < F.lit(alpha)
     )
 
 
+def _one_side(sample: DataFrame, features: Sequence[str], side: int) -> DataFrame:
+    """The features as doubles x0, x1, ... (-0.0 and 0.0 are one value) and the side."""
+    values = [(number(sample, f) + F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]
+    return sample.select(*values, F.lit(side).alias("_side"))
+
+
 def metric_decay(
     current: DataFrame, reference: DataFrame, name: str = "name", value: str = "value", limit: float = DECAY_LIMIT
 ) -> DataFrame:

@@ -97,6 +97,7 @@ def select_ranks(
     ranks: dict[str, Sequence[int]],
     counts: dict[str, int],
     gather_rows: int = GATHER_ROWS,
+    pivots: dict[tuple[str, int], tuple] | None = None,
 ) -> dict[tuple[str, int], tuple]:
     """Exact values at 1-based ascending ranks: ``{(column, rank): (value, n_below, n_equal)}``.
 
@@ -104,7 +105,8 @@ def select_ranks(
     for two pivots around every rank and counts the five parts they make; a sketch of
     accuracy a leaves about n/a rows, so two or three rounds are enough for any size.
     Only counters and sketches are shuffled, never the rows. A value that holds a
-    large share of the rows becomes a pivot and is settled by its count.
+    large share of the rows becomes a pivot and is settled by its count. ``pivots`` from
+    an earlier pass over the rows save the first sketch.
     """
     searches = [
         _Search(name, rank, counts[name]) for name, wanted in ranks.items() for rank in sorted(set(wanted))
@@ -122,7 +124,9 @@ def select_ranks(
         if small:
             _gather(scope, columns, small)
         if large:
-            _narrow(scope, columns, large)
+            known = pivots if pivots and all((s.column, s.rank) in pivots for s in large) else None
+            _narrow(scope, columns, large, known or _sketch(scope, columns, large), gather_rows)
+        pivots = None
     return {(s.column, s.rank): s.answer for s in searches}
 
 
@@ -144,45 +148,93 @@ def _gather(df: DataFrame, columns: dict[str, Column], searches: list[_Search])
             for k, g in lists.items()
         ]
     )
-
-    def pick(values: Column, place: int) -> Column:
-        x = F.element_at(values, place)
-        under = F.size(F.filter(values, lambda e: e < x))
-        same = F.size(F.filter(values, lambda e: e == x))
-        return F.struct(x.alias("value"), under.alias("under"), same.alias("same"))
-
-    picks = [pick(F.col(names[k]), s.rank - s.below) for k, g in lists.items() for s in g]
+    picks = [_pick(F.col(names[k]), F.lit(s.rank - s.below)) for k, g in lists.items() for s in g]
     row = packed.select(*picks).first()
     for s, found in zip([s for g in lists.values() for s in g], row, strict=True):
         s.answer = (found["value"], s.below + found["under"], found["same"])
 
 
-def _narrow(df: DataFrame, columns: dict[str, Column], searches: list[_Search]) -> None:
+def pivot_places(p: float) -> list[float]:
+    """The two places around ``p`` that a sketch is asked for."""
     margin = 2.0 / SKETCH_ACCURACY
-    pivots = []
+    return [max(p - margin, 0.0), min(p + margin, 1.0)]
+
+
+def _sketch(df: DataFrame, columns: dict[str, Column], searches: list[_Search]) -> dict[tuple[str, int], tuple]:
+    """Two pivots per search; searches in one interval share a sketch, near ranks share pivots."""
+    intervals: dict[tuple, list[_Search]] = {}
     for s in searches:
-        x = F.when(s.inside(columns[s.column]), columns[s.column])
-        if s.stuck:  # the sketch returned the ends again: step inwards by whole values
-            pivots.append(F.array(F.min(x), F.max(x)))
+        intervals.setdefault((s.column, s.low, s.high, s.stuck), []).append(s)
+    exprs, clusters = [], []
+    for (column, _, _, stuck), group in intervals.items():
+        x = F.when(group[0].inside(columns[column]), columns[column])
+        near: list[list[_Search]] = []
+        for s in sorted(group, key=lambda g: g.rank):
+            if near and (stuck or s.rank - near[-1][0].rank <= s.size / SKETCH_ACCURACY):
+                near[-1].append(s)
+            else:
+                near.append([s])
+        clusters.append(near)
+        if stuck:  # the sketch returned the ends again: step inwards by whole values
+            exprs.append(F.array(F.min(x), F.max(x)))
         else:
-            p = (s.rank - s.below) / s.size
-            ends = [max(p - margin, 0.0), min(p + margin, 1.0)]
-            pivots.append(F.percentile_approx(x, ends, SKETCH_ACCURACY))
-    found = df.agg(*pivots).first()
-    parts = []
-    for s, (a, b) in zip(searches, found, strict=True):
-        x, ok = columns[s.column], s.inside(columns[s.column])
-        parts.append(
-            F.struct(
-                F.count_if(ok & (x < F.lit(a))),
-                F.count_if(ok & (x == F.lit(a))),
-                F.count_if(ok & (x > F.lit(a)) & (x < F.lit(b))),
-                F.count_if(ok & (x == F.lit(b)) & (F.lit(a) < F.lit(b))),
-            )
-        )
-    row = df.agg(*parts).first()
-    for s, (a, b), n in zip(searches, found, row, strict=True):
-        s.narrow(a, b, *n)
+            places = [q for c in near for q in pivot_places((c[0].rank - c[0].below) / c[0].size)]
+            exprs.append(F.percentile_approx(x, places, SKETCH_ACCURACY))
+    found: dict[tuple[str, int], tuple] = {}
+    for near, values in zip(clusters, df.agg(*exprs).first(), strict=True):
+        for i, cluster in enumerate(near):
+            for s in cluster:
+                found[s.column, s.rank] = (values[2 * i], values[2 * i + 1])
+    return found
+
+
+def _narrow(
+    df: DataFrame, columns: dict[str, Column], searches: list[_Search], pivots: dict[tuple[str, int], tuple],
+    gather_rows: int,
+) -> None:
+    """Count the five parts that each pair of pivots makes, and keep the part with the rank.
+
+    Where the error bound of the sketch keeps the part between the pivots small, it is
+    sorted in the same aggregate, which settles the search without another pass.
+    """
+    parts: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        parts.setdefault((s.column, s.low, s.high, *pivots[s.column, s.rank]), []).append(s)
+    exprs, picks, at_once = [], [], []
+    for i, ((column, _, _, a, b), group) in enumerate(parts.items()):
+        x, ok = columns[column], group[0].inside(columns[column])
+        between = ok & (x > F.lit(a)) & (x < F.lit(b))
+        exprs += [
+            F.count_if(ok & (x < F.lit(a))).alias(f"u{i}"),
+            F.count_if(ok & (x == F.lit(a))).alias(f"l{i}"),
+            F.count_if(between).alias(f"m{i}"),
+            F.count_if(ok & (x == F.lit(b)) & (F.lit(a) < F.lit(b))).alias(f"h{i}"),
+        ]
+        picks += [F.col(f"{c}{i}") for c in "ulmh"]
+        small = not group[0].stuck and 8 * group[0].size / SKETCH_ACCURACY <= gather_rows
+        if small:
+            exprs.append(F.sort_array(F.collect_list(F.when(between, x))).alias(f"v{i}"))
+        for s in group:
+            at_once.append((s, small))
+            place = F.lit(s.rank - s.below) - F.col(f"u{i}") - F.col(f"l{i}")
+            picks.append(_pick(F.col(f"v{i}"), place.cast("int")) if small else F.lit(None))
+    row = iter(df.agg(*exprs).select(*picks).first())
+    settled = iter(at_once)
+    for key, group in parts.items():
+        counts = [next(row) for _ in range(4)]
+        for s in group:
+            found, (_, small) = next(row), next(settled)
+            s.narrow(key[3], key[4], *counts)
+            if s.answer is None and small and (s.low, s.high) == (key[3], key[4]):
+                s.answer = (found["value"], s.below + found["under"], found["same"])
+
+
+def _pick(values: Column, place: Column) -> Column:
+    """The value at a 1-based place of a sorted array, with the numbers of smaller and equal ones."""
+    x = F.when((place >= 1) & (place <= F.size(values)), F.element_at(values, place))
+    under = F.size(F.filter(values, lambda e: e < x))
+    same = F.size(F.filter(values, lambda e: e == x))
+    return F.struct(x.alias("value"), under.alias("under"), same.alias("same"))
 
 
 def exact_quantiles(
@@ -191,14 +243,24 @@ def exact_quantiles(
     probabilities: Sequence[float],
     counts: dict[str, int],
     gather_rows: int = GATHER_ROWS,
+    hints: dict[str, Sequence] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation between neighboring values."""
+    """Quantiles with linear interpolation between neighboring values.
+
+    ``hints`` are the sketched values at ``pivot_places`` of each probability, if an
+    earlier pass has taken them.
+    """
     ranks: dict[str, list[int]] = {}
     for name, n in counts.items():
         if n:
             places = [math.floor((n - 1) * p) for p in probabilities]
             ranks[name] = [r for k in places for r in (k + 1, min(k + 2, n))]
-    found = select_ranks(df, columns, ranks, counts, gather_rows) if ranks else {}
+    pivots = {}
+    for name, values in (hints or {}).items():
+        for i in range(len(probabilities) if values else 0):
+            for r in ranks.get(name, [])[2 * i:2 * i + 2]:
+                pivots[name, r] = (values[2 * i], values[2 * i + 1])
+    found = select_ranks(df, columns, ranks, counts, gather_rows, pivots) if ranks else {}
     result: dict[str, list[float | None]] = {}
     for name, n in counts.items():
         values: list[float | None] = []
@@ -240,24 +302,30 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], output: str)
     return found.withColumn(output, F.when(F.col(column).isNull(), -1).otherwise(F.col(output).cast("int")))
 
 
+def group_sizes(df: DataFrame, groups: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of the whole table; reads only the group columns."""
+    largest, total = df.groupBy(*groups).count().agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, total or 0
+
+
 def rank_within(
     df: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
     output: str = "position",
     chunk_rows: int = CHUNK_ROWS,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """1-based position of each row in its group, in the order of ``order``.
 
-    One light job measures the largest group. If one task can sort it, this is a plain
-    window. Otherwise the rows are parted into ordered chunks: positions are taken
+    A light job (unless ``sizes`` are given) measures the largest group. If one task can
+    sort it, this is a plain window. Otherwise the rows are parted into ordered chunks: positions are taken
     inside (group, chunk) and shifted by the sizes of the chunks before, so a group of
     any size is spread over many tasks.
     """
     order_by = [F.col(f"`{c}`").asc_nulls_first() for c in order]
-    sizes = df.groupBy(*groups).count()
-    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-    if (largest or 0) <= chunk_rows:
+    largest, total = sizes or group_sizes(df, groups)
+    if largest <= chunk_rows:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by)))
 
     lead = order_number(df, order[0])

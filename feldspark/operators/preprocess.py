@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from feldspark.functions import expressions as X
 from feldspark.functions.aggregates import moments
 from feldspark.functions.missing import number, numeric_columns
-from feldspark.operators.ordering import exact_quantiles
+from feldspark.operators.filters import missing_counts
+from feldspark.operators.ordering import SKETCH_ACCURACY, exact_quantiles, pivot_places
 
+QUARTILES = (0.25, 0.75)
 METHODS = ("standard", "minmax", "robust")
 
 
@@ -30,6 +32,7 @@ class Preprocessor:
     clip_threshold: float = 3.0
     clip_mode: str = "winsorize"
     stats: dict[str, dict[str, float]] = field(default_factory=dict)
+    health: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.scaling_method not in METHODS:
@@ -37,10 +40,10 @@ class Preprocessor:
         if self.clip_mode not in ("winsorize", "null"):
             raise ValueError(f"Unknown clip mode: {self.clip_mode}")
 
-    def fit(self, df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> Preprocessor:
-        """One pass for the moments of all features, then an exact selection of the quartiles.
-
-        ``approx`` takes the quartiles from a sketch in the first pass instead.
+    def fit(self, df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, profile: bool = False) -> Preprocessor:
+        """One pass for the moments and sketches of all features, then an exact selection
+        of the quartiles around the sketched ones. ``approx`` keeps the sketched ones;
+        ``profile`` also counts the rows and the missing values of all columns (``health``).
         """
         names = list(columns) if columns else [c for c in numeric_columns(df) if c.startswith("feature_")]
         if not names:
@@ -49,15 +52,20 @@ class Preprocessor:
         exprs = []
         for n, x in values.items():
             parts = dict(moments(x))
-            if approx:
-                parts["quartiles"] = F.percentile_approx(x, [0.25, 0.75], 100_000)
+            places = [q for p in QUARTILES for q in ((p,) if approx else pivot_places(p))]
+            parts["sketch"] = F.percentile_approx(x, places, SKETCH_ACCURACY)
             exprs.append(F.struct(*[e.alias(k) for k, e in parts.items()]).alias(n))
+        if profile:
+            exprs += [F.count(F.lit(1)).alias("_rows"), F.struct(*missing_counts(df, df.columns)).alias("_missing")]
         row = df.agg(*exprs).first()
+        if profile:
+            self.health = {"num_rows": row["_rows"], "null_counts": row["_missing"].asDict()}
         counts = {n: row[n]["count"] for n in names}
         if approx:
-            quartiles = {n: row[n]["quartiles"] or [None, None] for n in names}
+            quartiles = {n: row[n]["sketch"] or [None, None] for n in names}
         else:
-            quartiles = exact_quantiles(df, values, (0.25, 0.75), counts)
+            hints = {n: row[n]["sketch"] for n in names}
+            quartiles = exact_quantiles(df, values, QUARTILES, counts, hints=hints)
         self.stats = {
             n: {
                 "mean": row[n]["mean"], "std": row[n]["std"], "min": row[n]["min"], "max": row[n]["max"],

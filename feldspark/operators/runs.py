@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feldspark.functions.missing import number
-from feldspark.operators.ordering import in_blocks, join_lookup, rank_within
+from feldspark.operators.ordering import group_sizes, in_blocks, join_lookup, rank_within
 from feldspark.session import materialize
 
 BLOCK_ROWS = 100_000
@@ -62,6 +62,29 @@ def flatten_json(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------- ordered folds
 
 
+def _packed(rows: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
+    """Per run its rows (position, epoch, loss) in order; callers bound the rows per run."""
+    row = F.struct(F.col(epoch).alias("epoch"), F.col(loss).alias("loss"))
+    if "position" in rows.columns:
+        return rows.groupBy(run).agg(
+            F.array_sort(F.collect_list(F.struct(F.col("position"), row["epoch"].alias("epoch"), row["loss"].alias("loss")))).alias("_rows")
+        )
+    listed = rows.groupBy(run).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    return listed.withColumn("_rows", F.transform(
+        "_rows", lambda r, i: F.struct((i + 1).cast("long").alias("position"), r["epoch"].alias("epoch"), r["loss"].alias("loss"))
+    ))
+
+
+def _slim(df: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
+    return df.select(run, epoch, number(df, loss).alias(loss)).filter(F.col(run).isNotNull())
+
+
+def _placed(slim: DataFrame, run: str, epoch: str, block_rows: int, sizes: tuple[int, int]) -> DataFrame:
+    placed = in_blocks(rank_within(slim, [run], [epoch], sizes=sizes), "position", block_rows)
+    # several jobs follow; a written table keeps them on the same positions
+    return materialize(placed.drop("_own"), "positions")
+
+
 def _fold_blocks(
     placed: DataFrame, run: str, epoch: str, loss: str, initial: Column,
     step: Callable[[Column, Column], Column], done: Callable[[Column], Column],
@@ -74,36 +97,19 @@ def _fold_blocks(
     """
     states = None
     last = placed.agg(F.max("_block")).first()[0]
-    for block in range((last if last is not None else -1) + 1):
-        rows = placed.filter(F.col("_block") == block)
-        packed = rows.groupBy(run).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("position"), F.col(epoch).alias("epoch"), F.col(loss).alias("loss")))).alias("_rows")
-        )
-        if states is None:
-            folded = packed.withColumn("_state", initial)
-        else:
-            folded = states.join(packed, run, "left")
-        state = F.when(
-            F.col("_rows").isNull() | done(F.col("_state")), F.col("_state")
-        ).otherwise(F.aggregate("_rows", F.col("_state"), step))
-        states = folded.select(run, state.alias("_state"))
-        if last:
-            states = materialize(states, "states")
-            if block < last:
-                # stop when every run is settled or has no rows left
-                going = states.filter(~done(F.col("_state"))).select(run)
-                if placed.filter(F.col("_block") > block).join(going, run, "left_semi").isEmpty():
-                    break
+    for block in range(last + 1):
+        packed = _packed(placed.filter(F.col("_block") == block), run, epoch, loss)
+        folded = packed.withColumn("_state", initial) if states is None else states.join(packed, run, "left")
+        settled = F.col("_rows").isNull() | done(F.col("_state"))
+        state = F.when(settled, F.col("_state")).otherwise(F.aggregate("_rows", F.col("_state"), step))
+        states = materialize(folded.select(run, state.alias("_state")), "states")
+        # stop when every run is settled or has no rows left
+        going = states.filter(~done(F.col("_state"))).select(run)
+        if placed.filter(F.col("_block") > block).join(going, run, "left_semi").isEmpty():
+            break
     return states
 
 
-def _placed(df: DataFrame, run: str, epoch: str, loss: str, block_rows: int) -> DataFrame:
-    slim = df.select(run, epoch, number(df, loss).alias(loss)).filter(F.col(run).isNotNull())
-    placed = in_blocks(rank_within(slim, [run], [epoch]), "position", block_rows)
-    # several jobs follow; a written table keeps them on the same positions
-    return materialize(placed.drop("_own"), "positions")
-
-
 def early_stop(
     df: DataFrame, run: str, epoch: str, loss: str, patience: int = 10, min_delta: float = 1e-4,
     block_rows: int = BLOCK_ROWS,
@@ -113,8 +119,8 @@ def early_stop(
     A loss improves when it is below ``best - min_delta``; ``patience`` epochs in a row
     without improvement stop the run and later epochs do not count.
     """
-    placed = _placed(df, run, epoch, loss, block_rows)
-    kind = placed.schema[epoch].dataType
+    slim = _slim(df, run, epoch, loss)
+    kind = slim.schema[epoch].dataType
     initial = F.struct(
         F.lit(float("inf")).alias("best"), F.lit(0).alias("wait"), F.lit(None).cast(kind).alias("stopped")
     )
@@ -131,9 +137,13 @@ def early_stop(
             ))
         )
 
-    states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["stopped"].isNotNull())
-    if states is None:
-        return placed.select(run, F.lit(None).cast("double").alias("best_loss"), F.col(epoch).alias("stopped_epoch"))
+    sizes = group_sizes(slim, [run])
+    if sizes[0] <= block_rows:
+        packed = _packed(slim, run, epoch, loss)
+        states = packed.select(run, F.aggregate("_rows", initial, step).alias("_state"))
+    else:
+        placed = _placed(slim, run, epoch, block_rows, sizes)
+        states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["stopped"].isNotNull())
     best = F.col("_state.best")
     return states.select(
         run, F.when(best < F.lit(float("inf")), best).alias("best_loss"), F.col("_state.stopped").alias("stopped_epoch")
@@ -149,7 +159,7 @@ def lr_schedule(
     Only the drops are kept while folding; a run is settled once its rate is at the
     floor. Each epoch then takes the rate of the last drop at or before it.
     """
-    placed = _placed(df, run, epoch, loss, block_rows)
+    slim = _slim(df, run, epoch, loss)
     drop = F.struct(F.lit(0).cast("long").alias("position"), F.lit(float(initial_lr)).alias("lr"))
     initial = F.struct(
         F.lit(float("inf")).alias("best"), F.lit(0).alias("wait"), F.lit(float(initial_lr)).alias("lr"),
@@ -171,13 +181,19 @@ def lr_schedule(
             .otherwise(F.struct(s["best"].alias("best"), wait.alias("wait"), s["lr"].alias("lr"), s["drops"].alias("drops")))
         )
 
+    def rate_at(drops: Column, position: Column) -> Column:
+        return F.element_at(F.filter(drops, lambda d: d["position"] <= position), -1)["lr"]
+
+    sizes = group_sizes(slim, [run])
+    if sizes[0] <= block_rows:
+        folded = _packed(slim, run, epoch, loss).withColumn("_drops", F.aggregate("_rows", initial, step)["drops"])
+        rates = F.transform("_rows", lambda r: F.struct(
+            r["epoch"].alias(epoch), rate_at(F.col("_drops"), r["position"]).alias("lr")))
+        return folded.select(run, F.inline(rates))
+    placed = _placed(slim, run, epoch, block_rows, sizes)
     states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["lr"] <= F.lit(float(min_lr)))
-    if states is None:
-        return placed.select(run, epoch, F.lit(None).cast("double").alias("lr"))
-    drops = states.select(run, F.col("_state.drops").alias("_drops"))
-    joined = join_lookup(placed, drops, [run])
-    reached = F.filter("_drops", lambda d: d["position"] <= F.col("position"))
-    return joined.select(run, epoch, F.element_at(reached, -1)["lr"].alias("lr"))
+    joined = join_lookup(placed, states.select(run, F.col("_state.drops").alias("_drops")), [run])
+    return joined.select(run, epoch, rate_at(F.col("_drops"), F.col("position")).alias("lr"))
 
 
 def best_checkpoints(df: DataFrame, run: str, epoch: str, loss: str, keep: int = 3) -> DataFrame:

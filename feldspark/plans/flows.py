@@ -9,7 +9,7 @@ from feldspark.operators.preprocess import Preprocessor
 from feldspark.operators.quality import RAW_SCHEMA, check_schema, processed_schema
 from feldspark.operators.recipe import Recipe, default_recipe
 from feldspark.operators.store import FeatureStore
-from feldspark.sources.parquet import create_source, health_check, read_parquet, write_parquet
+from feldspark.sources.parquet import create_source, read_parquet, write_parquet
 
 
 def preprocess_table(
@@ -26,9 +26,10 @@ def preprocess_table(
         df = create_source(spark, source_type, **options)
     if expected is not None:
         check_schema(df, expected)
-    if not health_check(df)["valid"]:
+    # the health check rides on the first pass of the fit
+    fitted = (preprocessor or Preprocessor()).fit(df, profile=True)
+    if not fitted.health["num_rows"]:
         raise ValueError("Dataset is empty")
-    fitted = (preprocessor or Preprocessor()).fit(df)
     done = fitted.transform(df)
     if expected is not None:
         check_schema(done, processed_schema(expected))
