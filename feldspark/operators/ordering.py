@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -62,12 +64,9 @@ class _Search:
     answer: tuple | None = None  # (value, rows below it, rows equal to it)
 
     def inside(self, x: Column) -> Column:
-        cond = x.isNotNull()
-        if self.low is not None:
-            cond = cond & (x > F.lit(self.low))
-        if self.high is not None:
-            cond = cond & (x < F.lit(self.high))
-        return cond
+        bounds = [] if self.low is None else [x > F.lit(self.low)]
+        bounds += [] if self.high is None else [x < F.lit(self.high)]
+        return reduce(and_, bounds) if bounds else x.isNotNull()
 
     def narrow(self, low_pivot, high_pivot, under: int, at_low: int, between: int, at_high: int) -> None:
         """Keep the part, of the five that two pivots make, which holds the rank."""
@@ -108,6 +107,9 @@ def select_ranks(
     large share of the rows becomes a pivot and is settled by its count. ``pivots`` from
     an earlier pass over the rows save the first sketch.
     """
+    # plain columns first: the conditions below refer to each of them many times
+    df = df.select(*[c.alias(name) for name, c in columns.items()])
+    columns = {name: F.col(f"`{name}`") for name in columns}
     searches = [
         _Search(name, rank, counts[name]) for name, wanted in ranks.items() for rank in sorted(set(wanted))
     ]
@@ -120,23 +122,17 @@ def select_ranks(
             break
         small = [s for s in open_ if s.size <= gather_rows]
         large = [s for s in open_ if s.size > gather_rows]
-        scope = df.filter(_any([s.inside(columns[s.column]) for s in open_]))
+        intervals = {(s.column, s.low, s.high): s.inside(columns[s.column]) for s in open_}
+        scope = df.filter(reduce(or_, intervals.values()))
         if small:
             _gather(scope, columns, small)
         if large:
             known = pivots if pivots and all((s.column, s.rank) in pivots for s in large) else None
-            _narrow(scope, columns, large, known or _sketch(scope, columns, large), gather_rows)
+            _narrow(scope, columns, large, known or _sketch(scope, columns, large))
         pivots = None
     return {(s.column, s.rank): s.answer for s in searches}
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for c in conditions[1:]:
-        result = result | c
-    return result
-
-
 def _gather(df: DataFrame, columns: dict[str, Column], searches: list[_Search]) -> None:
     lists: dict[tuple, list[_Search]] = {}
     for s in searches:
@@ -189,44 +185,23 @@ def _sketch(df: DataFrame, columns: dict[str, Column], searches: list[_Search])
 
 
 def _narrow(
-    df: DataFrame, columns: dict[str, Column], searches: list[_Search], pivots: dict[tuple[str, int], tuple],
-    gather_rows: int,
+    df: DataFrame, columns: dict[str, Column], searches: list[_Search], pivots: dict[tuple[str, int], tuple]
 ) -> None:
-    """Count the five parts that each pair of pivots makes, and keep the part with the rank.
-
-    Where the error bound of the sketch keeps the part between the pivots small, it is
-    sorted in the same aggregate, which settles the search without another pass.
-    """
+    """Count the five parts that each pair of pivots makes, and keep the part with the rank."""
     parts: dict[tuple, list[_Search]] = {}
     for s in searches:
         parts.setdefault((s.column, s.low, s.high, *pivots[s.column, s.rank]), []).append(s)
-    exprs, picks, at_once = [], [], []
-    for i, ((column, _, _, a, b), group) in enumerate(parts.items()):
-        x, ok = columns[column], group[0].inside(columns[column])
-        between = ok & (x > F.lit(a)) & (x < F.lit(b))
-        exprs += [
-            F.count_if(ok & (x < F.lit(a))).alias(f"u{i}"),
-            F.count_if(ok & (x == F.lit(a))).alias(f"l{i}"),
-            F.count_if(between).alias(f"m{i}"),
-            F.count_if(ok & (x == F.lit(b)) & (F.lit(a) < F.lit(b))).alias(f"h{i}"),
-        ]
-        picks += [F.col(f"{c}{i}") for c in "ulmh"]
-        small = not group[0].stuck and 8 * group[0].size / SKETCH_ACCURACY <= gather_rows
-        if small:
-            exprs.append(F.sort_array(F.collect_list(F.when(between, x))).alias(f"v{i}"))
-        for s in group:
-            at_once.append((s, small))
-            place = F.lit(s.rank - s.below) - F.col(f"u{i}") - F.col(f"l{i}")
-            picks.append(_pick(F.col(f"v{i}"), place.cast("int")) if small else F.lit(None))
-    row = iter(df.agg(*exprs).select(*picks).first())
-    settled = iter(at_once)
-    for key, group in parts.items():
-        counts = [next(row) for _ in range(4)]
+    exprs = []
+    for (column, _, _, a, b), group in parts.items():
+        x = F.when(group[0].inside(columns[column]), columns[column])
+        exprs += [F.count_if(x < F.lit(a)), F.count_if(x <= F.lit(a)), F.count_if(x < F.lit(b)), F.count_if(x <= F.lit(b))]
+    row = df.agg(*exprs).first()
+    for i, (key, group) in enumerate(parts.items()):
+        under_a, upto_a, under_b, upto_b = row[4 * i:4 * i + 4]
+        a, b = key[3], key[4]
+        between, at_b = (under_b - upto_a, upto_b - under_b) if a < b else (0, 0)
         for s in group:
-            found, (_, small) = next(row), next(settled)
-            s.narrow(key[3], key[4], *counts)
-            if s.answer is None and small and (s.low, s.high) == (key[3], key[4]):
-                s.answer = (found["value"], s.below + found["under"], found["same"])
+            s.narrow(a, b, under_a, upto_a - under_a, between, at_b)
 
 
 def _pick(values: Column, place: Column) -> Column:
