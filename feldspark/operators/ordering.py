@@ -68,6 +68,12 @@ class _Search:
         bounds += [] if self.high is None else [x < F.lit(self.high)]
         return reduce(and_, bounds) if bounds else x.isNotNull()
 
+    def clamp(self, pivot):
+        """The pivot, moved into the interval if rounding put it outside."""
+        if self.low is not None and pivot < self.low:
+            return self.low
+        return self.high if self.high is not None and pivot > self.high else pivot
+
     def narrow(self, low_pivot, high_pivot, under: int, at_low: int, between: int, at_high: int) -> None:
         """Keep the part, of the five that two pivots make, which holds the rank."""
         before, size = self.below, self.size
@@ -171,8 +177,9 @@ def _sketch(df: DataFrame, columns: dict[str, Column], searches: list[_Search])
             else:
                 near.append([s])
         clusters.append(near)
-        if stuck:  # the sketch returned the ends again: step inwards by whole values
-            exprs.append(F.array(F.min(x), F.max(x)))
+        if stuck:  # integers too large for the doubles of the sketch: halve their range
+            middle = F.min(x) + F.floor((F.max(x) - F.min(x)) / 2)
+            exprs.append(F.array(middle, middle))
         else:
             places = [q for c in near for q in pivot_places((c[0].rank - c[0].below) / c[0].size)]
             exprs.append(F.percentile_approx(x, places, SKETCH_ACCURACY))
@@ -180,7 +187,7 @@ def _sketch(df: DataFrame, columns: dict[str, Column], searches: list[_Search])
     for near, values in zip(clusters, df.agg(*exprs).first(), strict=True):
         for i, cluster in enumerate(near):
             for s in cluster:
-                found[s.column, s.rank] = (values[2 * i], values[2 * i + 1])
+                found[s.column, s.rank] = (s.clamp(values[2 * i]), s.clamp(values[2 * i + 1]))
     return found
 
 

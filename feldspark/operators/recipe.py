@@ -61,7 +61,8 @@ class Recipe:
             if s["min"] is None:
                 return F.lit(None).cast("string" if labels else "int")
             index = X.bin_index(c[0], X.bin_edges(s["min"], s["max"], bins))
-            return F.element_at(F.array(*[F.lit(x) for x in labels]), index + 1) if labels else index
+            # ``get`` gives NULL for a missing bin; ``element_at`` may give some label
+            return F.get(F.array(*[F.lit(x) for x in labels]), index) if labels else index
 
         return self._add((feature,), output or f"{feature}_binned", build, ("min", "max"))
 
