@@ -19,7 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from feldspark.functions.hashing import driver_normal
 from feldspark.operators.models import complete_rows
-from feldspark.session import materialize
+from feldspark.session import remove_path, scratch_path
 
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(z.dtype)),
@@ -140,7 +140,9 @@ def train_mlp(
               for i, (n, c, s) in enumerate(zip(names, centers, scales, strict=True))]
     # One written copy with even parts: every round reads the same rows in the same files.
     workers = workers or max(1, df.sparkSession.sparkContext.defaultParallelism)
-    table = materialize(marked.select("_held", *scaled).repartition(workers), "training")
+    path = scratch_path(df.sparkSession, "training")
+    marked.select("_held", *scaled).repartition(workers).write.parquet(path)
+    table = df.sparkSession.read.parquet(path)
     sizes = [len(features), *hidden, 1]
     flat = initial_weights(sizes, seed)
     spark = df.sparkSession
@@ -165,6 +167,7 @@ def train_mlp(
         history.append({"epoch": epoch, "train_loss": summed[0]["loss"], "val_loss": None})
     if history:
         history[-1]["val_loss"] = _loss(table.filter("_held").drop("_held"), flat, sizes, activation)
+    remove_path(spark, path)
     options = {
         "hidden": list(hidden), "epochs": epochs, "batch_size": batch_size,
         "learning_rate": learning_rate, "weight_decay": weight_decay, "seed": seed,

@@ -73,17 +73,7 @@ def ks_drift(
     value first. No feature is sorted in one task.
     """
     both = _one_side(reference, features, 0).unionByName(_one_side(current, features, 1))
-    summed = both.agg(*[
-        F.struct(
-            F.count_if(F.col("_side") == 0).alias("n"), F.count_if(F.col("_side") == 1).alias("m")
-        ).alias("rows"),
-        *[F.struct(
-            F.count_if(F.col(f"x{i}").isNotNull() & (F.col("_side") == 0)).alias("n"),
-            F.count_if(F.col(f"x{i}").isNotNull() & (F.col("_side") == 1)).alias("m"),
-        ).alias(f"x{i}") for i in range(len(features))],
-    ]).first()
-    most = sum(summed["rows"])
-    chunks = min(max(min_chunks, -(-most // chunk_rows)), MAX_CHUNKS)
+    chunks = min(max(min_chunks, -(-both.count() // chunk_rows)), MAX_CHUNKS)
     steps = [k / chunks for k in range(1, chunks)]
     cuts = both.agg(*[
         F.percentile_approx(f"x{i}", steps, max(SKETCH_ACCURACY, 10 * chunks)) for i in range(len(features))
@@ -98,26 +88,24 @@ def ks_drift(
     one = [F.count_if(F.col("_side") == 0).alias("a"), F.count_if(F.col("_side") == 1).alias("b")]
     counted = tall.groupBy("f", "chunk").agg(*one).collect()  # at most one row per feature and chunk
 
-    at_ends: dict[int, float] = {}
-    starts = []
-    for i in range(len(features)):
-        n, m = summed[f"x{i}"]
+    known_rows, starts = [], []
+    for i, feature in enumerate(features):
+        mine = sorted((r for r in counted if r["f"] == i), key=lambda r: r["chunk"])
+        n, m = sum(r["a"] for r in mine), sum(r["b"] for r in mine)
         if not n or not m:
             continue
         a = b = 0
-        bounds = []
-        for r in sorted((r for r in counted if r["f"] == i), key=lambda r: r["chunk"]):
+        at_ends, bounds = 0.0, []
+        for r in mine:
             most_above = abs((a + r["a"]) / n - b / m)
             most_below = abs(a / n - (b + r["b"]) / m)
             bounds.append((max(most_above, most_below), r["chunk"], a, b))
             a, b = a + r["a"], b + r["b"]
-            at_ends[i] = max(at_ends.get(i, 0.0), abs(a / n - b / m))
-        starts += [(i, chunk, a0, b0) for bound, chunk, a0, b0 in bounds if bound > at_ends[i]]
+            at_ends = max(at_ends, abs(a / n - b / m))
+        known_rows.append((i, feature, n, m, at_ends))
+        starts += [(i, chunk, a0, b0) for bound, chunk, a0, b0 in bounds if bound > at_ends]
     spark = reference.sparkSession
-    known = spark.createDataFrame(
-        [(i, f, summed[f"x{i}"]["n"], summed[f"x{i}"]["m"], at_ends[i]) for i, f in enumerate(features) if i in at_ends],
-        "f int, feature string, n long, m long, at_ends double",
-    )
+    known = spark.createDataFrame(known_rows, "f int, feature string, n long, m long, at_ends double")
     open_ = spark.createDataFrame(starts, "f int, chunk int, a0 long, b0 long")
     values = tall.join(F.broadcast(open_), ["f", "chunk"]).groupBy("f", "chunk", "a0", "b0", "x").agg(*one)
     inside = Window.partitionBy("f", "chunk", "a0", "b0").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)

@@ -389,6 +389,7 @@ def join_lookup(
     lookup = materialize(lookup, "lookup")
     if lookup.count() <= max_rows:
         return df.join(F.broadcast(lookup), list(on), how)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[f"`{c}`" for c in plain]), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -81,8 +81,9 @@ def _slim(df: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
 
 def _placed(slim: DataFrame, run: str, epoch: str, block_rows: int, sizes: tuple[int, int]) -> DataFrame:
     placed = in_blocks(rank_within(slim, [run], [epoch], sizes=sizes), "position", block_rows)
-    # several jobs follow; a written table keeps them on the same positions
-    return materialize(placed.drop("_own"), "positions")
+    # Several jobs follow; a written table keeps them on the same positions. Sorted files
+    # let each of them skip the row groups of other blocks.
+    return materialize(placed.drop("_own").sortWithinPartitions("_block"), "positions")
 
 
 def _fold_blocks(
@@ -95,18 +96,17 @@ def _fold_blocks(
     runs side by side, so no task holds more than one block of a run. A run leaves as
     soon as ``done`` holds, which for the callbacks here comes after few epochs.
     """
-    states = None
-    last = placed.agg(F.max("_block")).first()[0]
-    for block in range(last + 1):
+    blocks = placed.groupBy(run).agg(F.max("_block").alias("_last"))
+    states = materialize(blocks.select(run, "_last", initial.alias("_state")), "states")
+    block = 0
+    while not states.filter((F.col("_last") >= block) & ~done(F.col("_state"))).isEmpty():
         packed = _packed(placed.filter(F.col("_block") == block), run, epoch, loss)
-        folded = packed.withColumn("_state", initial) if states is None else states.join(packed, run, "left")
         settled = F.col("_rows").isNull() | done(F.col("_state"))
         state = F.when(settled, F.col("_state")).otherwise(F.aggregate("_rows", F.col("_state"), step))
-        states = materialize(folded.select(run, state.alias("_state")), "states")
-        # stop when every run is settled or has no rows left
-        going = states.filter(~done(F.col("_state"))).select(run)
-        if placed.filter(F.col("_block") > block).join(going, run, "left_semi").isEmpty():
-            break
+        # one row per run on both sides
+        folded = states.join(packed, run, "left").select(run, "_last", state.alias("_state"))
+        states = materialize(folded, "states")
+        block += 1
     return states
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feldspark.operators.stats import feature_columns, stat_expressions
-from feldspark.sources.parquet import write_parquet
+from feldspark.session import path_exists, remove_path
+from feldspark.sources.parquet import gathered, write_parquet
 
 STAT = T.StructType([
     T.StructField("mean", T.DoubleType()),
@@ -98,18 +99,10 @@ class FeatureStore:
         entry = f"{self.base}/metadata/name={name}"
         return f"{entry}/version={version}" if version else entry
 
-    def _remove(self, path: str) -> None:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
-
-    def _exists(self, path: str) -> bool:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
-
     def catalog(self) -> DataFrame:
         """One row per stored version."""
         path = f"{self.base}/metadata"
-        if not self._exists(path):
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], CATALOG)
         return self.spark.read.schema(CATALOG).json(path).select(*CATALOG.names)
 
@@ -127,18 +120,19 @@ class FeatureStore:
         for text in (name, version):
             if not _NAME.fullmatch(text) or text == "metadata":
                 raise ValueError(f"Not a valid dataset name or version: {text}")
-        if self._exists(self._entry(name, version)):
+        if path_exists(self.spark, self._entry(name, version)):
             if not overwrite:
                 raise ValueError(f"Version {version} of {name} already exists")
             self.delete(name, version)
         features = feature_columns(df) if compute_stats else []
         exprs = stat_expressions(df, features)
         watch = Observation()
-        counted = df.observe(
+        # observed in the stage that writes: a repeated shuffle stage is not counted twice
+        counted = gathered(df, partition_cols).observe(
             watch, F.count(F.lit(1)).alias("rows"), *[e.alias(f"s{i}") for i, e in enumerate(exprs.values())]
         )
         # files without a catalog row are left over from a failed write
-        write_parquet(counted, self._data(name, version), partition_cols, mode="overwrite")
+        write_parquet(counted, self._data(name, version), partition_cols, mode="overwrite", gather=False)
         seen = watch.get
         stats: dict[str, dict] = {}
         for i, key in enumerate(exprs):
@@ -186,10 +180,10 @@ class FeatureStore:
 
     def delete(self, name: str, version: str | None = None) -> None:
         """Remove one version, or all of them: first from the catalog, then the files."""
-        if not self._exists(self._entry(name, version)):
+        if not path_exists(self.spark, self._entry(name, version)):
             raise DatasetNotFound(f"Dataset {name}, version {version or 'any'} not found")
-        self._remove(self._entry(name, version))
-        self._remove(self._data(name, version) if version else f"{self.base}/{name}")
+        remove_path(self.spark, self._entry(name, version))
+        remove_path(self.spark, self._data(name, version) if version else f"{self.base}/{name}")
 
 
 def flat_metadata(catalog: DataFrame) -> DataFrame:

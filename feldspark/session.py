@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SCRATCH: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,20 +33,40 @@ def scratch_root(spark: SparkSession) -> str:
     Only when it is unset (tests, a laptop) a temporary folder is made, and then
     kept in the session so that every later call sees the same one.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
     if not root:
-        root = getattr(spark.sparkContext, "_feldspark_scratch", None)
+        root = getattr(context, "_feldspark_scratch", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="feldspark-")
-        spark.sparkContext._feldspark_scratch = root
+        context._feldspark_scratch = root
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process has written; call it when their results are used."""
+    while _SCRATCH:
+        remove_path(spark, _SCRATCH.pop())
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

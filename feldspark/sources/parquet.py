@@ -39,11 +39,22 @@ def health_check(df: DataFrame, expected: T.StructType | None = None) -> dict:
     }
 
 
-def write_parquet(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "errorifexists") -> None:
+def gathered(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Bring equal partition values together, so that a folder gets few files of good size.
+
+    The rebalance hint lets adaptive execution split the values that hold many rows.
+    """
     missing = [c for c in partition_cols if c not in df.columns]
     if missing:
         raise ValueError(f"Partition columns not found: {missing}")
-    writer = df.write.mode(mode)
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
+def write_parquet(
+    df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "errorifexists", gather: bool = True
+) -> None:
+    laid_out = gathered(df, partition_cols) if gather else df
+    writer = laid_out.write.mode(mode)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 

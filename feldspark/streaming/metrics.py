@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feldspark.functions.missing import number
 from feldspark.operators.monitoring import SPIKE_FACTOR, THRESHOLDS, exceeding, loss_spikes
-from feldspark.session import materialize, scratch_path
+from feldspark.session import materialize, remove_path, scratch_path
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, schema) -> DataFrame:
@@ -64,6 +64,8 @@ class SpikeDetector:
         # the limit on the rank is applied before the shuffle, so a hot context shrinks first
         tail = rows.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") < self.window).drop("_r")
         tail.write.mode("overwrite").parquet(self._state(batch_id))
+        if batch_id > 1:  # a replay needs the state before this batch, not older ones
+            remove_path(spark, self._state(batch_id - 2))
 
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/spikes").drop("batch")
