@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feldspark.functions.expressions import kolmogorov_pvalue
 from feldspark.functions.missing import number
 from feldspark.operators.ordering import (
-    CHUNK_ROWS, MAX_CHUNKS, SKETCH_ACCURACY, group_sizes, in_blocks, rank_within, with_bucket,
+    CHUNK_ROWS, MAX_CHUNKS, cut_points, group_sizes, in_blocks, rank_within, with_bucket,
 )
 
 # Metric names, limits, alert types and message texts.
@@ -73,14 +73,13 @@ def ks_drift(
     value first. No feature is sorted in one task.
     """
     both = _one_side(reference, features, 0).unionByName(_one_side(current, features, 1))
-    chunks = min(max(min_chunks, -(-both.count() // chunk_rows)), MAX_CHUNKS)
-    steps = [k / chunks for k in range(1, chunks)]
-    cuts = both.agg(*[
-        F.percentile_approx(f"x{i}", steps, max(SKETCH_ACCURACY, 10 * chunks)) for i in range(len(features))
-    ]).first()
+    total = both.count()
+    chunks = min(max(min_chunks, -(-total // chunk_rows)), MAX_CHUNKS)
+    names = [f"x{i}" for i in range(len(features))]
+    cuts = cut_points(both, {n: F.col(n) for n in names}, total, chunks)
     staged = both
     for i in range(len(features)):
-        staged = with_bucket(staged, f"x{i}", cuts[i] or [], f"c{i}")
+        staged = with_bucket(staged, f"x{i}", cuts[f"x{i}"], f"c{i}")
     tall = staged.select("_side", F.inline(F.array(*[
         F.struct(F.lit(i).alias("f"), F.col(f"c{i}").alias("chunk"), F.col(f"x{i}").alias("x"))
         for i in range(len(features))

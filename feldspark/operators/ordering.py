@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
@@ -23,6 +24,7 @@ GATHER_ROWS = 50_000  # a search interval this small is sorted inside one aggreg
 SKETCH_ACCURACY = 10_000
 CHUNK_ROWS = 2_000_000  # rows of one group that one task may sort
 MAX_CHUNKS = 10_000
+SAMPLE_PER_CHUNK = 1_000
 BROADCAST_ROWS = 500_000
 
 
@@ -50,6 +52,13 @@ def order_number(df: DataFrame, name: str) -> Column:
 # ---------------------------------------------------------------- selection
 
 
+def literal(value) -> Column:
+    """A literal of a collected value; datetimes stand for timestamps without a zone."""
+    if isinstance(value, datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 @dataclass
 class _Search:
     """One rank of one column; the answer lies strictly between ``low`` and ``high``."""
@@ -64,8 +73,8 @@ class _Search:
     answer: tuple | None = None  # (value, rows below it, rows equal to it)
 
     def inside(self, x: Column) -> Column:
-        bounds = [] if self.low is None else [x > F.lit(self.low)]
-        bounds += [] if self.high is None else [x < F.lit(self.high)]
+        bounds = [] if self.low is None else [x > literal(self.low)]
+        bounds += [] if self.high is None else [x < literal(self.high)]
         return reduce(and_, bounds) if bounds else x.isNotNull()
 
     def clamp(self, pivot):
@@ -201,7 +210,7 @@ def _narrow(
     exprs = []
     for (column, _, _, a, b), group in parts.items():
         x = F.when(group[0].inside(columns[column]), columns[column])
-        exprs += [F.count_if(x < F.lit(a)), F.count_if(x <= F.lit(a)), F.count_if(x < F.lit(b)), F.count_if(x <= F.lit(b))]
+        exprs += [F.count_if(x < literal(a)), F.count_if(x <= literal(a)), F.count_if(x < literal(b)), F.count_if(x <= literal(b))]
     row = df.agg(*exprs).first()
     for i, (key, group) in enumerate(parts.items()):
         under_a, upto_a, under_b, upto_b = row[4 * i:4 * i + 4]
@@ -261,17 +270,22 @@ def exact_quantiles(
 # ------------------------------------------------------------ ranks in groups
 
 
-def cut_points(df: DataFrame, x: Column, n: int, chunk_rows: int) -> list[float]:
-    """About ``n / chunk_rows`` ascending values that part the rows into even chunks.
+def cut_points(df: DataFrame, columns: dict[str, Column], n: int, chunks: int) -> dict[str, list[float]]:
+    """Per column ``chunks - 1`` ascending values that part about ``n`` rows into even chunks.
 
-    A value may repeat; a repeated value alone fills at least one chunk.
+    A value may repeat; a repeated value alone fills at least one chunk. Any cut points
+    are right, even ones only help the balance, so a random part of a large table will do.
     """
-    chunks = min(math.ceil(n / chunk_rows), MAX_CHUNKS)
     if chunks <= 1:
-        return []
+        return {name: [] for name in columns}
     steps = [i / chunks for i in range(1, chunks)]
+    share = SAMPLE_PER_CHUNK * chunks / max(n, 1)
+    rows = df.select(*[x.cast("double").alias(name) for name, x in columns.items()])
+    if share < 0.5:
+        rows = rows.filter(F.rand() < F.lit(share))
     accuracy = max(SKETCH_ACCURACY, 10 * chunks)
-    return df.agg(F.percentile_approx(x.cast("double"), steps, accuracy)).first()[0] or []
+    row = rows.agg(*[F.percentile_approx(f"`{name}`", steps, accuracy) for name in columns]).first()
+    return {name: cuts or [] for name, cuts in zip(columns, row, strict=True)}
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], output: str) -> DataFrame:
@@ -311,7 +325,8 @@ def rank_within(
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by)))
 
     lead = order_number(df, order[0])
-    cuts = cut_points(df, lead, total, chunk_rows)
+    chunks = min(math.ceil(total / chunk_rows), MAX_CHUNKS)
+    cuts = cut_points(df, {"lead": lead}, total, chunks)["lead"]
     staged = df.withColumn("_lead", lead.cast("double"))
     staged = with_bucket(staged, "_lead", cuts, "_chunk").withColumn("_part", F.lit(0))
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})

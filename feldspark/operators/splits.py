@@ -10,13 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feldspark.functions.hashing import token, uniform
-from feldspark.operators.ordering import join_lookup, order_number, select_ranks
+from feldspark.operators.ordering import join_lookup, literal, order_number, select_ranks
 from feldspark.session import materialize
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
@@ -130,8 +131,12 @@ def time_split(
 
     Finds the two cut rows by selection; no global sort. Missing times sort first.
     """
-    floating = isinstance(df.schema[time].dataType, (T.FloatType, T.DoubleType))
-    when = F.coalesce(order_number(df, time), F.lit(float("-inf")) if floating else F.lit(-(2**62)))
+    kind = df.schema[time].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        when = F.coalesce(F.col(time), literal(datetime.min))
+    else:
+        floating = isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType))
+        when = F.coalesce(order_number(df, time), F.lit(float("-inf")) if floating else F.lit(-(2**62)))
     tie = _tie_number(df, key)
     total = df.count()
     first = int(total * train)
@@ -145,10 +150,10 @@ def time_split(
         value, below, same = found["when", rank]
         rest = rank - below
         if rest == same:
-            return when <= F.lit(value)
-        tied = df.filter(when == F.lit(value))
+            return when <= literal(value)
+        tied = df.filter(when == literal(value))
         cut = select_ranks(tied, {"tie": tie}, {"tie": [rest]}, {"tie": same}, **search)["tie", rest][0]
-        return (when < F.lit(value)) | ((when == F.lit(value)) & (tie <= F.lit(cut)))
+        return (when < literal(value)) | ((when == literal(value)) & (tie <= F.lit(cut)))
 
     return df.withColumn(output, _label(upto(first), upto(second)))
 

@@ -89,3 +89,14 @@ def test_dispatch(spark):
         assert S.Splitter("id", strategy=strategy, **{column: "g"}).split(df).count() == 100
     labelled = S.default_splitter("id").split(df)
     assert sum(p.count() for p in S.parts(labelled).values()) == 100
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_time_split_of_time_types(spark, kind):
+    df = spark.range(200).withColumn(
+        "t", F.expr(f"cast(timestamp_ntz'2024-03-30 22:00:00.000001' + make_dt_interval(0, id % 50) AS {kind})")
+    ).withColumn("t", F.when(F.col("id") >= 5, F.col("t")))
+    got = {r.id: (r.t, r.split) for r in S.time_split(df, "t", "id", gather_rows=4).collect()}
+    low = (False, 0)
+    ranked = _expected(list(got), lambda k: (low if got[k][0] is None else (True, got[k][0]), k))
+    assert {k: s for k, (_, s) in got.items()} == ranked
