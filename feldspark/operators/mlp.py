@@ -8,11 +8,13 @@ epoch moves a fixed number of parameters, whatever the size of the table.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -21,6 +23,9 @@ from feldspark.functions.hashing import driver_normal
 from feldspark.operators.models import complete_rows
 from feldspark.session import remove_path, scratch_path
 
+# The batch functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(z.dtype)),
     "tanh": (np.tanh, lambda z: 1.0 - np.tanh(z) ** 2),
