@@ -7,9 +7,10 @@ optionally ``context``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feldspark.functions.expressions import kolmogorov_pvalue
@@ -232,3 +233,23 @@ def limit_alerts(exceeded: DataFrame) -> DataFrame:
 
 def all_alerts(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+@dataclass(frozen=True)
+class MetricLog:
+    """Append-only tables of metrics and alerts below ``base``."""
+
+    spark: SparkSession
+    base: str
+
+    def record(self, metrics: DataFrame) -> None:
+        metrics.write.mode("append").parquet(f"{self.base}/metrics")
+
+    def raise_alerts(self, alerts: DataFrame) -> None:
+        alerts.write.mode("append").parquet(f"{self.base}/alerts")
+
+    def metrics(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/metrics")
+
+    def alerts(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/alerts")

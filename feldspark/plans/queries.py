@@ -19,7 +19,7 @@ from feldspark.operators.preprocess import Preprocessor
 from feldspark.operators.quality import ColumnRule, DatasetRules
 from feldspark.operators.recipe import Recipe, default_recipe, fill_interaction
 from feldspark.operators.store import FeatureStore, flat_metadata
-from feldspark.plans.flows import build_features, preprocess_table
+from feldspark.plans.flows import build_features, preprocess_table, score_records, train_from_store
 from feldspark.plans.frames import feature_frame, metric_frame, system_metrics, table
 from feldspark.session import scratch_path
 from feldspark.sources import synthetic
@@ -32,11 +32,11 @@ ORACLES: dict[str, str] = {}
 ROUNDING = True  # the bench turns it off: rounding serves the comparison only
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if oracle is not None:
-            ORACLES[f.__name__] = oracle
+            ORACLES[name or f.__name__] = oracle
         return f
 
     return register
@@ -361,8 +361,8 @@ _DEFAULT = """round(feature_1_norm * feature_2_norm, 6) AS feature_1_norm_featur
   round(ln(abs(feature_3_norm) + 1), 6) AS feature_3_log, round(ln(abs(feature_4_norm) + 1), 6) AS feature_4_log"""
 
 
-@query(f"SELECT id, target, {_NORMED}, {_DEFAULT} FROM {sql_scaled('standard')}")
-def default_recipe_flow(spark, sf):
+@query(f"SELECT id, target, {_NORMED}, {_DEFAULT} FROM {sql_scaled('standard')}", "default_recipe")
+def default_features(spark, sf):
     scaled = Preprocessor().fit_transform(_frame(spark, sf))
     return rounded(default_recipe().transform(scaled).drop("timestamp"))
 
@@ -754,6 +754,38 @@ def mlp_score(spark, sf):
     return stats.regression_metrics(model.transform(items), "charge", "prediction")
 
 
+_BUCKETED = f"""(SELECT o_custkey::DOUBLE AS x, o_totalprice AS y, {sql_uniform(42, 'o_orderkey')} < 1 - 0.2::DOUBLE AS fitted
+  FROM orders WHERE o_totalprice > 2000)"""
+
+
+@query(f"""WITH w AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM {_BUCKETED} WHERE fitted),
+e AS (SELECT fitted, y, y - i - s * x AS d FROM {_BUCKETED}, w)
+SELECT CASE WHEN fitted THEN 'train' ELSE 'validation' END AS split, round(avg(abs(d)), 3) AS mae, round(sqrt(avg(d * d)), 3) AS rmse,
+  round(1 - sum(d * d) / (count(*) * var_pop(y)), 6) AS r2 FROM e GROUP BY fitted""")
+def train_on_store(spark, sf):
+    store, registry = _store(spark), models.ModelRegistry(spark, scratch_path(spark, "models"))
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("double").alias("feature_1"),
+        F.col("o_totalprice").alias("target"), F.col("o_orderstatus").alias("label"),
+    )
+    store.write(orders, "orders", "v1")
+    steps = [{"type": "filter", "column": "target", "condition": "gt:2000"}]
+    _, found = train_from_store(store, "orders", registry, "price", target="target", key="id", steps=steps)
+    return rounded(rounded(found.select("split", "mae", "rmse", "r2"), 6, ["r2"]), 3, ["mae", "rmse"])
+
+
+@query(f"""WITH s AS (SELECT avg(feature_1) AS m1, stddev_samp(feature_1) AS s1, avg(feature_2) AS m2, stddev_samp(feature_2) AS s2 FROM {FRAME})
+SELECT id, '4' AS model_version, 'b7' AS batch_id,
+  round(0.5 + 2 * (feature_1 - m1) / s1 - (feature_2 - m2) / s2 + 0.25 * feature_3, 4) AS prediction FROM {FRAME}, s""")
+def score_on_stored_stats(spark, sf):
+    store, frame = _store(spark), _frame(spark, sf).select("id", "feature_1", "feature_2", "feature_3")
+    store.write(frame, "features", "v1")
+    model = models.LinearModel(["feature_1_norm", "feature_2_norm", "feature_3"], [2.0, -1.0, 0.25], 0.5)
+    stored = {k: v for k, v in store.metadata("features").feature_stats.items() if k != "feature_3"}
+    log = score_records(frame, stored, model, key="id", version="4", batch="b7")
+    return rounded(log.select("id", "model_version", "batch_id", "prediction"), 4)
+
+
 def _sql_choice(name: str, values: Sequence[int]) -> str:
     draw = sql_uniform(42, f"'{name}'", "p_partkey")
     return f"({list(values)})[floor({draw} * {len(values)})::INT + 1]::BIGINT AS {name}"
@@ -993,6 +1025,21 @@ def monitor_counts(spark, sf):
     return monitoring.monitor_counts(system_metrics(table(spark, sf, "events")), _alerts(spark, sf))
 
 
+@query(f"""SELECT 'metric' AS kind, name AS label, count(*) AS n FROM {_NAMED} GROUP BY name
+UNION ALL SELECT 'alert', type, count(*) FROM {_over_sql(_NAMED)} GROUP BY type""")
+def metric_log(spark, sf):
+    log = monitoring.MetricLog(spark, scratch_path(spark, "metrics"))
+    named = system_metrics(table(spark, sf, "events"))
+    for part in (0, 1):
+        log.record(named.filter(F.col("seq") % 2 == part))
+    log.raise_alerts(monitoring.limit_alerts(monitoring.exceeding(log.metrics())))
+    return log.metrics().groupBy("name").count().select(
+        F.lit("metric").alias("kind"), F.col("name").alias("label"), F.col("count").alias("n")
+    ).unionByName(log.alerts().groupBy("type").count().select(
+        F.lit("alert").alias("kind"), F.col("type").alias("label"), F.col("count").alias("n")
+    ))
+
+
 # ----------------------------------------------------------------- streaming
 
 

@@ -98,3 +98,22 @@ def test_trials(rows, spark):
     assert K.best_trial(ties.filter("trial > 2"), "m").collect() == []
     with pytest.raises(ValueError):
         K.best_trial(ties, "m", "other")
+
+
+def test_train_and_score_flows(rows, spark, tmp_path):
+    from feldspark.operators.store import FeatureStore
+    from feldspark.plans.flows import score_records, train_from_store
+
+    store = FeatureStore(spark, str(tmp_path / "store"))
+    registry = J.ModelRegistry(spark, str(tmp_path / "models"))
+    store.write(rows.drop("target").withColumn("label", F.lit("a")), "d", "v1")
+    model, found = train_from_store(store, "d", registry, "m", target="y", key="id")
+    assert model.features == X and {r.split for r in found.collect()} == {"train", "validation"}
+    assert all(r.mse < 1e-12 for r in found.collect())
+    assert registry.entries().first().metrics["validation_r2"] == pytest.approx(1.0)
+    with pytest.raises(ValueError, match="Unknown model type"):
+        train_from_store(store, "d", registry, "m", target="y", key="id", kind="other")
+    net, _ = train_from_store(store, "d", registry, "net", target="y", key="id", kind="mlp", hidden=(4,), epochs=1, workers=1)
+    assert registry.load("net", "1") == net
+    log = score_records(rows, {}, registry.load("m", "1"), key="id", version="1", batch="b")
+    assert log.count() == 1500 and log.first()["features"]["feature_1"] is not None
