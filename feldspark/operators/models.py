@@ -48,6 +48,14 @@ def linear_regression(df: DataFrame, features: Sequence[str], target: str) -> Li
     return LinearModel(list(features), [float(w) for w in fitted.coefficients], float(fitted.intercept))
 
 
+def solve_normal(moments: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The weights of a small normal system; the least-norm ones if features are dependent."""
+    try:
+        return np.linalg.solve(moments, target)
+    except np.linalg.LinAlgError:
+        return np.linalg.pinv(moments, hermitian=True) @ target
+
+
 def ridge_regression(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> LinearModel:
     """Minimize ``|y - Xw - b|² + alpha·|w|²`` (intercept not penalized).
 
@@ -68,7 +76,7 @@ def ridge_regression(df: DataFrame, features: Sequence[str], target: str, alpha:
     moment = np.zeros((k + 1, k + 1))
     for i, j in pairs:
         moment[i, j] = moment[j, i] = row[f"c{i}_{j}"]
-    weights = np.linalg.solve(moment[:k, :k] + np.eye(k) * (alpha / row["n"]), moment[:k, k])
+    weights = solve_normal(moment[:k, :k] + np.eye(k) * (alpha / row["n"]), moment[:k, k])
     intercept = row[f"m{k}"] - sum(w * row[f"m{i}"] for i, w in enumerate(weights))
     return LinearModel(list(features), [float(w) for w in weights], float(intercept), {"alpha": alpha})
 

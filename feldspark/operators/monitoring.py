@@ -25,6 +25,9 @@ THRESHOLDS = (
     ("system.memory.percent", 90.0, "high_memory_usage", "High memory usage: %.1f%%"),
     ("serving.prediction.latency", 1.0, "high_prediction_latency", "High prediction latency: %.3fs"),
 )
+SPIKE_TEXT = "Training loss spike in %s: %.4f (5x previous average)"
+DRIFT_TEXT = "Data drift detected in feature %s: KS statistic = %.4f, p-value = %.4f"
+DECAY_TEXT = "Model %s performance decay in %s: %.1f%% decay"
 BUFFER = 10_000
 DRIFT_ALPHA = 0.05
 DECAY_LIMIT = 0.1
@@ -204,22 +207,17 @@ def as_alerts(rows: DataFrame, kind: str, message: Column, tags: dict[str, Colum
 
 
 def spike_alerts(spikes: DataFrame, context: str = "context") -> DataFrame:
-    text = F.format_string("Training loss spike in %s: %.4f (5x previous average)", F.col(context).cast("string"), F.col("value"))
+    text = F.format_string(SPIKE_TEXT, F.col(context).cast("string"), F.col("value"))
     return as_alerts(spikes, "training_loss_spike", text, {"context": F.col(context)})
 
 
 def drift_alerts(tests: DataFrame) -> DataFrame:
-    text = F.format_string(
-        "Data drift detected in feature %s: KS statistic = %.4f, p-value = %.4f",
-        F.col("feature"), F.col("ks_statistic"), F.col("ks_pvalue"),
-    )
+    text = F.format_string(DRIFT_TEXT, F.col("feature"), F.col("ks_statistic"), F.col("ks_pvalue"))
     return as_alerts(tests.filter("drift_detected"), "data_drift", text, {"feature": F.col("feature")})
 
 
 def decay_alerts(decay: DataFrame, version: str, name: str = "name") -> DataFrame:
-    text = F.format_string(
-        f"Model {version} performance decay in %s: %.1f%% decay", F.col(name), F.col("decay") * 100.0
-    )
+    text = F.format_string(DECAY_TEXT, F.lit(version), F.col(name), F.col("decay") * 100.0)
     tags = {"model_version": F.lit(version), "metric": F.col(name)}
     return as_alerts(decay.filter("decayed"), "model_decay", text, tags)
 

@@ -30,6 +30,11 @@ DECLARABLE = {
     "string": T.StringType(),
     "bool": T.BooleanType(),
 }
+# The texts of record validation.
+MISSING_FEATURE = "Missing required feature: {}"
+NAN_FEATURE = "Feature {} is NaN"
+INFINITE_FEATURE = "Feature {} is infinite"
+OUTLIER_FEATURE = "Feature {} is an outlier (z-score: %.2f)"
 
 
 class SchemaMismatch(ValueError):
@@ -174,17 +179,17 @@ def validate_records(df: DataFrame, required: Sequence[str], stats: dict[str, di
     warnings: list[Column] = []
     for name in required:
         gone = F.col(f"`{name}`").isNull() if name in df.columns else F.lit(True)
-        errors.append(F.when(gone, f"Missing required feature: {name}"))
+        errors.append(F.when(gone, MISSING_FEATURE.format(name)))
     for name in numeric_columns(df):
         if is_float(df, name):
             c = F.col(f"`{name}`")
-            errors.append(F.when(F.isnan(c), f"Feature {name} is NaN"))
-            errors.append(F.when(F.abs(c) == F.lit(float("inf")), f"Feature {name} is infinite"))
+            errors.append(F.when(F.isnan(c), NAN_FEATURE.format(name)))
+            errors.append(F.when(F.abs(c) == F.lit(float("inf")), INFINITE_FEATURE.format(name)))
     for name, known in stats.items():
         if name in df.columns and known.get("mean") is not None and known.get("std") is not None:
             c = F.col(f"`{name}`").cast("double")
             z = F.abs((c - F.lit(known["mean"])) / F.lit(max(known["std"], FLOOR)))
-            text = F.format_string(f"Feature {name} is an outlier (z-score: %.2f)", z)
+            text = F.format_string(OUTLIER_FEATURE.format(name), z)
             warnings.append(F.when(~F.isnan(c) & (z > 3.0), text))
     none = F.array().cast("array<string>")
     return df.withColumns({

@@ -40,23 +40,43 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     return df.select(*[x for f in df.schema.fields for x in leaves(f.dataType, f.name, F.col(f"`{f.name}`"))])
 
 
+def _is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
+def _depth(text: Column) -> Column:
+    """How deep the braces of a JSON text nest, strings left out."""
+    bare = F.regexp_replace(text, r'"(\\.|[^"\\])*"', "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def follow(s: Column, brace: Column) -> Column:
+        now = s["now"] + F.when(brace == "{", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+    return F.aggregate(F.regexp_extract_all(bare, F.lit("([{}])")), start, follow, lambda s: s["most"])
+
+
 def flatten_json(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """Each leaf of a JSON object as (keep..., key, value) with an ``a.b.c`` key.
 
-    Lists stay JSON text. The number of levels is measured first, in one pass.
+    Lists stay JSON text. Text that is no JSON object gives one row with a NULL key.
+    The number of levels is measured first, in one pass.
     """
-    opened = F.regexp_count(F.col(text), F.lit(r"\{"))
-    levels = df.agg(F.max(opened)).first()[0] or 0
-    kind = "map<string,string>"
-    flat = df.select(*keep, F.explode(F.from_json(text, kind)).alias("key", "value"))
+    levels = df.agg(F.max(_depth(F.col(text)))).first()[0] or 0
+    parsed = df.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("_text"), F.try_parse_json(text).alias("_v"))
+
+    def members(value: Column) -> Column:
+        return F.map_entries(F.when(_is_object(value), value.cast("map<string,variant>")))
+
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
+    flat = parsed.select(*keep, "_text", F.inline(F.coalesce(members(F.col("_v")), whole)))
     for _ in range(levels - 1):
-        nested = F.when(F.col("value").startswith("{"), F.from_json("value", kind))
         one = F.array(F.struct(F.col("key"), F.col("value")))
-        more = F.transform(
-            F.map_entries(nested), lambda e: F.struct(F.concat_ws(".", "key", e["key"]).alias("key"), e["value"].alias("value"))
-        )
-        flat = flat.select(*keep, F.inline(F.coalesce(more, one)))
-    return flat
+        deeper = F.transform(members(F.col("value")), lambda e: F.struct(
+            F.concat_ws(".", F.col("key"), e["key"]).alias("key"), e["value"].alias("value")))
+        flat = flat.select(*keep, "_text", F.inline(F.coalesce(deeper, one)))
+    value = F.when(F.col("key").isNull(), F.col("_text")).otherwise(F.col("value").cast("string"))
+    return flat.select(*keep, "key", value.alias("value"))
 
 
 # ------------------------------------------------------------- ordered folds

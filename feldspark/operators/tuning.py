@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feldspark.functions.hashing import uniform
 from feldspark.operators.mlp import train_mlp
-from feldspark.operators.models import assemble, complete_rows
+from feldspark.operators.models import assemble, complete_rows, solve_normal
 
 # The default search space.
 LEARNING_RATE = (1e-4, 1e-2)
@@ -89,7 +89,7 @@ def ridge_trials(
     c, m = moment(train)
     trials = []
     for i, alpha in enumerate(alphas):
-        w = np.linalg.solve(c[:k, :k] + np.eye(k) * (alpha / train["n"]), c[:k, k])
+        w = solve_normal(c[:k, :k] + np.eye(k) * (alpha / train["n"]), c[:k, k])
         b = float(m[k] - m[:k] @ w)
         trials.append((i, float(alpha), loss(train, w, b), loss(parts.get(True), w, b)))
     return df.sparkSession.createDataFrame(trials, "trial int, alpha double, train_loss double, val_loss double")

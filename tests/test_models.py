@@ -34,6 +34,11 @@ def test_incomplete_rows_are_left_out(spark):
     assert m.weights == pytest.approx([2.0]) and m.intercept == pytest.approx(1.0)
 
 
+def test_dependent_features(spark):
+    df = spark.range(20).selectExpr("double(id) AS a", "double(5) AS b", "double(3 * id + 1) AS y")
+    assert J.ridge_regression(df, ["a", "b"], "y", 0.0).weights == pytest.approx([3.0, 0.0])
+
+
 def test_forest(rows):
     fitted = J.random_forest(rows, X, "y", trees=5)
     assert J.forest_predictions(fitted, rows, X, "y").count() == 1500

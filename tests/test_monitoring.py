@@ -154,9 +154,16 @@ def test_compare_runs(spark):
 
 
 def test_flatten(spark):
-    df = spark.createDataFrame([(1, '{"a": {"b": {"c": 1, "d": [1, 2]}}, "e": "x"}'), (2, '{"e": "{"}'), (3, "{}")], "id int, j string")
+    texts = [
+        r'{"a": {"b": {"c": 1, "d": [1, {"z": 2}]}}, "e": "x", "n": null}', r'{"e": "{", "f": {}}', "{}", None, "oops", "[1]",
+        r'{"s": "{\"q\": 1}", "t": "}}", "u": {"v": {"w": {"x": "\\"}}}}',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
     got = {(r.id, r.key, r.value) for r in R.flatten_json(df, "j", ["id"]).collect()}
-    assert got == {(1, "a.b.c", "1"), (1, "a.b.d", "[1,2]"), (1, "e", "x"), (2, "e", "{")}
+    assert got == {
+        (0, "a.b.c", "1"), (0, "a.b.d", '[1,{"z":2}]'), (0, "e", "x"), (0, "n", None), (1, "e", "{"), (4, None, "oops"), (5, None, "[1]"),
+        (6, "s", '{"q": 1}'), (6, "t", "}}"), (6, "u.v.w.x", "\\"),
+    }
 
 
 def test_checkpoints_and_series(spark):

@@ -21,7 +21,7 @@ def test_selection_matches_sorting(spark, kind):
     }[kind]
     df = spark.createDataFrame([(v,) for v in values], "x bigint" if kind == "big" else "x double")
     ordered = sorted(values)
-    ranks = [1, 2, 250, 251, 500, 777, 999, 1000]
+    ranks = [1, 250, 251, 777, 1000]
     found = O.select_ranks(df, {"x": F.col("x")}, {"x": ranks}, {"x": 1000}, gather_rows=5)
     for r in ranks:
         v = ordered[r - 1]
