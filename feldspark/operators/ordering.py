@@ -312,7 +312,7 @@ def rank_within(
     chunk_rows: int = CHUNK_ROWS,
     sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its group, in the order of ``order``.
+    """1-based position of each row in its group, in the order of ``order`` (its last column unique).
 
     A light job (unless ``sizes`` are given) measures the largest group. If one task can
     sort it, this is a plain window. Otherwise the rows are parted into ordered chunks: positions are taken

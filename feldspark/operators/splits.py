@@ -54,7 +54,16 @@ def cut_tokens(
     the rows of those bins are ranked. A stratum of any size is spread over its bins.
     """
     total = hashed.count()
-    digits = max(1, math.ceil(math.log(max(total, 1) / bin_rows, 16))) if total > bin_rows else 1  # 16 bins per digit
+    if total <= bin_rows:  # one task may rank all of it
+        group = Window.partitionBy(*strata)
+        ranked = hashed.groupBy(*strata, "_token").agg(F.count(F.lit(1)).alias("_n")).select(
+            *strata, "_token",
+            F.sum("_n").over(group.orderBy("_token").rowsBetween(Window.unboundedPreceding, 0)).alias("_r"),
+            F.sum("_n").over(group).alias("_total"),
+        )
+        first, second = _cut_ranks(train, validation)
+        return _tokens_at(ranked.withColumn("_k1", first).withColumn("_k2", second), strata)
+    digits = max(1, math.ceil(math.log(total / bin_rows, 16)))  # 16 bins per digit
     binned = hashed.withColumn("_bin", F.substring("_token", 1, digits))
     counted = binned.groupBy(*strata, "_bin").agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*strata).orderBy("_bin")
@@ -63,8 +72,7 @@ def cut_tokens(
         F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
         F.sum("_n").over(Window.partitionBy(*strata)).alias("_total"),
     )
-    first = F.floor(F.col("_total") * F.lit(float(train)))
-    second = first + F.floor(F.col("_total") * F.lit(float(validation)))
+    first, second = _cut_ranks(train, validation)
     wanted = running.select(
         "*", F.explode(F.array(F.struct(F.lit(1).alias("cut"), first.alias("rank")),
                                F.struct(F.lit(2).alias("cut"), second.alias("rank")))).alias("_c")
@@ -74,13 +82,24 @@ def cut_tokens(
         F.max(F.when(F.col("_c.cut") == 2, F.col("_c.rank") - F.col("_upto") + F.col("_n"))).alias("_k2"),
     )
     inside = join_lookup(binned, wanted, [*strata, "_bin"], "inner")
-    placed = inside.withColumn(
-        "_r", F.row_number().over(Window.partitionBy(*strata, "_bin").orderBy("_token"))
-    )
-    return placed.groupBy(*strata).agg(
-        F.coalesce(F.max(F.when(F.col("_r") == F.col("_k1"), F.col("_token"))), F.lit("")).alias("_first"),
-        F.coalesce(F.max(F.when(F.col("_r") == F.col("_k2"), F.col("_token"))), F.lit("")).alias("_second"),
-    )
+    # counted per token first: a key that holds many rows is one row here
+    tokens = inside.groupBy(*strata, "_bin", "_k1", "_k2", "_token").agg(F.count(F.lit(1)).alias("_n"))
+    along = Window.partitionBy(*strata, "_bin").orderBy("_token").rowsBetween(Window.unboundedPreceding, 0)
+    return _tokens_at(tokens.withColumn("_r", F.sum("_n").over(along)), strata)
+
+
+def _cut_ranks(train: float, validation: float) -> tuple[Column, Column]:
+    first = F.floor(F.col("_total") * F.lit(float(train)))
+    return first, first + F.floor(F.col("_total") * F.lit(float(validation)))
+
+
+def _tokens_at(placed: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """The first tokens whose running count reaches ``_k1`` and ``_k2``; empty where a rank is 0."""
+
+    def reached(k: str) -> Column:
+        return F.coalesce(F.min(F.when((F.col(k) > 0) & (F.col("_r") >= F.col(k)), F.col("_token"))), F.lit(""))
+
+    return placed.groupBy(*strata).agg(reached("_k1").alias("_first"), reached("_k2").alias("_second"))
 
 
 def stratified_split(
@@ -89,7 +108,7 @@ def stratified_split(
 ) -> DataFrame:
     """Exact shares inside each stratum, in hash order of ``key`` (a unique column).
 
-    Rows that share a key stay in one split.
+    Rows that share a key in a stratum stay in one split, the one its first row reaches.
     """
     # NULL is a stratum of its own; the join needs a value for it
     marked = df.withColumn("_token", token(seed, F.col(key))).withColumn("_stratum", F.struct(

@@ -100,3 +100,24 @@ def test_time_split_of_time_types(spark, kind):
     low = (False, 0)
     ranked = _expected(list(got), lambda k: (low if got[k][0] is None else (True, got[k][0]), k))
     assert {k: s for k, (_, s) in got.items()} == ranked
+
+
+@pytest.mark.parametrize("bin_rows", [4, 1_000_000])
+def test_stratified_with_a_hot_key(spark, bin_rows):
+    df = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id % 2 AS s")
+    rows = S.stratified_split(df, "k", "s", bin_rows=bin_rows).collect()
+    assert len(rows) == 300
+    want = {}
+    for s in (0, 1):
+        keys = sorted((r.k for r in rows if r.s == s), key=lambda k: _h(42, k))
+        a = int(len(keys) * 0.7)
+        b = a + int(len(keys) * 0.15)
+        one, two = _h(42, keys[a - 1]), _h(42, keys[b - 1])
+        want |= {(s, k): "train" if _h(42, k) <= one else "validation" if _h(42, k) <= two else "test" for k in keys}
+    assert {(r.s, r.k): r.split for r in rows} == want
+
+
+def test_empty_shares(spark):
+    df = spark.range(40).withColumn("g", F.lit("a"))
+    rows = S.stratified_split(df, "id", "g", train=0.0, validation=0.0).collect()
+    assert {r.split for r in rows} == {"test"}
