@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ def interaction(a: Column, b: Column) -> Column:
 
 
 def polynomial(x: Column, degree: float = 2) -> Column:
+    """``x`` to the power ``degree``; small whole powers are products, far cheaper than ``pow``."""
+    if degree in (1, 2, 3, 4):
+        return reduce(mul, [x] * int(degree))
     return F.pow(x, F.lit(float(degree)))
 
 

@@ -34,38 +34,55 @@ def alert_stream(metrics: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 class SpikeDetector:
     """Loss spikes per context over micro-batches.
 
-    Between batches only the last ``window - 1`` losses of each context are kept, in a
-    table per batch id. Each batch runs the batch operator over these rows and its own,
-    so a hot context is cut into blocks here too. A replayed batch reads the same
-    earlier state and writes the same rows again. Rows must not arrive in a later batch
-    than rows that follow them in time.
+    Between batches only the last ``window - 1`` losses of each context are kept. Each
+    batch writes them for the contexts it has seen, and every ``compact`` batches for
+    all; earlier state is read for the contexts of the batch only. A batch runs the
+    batch operator over kept and new rows, so a hot context is cut into blocks here
+    too. A replayed batch reads the same earlier state and writes the same rows again.
+    Rows must not arrive in a later batch than rows that follow them in time.
     """
 
-    def __init__(self, path: str, context: str = "context", window: int = 10, factor: float = SPIKE_FACTOR):
-        self.path, self.context, self.window, self.factor = path, context, window, factor
+    def __init__(
+        self, path: str, context: str = "context", window: int = 10, factor: float = SPIKE_FACTOR, compact: int = 20
+    ):
+        self.path, self.context, self.window, self.factor, self.compact = path, context, window, factor, compact
 
     def _state(self, batch: int) -> str:
         return f"{self.path}/state/batch={batch}"
 
+    def _tail(self, rows: DataFrame) -> DataFrame:
+        newest = Window.partitionBy(self.context).orderBy(F.desc("ts"), F.desc("seq"))
+        # the limit on the rank is applied before the shuffle, so a hot context shrinks first
+        return rows.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") < self.window).drop("_r")
+
+    def _kept(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
+        """The newest losses of every context before this batch."""
+        first = (batch_id - 1) // self.compact * self.compact
+        paths = [self._state(b) for b in range(first, batch_id)]
+        rows = spark.read.schema(schema).parquet(*paths)
+        return self._tail(rows.dropDuplicates([self.context, "seq"]))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("seq", self.context, "ts", number(batch, "value").alias("value")).withColumn(
-            "_new", F.lit(True)
-        )
+        new = batch.select("seq", self.context, "ts", number(batch, "value").alias("value"))
+        new = materialize(new, "batch")  # read several times below
+        rows = new
         if batch_id > 0:
-            kept = spark.read.schema(rows.schema).parquet(self._state(batch_id - 1))
-            rows = rows.unionByName(kept.withColumn("_new", F.lit(False)))
-        rows = materialize(rows, "batch")  # read several times below
-        spikes = loss_spikes(rows, self.context, self.window, self.factor)
-        fresh = rows.filter("_new").select("seq")
-        found = spikes.join(fresh, "seq", "left_semi") if batch_id > 0 else spikes
+            kept = self._kept(spark, batch_id, new.schema)
+            seen = new.select(F.col(self.context).alias("_seen")).distinct()
+            mine = kept.join(seen, F.col(self.context).eqNullSafe(F.col("_seen")), "left_semi")
+            rows = materialize(new.unionByName(mine), "batch")
+        found = loss_spikes(rows, self.context, self.window, self.factor)
+        if batch_id > 0:
+            found = found.join(new.select("seq"), "seq", "left_semi")
         found.write.mode("overwrite").parquet(f"{self.path}/spikes/batch={batch_id}")
-        newest = Window.partitionBy(self.context).orderBy(F.desc("ts"), F.desc("seq"))
-        # the limit on the rank is applied before the shuffle, so a hot context shrinks first
-        tail = rows.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") < self.window).drop("_r")
-        tail.write.mode("overwrite").parquet(self._state(batch_id))
-        if batch_id > 1:  # a replay needs the state before this batch, not older ones
-            remove_path(spark, self._state(batch_id - 2))
+        full = batch_id > 0 and batch_id % self.compact == 0
+        state = new.unionByName(kept) if full else rows
+        self._tail(state).write.mode("overwrite").parquet(self._state(batch_id))
+        if batch_id % self.compact == 1 % self.compact and batch_id > self.compact:
+            # the batch before was a full one, so a replay of this batch needs nothing older
+            for old in range(max(batch_id - 1 - self.compact, 0), batch_id - 1):
+                remove_path(spark, self._state(old))
 
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/spikes").drop("batch")

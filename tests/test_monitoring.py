@@ -180,12 +180,13 @@ def _stream(spark, folder, df, parts):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/p*")
 
 
-def test_stream_spikes_over_several_batches(spark, tmp_path):
+@pytest.mark.parametrize("compact", [1, 2, 20])
+def test_stream_spikes_over_several_batches(spark, tmp_path, compact):
     rng = random.Random(6)
     values = [rng.expovariate(1) for _ in range(120)]
-    contexts = [rng.choice("aab") for _ in values]
+    contexts = ["rare" if i % 37 == 0 else None if i % 3 == 0 else rng.choice("aab") for i in range(120)]
     df = _metrics(spark, values, contexts)
-    got = {r.seq for r in N.run_spikes(_stream(spark, tmp_path, df, 4)).collect()}
+    got = {r.seq for r in N.run_spikes(_stream(spark, tmp_path, df, 5), compact=compact).collect()}
     assert got == _spikes(values, contexts, range(120)) and got
 
 
@@ -198,6 +199,16 @@ def test_replayed_batch_writes_the_same(spark, tmp_path):
     assert sorted(r.seq for r in detector.results(spark).collect()) == [2, 4]
 
 
+def test_old_state_is_removed(spark, tmp_path):
+    df = _metrics(spark, [1.0] * 6)
+    detector = N.SpikeDetector(str(tmp_path / "d"), compact=2)
+    for i in range(6):
+        detector(df.filter(f"seq = {i}"), i)
+    left = sorted(int(p.name.split("=")[1]) for p in (tmp_path / "d" / "state").iterdir())
+    assert left == [4, 5]
+    assert detector._kept(spark, 6, df.select("seq", "context", "ts", "value").schema).count() == 6
+
+
 def test_stream_summary_and_alerts(spark, tmp_path):
     df = _metrics(spark, [float(i) for i in range(120)], names=["system.cpu.percent", "x"], seconds=[i * 60 for i in range(120)])
     stream = _stream(spark, tmp_path, df, 3)
