@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BATCH_BYTES = 4 << 20  # texts are taken in batches of about this size; a longer text is its own batch
+BATCH_BYTES = 2 << 20  # texts are taken in batches of about this size; a longer text is its own batch
 SPACE = np.ones(256, bool)  # bytes of words that end at ASCII white space
 SPACE[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, bool)  # digits, lower-case letters and every byte of a non-ASCII character

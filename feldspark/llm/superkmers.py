@@ -30,7 +30,7 @@ from feldspark.llm.frames import map_batches, parts_for
 
 BUCKET_BYTES = 12 << 20  # packed bytes that one group of the second stage should hold
 HEAVY = 3  # a bucket is parted further beyond so many times its share
-CHUNK_BYTES = 24 << 20  # texts of a task that are packed together
+CHUNK_BYTES = 12 << 20  # texts of a task that are packed together
 _LOW = np.uint64((1 << 28) - 1)  # position part of a minimiser key
 BLOB = "bucket long, kind int, blob binary"
 SPANS = "did long, s int, e int"
