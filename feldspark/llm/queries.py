@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feldspark.llm import substring_dedup, suffix_dedup
+from feldspark.llm import decontaminate, line_frequency, minhash_tensor, substring_dedup, suffix_dedup
 from feldspark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,20 @@ def op2_substring_dedup(spark, sf):
 @query
 def op9_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(documents(spark, sf)).drop("kept")
+
+
+@query
+def op1_line_frequency(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text", "source")
+    return line_frequency.judge(docs).drop("removed_lines")
+
+
+@query
+def op3_decontaminate(spark, sf):
+    bench = table(spark, sf, "benchmark", "item_id", "text")
+    return decontaminate.judge(documents(spark, sf), bench).drop("items")
+
+
+@query
+def op10_minhash_tensor(spark, sf):
+    return minhash_tensor.near_components(documents(spark, sf))
