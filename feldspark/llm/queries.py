@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feldspark.llm import decontaminate, line_frequency, minhash_tensor, substring_dedup, suffix_dedup
+from feldspark.llm import bpe_tree, decontaminate, line_frequency, minhash_tensor, substring_dedup, suffix_dedup, token_orc
 from feldspark.llm.frames import table
+from feldspark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +49,16 @@ def op3_decontaminate(spark, sf):
 @query
 def op10_minhash_tensor(spark, sf):
     return minhash_tensor.near_components(documents(spark, sf))
+
+
+@query
+def op4_token_orc(spark, sf):
+    path = scratch_path(spark, "tokens")
+    token_orc.write_tokens(documents(spark, sf), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_orc.checksums(token_orc.read_tokens(spark, path))
+
+
+@query
+def op5_bpe_tree(spark, sf):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe_tree.digests(bpe_tree.encode(documents(spark, sf), ranks, pattern), ranks, pattern)
