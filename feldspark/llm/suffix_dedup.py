@@ -28,37 +28,52 @@ from feldspark.llm.frames import id_and_text, map_batches, real_id, text_bytes
 from feldspark.llm.superkmers import Units, exchange, union_spans, with_spans
 
 WINDOW = 100
-GRAM = 16
+GRAM = 12
 Q = 8
 
 
 def refine(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Bucket identifiers, at depth ``size``, of the suffixes at ``at``; equal exactly for equal strings.
 
-    ``data`` needs ``size`` bytes after each of ``at``.
+    A bucket's identifier is where its suffixes begin in sorted order, so parts of a bucket get
+    identifiers from its own range. ``data`` needs ``size`` bytes after each of ``at``.
     """
     n = len(data)
     tail = np.concatenate([data, np.zeros(Q, np.uint8)])
-    word = np.lib.stride_tricks.sliding_window_view(tail, Q)[:n].copy().view(">u8").ravel()
-    bucket = np.unique(word, return_inverse=True)[1].astype(np.int64)
+    word = np.zeros(n, np.uint64)
     depth = min(Q, size)
-    if size < Q:
-        bucket = np.unique(word >> np.uint64(8 * (Q - size)), return_inverse=True)[1].astype(np.int64)
-    while depth < size:
+    for k in range(depth):
+        word = (word << np.uint64(8)) | tail[k : n + k]
+    # the first pass needs no order of its own: every suffix is in play
+    order = np.argsort(word)
+    bucket = np.empty(n + 1, np.int64)
+    bucket[n] = -1  # past the end
+    play = _part(bucket, order, word[order], np.zeros(n, np.int64))
+    while depth < size and len(play):
         step = min(depth, size - depth)
-        count = np.bincount(bucket)
-        many = np.flatnonzero(count[bucket] > 1)
-        later = np.where(many + step < n, many + step, n - 1)
-        # a finer identifier for each suffix that is not alone; the others keep theirs
-        pair = bucket[many] * np.int64(len(count) + 1) + np.where(many + step < n, bucket[later] + 1, 0)
-        finer = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        fresh = bucket.copy()
-        fresh[many] = finer + len(count)
-        bucket = np.unique(fresh, return_inverse=True)[1].astype(np.int64)
+        pair = bucket[play] * np.int64(n + 1) + bucket[np.minimum(play + step, n)] + 1
+        order = np.argsort(pair)
+        play = play[order]
+        play = _part(bucket, play, pair[order], bucket[play])
         depth += step
     return bucket[at]
 
 
+def _part(bucket: np.ndarray, play: np.ndarray, keys: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """Give the sorted suffixes in ``play`` their finer buckets; those that are not alone stay in play."""
+    n = len(play)
+    if not n:
+        return play
+    new = np.append(True, keys[1:] != keys[:-1])
+    whole = np.append(True, old[1:] != old[:-1])
+    head, first = np.flatnonzero(new), np.flatnonzero(whole)
+    base = first[np.cumsum(whole)[head] - 1]
+    size = np.diff(np.append(head, n))
+    finer = old[head] + head - base
+    bucket[play] = np.repeat(finer, size)
+    return play[np.repeat(size > 1, size)]
+
+
 def later_windows(texts: list[bytes], did, start, windows, size: int) -> np.ndarray:
     """For every window of the strings (given in order of place), whether its bytes start at an earlier place too."""
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -67,7 +82,7 @@ def later_windows(texts: list[bytes], did, start, windows, size: int) -> np.ndar
     at = np.repeat(np.cumsum(windows + size - 1) - (windows + size - 1), windows) + offset
     bucket = refine(data, at, size)
     doc, place = np.asarray(did)[owner], np.asarray(start)[owner] + offset
-    order = np.lexsort((place, doc, bucket))
+    order = np.argsort(bucket, kind="stable")  # windows come in order of place
     head = np.append(True, bucket[order[1:]] != bucket[order[:-1]])
     first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
     out = np.zeros(len(owner), bool)

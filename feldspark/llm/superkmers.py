@@ -31,6 +31,7 @@ from feldspark.llm.frames import map_batches, parts_for
 BUCKET_BYTES = 12 << 20  # packed bytes that one group of the second stage should hold
 HEAVY = 3  # a bucket is parted further beyond so many times its share
 CHUNK_BYTES = 12 << 20  # texts of a task that are packed together
+LEVEL = 3  # of zstd
 _LOW = np.uint64((1 << 28) - 1)  # position part of a minimiser key
 BLOB = "bucket long, kind int, blob binary"
 SPANS = "did long, s int, e int"
@@ -112,8 +113,8 @@ def find_runs(dids: np.ndarray, texts: list[bytes], units: Units, buckets: int,
     return Runs(text, dids[owner], start - first[owner], windows, low, high, route[start], value[start])
 
 
-def measure(docs: DataFrame, units: Units, buckets: int) -> dict[int, int]:
-    """How many parts each heavy bucket needs, from the packed bytes of all texts."""
+def measure(docs: DataFrame, units: Units, buckets: int, share: float) -> dict[int, int]:
+    """How many parts each bucket needs that holds far more than its ``share`` of the packed bytes of all texts."""
 
     def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
@@ -126,34 +127,39 @@ def measure(docs: DataFrame, units: Units, buckets: int) -> dict[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "size"])
 
     sizes = map_batches(docs, weigh, "bucket long, size long").groupBy("bucket").agg(F.sum("size").alias("size"))
-    whole = sizes.agg(F.sum("size")).first()[0] or 0
-    target = max(BUCKET_BYTES, whole / buckets)
+    target = max(BUCKET_BYTES, share)
     # at most buckets / HEAVY rows come back
     heavy = sizes.where(F.col("size") > HEAVY * target).collect()
     return {r["bucket"]: int(r["size"] // target) + 1 for r in heavy}
 
 
 def _pack(runs: Runs, rows: np.ndarray) -> bytes:
+    """Runs as one compressed string: what differs little from row to row as differences, then the texts."""
     low, high = runs.low[rows], runs.high[rows]
     text = b"".join([runs.text[a:b] for a, b in zip(low.tolist(), high.tolist())])
+    did = runs.did[rows].astype(np.int64)
     head = [
-        np.array([len(rows)], np.int64), runs.did[rows].astype(np.int64), runs.start[rows].astype(np.int64),
-        (high - low).astype(np.int64), runs.value[rows].astype(np.uint64), runs.windows[rows].astype(np.int32),
+        np.array([len(rows), did[0]], np.int64), np.diff(did), runs.start[rows].astype(np.int64), (high - low).astype(np.int64),
+        runs.windows[rows].astype(np.int32), (runs.value[rows] >> np.uint64(32)).astype(np.uint32),
     ]
-    return zstandard.compress(b"".join(x.tobytes() for x in head) + text, 3)
+    # bytes of equal weight stand together
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T) for x in head[1:]]
+    return zstandard.compress(b"".join(x.tobytes() for x in [head[0], *planes]) + text, LEVEL)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """did, start, bytes of text, short minimiser, windows, and the texts in a row."""
     data = zstandard.decompress(blob)
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    if n < 0:
-        return None
-    at = 8
+    n, first = np.frombuffer(data, np.int64, 2).tolist()
+    at = 16
     out = []
-    for kind in (np.int64, np.int64, np.int64, np.uint64, np.int32):
-        out.append(np.frombuffer(data, kind, n, at))
-        at += out[-1].nbytes
-    return (*out, data[at:])
+    for kind, many in ((np.int64, n - 1), (np.int64, n), (np.int64, n), (np.int32, n), (np.uint32, n)):
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, many * wide, at).reshape(wide, many)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += many * wide
+    step, start, size, windows, value = out
+    return np.cumsum(np.append(first, step)), start, size, value, windows, data[at:]
 
 
 def same_text(texts: list[bytes], value: np.ndarray, did: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +189,7 @@ def exchange(docs: DataFrame, units: Units, every_place: bool, reduce: Callable,
     """
     spark = docs.sparkSession
     buckets = parts_for(spark, size * packed_per_byte, BUCKET_BYTES)
-    split = measure(docs, units, buckets)
+    split = measure(docs, units, buckets, size * packed_per_byte / buckets)
     routes = buckets * max([1, *split.values()])
 
     def pack(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
