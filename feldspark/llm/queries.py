@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feldspark.llm import bpe_tree, decontaminate, line_frequency, minhash_tensor, substring_dedup, suffix_dedup, token_orc
+from feldspark.llm import (
+    bpe_tree, decontaminate, line_frequency, minhash_tensor, pu_quality, substring_dedup, suffix_dedup, token_orc, toxicity_knn, warc_chunks,
+)
 from feldspark.llm.frames import table
 from feldspark.session import scratch_path
 
@@ -62,3 +64,20 @@ def op4_token_orc(spark, sf):
 def op5_bpe_tree(spark, sf):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe_tree.digests(bpe_tree.encode(documents(spark, sf), ranks, pattern), ranks, pattern)
+
+
+@query
+def op6_pu_quality(spark, sf):
+    return pu_quality.score(documents(spark, sf), table(spark, sf, "labels", "doc_id", "quality"))
+
+
+@query
+def op7_toxicity_knn(spark, sf):
+    return toxicity_knn.score(documents(spark, sf), table(spark, sf, "labels", "doc_id", "toxic")).drop("neighbours", "cosines")
+
+
+@query
+def op8_warc_chunks(spark, sf):
+    path = scratch_path(spark, "archives")
+    warc_chunks.write_archives(warc_chunks.chunk_table(warc_chunks.classify(table(spark, sf, "pages", "page_id", "url", "html"))), path)
+    return warc_chunks.payload_index(warc_chunks.read_archives(spark, path))
