@@ -185,58 +185,78 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes
     return out.select(real_id().alias("doc_id"), "doc_word", "item_id", "item_word", "length")
 
 
-def judge(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted ids), items_sha256, contaminated.
+def _found(state: DataFrame, bench: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """``state`` (text and more) with _n_words, _spans (hit word ranges) and _items (ids found).
 
-    Each block of the benchmark is one step of the same pass over the documents; a step hands on the
-    hit word ranges and the items found so far.
+    Each block of the benchmark is one step of the same pass; a step hands on what was found so far.
     """
+    state = state.selectExpr("*", "0L AS _n_words", "CAST(array() AS array<long>) AS _spans", "CAST(array() AS array<string>) AS _items")
 
     def step(tests: Tests):
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            known_spans = batch.column(3).to_pylist()
-            known_items = batch.column(4).to_pylist()
-            for row, texts in arrays.batches(batch.column(1)):
+            text, known_spans, known_items = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "_spans", "_items"))
+            for row, texts in arrays.batches(text):
                 got = search(tests, texts)
                 n = got["last"] - got["first"]
-                spans: list = [list(known_spans[row + i] or ()) for i in range(len(texts))]
-                items = [set(known_items[row + i] or ()) for i in range(len(texts))]
+                spans = [list(x or ()) for x in known_spans.slice(row, len(texts)).to_pylist()]
+                items = [set(x or ()) for x in known_items.slice(row, len(texts)).to_pylist()]
                 ends = got["doc_word"] + np.minimum(got["length"], window)
                 for d, a, b in np.unique(np.stack([got["doc"], got["doc_word"], ends], axis=1), axis=0).tolist():
-                    if spans[d] and a <= spans[d][-1] and a >= spans[d][-2]:
+                    if spans[d] and spans[d][-2] <= a <= spans[d][-1]:
                         spans[d][-1] = max(b, spans[d][-1])
                     else:
                         spans[d] += [a, b]
                 for d, i in np.unique(np.stack([got["doc"], got["item"]], axis=1), axis=0).tolist():
                     items[d].add(tests.ids[i])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)), pa.array(n),
-                        pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                    ],
-                    ["did", "text", "n_words", "spans", "items"],
-                )
+                columns = dict(zip(batch.schema.names, batch.slice(row, len(texts)).columns))
+                columns["_n_words"] = pa.array(n, pa.int64())
+                columns["_spans"] = pa.array(spans, pa.list_(pa.int64()))
+                columns["_items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
         return run
 
+    for ids, texts in benchmark_blocks(bench, "item_id", "text", block_bytes):
+        state = map_batches(state, step(Tests(ids, texts, window)), state.schema)
+    return state
+
+
+def _contaminated(n_hit, n_words):
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def judge(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted ids), items_sha256, contaminated."""
+
     def digest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = batch.column(3).to_pylist()
-        n_hit = []
-        for flat in batch.column(2).to_pylist():
-            a, b = union_spans(list(zip(flat[0::2], flat[1::2])))
-            n_hit.append(int((b - a).sum()))
         sums = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists]
+        n_hit = pa.array([_hit(x) for x in batch.column(2).to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n_hit, pa.int64()), batch.column(3), pa.array(sums, pa.string())],
+            [batch.column(0), batch.column(1), n_hit, batch.column(3), pa.array(sums, pa.string())],
             ["did", "n_words", "n_hit", "items", "items_sha256"],
         )
 
-    state = id_and_text(docs).selectExpr("did", "text", "0L AS n_words", "CAST(array() AS array<long>) AS spans", "CAST(array() AS array<string>) AS items")
-    for ids, texts in benchmark_blocks(bench, "item_id", "text", block_bytes):
-        state = map_batches(state, step(Tests(ids, texts, window)), "did long, text string, n_words long, spans array<long>, items array<string>")
-    done = map_batches(
-        state.drop("text"), digest, "did long, n_words long, n_hit long, items array<string>, items_sha256 string"
-    )
+    found = _found(id_and_text(docs), bench, window, block_bytes).select("did", "_n_words", "_spans", "_items")
+    done = map_batches(found, digest, "did long, n_words long, n_hit long, items array<string>, items_sha256 string")
     return done.select(
         real_id().alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+def _hit(flat: list[int]) -> int:
+    a, b = union_spans(list(zip(flat[0::2], flat[1::2])))
+    return int((b - a).sum())
+
+
+def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` (text and more) that are not contaminated, unchanged; rows never leave their task."""
+    names = docs.columns
+
+    def clean(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            n_words, spans = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_n_words", "_spans"))
+            keep = [not (0 < (h := _hit(s)) and 20 * h >= n) for n, s in zip(n_words, spans)]
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+
+    return _found(docs, bench, window, block_bytes).mapInArrow(clean, docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +82,8 @@ def op8_warc_chunks(spark, sf):
     path = scratch_path(spark, "archives")
     warc_chunks.write_archives(warc_chunks.chunk_table(warc_chunks.classify(table(spark, sf, "pages", "page_id", "url", "html"))), path)
     return warc_chunks.payload_index(warc_chunks.read_archives(spark, path))
+
+
+@query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import id_and_text, map_batches, real_id, text_bytes
+from feldspark.llm.frames import NO_ID, id_and_text, map_batches, real_id, text_bytes
 from feldspark.llm.superkmers import Units, exchange, union_spans, with_spans
 
 WINDOW = 35
@@ -79,19 +79,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[], [], [], [], []]
         for did, packed, spans in zip(*(c.to_pylist() for c in batch.columns)):
-            text = zstandard.decompress(packed)
-            low, high = arrays.word_bounds(np.frombuffer(text + b"\n", np.uint8))
-            a, b = union_spans([(x["s"], x["e"]) for x in spans or ()])
-            kept = np.ones(len(low), bool)
-            edges = np.append(low, len(text))
-            pieces, at = [], 0
-            for s, e in zip(a.tolist(), b.tolist()):
-                kept[s:e] = False
-                pieces.append(text[at : edges[s]])
-                at = int(edges[e])
-            pieces.append(text[at:])
-            words = [text[i:j] for i, j in zip(low[kept].tolist(), high[kept].tolist())]
-            row = (did, len(low), len(low) - len(words), hashlib.sha256(b" ".join(words)).hexdigest(), b"".join(pieces))
+            text, words, n = without(zstandard.decompress(packed), spans or ())
+            row = (did, n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest(), text)
             for column, value in zip(out, row):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
@@ -101,3 +90,44 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
 
     done = map_batches(joined, cut, "did long, n_words long, n_removed long, kept_sha256 string, text binary")
     return done.select(real_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", F.col("text").cast("string").alias("text"))
+
+
+def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """All rows and columns of ``docs`` (doc_id, text and more) without the removed words; n_chars follows a changed text."""
+    pairs = id_and_text(docs)
+    spans = repeated_spans(pairs, size).groupBy("did").agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
+    joined = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(spans, F.col("_did") == F.col("did"), "left")
+    names = docs.columns
+
+    def strip(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            at = batch.schema.get_field_index("text")
+            texts = batch.column(at).to_pylist()
+            chars = batch.column(batch.schema.get_field_index("n_chars")).to_pylist() if "n_chars" in names else None
+            for i, spans in enumerate(batch.column(batch.schema.get_field_index("_spans")).to_pylist()):
+                if spans and texts[i] is not None:
+                    texts[i] = without(texts[i].encode(), spans)[0].decode("utf-8", "replace")
+                    if chars:
+                        chars[i] = len(texts[i])
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["text"] = pa.array(texts, pa.string())
+            if chars:
+                columns["n_chars"] = pa.array(chars, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+
+    return joined.select(*names, "_spans").mapInArrow(strip, docs.schema)
+
+
+def without(text: bytes, spans: list) -> tuple[bytes, list[bytes], int]:
+    """The text without the words in ``spans``, the words left, and how many there were."""
+    low, high = arrays.word_bounds(np.frombuffer(text + b"\n", np.uint8))
+    a, b = union_spans([(x["s"], x["e"]) for x in spans])
+    kept = np.ones(len(low), bool)
+    edges = np.append(low, len(text))
+    pieces, at = [], 0
+    for s, e in zip(a.tolist(), b.tolist()):
+        kept[s:e] = False
+        pieces.append(text[at : edges[s]])
+        at = int(edges[e])
+    pieces.append(text[at:])
+    return b"".join(pieces), [text[i:j] for i, j in zip(low[kept].tolist(), high[kept].tolist())], len(low)
