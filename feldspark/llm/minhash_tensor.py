@@ -11,15 +11,13 @@ Nothing is emitted per pair of a group:
 * Documents with the same shingle set are one representative from the start.
 * Half keys that stand in one document only are dropped before keys are formed, and of the
   table keys with the same members one is kept.
-* In each round every document is compared with one member of another component per table
-  (the first of the table, or the last if the first is of its own component), the most
-  promising first, judged by the share of equal minhashes. Links are confirmed on the full
-  shingle sets and components are joined at once. Rounds end when none adds a link.
+* In each of the first rounds every document is compared with one member of another component
+  (the first of a table, or the last if the first is of its own component): the one that it meets
+  in most tables. Links are confirmed on the full shingle sets and components are joined at once.
 * Tables that then still hold several components give all their pairs across components that
-  have not been compared, so no link between different texts is lost to the rounds.
-
-A pair whose 64-byte signatures agree in fewer than ``agree`` of the minhashes is not confirmed
-on sets (at 0.75 that is over four standard deviations off).
+  have not been compared, so no link between different texts is lost to the rounds. Of these, a
+  pair is left out whose set sizes exclude a link, or whose marks (four bits of each minhash)
+  differ in more than ``differ`` of the places (at 0.75 that is over four standard deviations off).
 
 Documents without words are linked with nothing. Rows that repeat a doc_id are copies of one
 document if their texts agree; rows without a doc_id share the missing id.
@@ -43,7 +41,8 @@ SHINGLE = 5
 BANDS = 14
 ROWS = 2
 NUMERATOR, DENOMINATOR = 75, 100  # similarity that links
-AGREE = 0.5
+DIFFER = 0.5  # largest share of unequal marks for which sets are compared in the last round
+ROUNDS = 2
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -71,7 +70,7 @@ def multipliers(n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """did, n (set size), f1 and f2 (a 128-bit name of the set), half keys a and b, signature."""
+    """did, n (set size), f1 and f2 (a 128-bit name of the set), half keys a and b, marks m."""
     n_hash = 2 * bands * rows
 
     def sketch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -95,18 +94,21 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 key = arrays.mix(key * np.uint64(31) + half[:, :, r])
             key = key.view(np.int64)
             flat = lambda x: pa.ListArray.from_arrays(
-                pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(np.ascontiguousarray(x).ravel())
+                pa.array(np.arange(len(sets) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).view(np.int64).ravel())
             )
-            mark = np.ascontiguousarray((least >> np.uint64(20)).astype(np.uint8))
+            longs = -(-n_hash // 16)
+            nibble = np.zeros((len(sets), longs * 16), np.uint64)
+            nibble[:, :n_hash] = (least >> np.uint64(20)) & np.uint64(15)
+            mark = (nibble.reshape(len(sets), longs, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(row, len(sets)), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                    flat(key[:, :bands]), flat(key[:, bands:]), pa.array([m.tobytes() for m in mark], pa.binary()),
+                    flat(key[:, :bands]), flat(key[:, bands:]), flat(mark),
                 ],
-                ["did", "n", "f1", "f2", "a", "b", "mark"],
+                ["did", "n", "f1", "f2", "a", "b", "m"],
             )
 
-    schema = "did long, n long, f1 long, f2 long, a array<long>, b array<long>, mark binary"
+    schema = "did long, n long, f1 long, f2 long, a array<long>, b array<long>, m array<long>"
     return map_batches(docs, sketch, schema)
 
 
@@ -149,24 +151,48 @@ def _confirm(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return materialize(map_batches(both, compare, "u long, v long, linked boolean"), "confirmed")
 
 
-def _promising(pairs: DataFrame, known: DataFrame, agree: float) -> DataFrame:
-    """(u, v, same): pairs of comparable size whose minhashes agree often enough."""
-
-    def estimate(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        u, v, mu, mv = batch.columns
-        x, y = (np.frombuffer(b"".join(m.to_pylist()), np.uint8).reshape(len(m), -1) for m in (mu, mv))
-        same = (x == y).sum(axis=1)
-        keep = pa.array(same >= agree * x.shape[1])
-        yield pa.RecordBatch.from_arrays([u, v, pa.array(same)], ["u", "v", "same"]).filter(keep)
-
-    left = known.select(F.col("did").alias("u"), F.col("n").alias("nu"), F.col("mark").alias("mu"))
-    right = known.select(F.col("did").alias("v"), F.col("n").alias("nv"), F.col("mark").alias("mv"))
-    near = f"{DENOMINATOR} * least(nu, nv) >= {NUMERATOR} * greatest(nu, nv)"
-    both = pairs.join(left, "u").join(right, "v").where(near).select("u", "v", "mu", "mv")
-    return map_batches(both, estimate, "u long, v long, same long")
+def _mismatches(n_hash: int):
+    """How many of the four-bit marks of two rows differ."""
+    out = F.lit(0)
+    for k in range(-(-n_hash // 16)):
+        x = F.col("m")[k].bitwiseXOR(F.col("mx")[k])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        out = out + F.bit_count(x)
+    return out
 
 
-def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, agree: float = AGREE,
+def _partners(held: DataFrame, tried: DataFrame | None, alone: bool) -> DataFrame:
+    """(u, v): for each document the member of another component that it meets in most tables as their first or last."""
+    if alone:
+        ends = held.groupBy("key").agg(F.min(F.struct("did", "comp")).alias("p"), F.max(F.struct("did", "comp")).alias("q"))
+    else:
+        ends = held.groupBy("key", "comp").agg(F.min("did").alias("did")).groupBy("key").agg(
+            F.min(F.struct("did", "comp")).alias("p"), F.max(F.struct("did", "comp")).alias("q")
+        ).where("p.comp <> q.comp")
+    other = F.when(F.col("p.comp") != F.col("comp"), F.col("p.did")).otherwise(F.col("q.did"))
+    met = held.join(ends, "key").select("did", other.alias("o")).groupBy("did", "o").agg(F.count("*").alias("c"))
+    met = met.select("did", "o", "c", F.greatest("did", "o").alias("u"), F.least("did", "o").alias("v"))
+    if tried is not None:
+        met = met.join(tried.select("u", "v"), ["u", "v"], "left_anti")
+    best = met.groupBy("did").agg(F.max(F.struct("c", F.col("v") * -1, "u", "v")).alias("top"))
+    return best.select("top.u", "top.v").distinct()
+
+
+def _across(held: DataFrame, tried: DataFrame | None, known: DataFrame, differ: float, n_hash: int) -> DataFrame:
+    """(u, v): the pairs of a table across components that have not been compared and look alike by size and marks."""
+    sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds")
+    ).where("kinds > 1")
+    rows = held.join(sizes, "key").join(known, "did").select("key", "did", "comp", "n", "m", F.col("top.comp").alias("top"))
+    few = rows.where("comp <> top").select("key", F.col("did").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("m").alias("mx"))
+    near = F.expr(f"comp <> cx AND {DENOMINATOR} * least(n, nx) >= {NUMERATOR} * greatest(n, nx)") & (_mismatches(n_hash) <= differ * n_hash)
+    pairs = few.withColumnRenamed("key", "kx").join(rows, (F.col("kx") == F.col("key")) & near)
+    pairs = pairs.select(F.greatest("did", "x").alias("u"), F.least("did", "x").alias("v")).distinct()
+    return pairs if tried is None else pairs.join(tried.select("u", "v"), ["u", "v"], "left_anti")
+
+
+def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, differ: float = DIFFER, rounds: int = ROUNDS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     pairs_in = id_and_text(docs, id_col, text_col)
@@ -180,7 +206,7 @@ def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, ro
     shared = halves.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     kept = halves.join(shared, "h", "left_semi").groupBy("did").agg(F.collect_set("h").alias("hs"))
     known = reps.join(kept, "did").select(
-        "did", "n", "mark", F.array_intersect("a", "hs").alias("a"), F.array_intersect("b", "hs").alias("b")
+        "did", "n", "m", F.array_intersect("a", "hs").alias("a"), F.array_intersect("b", "hs").alias("b")
     ).where("size(a) > 0 AND size(b) > 0")
     known = materialize(known, "known")
     keys = known.select("did", "b", F.explode("a").alias("x")).select("did", "x", F.explode("b").alias("y"))
@@ -200,49 +226,32 @@ def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, ro
 
     packed = map_batches(pairs_in, shrink, "did long, packed binary").join(wanted, "did", "left_semi").dropDuplicates(["did"])
     packed = materialize(packed, "packed")
-    known = known.select("did", "n", "mark")
+    known = known.select("did", "n", "m")
 
-    comp = materialize(wanted.select("did", F.col("did").alias("comp")), "components")
+    comp = None  # at first every document is its own component
     tried = None
-    last = False
-    while True:
-        held = keys.join(comp, "did")
-        if not last:
-            ends = held.groupBy("key", "comp").agg(F.min("did").alias("d")).groupBy("key").agg(
-                F.min(F.struct("d", "comp")).alias("p"), F.max(F.struct("d", "comp")).alias("q")
-            ).where("p.comp <> q.comp")
-            other = F.when(F.col("p.comp") != F.col("comp"), F.col("p.d")).otherwise(F.col("q.d"))
-            pairs = held.join(ends, "key").select(F.col("did"), other.alias("o"))
-            pairs = pairs.select(F.greatest("did", "o").alias("u"), F.least("did", "o").alias("v"), "did").distinct()
+    for round_ in range(rounds + 1):
+        held = keys.withColumn("comp", F.col("did")) if comp is None else keys.join(comp, "did")
+        if round_ < rounds:
+            pairs = _partners(held, tried, comp is None)
         else:
-            sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
-                F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds")
-            ).where("kinds > 1")
-            few = held.join(sizes, "key").where("comp <> top.comp").select("key", F.col("did").alias("x"), F.col("comp").alias("cx"))
-            pairs = few.join(held, "key").where("comp <> cx")
-            pairs = pairs.select(F.greatest("did", "x").alias("u"), F.least("did", "x").alias("v")).distinct().withColumn("did", F.col("u"))
-        if tried is not None:
-            pairs = pairs.join(tried.select("u", "v"), ["u", "v"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        good = _promising(pairs.select("u", "v").distinct(), known, agree)
-        if not last:
-            best = pairs.join(good, ["u", "v"]).groupBy("did").agg(F.max(F.struct("same", "u", "v")).alias("top"))
-            good = best.select("top.u", "top.v").distinct()
-        done = _confirm(good, packed, size)
+            pairs = _across(held, tried, known, differ, 2 * bands * rows)
+        done = _confirm(pairs, packed, size)
         links = done.where("linked")
         tried = done if tried is None else tried.unionByName(done)
         if links.isEmpty():
-            if last:
-                break
-            last = True
+            if comp is None:
+                comp = wanted.select("did", F.col("did").alias("comp"))
             continue
-        of_u, of_v = comp.select(F.col("did").alias("u"), F.col("comp").alias("cu")), comp.select(F.col("did").alias("v"), F.col("comp").alias("cv"))
-        joined = components(links.join(of_u, "u").join(of_v, "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        comp = materialize(
-            comp.join(joined, comp["comp"] == joined["node"], "left").select("did", F.coalesce("root", "comp").alias("comp")), "components"
-        )
-        if last:
-            break
+        if comp is None:
+            joined = components(links)
+            comp = wanted.join(joined, wanted["did"] == joined["node"], "left").select("did", F.coalesce("root", "did").alias("comp"))
+        else:
+            of_u = comp.select(F.col("did").alias("u"), F.col("comp").alias("cu"))
+            of_v = comp.select(F.col("did").alias("v"), F.col("comp").alias("cv"))
+            joined = components(links.join(of_u, "u").join(of_v, "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+            comp = comp.join(joined, comp["comp"] == joined["node"], "left").select("did", F.coalesce("root", "comp").alias("comp"))
+        comp = materialize(comp, "components")
     by_set = sets.join(comp.withColumnRenamed("did", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("comp", "rep").alias("comp"))
     out = all_docs.select("did", "f1", "f2", "n").join(by_set, ["f1", "f2", "n"], "left").withColumn("comp", F.coalesce("comp", "did"))
     return out.select(
