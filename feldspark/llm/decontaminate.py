@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import id_and_text, map_batches, real_id
+from feldspark.llm.frames import fresh, id_and_text, map_batches, real_id
 from feldspark.llm.superkmers import union_spans
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
+STATE = ("n_words_", "spans_", "items_")
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,15 +187,18 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes
 
 
 def _found(state: DataFrame, bench: DataFrame, window: int, block_bytes: int) -> DataFrame:
-    """``state`` (text and more) with _n_words, _spans (hit word ranges) and _items (ids found).
+    """``state`` (text and more) with three more columns: words, hit word ranges and ids found.
 
     Each block of the benchmark is one step of the same pass; a step hands on what was found so far.
     """
-    state = state.selectExpr("*", "0L AS _n_words", "CAST(array() AS array<long>) AS _spans", "CAST(array() AS array<string>) AS _items")
+    n_words, found_spans, found_items = (fresh(state, c) for c in STATE)
+    state = state.selectExpr(
+        "*", f"0L AS {n_words}", f"CAST(array() AS array<long>) AS {found_spans}", f"CAST(array() AS array<string>) AS {found_items}"
+    )
 
     def step(tests: Tests):
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            text, known_spans, known_items = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "_spans", "_items"))
+            text, known_spans, known_items = (batch.column(batch.schema.get_field_index(c)) for c in ("text", found_spans, found_items))
             for row, texts in arrays.batches(text):
                 got = search(tests, texts)
                 n = got["last"] - got["first"]
@@ -209,9 +213,9 @@ def _found(state: DataFrame, bench: DataFrame, window: int, block_bytes: int) ->
                 for d, i in np.unique(np.stack([got["doc"], got["item"]], axis=1), axis=0).tolist():
                     items[d].add(tests.ids[i])
                 columns = dict(zip(batch.schema.names, batch.slice(row, len(texts)).columns))
-                columns["_n_words"] = pa.array(n, pa.int64())
-                columns["_spans"] = pa.array(spans, pa.list_(pa.int64()))
-                columns["_items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+                columns[n_words] = pa.array(n, pa.int64())
+                columns[found_spans] = pa.array(spans, pa.list_(pa.int64()))
+                columns[found_items] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
         return run
 
@@ -236,7 +240,7 @@ def judge(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes:
             ["did", "n_words", "n_hit", "items", "items_sha256"],
         )
 
-    found = _found(id_and_text(docs), bench, window, block_bytes).select("did", "_n_words", "_spans", "_items")
+    found = _found(id_and_text(docs), bench, window, block_bytes).select("did", *STATE)
     done = map_batches(found, digest, "did long, n_words long, n_hit long, items array<string>, items_sha256 string")
     return done.select(
         real_id().alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256",
@@ -252,10 +256,11 @@ def _hit(flat: list[int]) -> int:
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` (text and more) that are not contaminated, unchanged; rows never leave their task."""
     names = docs.columns
+    state = [fresh(docs, c) for c in STATE[:2]]
 
     def clean(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            n_words, spans = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_n_words", "_spans"))
+            n_words, spans = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in state)
             keep = [not (0 < (h := _hit(s)) and 20 * h >= n) for n, s in zip(n_words, spans)]
             yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 

@@ -48,3 +48,11 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 def parts_for(spark: SparkSession, size: float, target: float) -> int:
     """Pieces of about ``target`` bytes, and at least one per shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / target), 1)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has it already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import NO_ID, real_id
+from feldspark.llm.frames import NO_ID, fresh, real_id
 from feldspark.session import materialize
 
 MIN_DOCS = 20
@@ -138,18 +138,22 @@ def strip_lines(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
         for batch in source:
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
-            for i, gone in enumerate(batch.column(batch.schema.get_field_index("removed_lines")).to_pylist()):
+            for i, gone in enumerate(batch.column(batch.schema.get_field_index(removed)).to_pylist()):
                 if gone and texts[i] is not None:
                     gone = set(gone)
                     lines = texts[i].split("\n")
                     texts[i] = "\n".join(x for x, h in zip(lines, line_hashes(lines)) if h not in gone)
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).select(names)
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["text"] = pa.array(texts, pa.string())
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
     names = docs.columns
-    some = verdicts.where("kept").select(F.col("doc_id").alias("judged_id"), "removed_lines").dropDuplicates(["judged_id"])
-    return docs.join(some, docs["doc_id"].eqNullSafe(some["judged_id"])).drop("judged_id").mapInArrow(strip, docs.schema).withColumn("n_chars", F.length("text").cast("long"))
+    judged, removed = fresh(docs, "judged_id"), fresh(docs, "removed_lines")
+    some = verdicts.where("kept").select(F.col("doc_id").alias(judged), F.col("removed_lines").alias(removed)).dropDuplicates([judged])
+    joined = docs.join(some, F.col("doc_id").eqNullSafe(F.col(judged))).select(*(f"`{c}`" for c in names), removed)
+    return joined.mapInArrow(strip, docs.schema)
 
 
 def line_hashes(lines: list[str]) -> list[int | None]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import NO_ID, id_and_text, map_batches, real_id, text_bytes
+from feldspark.llm.frames import NO_ID, fresh, id_and_text, map_batches, real_id, text_bytes
 from feldspark.llm.superkmers import Units, exchange, union_spans, with_spans
 
 WINDOW = 35
@@ -94,17 +94,17 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
 
 def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text and more) without the removed words; n_chars follows a changed text."""
-    pairs = id_and_text(docs)
-    spans = repeated_spans(pairs, size).groupBy("did").agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
-    joined = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(spans, F.col("_did") == F.col("did"), "left")
-    names = docs.columns
+    names, pairs = docs.columns, id_and_text(docs)
+    own, other, found = (fresh(docs, c) for c in ("own_id", "span_id", "spans"))
+    spans = repeated_spans(pairs, size).groupBy(F.col("did").alias(other)).agg(F.collect_list(F.struct("s", "e")).alias(found))
+    joined = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(spans, F.col(own) == F.col(other), "left")
 
     def strip(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
             chars = batch.column(batch.schema.get_field_index("n_chars")).to_pylist() if "n_chars" in names else None
-            for i, spans in enumerate(batch.column(batch.schema.get_field_index("_spans")).to_pylist()):
+            for i, spans in enumerate(batch.column(batch.schema.get_field_index(found)).to_pylist()):
                 if spans and texts[i] is not None:
                     texts[i] = without(texts[i].encode(), spans)[0].decode("utf-8", "replace")
                     if chars:
@@ -115,7 +115,7 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
                 columns["n_chars"] = pa.array(chars, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
-    return joined.select(*names, "_spans").mapInArrow(strip, docs.schema)
+    return joined.select(*(f"`{c}`" for c in names), found).mapInArrow(strip, docs.schema)
 
 
 def without(text: bytes, spans: list) -> tuple[bytes, list[bytes], int]:
