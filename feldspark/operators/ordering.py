@@ -23,7 +23,6 @@ from feldspark.session import materialize
 GATHER_ROWS = 50_000  # a search interval this small is sorted inside one aggregate
 SKETCH_ACCURACY = 10_000
 CHUNK_ROWS = 2_000_000  # rows of one group that one task may sort
-MAX_CHUNKS = 10_000
 SAMPLE_PER_CHUNK = 1_000
 BROADCAST_ROWS = 500_000
 
@@ -282,7 +281,7 @@ def cut_points(df: DataFrame, columns: dict[str, Column], n: int, chunks: int) -
     share = SAMPLE_PER_CHUNK * chunks / max(n, 1)
     rows = df.select(*[x.cast("double").alias(name) for name, x in columns.items()])
     if share < 0.5:
-        rows = rows.filter(F.rand() < F.lit(share))
+        rows = rows.filter(F.rand(17) < F.lit(share))
     accuracy = max(SKETCH_ACCURACY, 10 * chunks)
     row = rows.agg(*[F.percentile_approx(f"`{name}`", steps, accuracy) for name in columns]).first()
     return {name: cuts or [] for name, cuts in zip(columns, row, strict=True)}
@@ -304,6 +303,20 @@ def group_sizes(df: DataFrame, groups: Sequence[str]) -> tuple[int, int]:
     return largest or 0, total or 0
 
 
+def _present(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL."""
+    c = F.col(f"`{name}`")
+    return F.when(~F.isnan(c), c) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else c
+
+
+def _lead_number(df: DataFrame, name: str) -> Column:
+    """A number that never falls as the column rises: that of ``order_number``, or the first six bytes of a string."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.col(f"`{name}`").cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("long")
+    return order_number(df, name)
+
+
 def rank_within(
     df: DataFrame,
     groups: Sequence[str],
@@ -314,24 +327,24 @@ def rank_within(
 ) -> DataFrame:
     """1-based position of each row in its group, in the order of ``order`` (its last column unique).
 
-    A light job (unless ``sizes`` are given) measures the largest group. If one task can
+    NULL and NaN come first and are ties; then numbers, times or strings ascend. A light job (unless ``sizes`` are given) measures the largest group. If one task can
     sort it, this is a plain window. Otherwise the rows are parted into ordered chunks: positions are taken
     inside (group, chunk) and shifted by the sizes of the chunks before, so a group of
     any size is spread over many tasks.
     """
-    order_by = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    order_by = [_present(df, c).asc_nulls_first() for c in order]
     largest, total = sizes or group_sizes(df, groups)
     if largest <= chunk_rows:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by)))
 
-    lead = order_number(df, order[0])
-    chunks = min(math.ceil(total / chunk_rows), MAX_CHUNKS)
+    lead = _lead_number(df, order[0])
+    chunks = math.ceil(total / chunk_rows)
     cuts = cut_points(df, {"lead": lead}, total, chunks)["lead"]
     staged = df.withColumn("_lead", lead.cast("double"))
     staged = with_bucket(staged, "_lead", cuts, "_chunk").withColumn("_part", F.lit(0))
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     if heavy and len(order) > 1:
-        staged = _part_heavy(staged, heavy, order_number(df, order[1]), chunk_rows)
+        staged = _part_heavy(staged, heavy, _lead_number(df, order[1]), chunk_rows)
 
     keys = [*groups, "_chunk", "_part"]
     by_group = Window.partitionBy(*groups).orderBy("_chunk", "_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -359,7 +372,7 @@ def _part_heavy(staged: DataFrame, heavy: list[float], second: Column, chunk_row
     )  # at most one row per chunk
     parts = F.ceil(F.col("_rows") / F.lit(chunk_rows))
     share = F.coalesce(F.try_divide(y - F.col("_from"), F.col("_to") - F.col("_from")), F.lit(0.0))
-    part = F.when(F.col("_heavy").isNull(), F.lit(MAX_CHUNKS * MAX_CHUNKS)).otherwise(
+    part = F.when(F.col("_heavy").isNull(), F.lit((1 << 31) - 1)).otherwise(
         F.least(F.floor(share * parts), parts - 1).cast("int")
     )
     # an undefined place sorts first, as NULL does

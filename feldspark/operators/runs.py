@@ -60,9 +60,10 @@ def flatten_json(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """Each leaf of a JSON object as (keep..., key, value) with an ``a.b.c`` key.
 
     Lists stay JSON text. Text that is no JSON object gives one row with a NULL key.
-    The number of levels is measured first, in one pass.
+    The number of levels is measured first, in one pass over the texts that are objects.
     """
-    levels = df.agg(F.max(_depth(F.col(text)))).first()[0] or 0
+    objects = df.filter(_is_object(F.try_parse_json(F.col(text))))
+    levels = objects.agg(F.max(_depth(F.col(text)))).first()[0] or 0
     parsed = df.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("_text"), F.try_parse_json(text).alias("_v"))
 
     def members(value: Column) -> Column:
@@ -99,8 +100,9 @@ def _slim(df: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
     return df.select(run, epoch, number(df, loss).alias(loss)).filter(F.col(run).isNotNull())
 
 
-def _placed(slim: DataFrame, run: str, epoch: str, block_rows: int, sizes: tuple[int, int]) -> DataFrame:
-    placed = in_blocks(rank_within(slim, [run], [epoch], sizes=sizes), "position", block_rows)
+def _placed(slim: DataFrame, run: str, epoch: str, loss: str, block_rows: int, sizes: tuple[int, int]) -> DataFrame:
+    # by epoch, then loss, as when a run is folded in one task
+    placed = in_blocks(rank_within(slim, [run], [epoch, loss], sizes=sizes), "position", block_rows)
     # Several jobs follow; a written table keeps them on the same positions. Sorted files
     # let each of them skip the row groups of other blocks.
     return materialize(placed.drop("_own").sortWithinPartitions("_block"), "positions")
@@ -162,7 +164,7 @@ def early_stop(
         packed = _packed(slim, run, epoch, loss)
         states = packed.select(run, F.aggregate("_rows", initial, step).alias("_state"))
     else:
-        placed = _placed(slim, run, epoch, block_rows, sizes)
+        placed = _placed(slim, run, epoch, loss, block_rows, sizes)
         states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["stopped"].isNotNull())
     best = F.col("_state.best")
     return states.select(
@@ -210,7 +212,7 @@ def lr_schedule(
         rates = F.transform("_rows", lambda r: F.struct(
             r["epoch"].alias(epoch), rate_at(F.col("_drops"), r["position"]).alias("lr")))
         return folded.select(run, F.inline(rates))
-    placed = _placed(slim, run, epoch, block_rows, sizes)
+    placed = _placed(slim, run, epoch, loss, block_rows, sizes)
     states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["lr"] <= F.lit(float(min_lr)))
     joined = join_lookup(placed, states.select(run, F.col("_state.drops").alias("_drops")), [run])
     return joined.select(run, epoch, rate_at(F.col("_drops"), F.col("position")).alias("lr"))

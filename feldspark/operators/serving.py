@@ -21,7 +21,7 @@ def transform_records(df: DataFrame, stats: dict[str, dict[str, float]], interac
     """
     added: dict[str, Column] = {}
     for name, known in stats.items():
-        base = name.replace("_norm", "")
+        base = name.removesuffix("_norm")
         if base not in df.columns:
             continue
         x = number(df, base)

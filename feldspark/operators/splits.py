@@ -127,7 +127,8 @@ def group_split(
     seed: int = 42, output: str = "split", bin_rows: int = BIN_ROWS,
 ) -> DataFrame:
     """Whole groups go to one split. The label depends on the group's hash alone: no join."""
-    name = F.coalesce(F.col(group).cast("string"), F.lit(""))
+    # NULL is a group of its own, apart from the empty string
+    name = F.coalesce(F.col(group).cast("string"), F.lit("\x00"))
     # a written table: the groups are counted, binned and ranked from the same copy
     groups = materialize(df.select(token(seed, name).alias("_token")).distinct(), "groups")
     row = cut_tokens(groups, [], train, validation, bin_rows).first()
