@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from feldspark.functions.expressions import kolmogorov_pvalue
 from feldspark.functions.missing import number
 from feldspark.operators.ordering import (
-    CHUNK_ROWS, MAX_CHUNKS, cut_points, group_sizes, in_blocks, rank_within, with_bucket,
+    CHUNK_ROWS, cut_points, group_sizes, in_blocks, rank_within, with_bucket,
 )
+from feldspark.session import materialize
 
 # Metric names, limits, alert types and message texts.
 THRESHOLDS = (
@@ -28,15 +29,14 @@ THRESHOLDS = (
 SPIKE_TEXT = "Training loss spike in %s: %.4f (5x previous average)"
 DRIFT_TEXT = "Data drift detected in feature %s: KS statistic = %.4f, p-value = %.4f"
 DECAY_TEXT = "Model %s performance decay in %s: %.1f%% decay"
-BUFFER = 10_000
 DRIFT_ALPHA = 0.05
 DECAY_LIMIT = 0.1
 SPIKE_FACTOR = 5.0
 
 
-def recent_metrics(metrics: DataFrame, n: int = 100, buffer: int = BUFFER) -> DataFrame:
-    """The ``n`` newest metrics (a top-n, no sort of the table); the buffer holds at most ``buffer``."""
-    return metrics.orderBy(F.desc("ts"), F.desc("seq")).limit(min(n, buffer))
+def recent_metrics(metrics: DataFrame, n: int = 100, buffer: int | None = None) -> DataFrame:
+    """The ``n`` newest metrics (a top-n, no sort of the table), at most ``buffer`` of them if one is given."""
+    return metrics.orderBy(F.desc("ts"), F.desc("seq")).limit(n if buffer is None else min(n, buffer))
 
 
 def loss_spikes(
@@ -74,11 +74,12 @@ def ks_drift(
     gives the distribution gap at every chunk end. Inside a chunk the gap cannot grow
     by more than the shares the chunk holds, so only chunks that may hide a larger gap
     are looked at value by value; only their rows are shuffled, counted per distinct
-    value first. No feature is sorted in one task.
+    value first. No feature is sorted in one task. A feature without a value on one side
+    has a row of NULLs.
     """
     both = _one_side(reference, features, 0).unionByName(_one_side(current, features, 1))
     total = both.count()
-    chunks = min(max(min_chunks, -(-total // chunk_rows)), MAX_CHUNKS)
+    chunks = max(min_chunks, -(-total // chunk_rows))
     names = [f"x{i}" for i in range(len(features))]
     cuts = cut_points(both, {n: F.col(n) for n in names}, total, chunks)
     staged = both
@@ -89,28 +90,25 @@ def ks_drift(
         for i in range(len(features))
     ]))).filter(F.col("x").isNotNull())
     one = [F.count_if(F.col("_side") == 0).alias("a"), F.count_if(F.col("_side") == 1).alias("b")]
-    counted = tall.groupBy("f", "chunk").agg(*one).collect()  # at most one row per feature and chunk
-
-    known_rows, starts = [], []
-    for i, feature in enumerate(features):
-        mine = sorted((r for r in counted if r["f"] == i), key=lambda r: r["chunk"])
-        n, m = sum(r["a"] for r in mine), sum(r["b"] for r in mine)
-        if not n or not m:
-            continue
-        a = b = 0
-        at_ends, bounds = 0.0, []
-        for r in mine:
-            most_above = abs((a + r["a"]) / n - b / m)
-            most_below = abs(a / n - (b + r["b"]) / m)
-            bounds.append((max(most_above, most_below), r["chunk"], a, b))
-            a, b = a + r["a"], b + r["b"]
-            at_ends = max(at_ends, abs(a / n - b / m))
-        known_rows.append((i, feature, n, m, at_ends))
-        starts += [(i, chunk, a0, b0) for bound, chunk, a0, b0 in bounds if bound > at_ends]
+    # at most one row per feature and chunk, summed up in order of the chunks of a feature
+    counted = materialize(tall.groupBy("f", "chunk").agg(*one), "chunks")
+    of_feature = Window.partitionBy("f")
+    so_far = of_feature.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
+    shares = counted.withColumns({
+        "n": F.sum("a").over(of_feature), "m": F.sum("b").over(of_feature),
+        "a1": F.sum("a").over(so_far), "b1": F.sum("b").over(so_far),
+    }).filter("n > 0 AND m > 0").withColumns({"a0": F.col("a1") - F.col("a"), "b0": F.col("b1") - F.col("b")})
+    gap_of = lambda a, b: F.abs(F.col(a) / F.col("n") - F.col(b) / F.col("m"))
+    bounded = shares.withColumns({
+        "at_ends": F.max(gap_of("a1", "b1")).over(of_feature), "bound": F.greatest(gap_of("a1", "b0"), gap_of("a0", "b1")),
+    })
     spark = reference.sparkSession
-    known = spark.createDataFrame(known_rows, "f int, feature string, n long, m long, at_ends double")
-    open_ = spark.createDataFrame(starts, "f int, chunk int, a0 long, b0 long")
-    values = tall.join(F.broadcast(open_), ["f", "chunk"]).groupBy("f", "chunk", "a0", "b0", "x").agg(*one)
+    asked = spark.createDataFrame(list(enumerate(features)), "f int, feature string")
+    known = materialize(
+        asked.join(bounded.select("f", "n", "m", "at_ends").distinct(), "f", "left"), "features"
+    )
+    open_ = bounded.filter(F.col("bound") > F.col("at_ends")).select("f", "chunk", "a0", "b0")
+    values = tall.join(open_, ["f", "chunk"]).groupBy("f", "chunk", "a0", "b0", "x").agg(*one)
     inside = Window.partitionBy("f", "chunk", "a0", "b0").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     running = values.select(
         "f", (F.col("a0") + F.sum("a").over(inside)).alias("ra"), (F.col("b0") + F.sum("b").over(inside)).alias("rb")
@@ -120,7 +118,7 @@ def ks_drift(
     tests = known.join(within, "f", "left").withColumn(
         "ks_statistic", F.greatest("at_ends", "within")
     )
-    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n"), F.col("m"))
+    p = F.when(F.col("ks_statistic").isNotNull(), kolmogorov_pvalue(F.col("ks_statistic"), F.col("n"), F.col("m")))
     return tests.select("feature", "ks_statistic", p.alias("ks_pvalue")).withColumn(
         "drift_detected", F.col("ks_pvalue") < F.lit(alpha)
     )
@@ -135,9 +133,16 @@ def _one_side(sample: DataFrame, features: Sequence[str], side: int) -> DataFram
 def metric_decay(
     current: DataFrame, reference: DataFrame, name: str = "name", value: str = "value", limit: float = DECAY_LIMIT
 ) -> DataFrame:
-    """Relative change of each metric both sides have, where the reference is not zero."""
-    new = current.select(name, number(current, value).alias("current_value"))
-    old = reference.select(name, number(reference, value).alias("reference_value"))
+    """Relative change of each metric both sides have, where the reference is not zero.
+
+    A name that repeats counts by its newest row (the greatest ``seq``, or else the greatest value).
+    """
+
+    def one_each(df: DataFrame, output: str) -> DataFrame:
+        x = number(df, value)
+        return df.groupBy(name).agg((F.max_by(x, F.col("seq")) if "seq" in df.columns else F.max(x)).alias(output))
+
+    new, old = one_each(current, "current_value"), one_each(reference, "reference_value")
     both = new.join(old, name).filter(F.col("reference_value") != 0)
     ratio = F.abs(F.col("current_value") - F.col("reference_value")) / F.abs("reference_value")
     return both.withColumn("decay", ratio).withColumn("decayed", F.col("decay") > F.lit(limit))
@@ -177,10 +182,11 @@ def metric_summary(metrics: DataFrame, prefix: str = "system.", recent: int = 10
     )
 
 
-def monitor_counts(metrics: DataFrame, alerts: DataFrame, recent: int = 100, buffer: int = BUFFER) -> DataFrame:
-    """One row: metrics in the buffer, recent metrics, alerts."""
+def monitor_counts(metrics: DataFrame, alerts: DataFrame, recent: int = 100, buffer: int | None = None) -> DataFrame:
+    """One row: metrics (of the newest ``buffer``, if one is given), recent metrics, alerts."""
+    total = F.count(F.lit(1))
     held = metrics.agg(
-        F.least(F.count(F.lit(1)), F.lit(buffer)).alias("total_metrics"),
+        (total if buffer is None else F.least(total, F.lit(buffer))).alias("total_metrics"),
         F.least(F.count(F.lit(1)), F.lit(recent)).alias("recent_metrics_count"),
         F.lit(0).cast("long").alias("active_alerts"),
     )
