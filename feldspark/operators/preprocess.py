@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,7 @@ class Preprocessor:
     clip_mode: str = "winsorize"
     stats: dict[str, dict[str, float]] = field(default_factory=dict)
     health: dict = field(default_factory=dict)
+    _later: Callable[[], dict] | None = field(default=None, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         if self.scaling_method not in METHODS:
@@ -41,8 +42,9 @@ class Preprocessor:
             raise ValueError(f"Unknown clip mode: {self.clip_mode}")
 
     def fit(self, df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, profile: bool = False) -> Preprocessor:
-        """One pass for the moments and sketches of all features, then an exact selection
-        of the quartiles around the sketched ones. ``approx`` keeps the sketched ones;
+        """One pass for the moments and sketches of all features. An exact selection of the
+        quartiles around the sketched ones follows where the scaling uses them, else only
+        when ``complete`` (or ``save``) asks for them. ``approx`` keeps the sketched ones;
         ``profile`` also counts the rows and the missing values of all columns (``health``).
         """
         names = list(columns) if columns else [c for c in numeric_columns(df) if c.startswith("feature_")]
@@ -61,18 +63,20 @@ class Preprocessor:
         if profile:
             self.health = {"num_rows": row["_rows"], "null_counts": row["_missing"].asDict()}
         counts = {n: row[n]["count"] for n in names}
+        self.stats = {n: {k: row[n][k] for k in ("mean", "std", "min", "max")} for n in names}
         if approx:
-            quartiles = {n: row[n]["sketch"] or [None, None] for n in names}
+            self._later = lambda: {n: row[n]["sketch"] or [None, None] for n in names}
         else:
             hints = {n: row[n]["sketch"] for n in names}
-            quartiles = exact_quantiles(df, values, QUARTILES, counts, hints=hints)
-        self.stats = {
-            n: {
-                "mean": row[n]["mean"], "std": row[n]["std"], "min": row[n]["min"], "max": row[n]["max"],
-                "q25": quartiles[n][0], "q75": quartiles[n][1],
-            }
-            for n in names
-        }
+            self._later = lambda: exact_quantiles(df, values, QUARTILES, counts, hints=hints)
+        return self.complete() if approx or self.scaling_method == "robust" else self
+
+    def complete(self) -> Preprocessor:
+        """Settle the quartiles of the fitted table if that has not been done."""
+        if self._later is not None:
+            quartiles, self._later = self._later(), None
+            for n, s in self.stats.items():
+                s["q25"], s["q75"] = quartiles[n]
         return self
 
     def _scaled(self, x: Column, s: dict[str, float]) -> Column:
@@ -104,8 +108,10 @@ class Preprocessor:
         return self.fit(df).transform(df)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the state as one JSON row."""
-        spark.createDataFrame([(json.dumps(asdict(self)),)], "state string").coalesce(1).write.mode(
+        """Write the state, quartiles included, as one JSON row."""
+        self.complete()
+        state = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "_later"}
+        spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode(
             "overwrite"
         ).text(path)
 

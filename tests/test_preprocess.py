@@ -19,7 +19,7 @@ def _column(df, name):
 def test_fit_skips_missing(spark):
     values = [1.0, 2.0, float("nan"), None, 10.0]
     df = spark.createDataFrame([(v,) for v in values], "feature_1 double")
-    s = Preprocessor().fit(df).stats["feature_1"]
+    s = Preprocessor().fit(df).complete().stats["feature_1"]
     known = np.array([1.0, 2.0, 10.0])
     assert s["mean"] == pytest.approx(known.mean()) and s["std"] == pytest.approx(known.std(ddof=1))
     assert (s["min"], s["max"]) == (1.0, 10.0)
