@@ -1,15 +1,15 @@
 """A dense network for regression, trained data-parallel with one Spark job per round.
 
-Rows are dealt evenly to the workers once. In a round every worker
-runs mini-batch Adam over its own rows, batch by batch from the Arrow stream, starting
-from the shared weights; the new weights are the row-weighted mean. One round per
-epoch moves a fixed number of parameters, whatever the size of the table.
+Rows are written once in blocks that follow from their values. In a round each block is passed
+by mini-batch Adam, batch by batch from the Arrow stream, starting from the shared weights and
+moments; the new ones are the row-weighted means over the blocks. One round per epoch moves a
+fixed number of parameters, whatever the size of the table or the cluster.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +26,8 @@ from feldspark.session import remove_path, scratch_path
 # The batch functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BLOCK_ROWS = 65_536  # rows of a block; a block is one file and never split between tasks
+
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(z.dtype)),
     "tanh": (np.tanh, lambda z: 1.0 - np.tanh(z) ** 2),
@@ -118,22 +120,31 @@ def initial_weights(sizes: Sequence[int], seed: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def train_mlp(
-    df: DataFrame, features: Sequence[str], target: str, hidden: Sequence[int] = (64, 32),
-    epochs: int = 10, batch_size: int = 1024, learning_rate: float = 1e-3, weight_decay: float = 0.0,
-    validation_split: float = 0.2, seed: int = 42, workers: int | None = None, activation: str = "relu",
-) -> MLPModel:
-    """Train and return the model; ``history`` has train and validation loss per epoch.
+@dataclass
+class Prepared:
+    """Standardized rows in written blocks, shared by all networks trained on them."""
 
-    Losses are on the standardized target, so 1.0 is the loss of predicting the mean.
+    path: str
+    features: list[str]
+    centers: list[float]
+    scales: list[float]
+
+
+def prepare_training(
+    df: DataFrame, features: Sequence[str], target: str, validation_split: float = 0.2, seed: int = 42,
+    block_rows: int = BLOCK_ROWS,
+) -> Prepared:
+    """Standardize and write the complete rows in blocks of about ``block_rows``.
+
+    Block, order within it and what is held out follow from the values of a row, so they do
+    not depend on how the table or the cluster is partitioned.
     """
-    rows = complete_rows(df, [*features, target])
     names = [*features, target]
     draw = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    marked = rows.withColumn("_held", draw < F.lit(validation_split))
+    marked = complete_rows(df, names).withColumn("_held", draw < F.lit(validation_split))
     fitted = F.col("_held") == F.lit(False)
     row = marked.agg(
-        F.count_if(fitted).alias("n"),
+        F.count_if(fitted).alias("n"), F.count(F.lit(1)).alias("total"),
         *[F.avg(F.when(fitted, F.col(n))).alias(f"m{i}") for i, n in enumerate(names)],
         *[F.stddev_pop(F.when(fitted, F.col(n))).alias(f"s{i}") for i, n in enumerate(names)],
     ).first()
@@ -143,78 +154,156 @@ def train_mlp(
     scales = [row[f"s{i}"] or 1.0 for i in range(len(names))]
     scaled = [((F.col(n) - F.lit(c)) / F.lit(s)).alias(f"v{i}")
               for i, (n, c, s) in enumerate(zip(names, centers, scales, strict=True))]
-    # One written copy with even parts: every round reads the same rows in the same files.
-    workers = workers or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(1, -(-row["total"] // block_rows))
+    place = F.pmod(F.xxhash64(F.lit(seed + 1), *names), F.lit(blocks)).cast("int")
+    order = F.xxhash64(F.lit(seed + 2), *names)
     path = scratch_path(df.sparkSession, "training")
-    marked.select("_held", *scaled).repartition(workers).write.parquet(path)
-    table = df.sparkSession.read.parquet(path)
+    (
+        marked.select("_held", *scaled, place.alias("_block"), order.alias("_order")).repartition("_block")
+        .sortWithinPartitions("_block", "_order", *[f"v{i}" for i in range(len(names))]).drop("_order")
+        .write.partitionBy("_block").parquet(path)
+    )
+    return Prepared(path, list(features), centers, scales)
+
+
+def train_mlp(
+    df: DataFrame, features: Sequence[str], target: str, hidden: Sequence[int] = (64, 32),
+    epochs: int = 10, batch_size: int = 1024, learning_rate: float = 1e-3, weight_decay: float = 0.0,
+    validation_split: float = 0.2, seed: int = 42, block_rows: int = BLOCK_ROWS, activation: str = "relu",
+    prepared: Prepared | None = None, patience: int | None = None, min_delta: float = 1e-4,
+    plateau: dict | None = None, on_epoch: Callable[[int, MLPModel], None] | None = None,
+) -> MLPModel:
+    """Train and return the model; ``history`` has train and validation loss per epoch.
+
+    Losses are on the standardized target, so 1.0 is the loss of predicting the mean.
+    ``patience`` epochs without a gain of ``min_delta`` stop the training; ``plateau``
+    (factor, patience, min_lr) lowers the rate; ``on_epoch`` gets the model after each epoch.
+    """
+    spark = df.sparkSession
+    ready = prepared or prepare_training(df, features, target, validation_split, seed, block_rows)
+    names = ", ".join(f"v{i} double" for i in range(len(features) + 1))
+    table = spark.read.schema(f"_held boolean, {names}, _block int").parquet(ready.path)
     sizes = [len(features), *hidden, 1]
     flat = initial_weights(sizes, seed)
-    spark = df.sparkSession
+    first, second, steps = np.zeros_like(flat), np.zeros_like(flat), 0
+    options = {
+        "hidden": list(hidden), "epochs": epochs, "batch_size": batch_size,
+        "learning_rate": learning_rate, "weight_decay": weight_decay, "seed": seed,
+    }
     history: list[dict] = []
+    watched = patience is not None or plateau is not None
+    best, waited, stalled, rate = np.inf, 0, 0, learning_rate
+
+    def model() -> MLPModel:
+        return MLPModel(
+            list(features), sizes, flat.tolist(), ready.centers[:-1], ready.scales[:-1], ready.centers[-1], ready.scales[-1],
+            activation, options, history,
+        )
+
     for epoch in range(1, epochs + 1):
-        shared = spark.sparkContext.broadcast(flat)
-        work = _worker_round(shared, sizes, activation, batch_size, learning_rate, weight_decay)
-        round_ = table.mapInPandas(work, "weights array<double>, rows long, error double, held long, held_error double")
+        shared = spark.sparkContext.broadcast((flat, first, second, steps))
+        work = _block_round(shared, sizes, activation, batch_size, rate, weight_decay)
+        round_ = table.mapInPandas(work, (
+            "state array<struct<w:double,f:double,s:double>>, steps long, rows long, error double, held long, held_error double"))
         # the held rows are scored with the weights the round starts from: the last epoch's
-        parts = round_.select("rows", "error", "held", "held_error", F.posexplode("weights").alias("i", "w"))
+        parts = round_.select("steps", "rows", "error", "held", "held_error", F.posexplode("state").alias("i", "p"))
+        mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("rows")), F.sum("rows"))
         summed = parts.groupBy("i").agg(
-            (F.sum(F.col("w") * F.col("rows")) / F.sum("rows")).alias("w"),
-            (F.sum("error") / F.sum("rows")).alias("loss"),
+            mean("p.w").alias("w"), mean("p.f").alias("f"), mean("p.s").alias("s"), F.max("steps").alias("steps"),
+            F.try_divide(F.sum("error"), F.sum("rows")).alias("loss"),
             F.try_divide(F.sum("held_error"), F.sum("held")).alias("held_loss"),
         ).collect()  # one row per parameter
         shared.unpersist()
-        flat = np.zeros(len(flat))
         for r in summed:
-            flat[r["i"]] = r["w"]
-        if history:
+            flat[r["i"]], first[r["i"]], second[r["i"]] = r["w"], r["f"], r["s"]
+        steps = summed[0]["steps"]
+        if history and not watched:
             history[-1]["val_loss"] = summed[0]["held_loss"]
         history.append({"epoch": epoch, "train_loss": summed[0]["loss"], "val_loss": None})
-    if history:
-        history[-1]["val_loss"] = _loss(table.filter("_held").drop("_held"), flat, sizes, activation)
-    remove_path(spark, path)
-    options = {
-        "hidden": list(hidden), "epochs": epochs, "batch_size": batch_size,
-        "learning_rate": learning_rate, "weight_decay": weight_decay, "seed": seed,
-    }
-    return MLPModel(
-        list(features), sizes, flat.tolist(), centers[:-1], scales[:-1], centers[-1], scales[-1],
-        activation, options, history,
-    )
-
+        if watched or epoch == epochs:
+            history[-1]["val_loss"] = _loss(table.filter("_held").drop("_held", "_block"), flat, sizes, activation)
+        if on_epoch:
+            on_epoch(epoch, model())
+        if watched:
+            seen = history[-1]["val_loss"] if history[-1]["val_loss"] is not None else history[-1]["train_loss"]
+            gained = seen < best - min_delta
+            best, waited, stalled = (seen, 0, 0) if gained else (best, waited + 1, stalled + 1)
+            if plateau is not None and stalled >= plateau.get("patience", 5):
+                rate, stalled = max(rate * plateau.get("factor", 0.5), plateau.get("min_lr", 1e-6)), 0
+            if patience is not None and waited >= patience:
+                break
+    if prepared is None:
+        remove_path(spark, ready.path)
+    return model()
+
+
+def checkpointer(registry, name: str, every: int = 5, keep: int = 3) -> Callable[[int, MLPModel], None]:
+    """An ``on_epoch`` that registers the model of every ``every``-th epoch and keeps the newest ``keep``."""
+    held: list[str] = []
+
+    def store(epoch: int, model: MLPModel) -> None:
+        if epoch % every and epoch != model.hyperparameters["epochs"]:
+            return
+        held.append(f"epoch-{epoch:05d}")
+        registry.save(name, held[-1], model, metrics={"epoch": float(epoch)})
+        while len(held) > keep:
+            registry.delete(name, held.pop(0))
+
+    return store
+
+
+def _block_round(shared, sizes, activation, batch_size, learning_rate, weight_decay):
+    """A pass over each block from the shared state; one row of results per block."""
 
-def _worker_round(shared, sizes, activation, batch_size, learning_rate, weight_decay):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = shared.value.astype(np.float32)
-        flat = start.copy()
-        first, second = np.zeros_like(flat), np.zeros_like(flat)
-        step, rows, held = 0, 0, 0
-        error, held_error = 0.0, 0.0
-        for frame in batches:
-            apart = frame["_held"].to_numpy(dtype=bool)
-            values = frame.drop(columns="_held").to_numpy(dtype=np.float32)
-            kept, aside = values[~apart], values[apart]
-            if len(aside):
-                held += len(aside)
-                held_error += _squared_error(start, sizes, aside, activation)
-            for at in range(0, len(kept), batch_size):
-                part = kept[at:at + batch_size]
-                grad, loss = _gradient(flat, sizes, part[:, :-1], part[:, -1], activation)
-                grad = grad + weight_decay * flat
-                step += 1
-                first = 0.9 * first + 0.1 * grad
-                second = 0.999 * second + 0.001 * grad**2
-                flat = flat - learning_rate * (first / (1 - 0.9**step)) / (
-                    np.sqrt(second / (1 - 0.999**step)) + 1e-8
+        start = shared.value[0].astype(np.float32)
+        block, rest, state = None, None, None
+
+        def advance(values: np.ndarray, final: bool) -> np.ndarray:
+            """Take whole batches of rows (and what is left, at the end of a block)."""
+            at = 0
+            while len(values) - at >= batch_size or (final and at < len(values)):
+                part = values[at:at + batch_size]
+                grad, loss = _gradient(state["flat"], sizes, part[:, :-1], part[:, -1], activation)
+                grad = grad + weight_decay * state["flat"]
+                state["steps"] += 1
+                state["first"] = 0.9 * state["first"] + 0.1 * grad
+                state["second"] = 0.999 * state["second"] + 0.001 * grad**2
+                state["flat"] = state["flat"] - learning_rate * (state["first"] / (1 - 0.9 ** state["steps"])) / (
+                    np.sqrt(state["second"] / (1 - 0.999 ** state["steps"])) + 1e-8
                 )
-                rows += len(part)
-                error += loss * len(part)
-        if rows or held:
-            yield pd.DataFrame({
-                "weights": [flat.astype(float).tolist()], "rows": [rows], "error": [error],
-                "held": [held], "held_error": [held_error],
+                state["rows"] += len(part)
+                state["error"] += loss * len(part)
+                at += len(part)
+            return values[at:]
+
+        def result() -> pd.DataFrame:
+            advance(rest, True)
+            rows = [{"w": float(w), "f": float(f), "s": float(s)}
+                    for w, f, s in zip(state["flat"], state["first"], state["second"], strict=True)]
+            return pd.DataFrame({
+                "state": [rows], "steps": [state["steps"]], "rows": [state["rows"]], "error": [state["error"]],
+                "held": [state["held"]], "held_error": [state["held_error"]],
             })
 
+        for frame in batches:
+            for number_, part in frame.groupby("_block", sort=False):
+                if number_ != block:
+                    if block is not None:
+                        yield result()
+                    flat, first, second, steps = shared.value
+                    block, rest = number_, np.zeros((0, len(frame.columns) - 2), np.float32)
+                    state = {"flat": flat.astype(np.float32), "first": first.astype(np.float32), "second": second.astype(np.float32),
+                             "steps": steps, "rows": 0, "error": 0.0, "held": 0, "held_error": 0.0}
+                apart = part["_held"].to_numpy(dtype=bool)
+                values = part.drop(columns=["_held", "_block"]).to_numpy(dtype=np.float32)
+                if apart.any():
+                    state["held"] += int(apart.sum())
+                    state["held_error"] += _squared_error(start, sizes, values[apart], activation)
+                rest = advance(np.concatenate([rest, values[~apart]]), False)
+        if block is not None:
+            yield result()
+
     return run
 
 

@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feldspark.functions.missing import number
 from feldspark.operators.serving import score_linear
+from feldspark.session import path_exists, remove_path
+
+_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+ENTRY = (
+    "name string, version string, framework string, created_at string, kind string, state string, "
+    "hyperparameters string, metrics map<string,double>, tags map<string,string>"
+)
 
 
 @dataclass
@@ -81,18 +89,42 @@ def ridge_regression(df: DataFrame, features: Sequence[str], target: str, alpha:
     return LinearModel(list(features), [float(w) for w in weights], float(intercept), {"alpha": alpha})
 
 
+@dataclass
+class ForestModel:
+    """A fitted forest over named features; the trees stay in Spark's own model."""
+
+    features: list[str]
+    forest: RandomForestRegressionModel
+    hyperparameters: dict = field(default_factory=dict)
+
+    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        """Rows that miss a feature get no prediction."""
+        names = [f"_f{i}" for i in range(len(self.features))]
+        whole = df.withColumns({n: number(df, f) for n, f in zip(names, self.features, strict=True)})
+        vectors = VectorAssembler(inputCols=names, outputCol="_vector", handleInvalid="keep").transform(whole)
+        found = self.forest.setFeaturesCol("_vector").setPredictionCol("_found").transform(vectors)
+        missing = F.exists(F.array(*names), lambda x: x.isNull())
+        return found.withColumn(output, F.when(~missing, F.col("_found"))).drop("_vector", "_found", *names)
+
+
 def random_forest(
-    df: DataFrame, features: Sequence[str], target: str, trees: int = 100, depth: int = 5, seed: int = 42
-):
-    """A forest grown level by level from binned statistics over the partitions."""
+    df: DataFrame, features: Sequence[str], target: str, trees: int = 100, depth: int = 5, seed: int = 42,
+    every_feature: bool = False, all_rows: bool = False, bins: int = 32,
+) -> ForestModel:
+    """A forest grown level by level from binned statistics over the partitions.
+
+    ``every_feature`` lets each split look at all features; ``all_rows`` grows each tree on all rows.
+    """
     forest = RandomForestRegressor(
-        featuresCol="vector", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="vector", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins,
+        featureSubsetStrategy="all" if every_feature else "auto", bootstrap=not all_rows,
     )
-    return forest.fit(assemble(df, features, target))
+    fitted = forest.fit(assemble(df, features, target))
+    return ForestModel(list(features), fitted, {"trees": trees, "depth": depth, "seed": seed})
 
 
-def forest_predictions(model, df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    return model.transform(assemble(df, features, target)).select(*features, target, "prediction")
+def forest_predictions(model: ForestModel, df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    return model.transform(complete_rows(df, [*features, target]))
 
 
 FITTERS = {"linear_regression": linear_regression, "ridge": ridge_regression, "random_forest": random_forest}
@@ -106,7 +138,7 @@ def fit_model(kind: str, df: DataFrame, features: Sequence[str], target: str, **
 
 @dataclass(frozen=True)
 class ModelRegistry:
-    """Models as JSON rows below ``base/<name>/v=<version>``."""
+    """Models as JSON rows below ``base/<name>/v=<version>``; a forest's trees lie beside its row."""
 
     spark: SparkSession
     base: str
@@ -115,34 +147,51 @@ class ModelRegistry:
         self, name: str, version: str, model, framework: str = "feldspark",
         metrics: dict[str, float] | None = None, tags: dict[str, str] | None = None,
     ) -> None:
+        """Store a new version; one that exists is not replaced."""
+        path = self._path(name, version)
+        if path_exists(self.spark, path):
+            raise ValueError(f"Version {version} of model {name} already exists")
+        if isinstance(model, ForestModel):
+            model.forest.write().save(f"{self.base}/{name}/trees/{version}")
+            state = {"features": model.features, "hyperparameters": model.hyperparameters}
+        else:
+            state = asdict(model)
         entry = {
             "name": name,
             "version": version,
             "framework": framework,
             "created_at": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
             "kind": type(model).__name__,
-            "state": json.dumps(asdict(model)),
+            "state": json.dumps(state),
             "hyperparameters": json.dumps(getattr(model, "hyperparameters", {})),
             "metrics": metrics or {},
             "tags": tags or {},
         }
-        self.spark.createDataFrame([(json.dumps(entry),)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{self.base}/{name}/v={version}")
+        self.spark.createDataFrame([(json.dumps(entry),)], "value string").coalesce(1).write.text(path)
+
+    def _path(self, name: str, version: str) -> str:
+        for text in (name, version):
+            if not _NAME.fullmatch(text):
+                raise ValueError(f"Not a valid model name or version: {text}")
+        return f"{self.base}/{name}/v={version}"
 
     def entries(self) -> DataFrame:
-        schema = (
-            "name string, version string, framework string, created_at string, kind string, state string, "
-            "hyperparameters string, metrics map<string,double>, tags map<string,string>"
-        )
-        return self.spark.read.schema(schema).json(f"{self.base}/*/v=*")
+        return self.spark.read.schema(ENTRY).json(f"{self.base}/*/v=*")
+
+    def delete(self, name: str, version: str) -> None:
+        remove_path(self.spark, self._path(name, version))
+        remove_path(self.spark, f"{self.base}/{name}/trees/{version}")
 
     def load(self, name: str, version: str):
         from feldspark.operators.mlp import MLPModel
 
-        row = self.entries().filter((F.col("name") == name) & (F.col("version") == version)).first()
-        if row is None:
+        path = self._path(name, version)
+        if not path_exists(self.spark, path):
             raise LookupError(f"Model {name}, version {version} not found")
+        row = self.spark.read.schema(ENTRY).json(path).first()
+        if row["kind"] == "ForestModel":
+            forest = RandomForestRegressionModel.load(f"{self.base}/{name}/trees/{version}")
+            return ForestModel(forest=forest, **json.loads(row["state"]))
         kinds = {"LinearModel": LinearModel, "MLPModel": MLPModel}
         return kinds[row["kind"]](**json.loads(row["state"]))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feldspark.operators.stats import feature_columns, stat_expressions
-from feldspark.session import path_exists, remove_path
+from feldspark.session import move_path, path_exists, remove_path
 from feldspark.sources.parquet import gathered, write_parquet
 
 STAT = T.StructType([
@@ -123,7 +123,8 @@ class FeatureStore:
         if path_exists(self.spark, self._entry(name, version)):
             if not overwrite:
                 raise ValueError(f"Version {version} of {name} already exists")
-            self.delete(name, version)
+        # written beside the old files, which go only once the new ones are whole
+        fresh = f"{self.base}/{name}/new-{uuid.uuid4().hex}"
         features = feature_columns(df) if compute_stats else []
         exprs = stat_expressions(df, features)
         watch = Observation()
@@ -131,8 +132,7 @@ class FeatureStore:
         counted = gathered(df, partition_cols).observe(
             watch, F.count(F.lit(1)).alias("rows"), *[e.alias(f"s{i}") for i, e in enumerate(exprs.values())]
         )
-        # files without a catalog row are left over from a failed write
-        write_parquet(counted, self._data(name, version), partition_cols, mode="overwrite", gather=False)
+        write_parquet(counted, fresh, partition_cols, mode="error", gather=False)
         seen = watch.get
         stats: dict[str, dict] = {}
         for i, key in enumerate(exprs):
@@ -149,6 +149,11 @@ class FeatureStore:
             "tags": tags or {},
         }
         row = self.spark.createDataFrame([(json.dumps(entry),)], "value string").coalesce(1)
+        if path_exists(self.spark, self._entry(name, version)):
+            self.delete(name, version)
+        # files without a catalog row are left over from a failed write
+        remove_path(self.spark, self._data(name, version))
+        move_path(self.spark, fresh, self._data(name, version))
         row.write.mode("overwrite").text(self._entry(name, version))
         return version
 

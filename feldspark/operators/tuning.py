@@ -6,15 +6,13 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.functions.hashing import uniform
-from feldspark.operators.mlp import train_mlp
-from feldspark.operators.models import assemble, complete_rows, solve_normal
+from feldspark.operators.mlp import prepare_training, train_mlp
+from feldspark.operators.models import complete_rows, random_forest, solve_normal
+from feldspark.session import materialize, remove_path
 
 # The default search space.
 LEARNING_RATE = (1e-4, 1e-2)
@@ -99,21 +97,29 @@ def forest_trials(
     df: DataFrame, features: Sequence[str], target: str, trees: Sequence[int], depths: Sequence[int],
     validation_split: float = 0.2, seed: int = 42, parallelism: int = 2,
 ) -> DataFrame:
-    """Validation error of forests over a grid, several fits at a time."""
-    forest = RandomForestRegressor(featuresCol="vector", labelCol=target, seed=seed)
-    grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths)).build()
-    search = TrainValidationSplit(
-        estimator=forest, estimatorParamMaps=grid, trainRatio=1.0 - validation_split, seed=seed,
-        evaluator=RegressionEvaluator(labelCol=target, metricName="mse"), parallelism=parallelism,
-    ).fit(assemble(df, features, target))
-    rows = [
-        (i, int(p[forest.numTrees]), int(p[forest.maxDepth]), float(m))
-        for i, (p, m) in enumerate(zip(grid, search.validationMetrics, strict=True))
-    ]
+    """Validation error of forests over a grid, several fits at a time.
+
+    Which rows are held out follows from their values, not from where they lie.
+    """
+    rows_in = complete_rows(df, [*features, target])
+    draw = uniform(seed, *[F.col(c) for c in rows_in.columns])
+    # rows go to places that follow from their values, as the forests' row samples follow from places
+    placed = rows_in.repartition(F.xxhash64(*rows_in.columns)).sortWithinPartitions(*rows_in.columns)
+    parts = materialize(placed.withColumn("_held", draw < F.lit(validation_split)), "trials")
+    fitted, held = parts.filter("NOT _held").drop("_held"), parts.filter("_held").drop("_held")
+    grid = [(n, d) for n in trees for d in depths]
+
+    def run(config: tuple[int, int]) -> float | None:
+        model = random_forest(fitted, features, target, *config, seed=seed)
+        error = F.col("prediction") - F.col(target)
+        return model.transform(held).agg(F.avg(error * error)).first()[0]
+
+    losses = run_trials(grid, run, parallelism)
+    rows = [(i, n, d, loss) for i, ((n, d), loss) in enumerate(zip(grid, losses, strict=True))]
     return df.sparkSession.createDataFrame(rows, "trial int, num_trees int, max_depth int, val_loss double")
 
 
-def run_trials(configs: Sequence[dict], run: Callable[[dict], list[dict]], parallelism: int = 2) -> list[list[dict]]:
+def run_trials(configs: Sequence, run: Callable, parallelism: int = 2) -> list:
     """Start several trials at a time; each is a sequence of Spark jobs of its own."""
     with ThreadPool(max(1, parallelism)) as pool:
         return pool.map(run, configs)
@@ -122,18 +128,39 @@ def run_trials(configs: Sequence[dict], run: Callable[[dict], list[dict]], paral
 def mlp_trials(
     df: DataFrame, features: Sequence[str], target: str, configs: Sequence[dict], parallelism: int = 2, **fixed
 ) -> DataFrame:
-    """Train a network per configuration; one row per trial and epoch."""
+    """Train a network per configuration on rows prepared once; one row per trial and epoch."""
+    shared = {k: fixed.pop(k) for k in ("validation_split", "block_rows") if k in fixed}
+    ready = prepare_training(df, features, target, seed=fixed.get("seed", 42), **shared)
 
     def run(config: dict) -> list[dict]:
-        return train_mlp(df, features, target, **{**fixed, **config}).history
+        return train_mlp(df, features, target, **{**fixed, **config}, prepared=ready).history
 
     rows = [
         (i, h["epoch"], float(h["train_loss"]), h.get("val_loss"))
         for i, history in enumerate(run_trials(configs, run, parallelism)) for h in history
     ]
+    remove_path(df.sparkSession, ready.path)
     return df.sparkSession.createDataFrame(rows, "trial int, epoch int, train_loss double, val_loss double")
 
 
+def network_configs(space: DataFrame) -> list[dict]:
+    """Sampled trials (``search_space``) as options of ``train_mlp``, in order of trial; a short list."""
+    return [
+        {"learning_rate": r["learning_rate"], "batch_size": r["batch_size"], "hidden": (r["hidden_dim"],) * r["num_layers"]}
+        for r in space.orderBy("trial").collect()
+    ]
+
+
+def tune_mlp(
+    df: DataFrame, features: Sequence[str], target: str, trials: DataFrame, epochs: int = 10, seed: int = 42, **fixed
+) -> tuple[DataFrame, DataFrame]:
+    """Sample a configuration per trial id, train them all, and return (all epochs, the best trial's last one)."""
+    space = search_space(trials, seed=seed)
+    history = mlp_trials(df, features, target, network_configs(space), epochs=epochs, seed=seed, **fixed)
+    last = history.groupBy("trial").agg(F.max_by(F.struct("epoch", "train_loss", "val_loss"), "epoch").alias("r")).select("trial", "r.*")
+    return history, best_trial(last, "val_loss")
+
+
 def best_trial(trials: DataFrame, metric: str, mode: str = "min", tie: str = "trial") -> DataFrame:
     """The row with the least (or greatest) metric; the smallest trial id wins ties."""
     if mode not in ("min", "max"):

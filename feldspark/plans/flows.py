@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from feldspark.functions.aggregates import regression_scores
 from feldspark.operators.filters import apply_steps, model_input
 from feldspark.operators.mlp import MLPModel, train_mlp
-from feldspark.operators.models import LinearModel, ModelRegistry, linear_regression, ridge_regression
+from feldspark.operators.models import ForestModel, LinearModel, ModelRegistry, linear_regression, random_forest, ridge_regression
 from feldspark.operators.preprocess import Preprocessor
 from feldspark.operators.quality import RAW_SCHEMA, check_schema, infer_features, numeric_projection, processed_schema
 from feldspark.operators.recipe import Recipe, default_recipe
@@ -61,7 +61,7 @@ def build_features(
     )
 
 
-FITTERS = {"linear_regression": linear_regression, "ridge": ridge_regression, "mlp": train_mlp}
+FITTERS = {"linear_regression": linear_regression, "ridge": ridge_regression, "random_forest": random_forest, "mlp": train_mlp}
 
 
 def train_from_store(
@@ -69,7 +69,7 @@ def train_from_store(
     version: str = "latest", kind: str = "linear_regression", steps: Sequence[dict] = (),
     features: Sequence[str] | None = None, validation_split: float = 0.2, seed: int = 42,
     model_version: str = "1", **options,
-) -> tuple[LinearModel | MLPModel, DataFrame]:
+) -> tuple[LinearModel | ForestModel | MLPModel, DataFrame]:
     """Read a stored set, apply the configured steps, hold out a part, fit, score, register.
 
     Returns the model and its metrics per split. Numeric columns other than target, key

@@ -59,11 +59,11 @@ def test_gradient_matches_differences():
 
 
 def test_network_learns_and_repeats(rows, spark, tmp_path):
-    options = {"hidden": (16,), "epochs": 6, "batch_size": 32, "learning_rate": 1e-2, "workers": 2}
+    options = {"hidden": (16,), "epochs": 6, "batch_size": 32, "learning_rate": 1e-2, "block_rows": 1000}
     model = mlp.train_mlp(rows, X, "y", **options)
     losses = [h["val_loss"] for h in model.history]
     assert losses[-1] < 0.1 and losses[-1] < losses[0] and len(mlp.history_frame(model, rows).collect()) == 6
-    again = mlp.train_mlp(rows, X, "y", **options)
+    again = mlp.train_mlp(rows.repartition(7), X, "y", **options)
     assert np.allclose(model.weights, again.weights, atol=1e-4)
     registry = J.ModelRegistry(spark, str(tmp_path / "models"))
     registry.save("net", "1", model, metrics={"val_loss": losses[-1]}, tags={"a": "b"})
@@ -77,8 +77,46 @@ def test_network_learns_and_repeats(rows, spark, tmp_path):
         registry.load("net", "2")
 
 
+def test_blocks_do_not_depend_on_partitions(rows):
+    options = {"hidden": (4,), "epochs": 2, "batch_size": 16, "block_rows": 100}
+    a, b = (mlp.train_mlp(rows.repartition(n), X, "y", **options) for n in (1, 5))
+    assert np.allclose(a.weights, b.weights, atol=1e-6)
+
+
+def test_network_stops_and_is_kept(rows, spark, tmp_path):
+    registry = J.ModelRegistry(spark, str(tmp_path / "models"))
+    options = {"hidden": (4,), "learning_rate": 1e-9, "epochs": 9, "patience": 2, "plateau": {"patience": 1}}
+    keep = mlp.checkpointer(registry, "net", every=1, keep=2)
+    model = mlp.train_mlp(rows, X, "y", on_epoch=keep, **options)
+    assert len(model.history) == 3
+    assert sorted(r.version for r in registry.entries().collect()) == ["epoch-00002", "epoch-00003"]
+    with pytest.raises(ValueError):
+        registry.save("net", "epoch-00003", model)
+
+
+def test_forest_is_saved_and_held_out_by_value(rows, spark, tmp_path):
+    registry = J.ModelRegistry(spark, str(tmp_path / "models"))
+    forest = J.random_forest(rows, X, "y", trees=3, depth=3)
+    registry.save("forest", "1", forest)
+    loaded = registry.load("forest", "1")
+    pairs = [[r.prediction for r in m.transform(rows).orderBy("id").collect()] for m in (forest, loaded)]
+    assert pairs[0] == pairs[1]
+    hole = rows.limit(1).withColumn("feature_1", F.lit(None).cast("double"))
+    assert loaded.transform(hole).first()["prediction"] is None
+    a, b = (K.forest_trials(rows.repartition(n), X, "y", [1], [1]).first().val_loss for n in (2, 7))
+    assert a == pytest.approx(b)
+
+
+def test_tuning_flow(rows, spark):
+    trials = spark.range(2).withColumnRenamed("id", "trial")
+    history, best = K.tune_mlp(rows, X, "y", trials, epochs=2)
+    assert history.count() == 4
+    last = {r.trial: r.val_loss for r in history.where("epoch = 2").collect()}
+    assert best.first().trial == min(last, key=lambda t: (last[t], t))
+
+
 def test_network_without_validation(rows):
-    model = mlp.train_mlp(rows, X, "y", hidden=(4,), epochs=1, validation_split=0.0, workers=1)
+    model = mlp.train_mlp(rows, X, "y", hidden=(4,), epochs=1, validation_split=0.0)
     assert model.history[0]["val_loss"] is None
 
 
@@ -96,7 +134,7 @@ def test_trials(rows, spark):
     assert got[0].val_loss == pytest.approx(0.0, abs=1e-9) and got[1].val_loss > 1
     assert K.best_trial(trials, "val_loss").first().trial == 0 and K.best_trial(trials, "val_loss", "max").first().trial == 1
     assert K.forest_trials(rows, X, "y", [2], [2, 3]).count() == 2
-    nets = K.mlp_trials(rows, X, "y", [{"hidden": (4,)}, {"hidden": (8,)}], epochs=2, workers=1)
+    nets = K.mlp_trials(rows, X, "y", [{"hidden": (4,)}, {"hidden": (8,)}], epochs=2)
     assert nets.count() == 4
     ties = spark.createDataFrame([(2, 1.0), (1, 1.0), (3, float("nan")), (4, None)], "trial int, m double")
     assert K.best_trial(ties, "m").first().trial == 1 and K.best_trial(ties, "m", "max").first().trial == 1
@@ -118,7 +156,7 @@ def test_train_and_score_flows(rows, spark, tmp_path):
     assert registry.entries().first().metrics["validation_r2"] == pytest.approx(1.0)
     with pytest.raises(ValueError, match="Unknown model type"):
         train_from_store(store, "d", registry, "m", target="y", key="id", kind="other")
-    net, _ = train_from_store(store, "d", registry, "net", target="y", key="id", kind="mlp", hidden=(4,), epochs=1, workers=1)
+    net, _ = train_from_store(store, "d", registry, "net", target="y", key="id", kind="mlp", hidden=(4,), epochs=1)
     assert registry.load("net", "1") == net
     log = score_records(rows, {}, registry.load("m", "1"), key="id", version="1", batch="b")
     assert log.count() == 1500 and log.first()["features"]["feature_1"] is not None
