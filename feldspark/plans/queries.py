@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from feldspark.functions.hashing import driver_normal
 from feldspark.operators import filters, models, monitoring, quality, runs, serving, splits, stats, tuning
 from feldspark.operators.mlp import history_frame, train_mlp
+from feldspark.operators.ordering import join_lookup
 from feldspark.operators.preprocess import Preprocessor
 from feldspark.operators.quality import ColumnRule, DatasetRules
 from feldspark.operators.recipe import Recipe, default_recipe, fill_interaction
@@ -392,7 +393,7 @@ def _stat_rows(spark: SparkSession, found: dict[str, dict]) -> DataFrame:
     for c in FEATURES
 ]))
 def preprocess_fit(spark, sf):
-    fitted = Preprocessor().fit(_frame(spark, sf))
+    fitted = Preprocessor().fit(_frame(spark, sf)).complete()
     return rounded(_stat_rows(spark, fitted.stats), 4)
 
 
@@ -530,14 +531,23 @@ def split_holdout(spark, sf):
     return splits.holdout(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", "split")
 
 
-@query(f"""SELECT o_orderkey, o_orderstatus, {_CASE.format(**_FLOORS)} FROM (
+_STRATA_SQL = f"""SELECT o_orderkey, o_orderstatus, {_CASE.format(**_FLOORS)} FROM (
   SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
-    row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_digest(42, 'o_orderkey')}) AS rn FROM orders)""")
+    row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_digest(42, 'o_orderkey')}) AS rn FROM orders)"""
+
+
+@query(_STRATA_SQL)
 def split_stratified(spark, sf):
     df = splits.stratified_split(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus")
     return df.select("o_orderkey", "o_orderstatus", "split")
 
 
+@query(_STRATA_SQL)
+def split_stratified_binned(spark, sf):
+    df = splits.stratified_split(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus", bin_rows=50)
+    return df.select("o_orderkey", "o_orderstatus", "split")
+
+
 @query(f"""SELECT event_id, {_CASE.format(**_FLOORS)} FROM (
   SELECT event_id, count(*) OVER () AS n, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)""")
 def split_time(spark, sf):
@@ -550,13 +560,28 @@ def split_time_ties(spark, sf):
     return splits.time_split(table(spark, sf, "orders"), "o_orderdate", "o_orderkey").select("o_orderkey", "split")
 
 
-@query(f"""WITH g AS (SELECT user_id, count(*) OVER () AS n, row_number() OVER (ORDER BY {_digest(42, 'user_id')}) AS rn
+_GROUPS_SQL = f"""WITH g AS (SELECT user_id, count(*) OVER () AS n, row_number() OVER (ORDER BY {_digest(42, 'user_id')}) AS rn
   FROM (SELECT DISTINCT user_id FROM events))
-SELECT event_id, user_id, {_CASE.format(**_FLOORS)} FROM events JOIN g USING (user_id)""")
+SELECT event_id, user_id, {_CASE.format(**_FLOORS)} FROM events JOIN g USING (user_id)"""
+
+
+@query(_GROUPS_SQL)
 def split_group(spark, sf):
     return splits.group_split(table(spark, sf, "events"), "user_id").select("event_id", "user_id", "split")
 
 
+@query(_GROUPS_SQL)
+def split_group_binned(spark, sf):
+    return splits.group_split(table(spark, sf, "events"), "user_id", bin_rows=20).select("event_id", "user_id", "split")
+
+
+@query("SELECT event_id, user_id, n FROM events JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) USING (user_id)")
+def lookup_salted(spark, sf):
+    events = table(spark, sf, "events")
+    counts = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return join_lookup(events, counts, ["user_id"], max_rows=1, salts=4).select("event_id", "user_id", "n")
+
+
 # --------------------------------------------------------------------- store
 
 
@@ -878,30 +903,46 @@ def flatten_structs(spark, sf):
 _RUN_ROWS = "p AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)"
 
 
-@query(f"""WITH RECURSIVE {_RUN_ROWS},
+_STOP_SQL = f"""WITH RECURSIVE {_RUN_ROWS},
 f(user_id, rn, best, wait, stopped) AS (
   SELECT DISTINCT user_id, 0::BIGINT, 'inf'::DOUBLE, 0, NULL::BIGINT FROM p
   UNION ALL SELECT f.user_id, p.rn, CASE WHEN value < best - 1e-4 THEN value ELSE best END,
     CASE WHEN value < best - 1e-4 THEN 0 ELSE wait + 1 END,
     CASE WHEN NOT value < best - 1e-4 AND wait + 1 >= 5 THEN event_id END
   FROM f JOIN p ON p.user_id = f.user_id AND p.rn = f.rn + 1 WHERE stopped IS NULL)
-SELECT user_id, min(best) AS best_loss, max(stopped) AS stopped_epoch FROM f GROUP BY user_id""")
+SELECT user_id, min(best) AS best_loss, max(stopped) AS stopped_epoch FROM f GROUP BY user_id"""
+
+
+@query(_STOP_SQL)
 def early_stop_scan(spark, sf):
     return runs.early_stop(table(spark, sf, "events"), "user_id", "event_id", "value", patience=5)
 
 
-@query(f"""WITH RECURSIVE {_RUN_ROWS},
+@query(_STOP_SQL)
+def early_stop_blocked(spark, sf):
+    return runs.early_stop(table(spark, sf, "events"), "user_id", "event_id", "value", patience=5, block_rows=12)
+
+
+_RATE_SQL = f"""WITH RECURSIVE {_RUN_ROWS},
 f(user_id, event_id, rn, best, wait, lr) AS (
   SELECT DISTINCT user_id, NULL::BIGINT, 0::BIGINT, 'inf'::DOUBLE, 0, 1e-3::DOUBLE FROM p
   UNION ALL SELECT f.user_id, p.event_id, p.rn, CASE WHEN value < best - 1e-4 THEN value ELSE best END,
     CASE WHEN value < best - 1e-4 OR wait + 1 >= 5 THEN 0 ELSE wait + 1 END,
     CASE WHEN NOT value < best - 1e-4 AND wait + 1 >= 5 THEN greatest(lr * 0.5::DOUBLE, 1e-6::DOUBLE) ELSE lr END
   FROM f JOIN p ON p.user_id = f.user_id AND p.rn = f.rn + 1)
-SELECT user_id, event_id, round(lr, 9) AS lr FROM f WHERE rn > 0""")
+SELECT user_id, event_id, round(lr, 9) AS lr FROM f WHERE rn > 0"""
+
+
+@query(_RATE_SQL)
 def lr_schedule_scan(spark, sf):
     return rounded(runs.lr_schedule(table(spark, sf, "events"), "user_id", "event_id", "value"), 9)
 
 
+@query(_RATE_SQL)
+def lr_schedule_blocked(spark, sf):
+    return rounded(runs.lr_schedule(table(spark, sf, "events"), "user_id", "event_id", "value", block_rows=12), 9)
+
+
 @query("""SELECT user_id, event_id, value, rank FROM (SELECT user_id, event_id, value,
   row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rank FROM events) WHERE rank <= 3""")
 def topk_checkpoints(spark, sf):
@@ -926,6 +967,11 @@ def loss_spikes(spark, sf):
     return rounded(monitoring.loss_spikes(_metrics(spark, sf)).drop("ts"))
 
 
+@query(f"SELECT seq, context, value, round(previous, 6) AS previous FROM {_SPIKES}")
+def loss_spikes_hot(spark, sf):
+    return rounded(monitoring.loss_spikes(_metrics(spark, sf), chunk_rows=12).drop("ts"))
+
+
 def _ks_sql(feature: str, x: str) -> str:
     series = "2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * k * k * lam * lam)))"
     return f"""(WITH v AS (SELECT {x} AS x, count(*) FILTER (WHERE event_id % 2 = 0) AS a, count(*) FILTER (WHERE event_id % 2 = 1) AS b
@@ -968,6 +1014,24 @@ def _decay(spark, sf):
     return monitoring.metric_decay(odd, even)
 
 
+@query(f"""SELECT feature, round(ks, 6) AS ks_statistic, round(p, 6) AS ks_pvalue, p < 0.05 AS drift_detected FROM ({_ks_sql("value", "value")})
+UNION ALL SELECT 'never', NULL, NULL, NULL""")
+def ks_drift_missing(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "value", F.lit(None).cast("double").alias("never"))
+    even, odd = (events.filter(F.col("event_id") % 2 == i) for i in (0, 1))
+    return rounded(monitoring.ks_drift(even, odd, ["value", "never"]))
+
+
+@query("""WITH v AS (SELECT event_type AS name, max_by(value, event_id) FILTER (WHERE event_id % 2 = 1) AS c,
+  max_by(value, event_id) FILTER (WHERE event_id % 2 = 0) AS r FROM events GROUP BY event_type)
+SELECT name, c AS current_value, r AS reference_value, round(abs(c - r) / abs(r), 6) AS decay, abs(c - r) / abs(r) > 0.1 AS decayed
+FROM v WHERE r <> 0 AND c IS NOT NULL""")
+def metric_decay_repeated(spark, sf):
+    rows = table(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("name"), "value")
+    odd, even = (rows.filter(F.col("seq") % 2 == i) for i in (1, 0))
+    return rounded(monitoring.metric_decay(odd, even))
+
+
 @query(f"SELECT name, current_value, reference_value, round(decay, 6) AS decay, decay > 0.1 AS decayed FROM {_DECAY}")
 def metric_decay(spark, sf):
     return rounded(_decay(spark, sf))
@@ -1019,7 +1083,7 @@ def alerts_union(spark, sf):
     return _alerts(spark, sf).select("type", "message", "severity")
 
 
-@query(f"""SELECT least(count(*), 10000) AS total_metrics, least(count(*), 100) AS recent_metrics_count,
+@query(f"""SELECT count(*) AS total_metrics, least(count(*), 100) AS recent_metrics_count,
   (SELECT count(*) FROM {_ALERTS}) AS active_alerts FROM events""")
 def monitor_counts(spark, sf):
     return monitoring.monitor_counts(system_metrics(table(spark, sf, "events")), _alerts(spark, sf))
