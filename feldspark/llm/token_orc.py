@@ -8,7 +8,7 @@ groups, and stripes are read in parallel. The ids before a file follow from the
 ``n_tokens`` per part, one row per file.
 
 Encoding: white space separates the pieces that the tokenizer merges within, and so does the place
-between an ASCII letter and a full stop or comma; ids of a text are those of its pieces in order.
+between a Latin-1 letter and a full stop or comma; ids of a text are those of its pieces in order.
 Each distinct piece is encoded once per worker by the tokenizers library and kept (up to
 ``CACHE`` pieces, then afresh). Upper-case ASCII letters are folded first where that is what the
 tokenizer's normalizer does anyway. Pieces are told apart by 64-bit hashes.
@@ -31,11 +31,14 @@ from pyspark.sql import functions as F
 from feldspark.llm import arrays
 from feldspark.llm.bpe_tree import id_arrays
 from feldspark.llm.frames import parts_for, text_bytes
+from feldspark.session import materialize
 
 END_ID = 2
 FILE_BYTES = 64 << 20  # text bytes that one file should hold
 STRIPE_BYTES = 16 << 20
 CACHE = 1_000_000
+TEXT_BYTES = 6 << 20  # texts whose pieces are looked up together
+BROADCAST_FILES = 1_000_000  # two numbers a file: up to 16 MB
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _LETTER = np.zeros(256, bool)
@@ -94,7 +97,10 @@ class Pieces:
             data = np.where(fold, data + np.uint8(32), data)
             raw = data.tobytes()
         starts, ends = arrays.word_bounds(data)
-        cut = np.flatnonzero(_LETTER[data[:-1]] & _STOP[data[1:]]) + 1
+        letter = _LETTER[data]
+        # the letters of Latin-1: two bytes, of which the second alone tells them from signs
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        cut = np.flatnonzero(letter[:-1] & _STOP[data[1:]]) + 1
         starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
         keys, first, piece = np.unique(arrays.slice_hash(arrays.prefix_hash(data), starts, ends), return_index=True, return_inverse=True)
         if self.n + len(keys) > CACHE:
@@ -120,7 +126,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         pieces = Pieces.held(tokenizer)
         at = 0
         for batch in source:
-            for row, texts in arrays.batches(batch.column(1)):
+            for row, texts in arrays.batches(batch.column(1), TEXT_BYTES):
                 ids, sizes = pieces.encode(texts)
                 ends = np.cumsum(sizes)
                 ids = np.insert(ids, ends, end_id).astype(np.int32)
@@ -152,7 +158,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = materialize(sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "starts")
+    if base.count() <= BROADCAST_FILES:
+        base = F.broadcast(base)
     return rows.join(base, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
 
 
