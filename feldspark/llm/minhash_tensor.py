@@ -11,13 +11,16 @@ Nothing is emitted per pair of a group:
 * Documents with the same shingle set are one representative from the start.
 * Half keys that stand in one document only are dropped before keys are formed, and of the
   table keys with the same members one is kept.
-* In each of the first rounds every document is compared with one member of another component
-  (the first of a table, or the last if the first is of its own component): the one that it meets
-  in most tables. Links are confirmed on the full shingle sets and components are joined at once.
-* Tables that then still hold several components give all their pairs across components that
-  have not been compared, so no link between different texts is lost to the rounds. Of these, a
-  pair is left out whose set sizes exclude a link, or whose marks (four bits of each minhash)
-  differ in more than ``differ`` of the places (at 0.75 that is over four standard deviations off).
+* In each of the first rounds the members of a table are put in an order drawn anew, large tables
+  in parts, and only neighbours meet. Every document is compared with the most alike of all it
+  meets in other components. Links are confirmed on the full shingle sets, and components are
+  joined at once.
+* What is left are the pairs across components that still share half keys of both collections and
+  have not been compared. Each comes once, from the first half key that both have, so no link
+  between different texts is lost to the rounds.
+
+A pair is left out unseen if the set sizes exclude a link or if the marks (four bits of each minhash)
+differ in more than ``differ`` of the places: at 0.75 that is over four standard deviations off.
 
 Documents without words are linked with nothing. Rows that repeat a doc_id are copies of one
 document if their texts agree; rows without a doc_id share the missing id.
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
@@ -42,7 +45,8 @@ BANDS = 14
 ROWS = 2
 NUMERATOR, DENOMINATOR = 75, 100  # similarity that links
 DIFFER = 0.5  # largest share of unequal marks for which sets are compared in the last round
-ROUNDS = 2
+ROUNDS = 3
+PART_ROWS = 1000
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -151,45 +155,56 @@ def _confirm(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return materialize(map_batches(both, compare, "u long, v long, linked boolean"), "confirmed")
 
 
-def _mismatches(n_hash: int):
+def _mismatches(m: str, other: str, n_hash: int) -> Column:
     """How many of the four-bit marks of two rows differ."""
     out = F.lit(0)
     for k in range(-(-n_hash // 16)):
-        x = F.col("m")[k].bitwiseXOR(F.col("mx")[k])
+        x = F.col(m)[k].bitwiseXOR(F.col(other)[k])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
         out = out + F.bit_count(x)
     return out
 
 
-def _partners(held: DataFrame, tried: DataFrame | None, alone: bool) -> DataFrame:
-    """(u, v): for each document the member of another component that it meets in most tables as their first or last."""
-    if alone:
-        ends = held.groupBy("key").agg(F.min(F.struct("did", "comp")).alias("p"), F.max(F.struct("did", "comp")).alias("q"))
-    else:
-        ends = held.groupBy("key", "comp").agg(F.min("did").alias("did")).groupBy("key").agg(
-            F.min(F.struct("did", "comp")).alias("p"), F.max(F.struct("did", "comp")).alias("q")
-        ).where("p.comp <> q.comp")
-    other = F.when(F.col("p.comp") != F.col("comp"), F.col("p.did")).otherwise(F.col("q.did"))
-    met = held.join(ends, "key").select("did", other.alias("o")).groupBy("did", "o").agg(F.count("*").alias("c"))
-    met = met.select("did", "o", "c", F.greatest("did", "o").alias("u"), F.least("did", "o").alias("v"))
-    if tried is not None:
-        met = met.join(tried.select("u", "v"), ["u", "v"], "left_anti")
-    best = met.groupBy("did").agg(F.max(F.struct("c", F.col("v") * -1, "u", "v")).alias("top"))
-    return best.select("top.u", "top.v").distinct()
-
-
-def _across(held: DataFrame, tried: DataFrame | None, known: DataFrame, differ: float, n_hash: int) -> DataFrame:
-    """(u, v): the pairs of a table across components that have not been compared and look alike by size and marks."""
-    sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+def _sizes_allow(n: str, other: str) -> Column:
+    return F.expr(f"{DENOMINATOR} * least({n}, {other}) >= {NUMERATOR} * greatest({n}, {other})")
+
+
+def _partners(held: DataFrame, round_: int, differ: float, n_hash: int) -> DataFrame:
+    """(u, v): for each document the most alike of the members of other components next to it in its tables.
+
+    Members of a table stand in an order that is drawn anew each round; a large table is dealt into
+    parts of about ``PART_ROWS`` first.
+    """
+    part = F.pmod(F.xxhash64(F.lit(round_), "did"), F.ceil(F.col("c") / PART_ROWS))
+    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("did", F.lit(round_)), "did")
+    beside = held.withColumn("part", part).withColumn("p", F.lag(F.struct("did", "comp", "n", "m")).over(order))
+    met = beside.where(F.expr("p.comp <> comp") & _sizes_allow("n", "p.n")).withColumn("d", _mismatches("m", "p.m", n_hash))
+    met = met.where(F.col("d") <= differ * n_hash).select(F.col("did").alias("x"), F.col("p.did").alias("y"), "d")
+    ways = met.select("d", F.inline(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))))
+    best = ways.groupBy("x").agg(F.min(F.struct("d", "y")).alias("b")).select("x", F.col("b.y").alias("y"))
+    return best.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+
+
+def _across(known: DataFrame, comp: DataFrame, tried: DataFrame, differ: float, n_hash: int) -> DataFrame:
+    """(u, v): the pairs across components that share a half key of either collection and look alike by size and marks.
+
+    A pair comes from the least half key of the first collection that both have, so it comes once.
+    """
+    rows = known.join(comp, "did").select("did", "comp", "n", "m", "a", "b", F.explode("a").alias("key"))
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds")
-    ).where("kinds > 1")
-    rows = held.join(sizes, "key").join(known, "did").select("key", "did", "comp", "n", "m", F.col("top.comp").alias("top"))
-    few = rows.where("comp <> top").select("key", F.col("did").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("m").alias("mx"))
-    near = F.expr(f"comp <> cx AND {DENOMINATOR} * least(n, nx) >= {NUMERATOR} * greatest(n, nx)") & (_mismatches(n_hash) <= differ * n_hash)
-    pairs = few.withColumnRenamed("key", "kx").join(rows, (F.col("kx") == F.col("key")) & near)
-    pairs = pairs.select(F.greatest("did", "x").alias("u"), F.least("did", "x").alias("v")).distinct()
-    return pairs if tried is None else pairs.join(tried.select("u", "v"), ["u", "v"], "left_anti")
+    ).where("kinds > 1").select("key", F.col("top.comp").alias("top"))
+    rows = rows.join(sizes, "key")
+    few = rows.where("comp <> top").select(*(F.col(c).alias(f"{c}_") for c in ("did", "comp", "n", "m", "a", "b", "key")))
+    # two rows that are both few meet twice; the smaller id of them stands on the left
+    near = (
+        (F.col("key_") == F.col("key")) & F.expr("comp <> comp_ AND (comp = top OR did_ < did)") & _sizes_allow("n", "n_")
+        & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & F.arrays_overlap("b", "b_")
+        & (F.array_min(F.array_intersect("a", "a_")) == F.col("key"))
+    )
+    pairs = few.join(rows, near).select(F.greatest("did", "did_").alias("u"), F.least("did", "did_").alias("v"))
+    return pairs.join(tried.select("u", "v"), ["u", "v"], "left_anti")
 
 
 def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, differ: float = DIFFER, rounds: int = ROUNDS,
@@ -213,8 +228,8 @@ def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, ro
     keys = keys.select("did", F.xxhash64("x", "y").alias("key"))
     # tables with two or more members, one for each set of members
     members = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("did").alias("m"), F.sum(F.xxhash64("did") % (1 << 40)).alias("s"))
-    tables = members.where("c > 1").groupBy("c", "m", "s").agg(F.min("key").alias("key")).select("key")
-    keys = materialize(keys.join(tables, "key", "left_semi"), "tables")
+    tables = members.where("c > 1").groupBy("c", "m", "s").agg(F.min("key").alias("key")).select("key", "c")
+    keys = materialize(keys.join(tables, "key").join(known.select("did", "n", "m"), "did"), "tables")
     wanted = keys.select("did").distinct()
 
     def shrink(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -226,16 +241,15 @@ def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, ro
 
     packed = map_batches(pairs_in, shrink, "did long, packed binary").join(wanted, "did", "left_semi").dropDuplicates(["did"])
     packed = materialize(packed, "packed")
-    known = known.select("did", "n", "m")
-
+    n_hash = 2 * bands * rows
     comp = None  # at first every document is its own component
     tried = None
     for round_ in range(rounds + 1):
         held = keys.withColumn("comp", F.col("did")) if comp is None else keys.join(comp, "did")
         if round_ < rounds:
-            pairs = _partners(held, tried, comp is None)
+            pairs = _partners(held, round_, differ, n_hash)
         else:
-            pairs = _across(held, tried, known, differ, 2 * bands * rows)
+            pairs = _across(known, comp, tried, differ, n_hash)
         done = _confirm(pairs, packed, size)
         links = done.where("linked")
         tried = done if tried is None else tried.unionByName(done)
