@@ -16,8 +16,9 @@ def _low(text: str) -> str:
 
 
 LINE_FREQUENCY = f"""WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_words('text')} AS w FROM documents),
-g AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d),
-g2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+4], ' ')) > 1 AS twice FROM g),
+g AS (SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS g
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g2 AS (SELECT doc_id, i, g IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g) > 1 AS twice FROM g),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g2 WHERE twice) GROUP BY doc_id),
 lines AS (SELECT doc_id, source, text, line, {_words('line')} AS lw, array_to_string({_words(_low('line'))}, ' ') AS norm
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)),
