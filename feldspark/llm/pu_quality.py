@@ -128,6 +128,16 @@ def labelled(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame
     )
 
 
+def first_by_hash(rows: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """The ``n`` rows of smallest key hash, out of about ``total`` distinct keys.
+
+    Hashes beyond the share that surely holds them are left out first, so that no task offers ``n`` rows of its own.
+    """
+    share = min(1.0, (n + 8 * n**0.5 + 16) / max(total, 1))
+    h = F.xxhash64(key)
+    return rows.where(h <= min((1 << 63) - 1, int(share * 2**64) - (1 << 63))).orderBy(h, key).limit(n)
+
+
 def score(docs: DataFrame, labels: DataFrame, fold: int = 2, folds: int = 4, sample: int = SAMPLE, threshold: float = THRESHOLD,
           label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted. Labels of fold ``fold`` are never used."""
@@ -144,10 +154,10 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 2, folds: int = 4, sam
     train = labelled(labels, label).where(remainder("id", folds) != fold)
     share = train.agg(F.avg("y"), F.count("*")).first()
     prior = float(share[0]) if share[1] else 0.5
-    rows = known.join(train, known["did"] == train["id"]).select("x", "y", F.xxhash64("did").alias("h"))
+    rows = known.join(train, known["did"] == train["id"]).select("did", "x", "y")
     # at most 2 * sample rows of figures come to the driver
-    positive = rows.where("y = 1").orderBy("h").limit(sample).select("x").collect()
-    unlabelled = rows.orderBy("h").limit(sample).select("x").collect()
+    positive = first_by_hash(rows.where("y = 1"), "did", sample, int(prior * share[1])).select("x").collect()
+    unlabelled = first_by_hash(rows, "did", sample, share[1]).select("x").collect()
     model = None
     if positive and 0 < prior < 1:
         model = fit(np.array([r[0] for r in positive]), np.array([r[0] for r in unlabelled]), prior)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
 from feldspark.llm.frames import NO_ID, id_and_text, map_batches, real_id
-from feldspark.llm.pu_quality import labelled, remainder
+from feldspark.llm.pu_quality import first_by_hash, labelled, remainder
 from feldspark.session import materialize
 
 EXAMPLES = 20_000
@@ -123,7 +123,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, exa
     """One row per row of ``docs``: doc_id, held_out, score, predicted, neighbours (ids), cosines. Labels of fold ``fold`` are never used."""
     pairs = id_and_text(docs, id_col, text_col)
     train = labelled(labels, label).where(remainder("id", folds) != fold)
-    chosen = materialize(train.orderBy(F.xxhash64("id")).limit(examples), "examples")
+    chosen = materialize(first_by_hash(train, "id", examples, train.count()), "examples")
     found = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n = found.get(0, 0), found.get(1, 0)
     # bounded: at most ``examples`` rows of an id and a label
