@@ -785,7 +785,7 @@ _BUCKETED = f"""(SELECT o_custkey::DOUBLE AS x, o_totalprice AS y, {sql_uniform(
 
 @query(f"""WITH w AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM {_BUCKETED} WHERE fitted),
 e AS (SELECT fitted, y, y - i - s * x AS d FROM {_BUCKETED}, w)
-SELECT CASE WHEN fitted THEN 'train' ELSE 'validation' END AS split, round(avg(abs(d)), 3) AS mae, round(sqrt(avg(d * d)), 3) AS rmse,
+SELECT CASE WHEN fitted THEN 'train' ELSE 'validation' END AS split, round(avg(abs(d)), 3) AS mae, round(avg(d * d), 0) AS mse, round(sqrt(avg(d * d)), 3) AS rmse,
   round(1 - sum(d * d) / (count(*) * var_pop(y)), 6) AS r2 FROM e GROUP BY fitted""")
 def train_on_store(spark, sf):
     store, registry = _store(spark), models.ModelRegistry(spark, scratch_path(spark, "models"))
@@ -796,7 +796,7 @@ def train_on_store(spark, sf):
     store.write(orders, "orders", "v1")
     steps = [{"type": "filter", "column": "target", "condition": "gt:2000"}]
     _, found = train_from_store(store, "orders", registry, "price", target="target", key="id", steps=steps)
-    return rounded(rounded(found.select("split", "mae", "rmse", "r2"), 6, ["r2"]), 3, ["mae", "rmse"])
+    return rounded(rounded(rounded(found.select("split", "mae", "mse", "rmse", "r2"), 6, ["r2"]), 3, ["mae", "rmse"]), 0, ["mse"])
 
 
 @query(f"""WITH s AS (SELECT avg(feature_1) AS m1, stddev_samp(feature_1) AS s1, avg(feature_2) AS m2, stddev_samp(feature_2) AS s2 FROM {FRAME})
@@ -952,24 +952,34 @@ def topk_checkpoints(spark, sf):
 # ---------------------------------------------------------------- monitoring
 
 
-@query("SELECT event_id AS seq, event_type AS name, value, user_id AS context FROM events ORDER BY ts DESC, event_id DESC LIMIT 250")
+def _timed(df: DataFrame) -> DataFrame:
+    return df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts"
+
+
+@query(f"SELECT event_id AS seq, event_type AS name, value, user_id AS context, {_TS} FROM (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 250)")
 def recent_metrics(spark, sf):
-    return monitoring.recent_metrics(_metrics(spark, sf), 250).drop("ts")
+    return _timed(monitoring.recent_metrics(_metrics(spark, sf), 250))
 
 
-_SPIKES = """(SELECT event_id AS seq, user_id AS context, value, previous FROM (
-  SELECT event_id, user_id, value, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+_SPIKES = """(SELECT event_id AS seq, user_id AS context, ts, value, previous FROM (
+  SELECT event_id, user_id, ts, value, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
     ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS previous FROM events) WHERE previous > 0 AND value > previous * 5)"""
 
 
-@query(f"SELECT seq, context, value, round(previous, 6) AS previous FROM {_SPIKES}")
+_SPIKES_SQL = f"SELECT seq, context, {_TS}, value, round(previous, 6) AS previous FROM {_SPIKES}"
+
+
+@query(_SPIKES_SQL)
 def loss_spikes(spark, sf):
-    return rounded(monitoring.loss_spikes(_metrics(spark, sf)).drop("ts"))
+    return _timed(rounded(monitoring.loss_spikes(_metrics(spark, sf))))
 
 
-@query(f"SELECT seq, context, value, round(previous, 6) AS previous FROM {_SPIKES}")
+@query(_SPIKES_SQL)
 def loss_spikes_hot(spark, sf):
-    return rounded(monitoring.loss_spikes(_metrics(spark, sf), chunk_rows=12).drop("ts"))
+    return _timed(rounded(monitoring.loss_spikes(_metrics(spark, sf), chunk_rows=12)))
 
 
 def _ks_sql(feature: str, x: str) -> str:
@@ -1042,18 +1052,23 @@ _NAMED = """(SELECT event_id AS seq, value, ts, CASE event_type WHEN 'click' THE
 _LATEST = f"(SELECT * FROM {_NAMED} ORDER BY ts DESC, seq DESC LIMIT 100)"
 
 
+def _half_up(x: str, digits: int) -> str:
+    """Decimal ties away from zero, as Spark formats them."""
+    return f"round({x}::DECIMAL(30, 9), {digits})::DOUBLE"
+
+
 def _over_sql(source: str) -> str:
     return f"""(SELECT seq, name, value, CASE name WHEN 'system.cpu.percent' THEN 'high_cpu_usage' WHEN 'system.memory.percent' THEN 'high_memory_usage'
-    ELSE 'high_prediction_latency' END AS type, CASE name WHEN 'system.cpu.percent' THEN printf('High CPU usage: %.1f%%', value)
-    WHEN 'system.memory.percent' THEN printf('High memory usage: %.1f%%', value) ELSE printf('High prediction latency: %.3fs', value) END AS message,
+    ELSE 'high_prediction_latency' END AS type, CASE name WHEN 'system.cpu.percent' THEN printf('High CPU usage: %.1f%%', {_half_up('value', 1)})
+    WHEN 'system.memory.percent' THEN printf('High memory usage: %.1f%%', {_half_up('value', 1)}) ELSE printf('High prediction latency: %.3fs', {_half_up('value', 3)}) END AS message,
     'warning' AS severity FROM {source}
   WHERE (name = 'system.cpu.percent' AND value > 80) OR (name = 'system.memory.percent' AND value > 90) OR (name = 'serving.prediction.latency' AND value > 1))"""
 
 
-@query(f"SELECT seq, name, value, type, severity FROM {_over_sql(_LATEST)}")
+@query(f"SELECT seq, name, value, type, message, severity FROM {_over_sql(_LATEST)}")
 def threshold_alerts(spark, sf):
     found = monitoring.threshold_alerts(system_metrics(table(spark, sf, "events")))
-    return found.select("seq", "name", "value", "type", "severity")
+    return found.select("seq", "name", "value", "type", "message", "severity")
 
 
 @query(f"SELECT name, round(avg(value), 6) AS avg, max(value) AS max, count(*) AS n FROM {_LATEST} WHERE name LIKE 'system.%' GROUP BY name")
@@ -1064,7 +1079,7 @@ def metric_summary(spark, sf):
 _ALERTS = f"""(SELECT 'training_loss_spike' AS type, printf('Training loss spike in %s: %.4f (5x previous average)', context::VARCHAR, value) AS message, 'warning' AS severity FROM {_SPIKES}
 UNION ALL SELECT 'data_drift', printf('Data drift detected in feature %s: KS statistic = %.4f, p-value = %.4f', feature, ks, p), 'warning' FROM ({_KS}) WHERE p < 0.05
 UNION ALL SELECT 'model_decay', printf('Model v1 performance decay in %s: %.1f%% decay', name, decay * 100), 'warning' FROM {_DECAY} WHERE decay > 0.1
-UNION ALL SELECT type, regexp_replace(message, '[0-9.]+', '#'), severity FROM {_over_sql(_LATEST)})"""
+UNION ALL SELECT type, message, severity FROM {_over_sql(_LATEST)})"""
 
 
 def _alerts(spark, sf):
@@ -1073,8 +1088,7 @@ def _alerts(spark, sf):
         monitoring.spike_alerts(monitoring.loss_spikes(_metrics(spark, sf))),
         monitoring.drift_alerts(_drift(spark, sf)),
         monitoring.decay_alerts(_decay(spark, sf), "v1"),
-        # two-decimal values fall on rounding ties, which the two engines print differently
-        limits.withColumn("message", F.regexp_replace("message", "[0-9.]+", "#")),
+        limits,
     )
 
 
@@ -1108,7 +1122,10 @@ def metric_log(spark, sf):
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return streams.read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+    """The events in order of time, in four batches."""
+    events, folder = table(spark, sf, "events"), scratch_path(spark, "arrivals")
+    streams.land(events, "ts", folder)
+    return streams.read_stream(spark, folder, "*.parquet", events.schema, files=1)
 
 
 @query(f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS window_start, name, round(avg(value), 6) AS avg,
@@ -1119,13 +1136,12 @@ def stream_window_summary(spark, sf):
     return rounded(done.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm")))
 
 
-@query(f"SELECT seq, name, value, type, severity FROM {_over_sql(_NAMED)}")
+@query(f"SELECT seq, name, value, type, message, severity FROM {_over_sql(_NAMED)}")
 def stream_alerts(spark, sf):
     found = streams.alert_stream(system_metrics(_event_stream(spark, sf)))
-    return streams.run_to_table(found, "alerts").select("seq", "name", "value", "type", "severity")
+    return streams.run_to_table(found, "alerts").select("seq", "name", "value", "type", "message", "severity")
 
 
-@query(f"SELECT seq, context, value, round(previous, 6) AS previous FROM {_SPIKES}")
+@query(_SPIKES_SQL)
 def stream_loss_spikes(spark, sf):
-    found = streams.run_spikes(metric_frame(_event_stream(spark, sf)))
-    return rounded(found.drop("ts"))
+    return _timed(rounded(streams.run_spikes(metric_frame(_event_stream(spark, sf)))))

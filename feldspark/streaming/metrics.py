@@ -12,9 +12,21 @@ from feldspark.operators.monitoring import SPIKE_FACTOR, THRESHOLDS, exceeding,
 from feldspark.session import materialize, remove_path, scratch_path
 
 
-def read_stream(spark: SparkSession, folder: str, pattern: str, schema) -> DataFrame:
-    """A file stream over the parquet files of ``folder`` that match ``pattern``."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_stream(spark: SparkSession, folder: str, pattern: str, schema, files: int | None = None) -> DataFrame:
+    """A file stream over the parquet files of ``folder`` that match ``pattern``, ``files`` a batch if given."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(folder)
+
+
+def land(rows: DataFrame, time: str, folder: str, parts: int = 4) -> None:
+    """Write ``rows`` as ``parts`` files that arrive one after the other, in order of time."""
+    spans = rows.agg(F.percentile_approx(F.unix_micros(F.col(time).cast("timestamp")), [i / parts for i in range(1, parts)])).first()[0] or []
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    edges = [None, *sorted(set(spans)), None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows if low is None else rows.filter(at > low)
+        part = part if high is None else part.filter(at <= high)
+        part.coalesce(1).write.mode("append").parquet(folder)
 
 
 def window_summary(metrics: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -39,7 +51,8 @@ class SpikeDetector:
     all; earlier state is read for the contexts of the batch only. A batch runs the
     batch operator over kept and new rows, so a hot context is cut into blocks here
     too. A replayed batch reads the same earlier state and writes the same rows again.
-    Rows must not arrive in a later batch than rows that follow them in time.
+    Rows must not arrive in a later batch than rows of their context that follow them in
+    time; those that do are compared as if they came last, and ``late`` returns them.
     """
 
     def __init__(
@@ -72,6 +85,9 @@ class SpikeDetector:
             seen = new.select(F.col(self.context).alias("_seen")).distinct()
             mine = kept.join(seen, F.col(self.context).eqNullSafe(F.col("_seen")), "left_semi")
             rows = materialize(new.unionByName(mine), "batch")
+            newest = mine.groupBy(F.col(self.context).alias("_seen")).agg(F.max(F.struct("ts", "seq")).alias("_last"))
+            behind = new.join(newest, F.col(self.context).eqNullSafe(F.col("_seen"))).filter(F.struct("ts", "seq") < F.col("_last"))
+            behind.select(*new.columns).write.mode("overwrite").parquet(f"{self.path}/late/batch={batch_id}")
         found = loss_spikes(rows, self.context, self.window, self.factor)
         if batch_id > 0:
             found = found.join(new.select("seq"), "seq", "left_semi")
@@ -84,6 +100,10 @@ class SpikeDetector:
             for old in range(max(batch_id - 1 - self.compact, 0), batch_id - 1):
                 remove_path(spark, self._state(old))
 
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Rows that came after rows of their context that follow them; needs two batches or more."""
+        return spark.read.parquet(f"{self.path}/late").drop("batch")
+
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/spikes").drop("batch")
 
