@@ -20,7 +20,8 @@ Nothing is emitted per pair of a group:
   between different texts is lost to the rounds.
 
 A pair is left out unseen if the set sizes exclude a link or if the marks (four bits of each minhash)
-differ in more than ``differ`` of the places: at 0.75 that is over four standard deviations off.
+differ in more than ``differ`` of the places: at 0.75 that is over four standard deviations off. Pairs
+of the last pass must agree by the marks of 512 bins of the set as well, by the same standard.
 
 Documents without words are linked with nothing. Rows that repeat a doc_id are copies of one
 document if their texts agree; rows without a doc_id share the missing id.
@@ -44,6 +45,7 @@ SHINGLE = 5
 BANDS = 14
 ROWS = 2
 NUMERATOR, DENOMINATOR = 75, 100  # similarity that links
+BINS = 512  # of a set's bin marks, four bits each
 DIFFER = 0.5  # largest share of unequal marks for which sets are compared in the last round
 ROUNDS = 3
 PART_ROWS = 1000
@@ -73,8 +75,17 @@ def multipliers(n: int) -> np.ndarray:
     return arrays.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def bin_marks(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Per text (of n) and bin of the hash range four bits of the least hash in it, 0 if there is none, packed in longs."""
+    spot = owner * BINS + (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(spot) else np.zeros(0, np.int64)
+    marks = np.zeros(n * BINS, np.uint64)
+    marks[spot[first]] = np.uint64(1) + arrays.mix(hashes[first]) % np.uint64(15)
+    return (marks.reshape(n, BINS // 16, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+
+
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """did, n (set size), f1 and f2 (a 128-bit name of the set), half keys a and b, marks m."""
+    """did, n (set size), f1 and f2 (a 128-bit name of the set), half keys a and b, marks m, bin marks w."""
     n_hash = 2 * bands * rows
 
     def sketch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -86,9 +97,11 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             some = np.flatnonzero(n)
             least = np.zeros((len(sets), n_hash), np.uint64)
             f1, f2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+            bins = np.zeros((len(sets), BINS // 16), np.uint64)
             if len(some):
                 h = np.concatenate([sets[i] for i in some.tolist()])
                 at = np.cumsum(n[some]) - n[some]
+                bins[some] = bin_marks(h, np.repeat(np.arange(len(some)), n[some]), len(some))
                 f1[some], f2[some] = np.add.reduceat(h, at), np.bitwise_xor.reduceat(arrays.mix(h + np.uint64(1)), at)
                 for k in range(n_hash):
                     least[some, k] = np.minimum.reduceat(h * factor[k], at)
@@ -107,12 +120,12 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(row, len(sets)), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                    flat(key[:, :bands]), flat(key[:, bands:]), flat(mark),
+                    flat(key[:, :bands]), flat(key[:, bands:]), flat(mark), flat(bins),
                 ],
-                ["did", "n", "f1", "f2", "a", "b", "m"],
+                ["did", "n", "f1", "f2", "a", "b", "m", "w"],
             )
 
-    schema = "did long, n long, f1 long, f2 long, a array<long>, b array<long>, m array<long>"
+    schema = "did long, n long, f1 long, f2 long, a array<long>, b array<long>, m array<long>, w array<long>"
     return map_batches(docs, sketch, schema)
 
 
@@ -166,6 +179,25 @@ def _mismatches(m: str, other: str, n_hash: int) -> Column:
     return out
 
 
+def _bins_allow() -> Column:
+    """Whether the bin marks of two rows allow for a link: each bin that either has is a draw from the union.
+
+    Draws are without replacement, so the spread shrinks as bins cover the union; the limit is four and a
+    half standard deviations above the differing bins expected at the similarity that links.
+    """
+    differ, either = F.lit(0), F.lit(0)
+    for k in range(BINS // 16):
+        for x, add in ((F.col("w")[k].bitwiseXOR(F.col("w_")[k]), True), (F.col("w")[k].bitwiseOR(F.col("w_")[k]), False)):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+            x = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+            differ, either = (differ + x, either) if add else (differ, either + x)
+    s = NUMERATOR / DENOMINATOR
+    chance = (1 - s) * 14 / 15
+    whole = (F.col("n") + F.col("n_")) / (1 + s)
+    spread = either * (s * (1 - s) * (1 - F.least(F.lit(1.0), either / whole)) + (1 - s) * 14 / 225)
+    return differ <= chance * either + 4.5 * F.sqrt(spread) + 1
+
+
 def _sizes_allow(n: str, other: str) -> Column:
     return F.expr(f"{DENOMINATOR} * least({n}, {other}) >= {NUMERATOR} * greatest({n}, {other})")
 
@@ -191,16 +223,16 @@ def _across(known: DataFrame, comp: DataFrame, tried: DataFrame, differ: float,
 
     A pair comes from the least half key of the first collection that both have, so it comes once.
     """
-    rows = known.join(comp, "did").select("did", "comp", "n", "m", "a", "b", F.explode("a").alias("key"))
+    rows = known.join(comp, "did").select("did", "comp", "n", "m", "w", "a", "b", F.explode("a").alias("key"))
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds")
     ).where("kinds > 1").select("key", F.col("top.comp").alias("top"))
     rows = rows.join(sizes, "key")
-    few = rows.where("comp <> top").select(*(F.col(c).alias(f"{c}_") for c in ("did", "comp", "n", "m", "a", "b", "key")))
+    few = rows.where("comp <> top").select(*(F.col(c).alias(f"{c}_") for c in ("did", "comp", "n", "m", "w", "a", "b", "key")))
     # two rows that are both few meet twice; the smaller id of them stands on the left
     near = (
         (F.col("key_") == F.col("key")) & F.expr("comp <> comp_ AND (comp = top OR did_ < did)") & _sizes_allow("n", "n_")
-        & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & F.arrays_overlap("b", "b_")
+        & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & _bins_allow() & F.arrays_overlap("b", "b_")
         & (F.array_min(F.array_intersect("a", "a_")) == F.col("key"))
     )
     pairs = few.join(rows, near).select(F.greatest("did", "did_").alias("u"), F.least("did", "did_").alias("v"))
@@ -221,7 +253,7 @@ def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, ro
     shared = halves.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     kept = halves.join(shared, "h", "left_semi").groupBy("did").agg(F.collect_set("h").alias("hs"))
     known = reps.join(kept, "did").select(
-        "did", "n", "m", F.array_intersect("a", "hs").alias("a"), F.array_intersect("b", "hs").alias("b")
+        "did", "n", "m", "w", F.array_intersect("a", "hs").alias("a"), F.array_intersect("b", "hs").alias("b")
     ).where("size(a) > 0 AND size(b) > 0")
     known = materialize(known, "known")
     keys = known.select("did", "b", F.explode("a").alias("x")).select("did", "x", F.explode("b").alias("y"))
