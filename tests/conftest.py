@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from feldspark.session import local_session  # noqa: E402
+from feldspark.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,6 +13,7 @@ def spark():
     session = local_session(4, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
