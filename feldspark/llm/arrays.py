@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -9,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BATCH_BYTES = 2 << 20  # texts are taken in batches of about this size; a longer text is its own batch
+BATCH_BYTES = 1 << 20  # texts are taken in batches of about this size; a longer text is its own batch
 SPACE = np.ones(256, bool)  # bytes of words that end at ASCII white space
 SPACE[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, bool)  # digits, lower-case letters and every byte of a non-ASCII character
@@ -58,6 +59,14 @@ def worker_cache() -> dict:
     return vars(sys.modules.setdefault("_feldspark_worker", types.ModuleType("_feldspark_worker")))
 
 
+def release() -> None:
+    """Give freed memory back to the system, as a worker stays for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _powers(size: int, base: np.uint64) -> np.ndarray:
     held = worker_cache()
     key = f"powers{base}"

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feldspark.llm import arrays
+
 NO_ID = -(1 << 63)  # stands for a missing doc_id inside an operator
 
 
@@ -36,6 +38,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordB
         for batch in source:
             if batch.num_rows:
                 yield from f(batch)
+            arrays.release()
 
     return df.mapInArrow(run, schema)
 

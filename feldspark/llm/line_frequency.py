@@ -96,6 +96,7 @@ def _map(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in source:
         if batch.num_rows:
             yield from _profile(batch)
+        arrays.release()
 
 
 def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT,
@@ -148,6 +149,7 @@ def strip_lines(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+            arrays.release()
 
     names = docs.columns
     judged, removed = fresh(docs, "judged_id"), fresh(docs, "removed_lines")

@@ -114,6 +114,7 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             if chars:
                 columns["n_chars"] = pa.array(chars, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+            arrays.release()
 
     return joined.select(*(f"`{c}`" for c in names), found).mapInArrow(strip, docs.schema)
 

@@ -197,6 +197,7 @@ def exchange(docs: DataFrame, units: Units, every_place: bool, reduce: Callable,
             dids = np.asarray(batch.column(0))
             for row, texts in arrays.batches(batch.column(1), CHUNK_BYTES):
                 yield from _packed(dids[row : row + len(texts)], texts)
+            arrays.release()
 
     def _packed(dids: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         parts = []
