@@ -1,20 +1,25 @@
-"""Toxicity by votes of the nearest labelled examples under exact TF-IDF cosine.
-
-Examples are at most ``examples`` labelled rows (smallest hash of the id first). Terms are the
-words that occur ``ratio`` times as often in toxic examples as in others, by a clear chi-square, at most ``terms`` of them; inverse document frequencies are counted over all
-documents. Examples are indexed by term in blocks of ``block`` consecutive examples, each with its
-largest weight. A query adds up these maxima to bound every block, scores blocks best bound first
-and stops when the k-th best cosine beats all bounds left, so the k neighbours are exact. Their
-votes, weighted by squared cosine and shrunk to the rate of the class among examples, are the score; the
-neighbours themselves are the evidence. A document is never its own neighbour.
-
-Null and empty texts, and texts without a term, have no neighbour and get the share of toxic
-examples among those without a term. Rows that repeat a doc_id are each scored; an id labelled
-twice counts by its mean label. Without labels every score is 0.
+"""Toxicity by votes of the nearest labelled examples under exact TF-IDF cosine of whole texts.
+
+Examples are at most ``examples`` labelled rows (smallest hash of the id first). Every word of a text is
+a term; inverse document frequencies are counted over all documents. The ``common`` terms that most
+examples hold are a matrix with the largest weight of each block of ``block`` consecutive examples, all
+others have postings. A query adds up its postings; only blocks that their largest weights may lift to
+the k-th best sum are completed with the common terms, and what comes near the k-th best is computed
+again in double precision, so the k neighbours are exact. Words that no example holds count in the length of a query.
+
+Votes are weighted by squared cosine and the inverse share of their class among examples, and shrunk to
+one half, so that a rare class can win; they are the score, and the neighbours themselves are the
+evidence. A document is never its own neighbour.
+
+Null and empty texts have no neighbour and get the share of toxic examples among those without a
+word; texts without a word of any example get that among all. Rows that repeat a doc_id are each scored;
+an id labelled twice counts by its mean label. Without labels every score is 0.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +33,13 @@ from feldspark.llm.pu_quality import first_by_hash, labelled, remainder
 from feldspark.session import materialize
 
 EXAMPLES = 20_000
-TERMS = 4096
-RATIO = 4.0
-CHI_SQUARE = 40.0
 K = 15
 BLOCK = 64
+COMMON = 512
+QUERIES = 64  # scored together
 SHRINK = 0.2
 THRESHOLD = 0.7
+ERROR = 1e-4  # relative; above that of single-precision sums of positive products
 
 
 def word_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,160 +50,227 @@ def word_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return arrays.slice_hash(arrays.prefix_hash(data), starts, ends), np.searchsorted(starts, lo), np.searchsorted(starts, hi)
 
 
-def choose_terms(sample: DataFrame, n: tuple[int, int], terms: int, ratio: float, chi_square: float) -> np.ndarray:
-    """Sorted hashes of the terms that tell the classes of ``sample`` (text, y) apart; ``n`` rows of class 0 and 1."""
+def term_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct words of all texts; for each (text, word) the text, the place of the word and how often it stands there."""
+    words, first, last = word_sets(texts)
+    distinct, at = np.unique(words, return_inverse=True)
+    width = max(len(distinct), 1)
+    key, tf = np.unique(np.repeat(np.arange(len(texts)), last - first) * width + at, return_counts=True)
+    return distinct, key // width, key % width, tf
 
-    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        y = np.asarray(batch.column(1))
-        for row, texts in arrays.batches(batch.column(0)):
-            words, first, last = word_sets(texts)
-            sets = [np.unique(words[a:b]) for a, b in zip(first.tolist(), last.tolist())]
-            kind = np.repeat(y[row : row + len(texts)], [len(s) for s in sets])
-            keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
-            toxic = np.bincount(at, kind, len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.bincount(at, minlength=len(keys)) - toxic), pa.array(toxic)], ["term", "c0", "c1"]
-            )
 
-    counts = map_batches(sample.select("text", "y"), count, "term long, c0 long, c1 long").groupBy("term").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    n0, n1 = n
-    p0, p1 = (F.col("c0") + 0.5) / (n0 + 1), (F.col("c1") + 0.5) / (n1 + 1)
-    cross = F.col("c1") * (n0 - F.col("c0")) - F.col("c0") * (n1 - F.col("c1"))
-    held = F.col("c0") + F.col("c1")
-    chi = cross * cross * float(n0 + n1) / (held * (n0 + n1 - held) * float(n0) * n1)
-    good = counts.where((n0 + n1 > held) & (p1 >= ratio * p0)).withColumn("chi", chi).where(F.col("chi") >= chi_square)
-    rows = good.orderBy(F.desc("chi"), "term").limit(terms).select("term").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+def count_documents(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for _, texts in arrays.batches(batch.column(0)):
+        distinct, _, place, _ = term_counts(texts)
+        yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(place, minlength=len(distinct)))], ["term", "df"])
+
+
+def count_terms(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for row, texts in arrays.batches(batch.column(2)):
+        distinct, owner, place, tf = term_counts(texts)
+        offsets = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(i).slice(row, len(texts)) for i in (0, 1)), pa.ListArray.from_arrays(offsets, pa.array(distinct[place].view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))),
+            ],
+            ["did", "y", "terms", "tf"],
+        )
+
+
+def within(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each value among sorted keys, and whether it is one of them."""
+    if not len(keys):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.searchsorted(keys, values)
+    at[at == len(keys)] = 0
+    return at, keys[at] == values
+
+
+def runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the runs that begin at ``start``."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Compressed bytes of whole numbers, equal places of all of them together."""
+    values = values.astype("<i4")
+    return zlib.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 class Index:
-    """Block-max inverted index over unit vectors."""
-
-    def __init__(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, n_terms: int, block: int):
-        order = np.lexsort((owner, term))
-        self.owner, self.weight, self.block, self.n = owner[order], weight[order], block, n
-        term = term[order]
-        self.blocks = -(-n // block)
-        lane = term * self.blocks + self.owner // block
-        head = np.flatnonzero(np.append(True, lane[1:] != lane[:-1])) if len(lane) else np.zeros(0, np.int64)
-        self.lane_at = head
-        self.lane_end = np.append(head[1:], len(lane))
-        self.lane_block = (lane[head] % max(self.blocks, 1)).astype(np.int64)
-        self.lane_max = np.maximum.reduceat(self.weight, head) if len(lane) else np.zeros(0)
-        self.term_lane = np.searchsorted(term[head], np.arange(n_terms + 1))
+    """Block-max index over unit vectors: a matrix of the commonest terms, postings of all others."""
+
+    def __init__(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, n_terms: int, block: int, common: int = COMMON):
+        self.n, self.block, self.n_terms = n, block, n_terms
+        held = np.bincount(term, minlength=n_terms)
+        most = np.argsort(-held, kind="stable")[:common]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[most] = np.arange(len(most))
+        self.dense = np.zeros((n, len(most)), np.float32)
+        spot = np.flatnonzero(self.column[term] >= 0)
+        self.dense[owner[spot], self.column[term[spot]]] = weight[spot]
+        self.peak = np.maximum.reduceat(self.dense, np.arange(0, n, block), axis=0) if n else self.dense
+        spot = np.flatnonzero(self.column[term] < 0)
+        spot = spot[np.argsort(term[spot], kind="stable")]
+        self.post_owner, self.post_weight = owner[spot].astype(np.int32), weight[spot]
+        del spot
+        self.post_at = np.append(0, np.cumsum(np.where(self.column < 0, held, 0)))
+        # whole vectors, for the last word
+        if (owner[1:] < owner[:-1]).any():
+            order = np.argsort(owner, kind="stable")
+            term, weight = term[order], weight[order]
+        self.term, self.weight = term.astype(np.int32, copy=False), weight
+        self.start = np.append(0, np.cumsum(np.bincount(owner, minlength=n)))
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine with a query (smaller number first among equals), and the cosines."""
-        lanes = np.concatenate([np.arange(self.term_lane[t], self.term_lane[t + 1]) for t in term.tolist()])
-        if not len(lanes):
-            return np.zeros(0, np.int64), np.zeros(0)
-        factor = np.repeat(weight, self.term_lane[term + 1] - self.term_lane[term])
-        bound = np.bincount(self.lane_block[lanes], factor * self.lane_max[lanes], self.blocks)
-        visit = np.argsort(-bound, kind="stable")
-        visit = visit[bound[visit] > 0]
-        by_block = np.argsort(self.lane_block[lanes], kind="stable")
-        lane_of = self.lane_block[lanes][by_block]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for i in range(0, len(visit), 16):
-            few = visit[i : i + 16]
-            if len(best) == k and cosine[-1] > bound[few[0]] + 1e-9:
-                break
-            a, b = np.searchsorted(lane_of, few), np.searchsorted(lane_of, few, side="right")
-            mine = by_block[np.repeat(a - np.append(0, np.cumsum(b - a)[:-1]), b - a) + np.arange((b - a).sum())]
-            at, end = self.lane_at[lanes[mine]], self.lane_end[lanes[mine]]
-            size = end - at
-            spot = np.repeat(at - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-            owner, where = np.unique(self.owner[spot], return_inverse=True)
-            got = np.bincount(where, self.weight[spot] * np.repeat(factor[mine], size), len(owner))
-            keep = owner != skip
-            best, cosine = np.append(best, owner[keep]), np.append(cosine, got[keep])
-            order = np.lexsort((best, -np.round(cosine, 9)))[:k]
-            best, cosine = best[order], cosine[order]
-        return best, cosine
-
-
-def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, examples: int = EXAMPLES, terms: int = TERMS, ratio: float = RATIO,
-          chi_square: float = CHI_SQUARE, k: int = K, block: int = BLOCK, threshold: float = THRESHOLD, label: str = "toxic",
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        return self.nearest_of([(term, weight, skip)], k)[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray, int]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for several queries (term, weight, skip)."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        ask = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        sums = np.zeros((len(queries), self.n), np.float32)
+        for j, (term, weight, _) in enumerate(queries):
+            column = self.column[term]
+            ask[j, column[column >= 0]] = weight[column >= 0]
+            rare, factor = term[column < 0], weight[column < 0]
+            a, b = self.post_at[rare], self.post_at[rare + 1]
+            spans = list(zip(a.tolist(), b.tolist()))
+            if spans:
+                owner = np.concatenate([self.post_owner[p:q] for p, q in spans])
+                value = np.concatenate([self.post_weight[p:q] for p, q in spans]) * np.repeat(factor, b - a)
+                sums[j] = np.bincount(owner, value, self.n)
+        skips = np.array([skip for *_, skip in queries])
+        own = np.flatnonzero(skips >= 0)
+        sums[own, skips[own]] = -np.inf
+        # sums of the postings bound the k-th best from below; a block is left out if its largest weights cannot lift it there
+        kth = self._kth(sums, k)
+        peak = np.maximum.reduceat(sums, np.arange(0, self.n, self.block), axis=1) + ask @ self.peak.T
+        visit = peak * (1 + ERROR) >= kth[:, None]
+        few = visit.sum(axis=1) * 16 <= visit.shape[1]
+        sums[~few] += ask[~few] @ self.dense.T
+        for j in np.flatnonzero(few).tolist():
+            for i in np.flatnonzero(visit[j]).tolist():
+                part = slice(i * self.block, (i + 1) * self.block)
+                sums[j, part] += self.dense[part] @ ask[j]
+        kth = self._kth(sums, k)
+        full, out = np.zeros(self.n_terms), []
+        for j, (term, weight, _) in enumerate(queries):
+            near = np.flatnonzero((sums[j] > 0) & (sums[j] >= kth[j] * (1 - ERROR)))
+            full[term] = weight
+            size = self.start[near + 1] - self.start[near]
+            at = runs(self.start[near], size)
+            cosine = np.add.reduceat(full[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(near) else np.zeros(0)
+            full[term] = 0
+            order = np.lexsort((near, -np.round(cosine, 9)))[:k]
+            out.append((near[order], cosine[order]))
+        return out
+
+    def _kth(self, sums: np.ndarray, k: int) -> np.ndarray:
+        return np.maximum(np.partition(sums, self.n - k, axis=1)[:, self.n - k], 0) if k < self.n else np.zeros(len(sums))
+
+
+def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, examples: int = EXAMPLES, k: int = K, block: int = BLOCK,
+          threshold: float = THRESHOLD, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, neighbours (ids), cosines. Labels of fold ``fold`` are never used."""
     pairs = id_and_text(docs, id_col, text_col)
     train = labelled(labels, label).where(remainder("id", folds) != fold)
-    chosen = materialize(first_by_hash(train, "id", examples, train.count()), "examples")
-    found = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n = found.get(0, 0), found.get(1, 0)
-    # bounded: at most ``examples`` rows of an id and a label
-    sample = pairs.join(F.broadcast(chosen), pairs["did"] == chosen["id"]).select("text", "y")
-    vocabulary = choose_terms(sample, n, terms, ratio, chi_square) if min(n) else np.zeros(0, np.uint64)
-
-    def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    chosen = first_by_hash(train, "id", examples, train.count())
+    total = pairs.count()
+    counts = map_batches(pairs.select("text"), count_documents, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    counts = materialize(counts.withColumn("idf", F.log((1 + total) / (1 + F.col("df"))) + 1), "terms")
+    # bounded: at most ``examples`` rows of an id, a label and a text
+    sample = pairs.join(F.broadcast(chosen), pairs["did"] == chosen["id"]).select("did", "y", "text").dropDuplicates(["did"])
+    sample = materialize(map_batches(sample, count_terms, "did long, y int, terms array<long>, tf array<int>"), "examples")
+    known = sample.select(F.explode("terms").alias("term")).distinct().join(counts, "term").select("term", "idf").toArrow()
+    vocabulary, idf = known["term"].to_numpy().view(np.uint64), known["idf"].to_numpy()
+    order = np.argsort(vocabulary)
+    vocabulary, idf = vocabulary[order], idf[order]
+    rows = sample.toArrow().combine_chunks().sort_by("did").combine_chunks()
+    y = rows["y"].to_numpy().astype(float)
+    size = rows["terms"].combine_chunks().value_lengths().to_numpy()
+    base = float(y.mean()) if len(y) else 0.0
+    bare = y[size == 0]
+    alone = float((bare.sum() + SHRINK * base) / (len(bare) + SHRINK))
+    ids, votes = rows["did"].to_numpy()[size > 0], y[size > 0]
+    term = within(vocabulary, rows["terms"].combine_chunks().flatten().to_numpy().view(np.uint64))[0]
+    vectors = pack(size[size > 0]), pack(np.diff(term, prepend=0)), pack(rows["tf"].combine_chunks().flatten().to_numpy())
+    del rows, term
+    # of each class half of all votes
+    pull = np.where(votes == 1, 0.5 / max(votes.mean(), 1e-12), 0.5 / max(1 - votes.mean(), 1e-12)) if len(votes) else votes
+    shared = docs.sparkSession.sparkContext.broadcast((vectors, vocabulary, idf, ids, votes, pull))
+    token = uuid.uuid4().hex
+
+    def index_of(vectors: tuple[bytes, bytes, bytes], idf: np.ndarray) -> Index:
+        """Built once a worker; the one before is dropped."""
+        held = arrays.worker_cache()
+        if held.get("toxicity", (None,))[0] != token:
+            held.pop("toxicity", None)
+            size = unpack(vectors[0])
+            owner, term = np.repeat(np.arange(len(size), dtype=np.int32), size), np.cumsum(unpack(vectors[1]), dtype=np.int32)
+            weight = np.log(unpack(vectors[2]))
+            weight += 1
+            weight *= idf[term]
+            for a, b in zip((np.cumsum(size) - size).tolist(), np.cumsum(size).tolist()):
+                weight[a:b] /= np.linalg.norm(weight[a:b])
+            held["toxicity"] = token, Index(owner, term, weight, len(size), len(idf), block)
+            del owner, term, weight
+            arrays.release()
+        return held["toxicity"][1]
+
+    def vote(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        vectors, vocabulary, idf, ids, votes, pull = shared.value
+        index = index_of(vectors, idf)
         for row, texts in arrays.batches(batch.column(1)):
-            words, first, last = word_sets(texts)
-            if len(vocabulary):
-                at = np.searchsorted(vocabulary, words)
-                at[at == len(vocabulary)] = 0
-                hit = np.flatnonzero(vocabulary[at] == words)
-            else:
-                at, hit = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            owner = np.searchsorted(first, hit, side="right") - 1
-            key, tf = np.unique(owner * max(len(vocabulary), 1) + at[hit], return_counts=True)
-            owner, term = key // max(len(vocabulary), 1), key % max(len(vocabulary), 1)
-            offsets = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
+            distinct, owner, place, tf = term_counts(texts)
+            at, hit = within(vocabulary, distinct)
+            at, hit, log_tf = at[place], hit[place], 1 + np.log(tf)
+            weight = np.where(hit, log_tf * idf[at], 0) if len(idf) else np.zeros(len(tf))
+            length = np.bincount(owner, weight * weight, len(texts))
+            dids = np.asarray(batch.column(0).slice(row, len(texts)))
+            own, is_own = within(ids, dids)
+            skips = np.where(is_own & (dids != NO_ID), own, -1).tolist()
+            starts = np.searchsorted(owner, np.arange(len(texts) + 1))
+            queries = []
+            for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
+                mine = np.flatnonzero(hit[a:b]) + a
+                queries.append((at[mine], weight[mine] / max(length[i], 1e-300) ** 0.5, skips[i]))
+            found = [x for i in range(0, len(queries), QUERIES) for x in index.nearest_of(queries[i : i + QUERIES], k)]
+            pulls = [(c * c * pull[e] * votes[e]).sum() for e, c in found], [(c * c * pull[e]).sum() for e, c in found]
+            near = pa.array(np.append(0, np.cumsum([len(e) for e, _ in found])), pa.int32())
+            strange = pa.array(np.append(0, np.cumsum(np.bincount(owner[~hit], minlength=len(texts)))), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(row, len(texts)), pa.ListArray.from_arrays(offsets, pa.array(term.astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))),
+                    pa.array(dids), pa.array(np.diff(starts)), pa.array(length), *(pa.array(p, pa.float64()) for p in pulls),
+                    pa.ListArray.from_arrays(near, pa.array(ids[np.concatenate([e for e, _ in found])])),
+                    pa.ListArray.from_arrays(near, pa.array(np.concatenate([c for _, c in found]))),
+                    pa.ListArray.from_arrays(strange, pa.array(distinct[place[~hit]].view(np.int64))),
+                    pa.ListArray.from_arrays(strange, pa.array(log_tf[~hit])),
                 ],
-                ["did", "terms", "tf"],
+                ["did", "n", "length", "toxic", "all", "neighbours", "cosines", "strange", "log_tf"],
             )
 
-    vectors = materialize(map_batches(pairs, weigh, "did long, terms array<int>, tf array<int>"), "vectors")
-    total = vectors.count()
-    idf = np.zeros(len(vocabulary))
-    # one row per term
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("df")).collect():
-        idf[r["t"]] = np.log((1 + total) / (1 + r["df"])) + 1
-    rows = vectors.join(F.broadcast(chosen), vectors["did"] == chosen["id"]).select("did", "y", "terms", "tf").dropDuplicates(["did"]).orderBy("did").collect()
-    ids = np.array([r["did"] for r in rows if r["terms"]], np.int64)
-    votes = np.array([r["y"] for r in rows if r["terms"]], float)
-    bare = [r["y"] for r in rows if not r["terms"]]
-    alone = (sum(bare) + SHRINK * (n[1] / max(sum(n), 1))) / (len(bare) + SHRINK)
-    base = n[1] / max(sum(n), 1)
-    owner, term, weight = [], [], []
-    for i, r in enumerate(r for r in rows if r["terms"]):
-        t = np.array(r["terms"], np.int64)
-        w = (1 + np.log(np.array(r["tf"], float))) * idf[t]
-        owner.append(np.full(len(t), i))
-        term.append(t)
-        weight.append(w / np.linalg.norm(w))
-    none = np.zeros(0)
-    index = Index(np.concatenate([none.astype(int), *owner]), np.concatenate([none.astype(int), *term]), np.concatenate([none, *weight]),
-                  len(ids), len(vocabulary), block)
-
-    def vote(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        dids = np.asarray(batch.column(0))
-        terms_, tfs = (c.to_pylist() for c in batch.columns[1:])
-        scores, near, cosines = [], [], []
-        for did, t, f in zip(dids.tolist(), terms_, tfs):
-            best, cosine = none.astype(int), none
-            if t and len(ids):
-                t = np.array(t, np.int64)
-                w = (1 + np.log(np.array(f, float))) * idf[t]
-                own = np.searchsorted(ids, did)
-                skip = own if did != NO_ID and own < len(ids) and ids[own] == did else -1
-                best, cosine = index.nearest(t, w / np.linalg.norm(w), k, skip)
-            if len(best):
-                scores.append(float((cosine**2 @ votes[best] + SHRINK * base) / ((cosine**2).sum() + SHRINK)))
-            else:
-                scores.append(float(alone if not t else base))
-            near.append(ids[best].tolist())
-            cosines.append(cosine.tolist())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.clip(scores, 0, 1)), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
-            ["did", "score", "neighbours", "cosines"],
-        )
-
-    done = map_batches(vectors, vote, "did long, score double, neighbours array<long>, cosines array<double>")
-    done = done.select(real_id().alias("doc_id"), "score", "neighbours", "cosines")
+    schema = "did long, n long, length double, toxic double, all double, neighbours array<long>, cosines array<double>, strange array<long>, log_tf array<double>"
+    found = materialize(map_batches(pairs, vote, schema).withColumn("row", F.monotonically_increasing_id()), "votes")
+    # words that no example holds, joined with their frequencies; sorted, so that the sum does not depend on the order of arrival
+    strange = found.select("row", F.explode(F.arrays_zip("strange", "log_tf")).alias("s")).select("row", F.col("s.strange").alias("term"), F.col("s.log_tf").alias("log_tf"))
+    more = strange.join(counts, "term").groupBy("row").agg(F.array_sort(F.collect_list(F.pow(F.col("log_tf") * F.col("idf"), 2))).alias("squares"))
+    more = more.select("row", F.aggregate("squares", F.lit(0.0), lambda a, x: a + x).alias("more"))
+    done = found.join(more, "row", "left").withColumn(
+        "share", F.when(F.col("length") > 0, F.col("length") / (F.col("length") + F.coalesce("more", F.lit(0.0)))).otherwise(0.0)
+    )
+    voted = (F.col("toxic") * F.col("share") + SHRINK / 2) / (F.col("all") * F.col("share") + SHRINK)
+    done = done.select(
+        real_id().alias("doc_id"), F.when(F.col("n") == 0, F.lit(alone)).when(F.size("neighbours") == 0, F.lit(base)).otherwise(voted).alias("score"),
+        "neighbours", F.transform("cosines", lambda c: c * F.sqrt("share")).alias("cosines"),
+    )
     return done.select(
         "doc_id", (remainder("doc_id", folds) == fold).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
         "neighbours", "cosines",

@@ -1,6 +1,7 @@
 """Plain Python versions of the operators over a dict of texts."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -136,3 +137,19 @@ def contamination(texts, items, window=13):
         n = sum(hit)
         out[d] = (len(w), n, len(found), sha(",".join(sorted(found))), n > 0 and 20 * n >= len(w))
     return out
+
+
+def neighbours(texts, examples, k):
+    """The k examples of largest TF-IDF cosine over all words, and the cosines; never the text itself."""
+    count = {d: Counter(ALNUM.findall((t or "").translate(LOW))) for d, t in texts.items()}
+    df = Counter(w for c in count.values() for w in c)
+    unit = {}
+    for d, c in count.items():
+        v = {w: (1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in c.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        unit[d] = {w: x / size for w, x in v.items()}
+    out = {}
+    for d, v in unit.items():
+        found = [(e, sum(x * unit[e].get(w, 0) for w, x in v.items())) for e in examples if e != d]
+        out[d] = sorted((x for x in found if x[1] > 0), key=lambda x: (-round(x[1], 9), x[0]))[:k]
+    return out

@@ -348,6 +348,21 @@ def test_neighbours_are_exact():
             assert best.tolist() == want.tolist() and np.allclose(cosine, full[want])
 
 
+def test_neighbours_of_whole_texts(spark):
+    rng = random.Random(8)
+    words = ["w%d" % i for i in range(2000)]
+    docs = {i: " ".join(rng.choices(words[: rng.choice((40, 400, 2000))], k=rng.choice((1, 3, 20, 80)))) for i in range(240)}
+    docs |= {240: "", 241: None, 242: docs[7].upper(), 243: "seen nowhere else", 244: docs[8] + " strange strange words"}
+    labels = [(i, int(rng.random() < 0.2)) for i in range(0, 230)]
+    frames = spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity_knn.score(*frames).collect()}
+    want = brute.neighbours(docs, [i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1], toxicity_knn.K)
+    assert out.keys() == want.keys() and len(want[242]) == toxicity_knn.K and not want[243]
+    for i, near in want.items():
+        assert out[i].neighbours == [e for e, _ in near]
+        assert np.allclose(out[i].cosines, [c for _, c in near], atol=1e-9)
+
+
 # ---- archives
 
 
