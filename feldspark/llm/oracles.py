@@ -83,3 +83,26 @@ reach(node, seen) AS (SELECT DISTINCT x, x FROM edges UNION SELECT r.node, e.y F
 least_ AS (SELECT node, min(seen) AS c FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_ ON node = d.doc_id"""
+
+# crc32 of each <doc_id>:<run>, a byte a step, from a table made by its rule
+SPELLING = f"""WITH RECURSIVE step8(i, k, v) AS (SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step8 WHERE k < 8),
+crc AS (SELECT i, v FROM step8 WHERE k = 8),
+runs AS (SELECT own, run, hex(encode(own || run)) AS b, count(*) AS c FROM (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS own, unnest(regexp_extract_all({_low('text')}, '[a-z\u00C0-\u00FF]{{7,}}')) AS run FROM documents) GROUP BY ALL),
+h(own, run, b, c, k, v) AS (SELECT own, run, b, c, 0, 4294967295::BIGINT FROM runs
+  UNION ALL SELECT own, run, b, c, k + 1, xor(h.v >> 8, crc.v) FROM h JOIN crc ON i = xor(h.v & 255, ('0x' || substr(b, 2 * k + 1, 2))::BIGINT)
+  WHERE 2 * k < length(b)),
+done AS (SELECT run, c, xor(v, 4294967295) AS h FROM h WHERE 2 * k = length(b)),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM done),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+spots AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+parts AS (SELECT word, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM spots),
+pairs AS (SELECT a.word AS x, b.word AS y FROM parts a JOIN parts b USING (i, l, r) WHERE a.word <> b.word
+  UNION SELECT p.word, v.word FROM parts p JOIN v ON v.word = p.l || p.r UNION SELECT v.word, p.word FROM parts p JOIN v ON v.word = p.l || p.r),
+closest AS (SELECT x, count(*) AS n_near, max(n) AS m, arg_min(y, (-n, y)) AS y FROM pairs JOIN v ON v.word = y GROUP BY x),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN y END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM v LEFT JOIN closest ON x = word),
+walk(word, at_) AS (SELECT word, word FROM f UNION ALL SELECT walk.word, form FROM walk JOIN f ON f.word = at_ WHERE form IS NOT NULL),
+ends AS (SELECT walk.word, at_ AS root FROM walk JOIN f ON f.word = at_ WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)"""

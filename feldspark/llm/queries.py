@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feldspark.llm import (
-    bpe_tree, decontaminate, line_frequency, minhash_tensor, oracles, pu_quality, substring_dedup, suffix_dedup, token_orc, toxicity_knn, warc_chunks,
+    bpe_tree, decontaminate, fingerprints, line_frequency, minhash_tensor, oracles, pu_quality, spelling, substring_dedup, suffix_dedup,
+    token_orc, toxicity_knn, warc_chunks, whitening,
 )
 from feldspark.llm.frames import table
 from feldspark.session import scratch_path
@@ -89,6 +90,21 @@ def op8_warc_chunks(spark, sf):
     return warc_chunks.payload_index(warc_chunks.read_archives(spark, path))
 
 
+@query()
+def op11_oph_fingerprint(spark, sf):
+    return fingerprints.compare(documents(spark, sf))
+
+
+@query()
+def op12_whiten_refine(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
+@query(oracles.SPELLING)
+def op13_bloom_spelling(spark, sf):
+    return spelling.variants(documents(spark, sf))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
