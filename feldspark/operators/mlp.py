@@ -1,9 +1,10 @@
 """A dense network for regression, trained data-parallel with one Spark job per round.
 
-Rows are written once in blocks that follow from their values. In a round each block is passed
-by mini-batch Adam, batch by batch from the Arrow stream, starting from the shared weights and
-moments; the new ones are the row-weighted means over the blocks. One round per epoch moves a
-fixed number of parameters, whatever the size of the table or the cluster.
+Rows are written once in blocks that follow from their values, a block packed into one row of a
+table. In a round each block is passed by mini-batch Adam, starting from the shared weights and
+moments; the new ones are the row-weighted means over the blocks. A task adds its blocks up and
+returns one array, and arrays of many tasks are added in a tree, so a round moves a fixed number of
+parameters per task, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from feldspark.session import remove_path, scratch_path
 # The batch functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 65_536  # rows of a block; a block is one file and never split between tasks
+BLOCK_ROWS = 65_536  # rows of a block; a block is one packed row and never split between tasks
+FILES = 10_000  # of a prepared table, at most about so many
+FAN_IN = 64  # arrays that are added up by one task of the tree
 
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda z: (z > 0).astype(z.dtype)),
@@ -86,6 +89,7 @@ class MLPModel:
     activation: str = "relu"
     hyperparameters: dict = field(default_factory=dict)
     history: list[dict] = field(default_factory=list)
+    optimizer: dict | None = None  # moments, steps, rate and counters, to go on from
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """Score in Arrow batches; rows that miss a feature get NULL."""
@@ -120,6 +124,9 @@ def initial_weights(sizes: Sequence[int], seed: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
+PACKED = "block long, fitted binary, held binary"
+
+
 @dataclass
 class Prepared:
     """Standardized rows in written blocks, shared by all networks trained on them."""
@@ -132,16 +139,20 @@ class Prepared:
 
 def prepare_training(
     df: DataFrame, features: Sequence[str], target: str, validation_split: float = 0.2, seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, block: str | None = None, held: str | None = None,
 ) -> Prepared:
     """Standardize and write the complete rows in blocks of about ``block_rows``.
 
     Block, order within it and what is held out follow from the values of a row, so they do
-    not depend on how the table or the cluster is partitioned.
+    not depend on how the table or the cluster is partitioned. A whole-number column ``block`` may name the
+    blocks (each must fit a task), and a boolean column ``held`` the rows held out.
     """
     names = [*features, target]
     draw = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    marked = complete_rows(df, names).withColumn("_held", draw < F.lit(validation_split))
+    given = [F.col(f"`{c}`").alias(n) for c, n in ((block, "_block"), (held, "_held")) if c]
+    marked = complete_rows(df, names, given)
+    if not held:
+        marked = marked.withColumn("_held", draw < F.lit(validation_split))
     fitted = F.col("_held") == F.lit(False)
     row = marked.agg(
         F.count_if(fitted).alias("n"), F.count(F.lit(1)).alias("total"),
@@ -154,15 +165,30 @@ def prepare_training(
     scales = [row[f"s{i}"] or 1.0 for i in range(len(names))]
     scaled = [((F.col(n) - F.lit(c)) / F.lit(s)).alias(f"v{i}")
               for i, (n, c, s) in enumerate(zip(names, centers, scales, strict=True))]
-    blocks = max(1, -(-row["total"] // block_rows))
-    place = F.pmod(F.xxhash64(F.lit(seed + 1), *names), F.lit(blocks)).cast("int")
-    order = F.xxhash64(F.lit(seed + 2), *names)
+    blocks = max(1, -(-row["total"] // block_rows)) if block is None else None
+    values = [f"v{i}" for i in range(len(names))]
+    if block is None:
+        # equal rows are counted once and dealt to different blocks, so that no block is filled by one value
+        counted = marked.select("_held", *scaled, F.xxhash64(F.lit(seed + 1), *names).alias("_place"), F.xxhash64(F.lit(seed + 2), *names).alias("_order"))
+        counted = counted.groupBy("_held", *values, "_place", "_order").agg(F.count(F.lit(1)).alias("_n"))
+        counted = counted.withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_n"), F.lit(blocks).cast("long")) - 1)))
+        packed = counted.select(
+            "_held", *values, "_order", F.pmod(F.col("_place") + F.col("_t"), F.lit(blocks)).cast("long").alias("_block"),
+            (F.floor((F.col("_n") - F.col("_t") - 1) / blocks) + 1).cast("long").alias("_n"),
+        )
+    else:
+        packed = marked.select("_held", *scaled, F.xxhash64(F.lit(seed + 2), *names).alias("_order"), F.col("_block"), F.lit(1).cast("long").alias("_n"))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_order", *values])
+        times, held = rows["_n"].to_numpy(), rows["_held"].to_numpy(dtype=bool)
+        matrix = rows[values].to_numpy(np.float64)
+        out = [np.repeat(matrix[m], times[m], axis=0).tobytes() for m in (~held, held)]
+        return pd.DataFrame({"block": [int(key[0])], "fitted": [out[0]], "held": [out[1]]})
+
     path = scratch_path(df.sparkSession, "training")
-    (
-        marked.select("_held", *scaled, place.alias("_block"), order.alias("_order")).repartition("_block")
-        .sortWithinPartitions("_block", "_order", *[f"v{i}" for i in range(len(names))]).drop("_order")
-        .write.partitionBy("_block").parquet(path)
-    )
+    per_file = max(1, (blocks or 1) // FILES)
+    packed.groupBy("_block").applyInPandas(pack, PACKED).write.option("maxRecordsPerFile", per_file).parquet(path)
     return Prepared(path, list(features), centers, scales)
 
 
@@ -172,17 +198,19 @@ def train_mlp(
     validation_split: float = 0.2, seed: int = 42, block_rows: int = BLOCK_ROWS, activation: str = "relu",
     prepared: Prepared | None = None, patience: int | None = None, min_delta: float = 1e-4,
     plateau: dict | None = None, on_epoch: Callable[[int, MLPModel], None] | None = None,
+    resume: MLPModel | None = None, double: bool = False,
 ) -> MLPModel:
     """Train and return the model; ``history`` has train and validation loss per epoch.
 
     Losses are on the standardized target, so 1.0 is the loss of predicting the mean.
     ``patience`` epochs without a gain of ``min_delta`` stop the training; ``plateau``
     (factor, patience, min_lr) lowers the rate; ``on_epoch`` gets the model after each epoch.
+    ``resume`` goes on from a model (as returned, stored or given to ``on_epoch``) with its moments, steps, rate
+    and counters, so that ``epochs`` in two runs equal those of one. ``double`` computes in double precision.
     """
     spark = df.sparkSession
     ready = prepared or prepare_training(df, features, target, validation_split, seed, block_rows)
-    names = ", ".join(f"v{i} double" for i in range(len(features) + 1))
-    table = spark.read.schema(f"_held boolean, {names}, _block int").parquet(ready.path)
+    table = spark.read.schema(PACKED).parquet(ready.path)
     sizes = [len(features), *hidden, 1]
     flat = initial_weights(sizes, seed)
     first, second, steps = np.zeros_like(flat), np.zeros_like(flat), 0
@@ -193,50 +221,83 @@ def train_mlp(
     history: list[dict] = []
     watched = patience is not None or plateau is not None
     best, waited, stalled, rate = np.inf, 0, 0, learning_rate
+    if resume is not None:
+        if resume.sizes != sizes or resume.optimizer is None:
+            raise ValueError("cannot resume from a model of other layers or without the state of its training")
+        state = resume.optimizer
+        flat, first, second = (np.array(v) for v in (resume.weights, state["first"], state["second"]))
+        steps, rate, waited, stalled = state["steps"], state["rate"], state["waited"], state["stalled"]
+        best = np.inf if state["best"] is None else state["best"]
+        history = [dict(h) for h in resume.history]
+    tasks = table.rdd.getNumPartitions()
 
     def model() -> MLPModel:
+        state = {
+            "first": first.tolist(), "second": second.tolist(), "steps": int(steps), "rate": float(rate),
+            "best": None if np.isinf(best) else float(best), "waited": waited, "stalled": stalled,
+        }
         return MLPModel(
             list(features), sizes, flat.tolist(), ready.centers[:-1], ready.scales[:-1], ready.centers[-1], ready.scales[-1],
-            activation, options, history,
+            activation, options, [dict(h) for h in history], state,
         )
 
-    for epoch in range(1, epochs + 1):
+    done = patience is not None and waited >= patience
+    for epoch in range(len(history) + 1, epochs + 1) if not done else ():
         shared = spark.sparkContext.broadcast((flat, first, second, steps))
-        work = _block_round(shared, sizes, activation, batch_size, rate, weight_decay)
-        round_ = table.mapInPandas(work, (
-            "state array<struct<w:double,f:double,s:double>>, steps long, rows long, error double, held long, held_error double"))
+        work = _block_round(shared, sizes, activation, batch_size, rate, weight_decay, np.float64 if double else np.float32)
         # the held rows are scored with the weights the round starts from: the last epoch's
-        parts = round_.select("steps", "rows", "error", "held", "held_error", F.posexplode("state").alias("i", "p"))
-        mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("rows")), F.sum("rows"))
-        summed = parts.groupBy("i").agg(
-            mean("p.w").alias("w"), mean("p.f").alias("f"), mean("p.s").alias("s"), F.max("steps").alias("steps"),
-            F.try_divide(F.sum("error"), F.sum("rows")).alias("loss"),
-            F.try_divide(F.sum("held_error"), F.sum("held")).alias("held_loss"),
-        ).collect()  # one row per parameter
+        sums = added_up(table.mapInPandas(work, SUMS), tasks)
         shared.unpersist()
-        for r in summed:
-            flat[r["i"]], first[r["i"]], second[r["i"]] = r["w"], r["f"], r["s"]
-        steps = summed[0]["steps"]
+        flat, first, second = (sums["state"].reshape(3, -1) / sums["rows"]) if sums["rows"] else (flat, first, second)
+        steps = max(steps, int(sums["steps"]))
         if history and not watched:
-            history[-1]["val_loss"] = summed[0]["held_loss"]
-        history.append({"epoch": epoch, "train_loss": summed[0]["loss"], "val_loss": None})
+            history[-1]["val_loss"] = sums["held_error"] / sums["held"] if sums["held"] else None
+        history.append({"epoch": epoch, "train_loss": sums["error"] / sums["rows"] if sums["rows"] else None, "val_loss": None})
         if watched or epoch == epochs:
-            history[-1]["val_loss"] = _loss(table.filter("_held").drop("_held", "_block"), flat, sizes, activation)
-        if on_epoch:
-            on_epoch(epoch, model())
+            history[-1]["val_loss"] = _loss(table.select("held"), flat, sizes, activation)
         if watched:
             seen = history[-1]["val_loss"] if history[-1]["val_loss"] is not None else history[-1]["train_loss"]
             gained = seen < best - min_delta
             best, waited, stalled = (seen, 0, 0) if gained else (best, waited + 1, stalled + 1)
             if plateau is not None and stalled >= plateau.get("patience", 5):
                 rate, stalled = max(rate * plateau.get("factor", 0.5), plateau.get("min_lr", 1e-6)), 0
-            if patience is not None and waited >= patience:
-                break
+        if on_epoch:
+            on_epoch(epoch, model())
+        if patience is not None and waited >= patience:
+            break
     if prepared is None:
         remove_path(spark, ready.path)
     return model()
 
 
+SUMS = "place long, state array<double>, steps long, rows long, error double, held long, held_error double"
+
+
+def _add(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row for many: states and counts added up in order of place."""
+    rows = rows.sort_values("place")
+    state = np.zeros(len(rows["state"].iloc[0]))
+    for v in rows["state"]:
+        state += v
+    return pd.DataFrame({
+        "place": [rows["place"].iloc[0]], "state": [state], "steps": [rows["steps"].max()],
+        **{c: [rows[c].sum()] for c in ("rows", "error", "held", "held_error")},
+    })
+
+
+def added_up(parts: DataFrame, tasks: int) -> dict:
+    """The sum of one row a task; beyond ``FAN_IN`` tasks rows are first added in a tree of tasks."""
+    groups = tasks
+    while groups > FAN_IN:
+        groups = -(-groups // FAN_IN)
+        parts = parts.groupBy(F.pmod(F.xxhash64("place"), F.lit(groups)).alias("_g")).applyInPandas(_add, SUMS)
+    held = parts.collect()  # at most about FAN_IN rows of three numbers a parameter
+    if not held:
+        raise ValueError("no complete training rows")
+    row = _add(pd.DataFrame([r.asDict() for r in held])).iloc[0]
+    return {**row.to_dict(), "state": np.asarray(row["state"])}
+
+
 def checkpointer(registry, name: str, every: int = 5, keep: int = 3) -> Callable[[int, MLPModel], None]:
     """An ``on_epoch`` that registers the model of every ``every``-th epoch and keeps the newest ``keep``."""
     held: list[str] = []
@@ -252,57 +313,43 @@ def checkpointer(registry, name: str, every: int = 5, keep: int = 3) -> Callable
     return store
 
 
-def _block_round(shared, sizes, activation, batch_size, learning_rate, weight_decay):
-    """A pass over each block from the shared state; one row of results per block."""
+def _block_round(shared, sizes, activation, batch_size, learning_rate, weight_decay, kind):
+    """A pass over each block from the shared state; the weighted sum of the results of a task, one row."""
+    width = sizes[0] + 1
+
+    def passed(values: np.ndarray) -> tuple[np.ndarray, int, float]:
+        flat, first, second, steps = shared.value
+        flat, first, second = flat.astype(kind), first.astype(kind), second.astype(kind)
+        error = 0.0
+        for at in range(0, len(values), batch_size):
+            part = values[at:at + batch_size]
+            grad, loss = _gradient(flat, sizes, part[:, :-1], part[:, -1], activation)
+            grad = grad + weight_decay * flat
+            steps += 1
+            first = 0.9 * first + 0.1 * grad
+            second = 0.999 * second + 0.001 * grad**2
+            flat = flat - learning_rate * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.999**steps)) + 1e-8)
+            error += loss * len(part)
+        return np.concatenate([flat, first, second]).astype(np.float64), steps, error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = shared.value[0].astype(np.float32)
-        block, rest, state = None, None, None
-
-        def advance(values: np.ndarray, final: bool) -> np.ndarray:
-            """Take whole batches of rows (and what is left, at the end of a block)."""
-            at = 0
-            while len(values) - at >= batch_size or (final and at < len(values)):
-                part = values[at:at + batch_size]
-                grad, loss = _gradient(state["flat"], sizes, part[:, :-1], part[:, -1], activation)
-                grad = grad + weight_decay * state["flat"]
-                state["steps"] += 1
-                state["first"] = 0.9 * state["first"] + 0.1 * grad
-                state["second"] = 0.999 * state["second"] + 0.001 * grad**2
-                state["flat"] = state["flat"] - learning_rate * (state["first"] / (1 - 0.9 ** state["steps"])) / (
-                    np.sqrt(state["second"] / (1 - 0.999 ** state["steps"])) + 1e-8
-                )
-                state["rows"] += len(part)
-                state["error"] += loss * len(part)
-                at += len(part)
-            return values[at:]
-
-        def result() -> pd.DataFrame:
-            advance(rest, True)
-            rows = [{"w": float(w), "f": float(f), "s": float(s)}
-                    for w, f, s in zip(state["flat"], state["first"], state["second"], strict=True)]
-            return pd.DataFrame({
-                "state": [rows], "steps": [state["steps"]], "rows": [state["rows"]], "error": [state["error"]],
-                "held": [state["held"]], "held_error": [state["held_error"]],
-            })
-
+        start = shared.value[0].astype(kind)
+        place, total, most, rows, error, held, held_error = None, np.zeros(3 * len(start)), 0, 0, 0.0, 0, 0.0
         for frame in batches:
-            for number_, part in frame.groupby("_block", sort=False):
-                if number_ != block:
-                    if block is not None:
-                        yield result()
-                    flat, first, second, steps = shared.value
-                    block, rest = number_, np.zeros((0, len(frame.columns) - 2), np.float32)
-                    state = {"flat": flat.astype(np.float32), "first": first.astype(np.float32), "second": second.astype(np.float32),
-                             "steps": steps, "rows": 0, "error": 0.0, "held": 0, "held_error": 0.0}
-                apart = part["_held"].to_numpy(dtype=bool)
-                values = part.drop(columns=["_held", "_block"]).to_numpy(dtype=np.float32)
-                if apart.any():
-                    state["held"] += int(apart.sum())
-                    state["held_error"] += _squared_error(start, sizes, values[apart], activation)
-                rest = advance(np.concatenate([rest, values[~apart]]), False)
-        if block is not None:
-            yield result()
+            for block, fitted, kept in zip(frame["block"], frame["fitted"], frame["held"]):
+                place = block if place is None else min(place, block)
+                values = np.frombuffer(fitted).reshape(-1, width).astype(kind)
+                apart = np.frombuffer(kept).reshape(-1, width).astype(kind)
+                if len(apart):
+                    held += len(apart)
+                    held_error += _squared_error(start, sizes, apart, activation)
+                if len(values):
+                    state, steps, loss = passed(values)
+                    total += state * len(values)
+                    most, rows, error = max(most, steps), rows + len(values), error + loss
+        if place is not None:
+            yield pd.DataFrame({"place": [place], "state": [total], "steps": [most], "rows": [rows], "error": [error],
+                                "held": [held], "held_error": [held_error]})
 
     return run
 
@@ -312,14 +359,17 @@ def _squared_error(flat: np.ndarray, sizes: Sequence[int], values: np.ndarray, a
     return float(np.sum((out - values[:, -1]) ** 2))
 
 
-def _loss(df: DataFrame, flat: np.ndarray, sizes: Sequence[int], activation: str) -> float | None:
+def _loss(held: DataFrame, flat: np.ndarray, sizes: Sequence[int], activation: str) -> float | None:
+    width = sizes[0] + 1
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            values = frame.to_numpy(dtype=float)
-            if len(values):
-                yield pd.DataFrame({"e": [_squared_error(flat, sizes, values, activation)], "n": [len(values)]})
+            for kept in frame["held"]:
+                values = np.frombuffer(kept).reshape(-1, width)
+                if len(values):
+                    yield pd.DataFrame({"e": [_squared_error(flat, sizes, values, activation)], "n": [len(values)]})
 
-    return df.mapInPandas(run, "e double, n long").agg(F.try_divide(F.sum("e"), F.sum("n"))).first()[0]
+    return held.mapInPandas(run, "e double, n long").agg(F.try_divide(F.sum("e"), F.sum("n"))).first()[0]
 
 
 def history_frame(model: MLPModel, df: DataFrame) -> DataFrame:

@@ -38,9 +38,9 @@ class LinearModel:
         return score_linear(df, self.features, self.weights, self.intercept, output)
 
 
-def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as doubles, without rows that miss a value."""
-    return df.select(*[number(df, c).alias(c) for c in columns]).dropna()
+def complete_rows(df: DataFrame, columns: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    """The columns as doubles (and ``extra`` ones as they are), without rows that miss a value of the former."""
+    return df.select(*[number(df, c).alias(c) for c in columns], *extra).dropna(subset=list(columns))
 
 
 def assemble(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

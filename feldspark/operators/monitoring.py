@@ -6,12 +6,17 @@ optionally ``context``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from feldspark.functions.expressions import kolmogorov_pvalue
 from feldspark.functions.missing import number
@@ -20,6 +25,9 @@ from feldspark.operators.ordering import (
 )
 from feldspark.session import materialize
 
+# The p-value function travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Metric names, limits, alert types and message texts.
 THRESHOLDS = (
     ("system.cpu.percent", 80.0, "high_cpu_usage", "High CPU usage: %.1f%%"),
@@ -30,6 +38,7 @@ SPIKE_TEXT = "Training loss spike in %s: %.4f (5x previous average)"
 DRIFT_TEXT = "Data drift detected in feature %s: KS statistic = %.4f, p-value = %.4f"
 DECAY_TEXT = "Model %s performance decay in %s: %.1f%% decay"
 DRIFT_ALPHA = 0.05
+EXACT_ROWS = 10_000  # samples up to this size get an exact p-value
 DECAY_LIMIT = 0.1
 SPIKE_FACTOR = 5.0
 
@@ -41,7 +50,7 @@ def recent_metrics(metrics: DataFrame, n: int = 100, buffer: int | None = None)
 
 def loss_spikes(
     metrics: DataFrame, context: str = "context", window: int = 10, factor: float = SPIKE_FACTOR,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS, sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Losses above ``factor`` times the mean of up to ``window - 1`` losses before them.
 
@@ -50,7 +59,7 @@ def loss_spikes(
     a hot context runs in many tasks.
     """
     slim = metrics.select("seq", context, "ts", number(metrics, "value").alias("value"))
-    sizes = group_sizes(slim, [context])
+    sizes = sizes or group_sizes(slim, [context])  # rows of the largest context and of all, or bounds of them
     if sizes[0] <= chunk_rows:
         past = Window.partitionBy(context).orderBy("ts", "seq").rowsBetween(1 - window, -1)
         seen = slim.withColumn("previous", F.avg("value").over(past))
@@ -66,7 +75,7 @@ def loss_spikes(
 
 def ks_drift(
     reference: DataFrame, current: DataFrame, features: Sequence[str],
-    alpha: float = DRIFT_ALPHA, chunk_rows: int = CHUNK_ROWS, min_chunks: int = 200,
+    alpha: float = DRIFT_ALPHA, chunk_rows: int = CHUNK_ROWS, min_chunks: int = 200, exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature: statistic, p-value, decision.
 
@@ -75,7 +84,7 @@ def ks_drift(
     by more than the shares the chunk holds, so only chunks that may hide a larger gap
     are looked at value by value; only their rows are shuffled, counted per distinct
     value first. No feature is sorted in one task. A feature without a value on one side
-    has a row of NULLs.
+    has a row of NULLs. The p-value is exact for samples of up to ``exact_rows`` values and asymptotic beyond.
     """
     both = _one_side(reference, features, 0).unionByName(_one_side(current, features, 1))
     total = both.count()
@@ -118,12 +127,43 @@ def ks_drift(
     tests = known.join(within, "f", "left").withColumn(
         "ks_statistic", F.greatest("at_ends", "within")
     )
-    p = F.when(F.col("ks_statistic").isNotNull(), kolmogorov_pvalue(F.col("ks_statistic"), F.col("n"), F.col("m")))
+    few = F.greatest("n", "m") <= F.lit(exact_rows)
+    place = lambda c: F.when(few, F.col(c))
+    exact = _exact_pvalue()(place("ks_statistic"), place("n"), place("m"))
+    p = F.when(F.col("ks_statistic").isNotNull(), F.coalesce(exact, kolmogorov_pvalue(F.col("ks_statistic"), F.col("n"), F.col("m"))))
     return tests.select("feature", "ks_statistic", p.alias("ks_pvalue")).withColumn(
         "drift_detected", F.col("ks_pvalue") < F.lit(alpha)
     )
 
 
+def ks_exact(gap: float, n: int, m: int) -> float:
+    """Probability that samples of ``n`` and ``m`` from one distribution differ by ``gap`` or more.
+
+    Merging two samples is a random path over the lattice of (values of the first, values of the second) taken so far;
+    the test statistic stays below ``gap`` if the path stays inside a band. The share of paths inside is carried from
+    one diagonal to the next: at (i, j) the last step came from the first sample with probability i / (i + j).
+    """
+    limit = round(gap * n * m)  # gaps are multiples of 1 / (n m)
+    i = np.arange(n + 1)
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0 if limit > 0 else 0.0
+    for s in range(1, n + m + 1):
+        before = np.concatenate([[0.0], inside[:-1]])
+        inside = (i / s) * before + ((s - i) / s) * inside
+        inside[(i > s) | (s - i > m) | (np.abs(i * m - (s - i) * n) >= limit)] = 0.0
+    return float(min(max(1.0 - inside[n], 0.0), 1.0))
+
+
+def _exact_pvalue():
+    one = ks_exact
+
+    @pandas_udf("double")
+    def value(gap: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(g) else one(g, int(a), int(b)) for g, a, b in zip(gap, n, m)], dtype="float64")
+
+    return value
+
+
 def _one_side(sample: DataFrame, features: Sequence[str], side: int) -> DataFrame:
     """The features as doubles x0, x1, ... (-0.0 and 0.0 are one value) and the side."""
     values = [(number(sample, f) + F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]

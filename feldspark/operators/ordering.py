@@ -25,6 +25,8 @@ SKETCH_ACCURACY = 10_000
 CHUNK_ROWS = 2_000_000  # rows of one group that one task may sort
 SAMPLE_PER_CHUNK = 1_000
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+HOT_ROWS = 1_000_000  # rows of one key that one task of a join may take
 
 
 def order_number(df: DataFrame, name: str) -> Column:
@@ -309,14 +311,6 @@ def _present(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else c
 
 
-def _lead_number(df: DataFrame, name: str) -> Column:
-    """A number that never falls as the column rises: that of ``order_number``, or the first six bytes of a string."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(f"`{name}`").cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("long")
-    return order_number(df, name)
-
-
 def rank_within(
     df: DataFrame,
     groups: Sequence[str],
@@ -327,34 +321,30 @@ def rank_within(
 ) -> DataFrame:
     """1-based position of each row in its group, in the order of ``order`` (its last column unique).
 
-    NULL and NaN come first and are ties; then numbers, times or strings ascend. A light job (unless ``sizes`` are given) measures the largest group. If one task can
-    sort it, this is a plain window. Otherwise the rows are parted into ordered chunks: positions are taken
-    inside (group, chunk) and shifted by the sizes of the chunks before, so a group of
-    any size is spread over many tasks.
+    NULL and NaN come first and are ties; then numbers, times or strings ascend. A light job (unless ``sizes`` are
+    given) measures the largest group. If one task can sort it, this is a plain window. Otherwise the rows are dealt
+    to ranges of the whole key (groups, then every order column, compared as they are; the cut rows are sampled), so
+    that a group of any size is spread over many tasks whatever its leading values look like. Positions are taken
+    inside (group, range) and shifted by the rows of the group in the ranges before.
     """
     order_by = [_present(df, c).asc_nulls_first() for c in order]
     largest, total = sizes or group_sizes(df, groups)
     if largest <= chunk_rows:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by)))
 
-    lead = _lead_number(df, order[0])
     chunks = math.ceil(total / chunk_rows)
-    cuts = cut_points(df, {"lead": lead}, total, chunks)["lead"]
-    staged = df.withColumn("_lead", lead.cast("double"))
-    staged = with_bucket(staged, "_lead", cuts, "_chunk").withColumn("_part", F.lit(0))
-    heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    if heavy and len(order) > 1:
-        staged = _part_heavy(staged, heavy, _lead_number(df, order[1]), chunk_rows)
-
-    keys = [*groups, "_chunk", "_part"]
-    by_group = Window.partitionBy(*groups).orderBy("_chunk", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = df.repartitionByRange(chunks, *[F.col(f"`{g}`").asc_nulls_first() for g in groups], *order_by)
+    # written once: the jobs below must see the same ranges
+    staged = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "ranges")
+    keys = [*groups, "_chunk"]
+    by_group = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                 F.coalesce(F.sum("_n").over(by_group), F.lit(0)).alias("_before"))
     )
-    local = Window.partitionBy(*keys).orderBy(*order_by)
+    local = Window.partitionBy(*keys).orderBy(*[_present(staged, c).asc_nulls_first() for c in order])
     placed = staged.withColumn("_local", F.row_number().over(local))
     same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
     return placed.join(offsets, same, "inner").select(
@@ -362,24 +352,6 @@ def rank_within(
     )
 
 
-def _part_heavy(staged: DataFrame, heavy: list[float], second: Column, chunk_rows: int) -> DataFrame:
-    """Split the rows of values that fill whole chunks by equal ranges of the second order column."""
-    y = second.cast("double")
-    spans = (
-        staged.filter(F.col("_lead").isin(heavy))
-        .groupBy(F.col("_lead").alias("_heavy"))
-        .agg(F.min(y).alias("_from"), F.max(y).alias("_to"), F.count(F.lit(1)).alias("_rows"))
-    )  # at most one row per chunk
-    parts = F.ceil(F.col("_rows") / F.lit(chunk_rows))
-    share = F.coalesce(F.try_divide(y - F.col("_from"), F.col("_to") - F.col("_from")), F.lit(0.0))
-    part = F.when(F.col("_heavy").isNull(), F.lit((1 << 31) - 1)).otherwise(
-        F.least(F.floor(share * parts), parts - 1).cast("int")
-    )
-    # an undefined place sorts first, as NULL does
-    part = F.when(F.col("_heavy").isNotNull() & y.isNull(), F.lit(-1)).otherwise(part)
-    return staged.join(F.broadcast(spans), F.col("_lead") == F.col("_heavy"), "left").withColumn("_part", part)
-
-
 def in_blocks(df: DataFrame, position: str, block_rows: int, halo: int = 0) -> DataFrame:
     """Add ``_block`` (consecutive runs of ``block_rows`` positions) and ``_own``.
 
@@ -401,6 +373,16 @@ def in_blocks(df: DataFrame, position: str, block_rows: int, halo: int = 0) -> D
 # ------------------------------------------------------------------- lookups
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, most: int = 256) -> list[int]:
+    """Hashes of the keys that hold more than ``hot_rows`` rows, from one pass with a frequent-items sketch.
+
+    The sketch may miss a key near the limit or name one below it; that only changes how rows are spread.
+    """
+    keys = df.select(F.xxhash64(*[f"`{c}`" for c in on]).alias("_key"))
+    items = keys.agg(F.expr(f"approx_top_k(_key, {most}, {64 * most})").alias("t")).first()["t"]
+    return [r["item"] for r in items or [] if r["count"] > hot_rows]
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -408,16 +390,26 @@ def join_lookup(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = 64,
+    max_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join per-key values to rows: broadcast when the counted lookup is small, else salted.
+    """Join per-key values to rows: broadcast when the measured lookup is small, else by shuffle with hot keys salted.
 
-    ``lookup`` has one row per key. Beyond ``max_rows`` its rows are repeated once per
-    salt, and the rows of a hot key are spread over the salts by their content.
+    ``lookup`` has one row per key. It is small if it has at most ``max_rows`` rows and ``max_bytes`` as text. Beyond
+    that, a sketch finds the keys that hold more than ``hot_rows`` rows of ``df``; only their lookup rows are repeated,
+    once per salt, and their rows are spread over the salts by content.
     """
     lookup = materialize(lookup, "lookup")
-    if lookup.count() <= max_rows:
+    rows, size = lookup.agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct(*[f"`{c}`" for c in lookup.columns]))))).first()
+    if rows <= max_rows and (size or 0) <= max_bytes:
         return df.join(F.broadcast(lookup), list(on), how)
+    hot = hot_keys(df, on, hot_rows)
+    if not hot:
+        return df.join(lookup, list(on), how)
+    is_hot = F.xxhash64(*[f"`{c}`" for c in on]).isin(hot)
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[f"`{c}`" for c in plain]), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*[f"`{c}`" for c in plain]), F.lit(salts)).cast("int")
+    salted = df.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = lookup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

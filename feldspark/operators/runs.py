@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import traceback
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +17,9 @@ from feldspark.functions.missing import number
 from feldspark.operators.ordering import group_sizes, in_blocks, join_lookup, rank_within
 from feldspark.session import materialize
 
+# The fold functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 100_000
 
 
@@ -108,28 +115,93 @@ def _placed(slim: DataFrame, run: str, epoch: str, loss: str, block_rows: int, s
     return materialize(placed.drop("_own").sortWithinPartitions("_block"), "positions")
 
 
-def _fold_blocks(
-    placed: DataFrame, run: str, epoch: str, loss: str, initial: Column,
-    step: Callable[[Column, Column], Column], done: Callable[[Column], Column],
-) -> DataFrame:
-    """Fold each run's losses in order; returns (run, state) with the last state.
+def _block_outcomes(position: np.ndarray, loss: np.ndarray, patience: int, min_delta: float, zone: int, limit: int) -> list[dict]:
+    """What follows in one block from each loss of its first ``zone`` positions that may be an improvement.
 
-    Runs are cut into blocks of consecutive positions and folded block by block, all
-    runs side by side, so no task holds more than one block of a run. A run leaves as
-    soon as ``done`` holds, which for the callbacks here comes after few epochs.
+    Whatever the best loss before the block, an improvement is lower than everything before it in the block, so only
+    prefix minima count, and the next improvement after one is found by binary search among them. Each is followed
+    once, from the last one back. A plateau comes ``patience`` positions after the last improvement or plateau.
     """
-    blocks = placed.groupBy(run).agg(F.max("_block").alias("_last"))
-    states = materialize(blocks.select(run, "_last", initial.alias("_state")), "states")
-    block = 0
-    while not states.filter((F.col("_last") >= block) & ~done(F.col("_state"))).isEmpty():
-        packed = _packed(placed.filter(F.col("_block") == block), run, epoch, loss)
-        settled = F.col("_rows").isNull() | done(F.col("_state"))
-        state = F.when(settled, F.col("_state")).otherwise(F.aggregate("_rows", F.col("_state"), step))
-        # one row per run on both sides
-        folded = states.join(packed, run, "left").select(run, "_last", state.alias("_state"))
-        states = materialize(folded, "states")
-        block += 1
-    return states
+    loss = np.where(np.isnan(loss), np.inf, loss)
+    record = np.flatnonzero(loss < np.concatenate([[np.inf], np.minimum.accumulate(loss)[:-1]]))
+    x, at, end = loss[record], position[record], int(position[-1])
+    after = np.searchsorted(-x, -(x - min_delta), side="right")  # the first record below x - min_delta
+    known: dict[int, tuple] = {}
+    for start in range(int(np.searchsorted(at, position[0] + zone)) - 1, -1, -1):
+        chain = [start]
+        while chain[-1] not in known and after[chain[-1]] < len(x):
+            chain.append(int(after[chain[-1]]))
+        for i in reversed(chain):
+            if i in known:
+                continue
+            last = int(after[i]) == len(x)
+            until = end if last else int(at[after[i]]) - 1
+            flat = range(int(at[i]) + patience, until + 1, patience)
+            drops = tuple((p, float(x[i])) for p in flat[:limit])
+            if last:
+                known[i] = (float(x[i]), flat[-1] if flat else int(at[i]), drops)
+            else:
+                best, origin, more = known[int(after[i])]
+                known[i] = (best, origin, (drops + more)[:limit] if drops else more)
+    zone_records = [i for i in sorted(known) if at[i] < position[0] + zone]
+    return [
+        {"position": int(at[i]), "loss": float(x[i]), "best": known[i][0], "origin": known[i][1],
+         "drops": [{"position": p, "best": v} for p, v in known[i][2]]}
+        for i in zone_records
+    ]
+
+
+def _fold_outcomes(blocks: list[tuple], patience: int, min_delta: float, limit: int) -> tuple[float, list[tuple[int, float]]]:
+    """Best loss and plateaus (position, best loss then) of one run, from its blocks (first, last, outcomes) in order."""
+    best, origin, drops = float("inf"), 0, []
+    for first, last, outcomes in blocks:
+        entry = next((o for o in outcomes if o["loss"] < best - min_delta), None)
+        until = last if entry is None else entry["position"] - 1
+        for p in range(origin + patience, until + 1, patience):
+            if len(drops) == limit:
+                break
+            drops.append((p, best))
+            origin = p
+        if len(drops) == limit:
+            return best, drops
+        if entry is not None:
+            more = [(d["position"], d["best"]) for d in entry["drops"]][: limit - len(drops)]
+            drops += more
+            best, origin = entry["best"], entry["origin"]
+            if len(drops) == limit:
+                return drops[-1][1], drops
+    return best, drops
+
+
+def plateaus(placed: DataFrame, run: str, loss: str, patience: int, min_delta: float, limit: int) -> DataFrame:
+    """(run, best, drops) of runs of any length, in a fixed number of jobs.
+
+    ``placed`` has positions and blocks of consecutive ones, none shorter than ``patience`` but the last. Blocks are
+    summed up side by side; a summary holds at most ``patience * (limit + 1)`` outcomes, as an improvement later in
+    the block comes after the last plateau that matters. Summaries of a run, one row a block, are then folded.
+    Only the first ``limit`` plateaus count.
+    """
+    kind = placed.schema[run].dataType.simpleString()
+    zone = patience * (limit + 1)
+
+    def sum_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("position")
+        position = rows["position"].to_numpy(np.int64)
+        found = _block_outcomes(position, rows[loss].to_numpy(np.float64), patience, min_delta, zone, limit)
+        return pd.DataFrame({run: [key[0]], "block": [key[1]], "first": [position[0]], "last": [position[-1]], "outcomes": [found]})
+
+    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        best, drops = _fold_outcomes(list(zip(rows["first"], rows["last"], rows["outcomes"])), patience, min_delta, limit)
+        return pd.DataFrame({run: [key[0]], "best": [best], "drops": [[{"position": int(p), "best": v} for p, v in drops]]})
+
+    drop = "array<struct<position: bigint, best: double>>"
+    outcome = f"array<struct<position: bigint, loss: double, best: double, origin: bigint, drops: {drop}>>"
+    slim = placed.select(run, "_block", "position", F.col(loss).cast("double").alias(loss))
+    summed = slim.groupBy(run, "_block").applyInPandas(
+        sum_up, f"`{run}` {kind}, block bigint, first bigint, last bigint, outcomes {outcome}"
+    )
+    return summed.groupBy(run).applyInPandas(fold, f"`{run}` {kind}, best double, drops {drop}")
 
 
 def early_stop(
@@ -164,8 +236,12 @@ def early_stop(
         packed = _packed(slim, run, epoch, loss)
         states = packed.select(run, F.aggregate("_rows", initial, step).alias("_state"))
     else:
-        placed = _placed(slim, run, epoch, loss, block_rows, sizes)
-        states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["stopped"].isNotNull())
+        placed = _placed(slim, run, epoch, loss, max(block_rows, patience), sizes)
+        found = plateaus(placed, run, loss, patience, min_delta, 1)
+        found = found.select(run, "best", F.get("drops", F.lit(0))["position"].alias("position"))
+        stops = placed.select(F.col(run).alias("_run"), "position", F.col(epoch).alias("_stopped"))
+        same = (F.col(run) == F.col("_run")) & (found["position"] == stops["position"])
+        states = found.join(stops, same, "left").select(run, F.struct("best", F.col("_stopped").alias("stopped")).alias("_state"))
     best = F.col("_state.best")
     return states.select(
         run, F.when(best < F.lit(float("inf")), best).alias("best_loss"), F.col("_state.stopped").alias("stopped_epoch")
@@ -178,9 +254,11 @@ def lr_schedule(
 ) -> DataFrame:
     """Learning rate after each epoch: halved (down to ``min_lr``) on every plateau.
 
-    Only the drops are kept while folding; a run is settled once its rate is at the
+    Only the drops are kept; a run is settled once its rate is at the
     floor. Each epoch then takes the rate of the last drop at or before it.
     """
+    if not 0 <= factor < 1:
+        raise ValueError("factor must be at least 0 and below 1")
     slim = _slim(df, run, epoch, loss)
     drop = F.struct(F.lit(0).cast("long").alias("position"), F.lit(float(initial_lr)).alias("lr"))
     initial = F.struct(
@@ -212,9 +290,14 @@ def lr_schedule(
         rates = F.transform("_rows", lambda r: F.struct(
             r["epoch"].alias(epoch), rate_at(F.col("_drops"), r["position"]).alias("lr")))
         return folded.select(run, F.inline(rates))
-    placed = _placed(slim, run, epoch, loss, block_rows, sizes)
-    states = _fold_blocks(placed, run, epoch, loss, initial, step, lambda s: s["lr"] <= F.lit(float(min_lr)))
-    joined = join_lookup(placed, states.select(run, F.col("_state.drops").alias("_drops")), [run])
+    placed = _placed(slim, run, epoch, loss, max(block_rows, patience), sizes)
+    rates = [float(initial_lr)]
+    while rates[-1] > min_lr and max(rates[-1] * factor, min_lr) < rates[-1]:
+        rates.append(max(rates[-1] * factor, float(min_lr)))
+    found = plateaus(placed, run, loss, patience, min_delta, len(rates) - 1)
+    held = F.array(*[F.lit(r) for r in rates])
+    drops = F.transform("drops", lambda d, i: F.struct(d["position"].alias("position"), F.get(held, i + 1).alias("lr")))
+    joined = join_lookup(placed, found.select(run, F.concat(F.array(drop), drops).alias("_drops")), [run])
     return joined.select(run, epoch, rate_at(F.col("_drops"), F.col("position")).alias("lr"))
 
 

@@ -1,4 +1,4 @@
-"""Versioned feature store: parquet per version, a catalog row written last.
+"""Versioned feature store: parquet per version, a catalog file created last.
 
 Readers look only at the catalog, so a write that fails half-way is never seen.
 """
@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feldspark.operators.stats import feature_columns, stat_expressions
-from feldspark.session import move_path, path_exists, remove_path
+from feldspark.session import create_file, folder_names, path_exists, remove_path
 from feldspark.sources.parquet import gathered, write_parquet
 
 STAT = T.StructType([
@@ -40,7 +40,10 @@ CATALOG = T.StructType([
     T.StructField("description", T.StringType()),
     T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
 ])
+# the newest entry of a version counts; its files lie in the folder that it names
+STORED = T.StructType([*CATALOG.fields, T.StructField("generation", T.LongType()), T.StructField("folder", T.StringType())])
 _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._+-]*")
+_ENTRY = re.compile(r"entry-(\d+)\.json")
 
 
 class DatasetNotFound(LookupError):
@@ -63,7 +66,7 @@ class DatasetMetadata:
     tags: dict[str, str] = field(default_factory=dict)
 
     @classmethod
-    def from_row(cls, row) -> DatasetMetadata:
+    def from_row(cls, row: Row) -> DatasetMetadata:
         values = row.asDict(recursive=True)
         return cls(**{k: values[k] for k in CATALOG.names})
 
@@ -92,19 +95,22 @@ class FeatureStore:
     spark: SparkSession
     base: str
 
-    def _data(self, name: str, version: str) -> str:
-        return f"{self.base}/{name}/v={version}"
-
     def _entry(self, name: str, version: str | None = None) -> str:
         entry = f"{self.base}/metadata/name={name}"
         return f"{entry}/version={version}" if version else entry
 
     def catalog(self) -> DataFrame:
         """One row per stored version."""
+        return self._stored().select(*CATALOG.names)
+
+    def _stored(self) -> DataFrame:
+        """The newest entry of each version."""
         path = f"{self.base}/metadata"
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], CATALOG)
-        return self.spark.read.schema(CATALOG).json(path).select(*CATALOG.names)
+            return self.spark.createDataFrame([], STORED)
+        rows = self.spark.read.schema(STORED).json(path).filter("created_at IS NOT NULL")  # one being written is no entry yet
+        newest = rows.groupBy("name", "version").agg(F.max_by(F.struct(*STORED.names), F.coalesce("generation", F.lit(0))).alias("e"))
+        return newest.select("e.*")
 
     def write(
         self, df: DataFrame, name: str, version: str = "latest", description: str = "",
@@ -114,17 +120,19 @@ class FeatureStore:
         """Write one version and return its id.
 
         Row count and column statistics are observed while the files are written, so
-        the input is computed once.
+        the input is computed once. A writer reserves a folder of its own and commits by creating a catalog file that
+        must not exist, which points at that folder; nothing is renamed. Until then, and if anything fails, the
+        version before stays as it was. Of two writers of the same version the one that commits later fails.
         """
         version = new_version(version)
         for text in (name, version):
             if not _NAME.fullmatch(text) or text == "metadata":
                 raise ValueError(f"Not a valid dataset name or version: {text}")
-        if path_exists(self.spark, self._entry(name, version)):
-            if not overwrite:
-                raise ValueError(f"Version {version} of {name} already exists")
-        # written beside the old files, which go only once the new ones are whole
-        fresh = f"{self.base}/{name}/new-{uuid.uuid4().hex}"
+        exists = ValueError(f"Version {version} of {name} already exists")
+        before = self._generation(name, version)
+        if before >= 0 and not overwrite:
+            raise exists
+        folder = self._reserved(name, version)
         features = feature_columns(df) if compute_stats else []
         exprs = stat_expressions(df, features)
         watch = Observation()
@@ -132,33 +140,62 @@ class FeatureStore:
         counted = gathered(df, partition_cols).observe(
             watch, F.count(F.lit(1)).alias("rows"), *[e.alias(f"s{i}") for i, e in enumerate(exprs.values())]
         )
-        write_parquet(counted, fresh, partition_cols, mode="error", gather=False)
-        seen = watch.get
-        stats: dict[str, dict] = {}
-        for i, key in enumerate(exprs):
-            column, stat = key.rsplit("|", 1)
-            stats.setdefault(column, {})[stat] = seen[f"s{i}"]
-        entry = {
-            "schema": {f.name: f.dataType.simpleString() for f in df.schema.fields},
-            "schema_json": df.schema.json(),
-            "feature_stats": stats,
-            "created_at": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
-            "num_rows": seen["rows"],
-            "partitions": list(partition_cols),
-            "description": description,
-            "tags": tags or {},
-        }
-        row = self.spark.createDataFrame([(json.dumps(entry),)], "value string").coalesce(1)
-        if path_exists(self.spark, self._entry(name, version)):
-            self.delete(name, version)
-        # files without a catalog row are left over from a failed write
-        remove_path(self.spark, self._data(name, version))
-        move_path(self.spark, fresh, self._data(name, version))
-        row.write.mode("overwrite").text(self._entry(name, version))
+        try:
+            write_parquet(counted, f"{self.base}/{folder}", partition_cols, mode="error", gather=False)
+            seen = watch.get
+            stats: dict[str, dict] = {}
+            for i, key in enumerate(exprs):
+                column, stat = key.rsplit("|", 1)
+                stats.setdefault(column, {})[stat] = seen[f"s{i}"]
+            entry = {
+                "schema": {f.name: f.dataType.simpleString() for f in df.schema.fields},
+                "schema_json": df.schema.json(),
+                "feature_stats": stats,
+                "created_at": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
+                "num_rows": seen["rows"],
+                "partitions": list(partition_cols),
+                "description": description,
+                "tags": tags or {},
+                "generation": max(before, 0) + 1,
+                "folder": folder,
+            }
+            if not create_file(self.spark, f"{self._entry(name, version)}/entry-{max(before, 0) + 1}.json", json.dumps(entry)):
+                raise exists
+        except Exception:
+            remove_path(self.spark, f"{self.base}/{folder}")
+            raise
+        self._remove_older(name, version, max(before, 0) + 1, folder)
         return version
 
+    def _generation(self, name: str, version: str) -> int:
+        """Number of the newest entry of a version; -1 if there is none."""
+        found = (_ENTRY.fullmatch(f) for f in folder_names(self.spark, self._entry(name, version)))
+        return max((int(m[1]) for m in found if m), default=-1)
+
+    def _reserved(self, name: str, version: str) -> str:
+        """A folder that no other writer uses: the version's plain one for the first."""
+        k = 0
+        while not create_file(self.spark, f"{self._entry(name, version)}/_reserved-{k}", ""):
+            k += 1
+        return f"{name}/v={version}" + (f"~{k}" if k else "")
+
+    def _remove_older(self, name: str, version: str, generation: int, folder: str) -> None:
+        """Entries before this one and the folders they point at; those of writers still at work stay."""
+        entry = self._entry(name, version)
+        for file in folder_names(self.spark, entry):
+            m = _ENTRY.fullmatch(file)
+            if m and int(m[1]) < generation:
+                row = self.spark.read.schema(STORED).json(f"{entry}/{file}").first()
+                old = (row and row["folder"]) or folder
+                remove_path(self.spark, f"{entry}/{file}")
+                if old != folder:
+                    remove_path(self.spark, f"{self.base}/{old}")
+
     def metadata(self, name: str, version: str = "latest") -> DatasetMetadata:
-        rows = self.catalog().filter(F.col("name") == name)
+        return DatasetMetadata.from_row(self._row(name, version))
+
+    def _row(self, name: str, version: str) -> Row:
+        rows = self._stored().filter(F.col("name") == name)
         if version == "latest":
             rows = rows.orderBy(F.desc("created_at"), F.desc("version")).limit(1)
         else:
@@ -166,12 +203,13 @@ class FeatureStore:
         row = rows.first()
         if row is None:
             raise DatasetNotFound(f"Metadata not found: dataset {name}, version {version} not found")
-        return DatasetMetadata.from_row(row)
+        return row
 
     def read(self, name: str, version: str = "latest") -> tuple[DataFrame, DatasetMetadata]:
-        known = self.metadata(name, version)
+        row = self._row(name, version)
+        known = DatasetMetadata.from_row(row)
         schema = T.StructType.fromJson(json.loads(known.schema_json))
-        df = self.spark.read.schema(schema).parquet(self._data(name, known.version))
+        df = self.spark.read.schema(schema).parquet(f"{self.base}/{row['folder']}")
         return df.select(*[f"`{c}`" for c in schema.names]), known
 
     def list_datasets(self) -> DataFrame:
@@ -185,10 +223,16 @@ class FeatureStore:
 
     def delete(self, name: str, version: str | None = None) -> None:
         """Remove one version, or all of them: first from the catalog, then the files."""
-        if not path_exists(self.spark, self._entry(name, version)):
+        known = self._generation(name, version) >= 0 if version else path_exists(self.spark, self._entry(name))
+        if not known:
             raise DatasetNotFound(f"Dataset {name}, version {version or 'any'} not found")
         remove_path(self.spark, self._entry(name, version))
-        remove_path(self.spark, self._data(name, version) if version else f"{self.base}/{name}")
+        mine = f"v={version}"
+        for folder in folder_names(self.spark, f"{self.base}/{name}"):
+            if version is None or folder == mine or folder.startswith(f"{mine}~"):
+                remove_path(self.spark, f"{self.base}/{name}/{folder}")
+        if version is None:
+            remove_path(self.spark, f"{self.base}/{name}")
 
 
 def flat_metadata(catalog: DataFrame) -> DataFrame:

@@ -157,8 +157,109 @@ def tune_mlp(
     """Sample a configuration per trial id, train them all, and return (all epochs, the best trial's last one)."""
     space = search_space(trials, seed=seed)
     history = mlp_trials(df, features, target, network_configs(space), epochs=epochs, seed=seed, **fixed)
-    last = history.groupBy("trial").agg(F.max_by(F.struct("epoch", "train_loss", "val_loss"), "epoch").alias("r")).select("trial", "r.*")
-    return history, best_trial(last, "val_loss")
+    return history, best_trial(last_epochs(history), "val_loss")
+
+
+def last_epochs(history: DataFrame) -> DataFrame:
+    """The last epoch of each trial."""
+    values = [c for c in history.columns if c != "trial"]
+    return history.groupBy("trial").agg(F.max_by(F.struct(*values), "epoch").alias("r")).select("trial", "r.*")
+
+
+class Watch:
+    """The callbacks of one trial: it lowers the rate on a plateau and says when to stop."""
+
+    def __init__(self, rate: float, patience: int = 10, plateau: int = 5, factor: float = 0.5, min_rate: float = 1e-6, min_delta: float = 1e-4):
+        self.rate, self.patience, self.plateau, self.factor, self.min_rate, self.min_delta = rate, patience, plateau, factor, min_rate, min_delta
+        self.best, self.waited, self.stalled = float("inf"), 0, 0
+
+    def after(self, loss: float) -> bool:
+        """Take the loss of an epoch; whether training stops."""
+        if loss < self.best - self.min_delta:
+            self.best, self.waited, self.stalled = loss, 0, 0
+            return False
+        self.waited, self.stalled = self.waited + 1, self.stalled + 1
+        if self.stalled >= self.plateau:
+            self.rate, self.stalled = max(self.rate * self.factor, self.min_rate), 0
+        return self.waited >= self.patience
+
+
+def tune_sampled(
+    space: DataFrame, start: Callable[[dict], object], epoch: Callable[[object, float], tuple[object, float, float | None]],
+    epochs: int = 10, parallelism: int = 4, **watch,
+) -> DataFrame:
+    """Trials of a sampled space, several at a time, each reported per epoch and steered by ``Watch``.
+
+    ``start(config)`` gives a trial's state, ``epoch(state, rate)`` the state after one more pass with its train and
+    validation loss; what either does with data is Spark jobs of its own. A worker takes the next trial as soon as one
+    is done, so slow trials hold up no other. A trial that fails ends with its error and the rest go on. Returns one row
+    per trial and epoch: trial, epoch, rate, train_loss, val_loss, error.
+    """
+    configs = [r.asDict() for r in space.orderBy("trial").collect()]  # a search has a short list of trials
+
+    def run(config: dict) -> list[tuple]:
+        rows: list[tuple] = []
+        try:
+            state, steering = start(config), Watch(config["learning_rate"], **watch)
+            for number_ in range(1, epochs + 1):
+                rate = steering.rate
+                state, train, held = epoch(state, rate)
+                rows.append((config["trial"], number_, rate, float(train), None if held is None else float(held), None))
+                if steering.after(train if held is None else held):
+                    break
+        except Exception as e:  # noqa: BLE001 - the failure is the result
+            rows.append((config["trial"], len(rows) + 1, None, None, None, f"{type(e).__name__}: {e}"))
+        return rows
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        done = [row for rows in pool.imap_unordered(run, configs) for row in rows]
+    return space.sparkSession.createDataFrame(
+        sorted(done), f"trial {space.schema['trial'].dataType.simpleString()}, epoch int, rate double, train_loss double, val_loss double, error string"
+    )
+
+
+def moment_descent(df: DataFrame, features: Sequence[str], target: str, held: Column):
+    """(start, epoch) for ``tune_sampled``: a linear model by full-batch gradient steps on standardized columns.
+
+    One aggregate over the table gives the second moments of the fitted and the held rows; every epoch of every trial
+    follows from them, so a search of any length reads the table once.
+    """
+    names = [*features, target]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    got = {r["_held"]: r for r in complete_rows(df, names, [held.alias("_held")]).groupBy("_held").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(n).alias(f"m{i}") for i, n in enumerate(names)],
+        *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).collect()}
+    if False not in got:
+        raise ValueError("no complete training rows")
+    k = len(features)
+    center = np.array([got[False][f"m{i}"] for i in range(k + 1)])
+    scale = np.array([got[False][f"c{i}_{i}"] ** 0.5 or 1.0 for i in range(k + 1)])
+
+    def second(row) -> np.ndarray:
+        """Mean products of (1, features, target), standardized."""
+        m = (np.array([row[f"m{i}"] for i in range(k + 1)]) - center) / scale
+        out = np.ones((k + 2, k + 2))
+        out[0, 1:] = out[1:, 0] = m
+        for i, j in pairs:
+            out[i + 1, j + 1] = out[j + 1, i + 1] = row[f"c{i}_{j}"] / (scale[i] * scale[j]) + m[i] * m[j]
+        return out
+
+    parts = {side: second(row) for side, row in got.items()}
+
+    def loss(side: bool, w: np.ndarray) -> float | None:
+        full = np.append(-w, 1.0)
+        return float(full @ parts[side] @ full) if side in parts else None
+
+    def start(config: dict) -> np.ndarray:
+        return np.zeros(k + 1)
+
+    def epoch(w: np.ndarray, rate: float):
+        m = parts[False]
+        w = w - rate * 2 * (m[:-1, :-1] @ w - m[:-1, -1])
+        return w, loss(False, w), loss(True, w)
+
+    return start, epoch
 
 
 def best_trial(trials: DataFrame, metric: str, mode: str = "min", tie: str = "trial") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from feldspark.functions.hashing import driver_normal
 from feldspark.operators import filters, models, monitoring, quality, runs, serving, splits, stats, tuning
-from feldspark.operators.mlp import history_frame, train_mlp
+from feldspark.operators.mlp import history_frame, initial_weights, prepare_training, train_mlp
 from feldspark.operators.ordering import join_lookup
 from feldspark.operators.preprocess import Preprocessor
 from feldspark.operators.quality import ColumnRule, DatasetRules
@@ -579,7 +579,7 @@ def split_group_binned(spark, sf):
 def lookup_salted(spark, sf):
     events = table(spark, sf, "events")
     counts = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return join_lookup(events, counts, ["user_id"], max_rows=1, salts=4).select("event_id", "user_id", "n")
+    return join_lookup(events, counts, ["user_id"], max_rows=1, salts=4, hot_rows=20).select("event_id", "user_id", "n")
 
 
 # --------------------------------------------------------------------- store
@@ -751,7 +751,7 @@ def model_registry_roundtrip(spark, sf):
 def random_forest(spark, sf):
     features = ["l_quantity", "l_discount", "l_tax"]
     items = table(spark, sf, "lineitem")
-    fitted = models.random_forest(items, features, "l_extendedprice", trees=10)
+    fitted = models.random_forest(items, features, "l_extendedprice")
     return stats.regression_metrics(
         models.forest_predictions(fitted, items, features, "l_extendedprice"), "l_extendedprice", "prediction"
     )
@@ -775,7 +775,7 @@ def mlp_train_history(spark, sf):
 @query()
 def mlp_score(spark, sf):
     items = _charged(spark, sf)
-    model = train_mlp(items, _CHARGE, "charge", hidden=(16,), epochs=3)
+    model = train_mlp(items, _CHARGE, "charge")
     return stats.regression_metrics(model.transform(items), "charge", "prediction")
 
 
@@ -845,13 +845,111 @@ def tune_trials(spark, sf):
 @query()
 def tune_forests(spark, sf):
     items = table(spark, sf, "lineitem")
-    return tuning.forest_trials(items, ["l_quantity", "l_discount"], "l_extendedprice", [5], [2, 4])
+    return tuning.forest_trials(items, ["l_quantity", "l_discount"], "l_extendedprice", [20, 50], [3, 5])
 
 
 @query()
 def tune_networks(spark, sf):
-    configs = [{"learning_rate": 1e-3, "hidden": (16,)}, {"learning_rate": 1e-2, "hidden": (16,)}]
-    return tuning.mlp_trials(_charged(spark, sf), _CHARGE, "charge", configs, epochs=2)
+    """Sampled configurations, each trained in full; the best trial's last epoch beside all others."""
+    trials = spark.range(3).withColumnRenamed("id", "trial")
+    history, best = tuning.tune_mlp(_charged(spark, sf), _CHARGE, "charge", trials, epochs=3)
+    return history.join(best.select(F.col("trial").alias("best")), F.col("trial") == F.col("best"), "left").withColumn(
+        "best", F.col("best").isNotNull())
+
+
+_RATES = (0.05, 0.9)
+_TUNE_SQL = f"""WITH RECURSIVE d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_orderkey % 5 = 0 AS held FROM lineitem),
+m AS (SELECT held, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, var_pop(y) AS vy, covar_pop(x, y) AS c FROM d GROUP BY held),
+f AS (SELECT mx AS cx, my AS cy, sqrt(vx) AS sx, sqrt(vy) AS sy FROM m WHERE NOT held),
+s AS (SELECT held, (mx - cx) / sx AS ax, (my - cy) / sy AS ay, vx / (sx * sx) + pow((mx - cx) / sx, 2) AS xx,
+  vy / (sy * sy) + pow((my - cy) / sy, 2) AS yy, c / (sx * sy) + (mx - cx) / sx * (my - cy) / sy AS xy FROM m, f),
+p AS (SELECT t.*, h.ax AS hax, h.ay AS hay, h.xx AS hxx, h.yy AS hyy, h.xy AS hxy FROM s t, s h WHERE NOT t.held AND h.held),
+space AS (SELECT n_nationkey AS trial, exp(ln({_RATES[0]}::DOUBLE) + {sql_uniform(42, "'learning_rate'", 'n_nationkey')} * (ln({_RATES[1]}::DOUBLE) - ln({_RATES[0]}::DOUBLE))) AS rate
+  FROM nation),
+e AS (SELECT trial, 0 AS epoch, rate, rate AS used, 0::DOUBLE AS b, 0::DOUBLE AS w, 'inf'::DOUBLE AS best, 0 AS waited, 0 AS stalled, NULL::DOUBLE AS train_loss, NULL::DOUBLE AS val_loss FROM space
+  UNION ALL SELECT trial, epoch + 1, CASE WHEN gained OR stalled + 1 < 2 THEN rate ELSE greatest(rate * 0.5::DOUBLE, 1e-6::DOUBLE) END, rate, b2, w2,
+    CASE WHEN gained THEN held_loss ELSE best END, CASE WHEN gained THEN 0 ELSE waited + 1 END, CASE WHEN gained OR stalled + 1 >= 2 THEN 0 ELSE stalled + 1 END, loss, held_loss
+  FROM (SELECT *, held_loss < best - 1e-4 AS gained FROM (
+    SELECT *, yy + w2 * w2 * xx + b2 * b2 + 2 * w2 * b2 * ax - 2 * w2 * xy - 2 * b2 * ay AS loss,
+      hyy + w2 * w2 * hxx + b2 * b2 + 2 * w2 * b2 * hax - 2 * w2 * hxy - 2 * b2 * hay AS held_loss FROM (
+      SELECT e.*, p.*, b - rate * 2 * (b + w * ax - ay) AS b2, w - rate * 2 * (b * ax + w * xx - xy) AS w2 FROM e, p WHERE epoch < 12 AND waited < 4)))),
+h AS (SELECT * FROM e WHERE epoch > 0),
+z AS (SELECT trial FROM (SELECT trial, val_loss, row_number() OVER (PARTITION BY trial ORDER BY epoch DESC) AS r FROM h) WHERE r = 1 ORDER BY val_loss, trial LIMIT 1)
+SELECT trial, epoch, round(used, 9) AS rate, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss, trial = (SELECT trial FROM z) AS best FROM h"""
+
+
+@query(_TUNE_SQL)
+def tune_sampled(spark, sf):
+    """A sampled rate per nation over one pass of the line items; the trial of least validation loss is the best."""
+    trials = table(spark, sf, "nation").select(F.col("n_nationkey").alias("trial"))
+    space = tuning.search_space(trials, learning_rate=_RATES)
+    start, epoch = tuning.moment_descent(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", F.col("l_orderkey") % 5 == 0)
+    history = tuning.tune_sampled(space, start, epoch, epochs=12, patience=4, plateau=2)
+    best = tuning.best_trial(tuning.last_epochs(history), "val_loss").first()["trial"]
+    out = history.select("trial", "epoch", "rate", "train_loss", "val_loss", (F.col("trial") == best).alias("best"))
+    return rounded(rounded(out, 9, ["rate"]), 6, ["train_loss", "val_loss"])
+
+
+_BLOCKS = 7
+
+
+def _linear_history_sql() -> str:
+    w, b = (float(v) for v in initial_weights([1, 1], 42))
+    step = lambda g, p, m, v: f"""{p} - 0.05::DOUBLE * (0.9 * {m} + 0.1 * {g}) / (1 - pow(0.9::DOUBLE, t + 1)) / (sqrt((0.999 * {v} + 0.001 * pow({g}, 2)) / (1 - pow(0.999::DOUBLE, t + 1))) + 1e-8::DOUBLE)"""
+    gw, gb = "(2 * (w * k.xx + b * k.x - k.xy))", "(2 * (w * k.x + b - k.y))"
+    mean = lambda x: f"list_sum(list_transform(blocks, lambda k: k.n * ({x}))) / list_sum(list_transform(blocks, lambda k: k.n))"
+    loss = "(k.yy + w * w * k.xx + b * b + 2 * w * b * k.x - 2 * w * k.xy - 2 * b * k.y)"
+    return f"""WITH RECURSIVE d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_orderkey % 5 = 0 AS held, l_orderkey % {_BLOCKS} AS block FROM lineitem),
+f AS (SELECT avg(x) AS cx, avg(y) AS cy, stddev_pop(x) AS sx, stddev_pop(y) AS sy FROM d WHERE NOT held),
+z AS (SELECT (x - cx) / sx AS x, (y - cy) / sy AS y, held, block FROM d, f),
+g AS (SELECT held, block, count(*)::DOUBLE AS n, avg(x) AS x, avg(y) AS y, avg(x * x) AS xx, avg(y * y) AS yy, avg(x * y) AS xy FROM z GROUP BY held, block),
+l AS (SELECT (SELECT list({{'n': n, 'x': x, 'y': y, 'xx': xx, 'yy': yy, 'xy': xy}}) FROM g WHERE NOT held) AS blocks,
+  (SELECT list({{'n': n, 'x': x, 'y': y, 'xx': xx, 'yy': yy, 'xy': xy}}) FROM g WHERE held) AS kept),
+e AS (SELECT 0 AS epoch, 0 AS t, {w!r}::DOUBLE AS w, {b!r}::DOUBLE AS b, 0::DOUBLE AS mw, 0::DOUBLE AS mb, 0::DOUBLE AS vw, 0::DOUBLE AS vb, NULL::DOUBLE AS train_loss
+  UNION ALL SELECT epoch + 1, t + 1, {mean(step(gw, 'w', 'mw', 'vw'))}, {mean(step(gb, 'b', 'mb', 'vb'))},
+    {mean(f'0.9 * mw + 0.1 * {gw}')}, {mean(f'0.9 * mb + 0.1 * {gb}')}, {mean(f'0.999 * vw + 0.001 * pow({gw}, 2)')}, {mean(f'0.999 * vb + 0.001 * pow({gb}, 2)')},
+    {mean(loss)} FROM e, l WHERE epoch < 6)
+SELECT epoch, round(train_loss, 5) AS train_loss, round({mean(loss).replace('blocks', 'kept')}, 5) AS val_loss, round(w, 5) AS weight, round(b, 5) AS bias FROM e, l WHERE epoch > 0"""
+
+
+@query(_linear_history_sql())
+def mlp_linear_history(spark, sf):
+    """A network without hidden layer: one Adam step per block and epoch, averaged, over the whole table."""
+    items = table(spark, sf, "lineitem").withColumn("block", F.col("l_orderkey") % _BLOCKS).withColumn("held", F.col("l_orderkey") % 5 == 0)
+    ready = prepare_training(items, ["l_quantity"], "l_extendedprice", block="block", held="held")
+    weights = {}
+    model = train_mlp(
+        items, ["l_quantity"], "l_extendedprice", hidden=(), epochs=6, batch_size=1 << 40, learning_rate=0.05, prepared=ready,
+        double=True, on_epoch=lambda epoch, m: weights.__setitem__(epoch, m.weights),
+    )
+    rows = [(h["epoch"], h["train_loss"], h["val_loss"], *weights[h["epoch"]]) for h in model.history]
+    return rounded(spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double, weight double, bias double"), 5)
+
+
+_STUMP = ("l_linenumber", "l_discount", "l_tax")
+
+
+def _stump_sql() -> str:
+    one = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS x, l_extendedprice AS y FROM lineitem" for i, c in enumerate(_STUMP))
+    return f"""WITH d AS ({one}), v AS (SELECT f, x, count(*)::DOUBLE AS n, sum(y) AS s, sum(y * y) AS q FROM d GROUP BY f, x),
+c AS (SELECT f, x, sum(n) OVER a AS n, sum(s) OVER a AS s, sum(q) OVER a AS q, sum(n) OVER w AS tn, sum(s) OVER w AS ts, sum(q) OVER w AS tq
+  FROM v WINDOW a AS (PARTITION BY f ORDER BY x), w AS (PARTITION BY f)),
+g AS (SELECT *, (q - s * s / n) + ((tq - q) - pow(ts - s, 2) / (tn - n)) AS rest FROM c WHERE n < tn),
+best AS (SELECT * FROM g ORDER BY rest, f LIMIT 1)
+SELECT f::BIGINT AS feature, 'low' AS side, n::BIGINT AS n, round(s / n, 4) AS prediction FROM best
+UNION ALL SELECT f, 'high', (tn - n)::BIGINT, round((ts - s) / (tn - n), 4) FROM best"""
+
+
+@query(_stump_sql())
+def forest_stump(spark, sf):
+    """One tree of one split on all rows and features: the split of least squared error."""
+    items = table(spark, sf, "lineitem")
+    fitted = models.random_forest(items, list(_STUMP), "l_extendedprice", trees=1, depth=1, every_feature=True, all_rows=True, bins=64)
+    split = fitted.forest.trees[0]._call_java("rootNode").split()
+    scored = models.forest_predictions(fitted, items, list(_STUMP), "l_extendedprice")
+    side = F.when(F.col(_STUMP[split.featureIndex()]) <= split.threshold(), "low").otherwise("high")
+    out = scored.groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("prediction"))
+    return rounded(out.select(F.lit(split.featureIndex()).cast("long").alias("feature"), "side", "n", "prediction"), 4)
 
 
 @query("""WITH t AS (SELECT user_id AS trial, avg(value) AS val_loss, count(*) AS n FROM events GROUP BY user_id)
@@ -982,6 +1080,21 @@ def loss_spikes_hot(spark, sf):
     return _timed(rounded(monitoring.loss_spikes(_metrics(spark, sf), chunk_rows=12)))
 
 
+# order of text that is alike for many bytes, ties by numbers beyond 2**53
+_STRING_SPIKES = """SELECT seq, context, step, value, round(previous, 6) AS previous FROM (
+  SELECT event_id + 1152921504606846976 AS seq, user_id AS context, step, value, avg(value) OVER (PARTITION BY user_id ORDER BY step, event_id
+    ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS previous FROM (SELECT *, 'runs/checkpoint-' || strftime(ts, '%Y-%m-%d') AS step FROM events))
+WHERE previous > 0 AND value > previous * 5"""
+
+
+@query(_STRING_SPIKES)
+def loss_spikes_strings(spark, sf):
+    step = F.concat(F.lit("runs/checkpoint-"), F.date_format("ts", "yyyy-MM-dd"))
+    seq = F.col("seq") + F.lit(1 << 60)
+    found = monitoring.loss_spikes(_metrics(spark, sf).withColumn("ts", step).withColumn("seq", seq), chunk_rows=12)
+    return rounded(found.withColumnRenamed("ts", "step"))
+
+
 def _ks_sql(feature: str, x: str) -> str:
     series = "2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * k * k * lam * lam)))"
     return f"""(WITH v AS (SELECT {x} AS x, count(*) FILTER (WHERE event_id % 2 = 0) AS a, count(*) FILTER (WHERE event_id % 2 = 1) AS b
@@ -1002,7 +1115,7 @@ def _drift(spark, sf):
         (F.col("value") + (F.col("event_id") % 2) * 4).alias("shifted"),
     )
     even, odd = (events.filter(F.col("event_id") % 2 == i) for i in (0, 1))
-    return monitoring.ks_drift(even, odd, ["value", "user", "shifted"])
+    return monitoring.ks_drift(even, odd, ["value", "user", "shifted"], exact_rows=0)
 
 
 @query(f"SELECT feature, round(ks, 6) AS ks_statistic, round(p, 6) AS ks_pvalue, p < 0.05 AS drift_detected FROM ({_KS})")
@@ -1121,27 +1234,35 @@ def metric_log(spark, sf):
 # ----------------------------------------------------------------- streaming
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events in order of time, in four batches."""
-    events, folder = table(spark, sf, "events"), scratch_path(spark, "arrivals")
-    streams.land(events, "ts", folder)
-    return streams.read_stream(spark, folder, "*.parquet", events.schema, files=1)
+def _arrivals(spark: SparkSession, sf: str, arrival=None) -> streams.Arrivals:
+    """The events in four spans, in order of time unless an order of arrival is given."""
+    return streams.Arrivals(table(spark, sf, "events"), "ts", 4, arrival)
 
 
 @query(f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS window_start, name, round(avg(value), 6) AS avg,
   max(value) AS max, count(value) AS n FROM {_NAMED} GROUP BY 1, 2""")
 def stream_window_summary(spark, sf):
-    summary = streams.window_summary(system_metrics(_event_stream(spark, sf)))
-    done = streams.run_updates(summary, "windows", ["window_start", "name"])
+    done = streams.run_updates(
+        lambda events: streams.window_summary(system_metrics(events)), "windows", ["window_start", "name"], _arrivals(spark, sf)
+    )
     return rounded(done.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm")))
 
 
 @query(f"SELECT seq, name, value, type, message, severity FROM {_over_sql(_NAMED)}")
 def stream_alerts(spark, sf):
-    found = streams.alert_stream(system_metrics(_event_stream(spark, sf)))
-    return streams.run_to_table(found, "alerts").select("seq", "name", "value", "type", "message", "severity")
+    found = streams.run_to_table(lambda events: streams.alert_stream(system_metrics(events)), "alerts", _arrivals(spark, sf))
+    return found.select("seq", "name", "value", "type", "message", "severity")
 
 
 @query(_SPIKES_SQL)
 def stream_loss_spikes(spark, sf):
-    return _timed(rounded(streams.run_spikes(metric_frame(_event_stream(spark, sf)))))
+    return _timed(rounded(streams.run_spikes(metric_frame, arrivals=_arrivals(spark, sf))))
+
+
+@query(_SPIKES_SQL)
+def stream_loss_spikes_late(spark, sf):
+    """Rows that arrive up to five days after their time, so that every span holds rows of earlier ones."""
+    days = 5
+    behind = F.pmod(F.xxhash64("event_id"), F.lit(days * 86_400)) * 1_000_000
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + behind
+    return _timed(rounded(streams.run_spikes(metric_frame, arrivals=_arrivals(spark, sf, arrival), delay=days * 86_400)))

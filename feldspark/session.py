@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -67,6 +68,28 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; whether it was ours to write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        stream = files.create(target, False)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException" or files.exists(target):
+            return False
+        raise
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    return True
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feldspark.functions.missing import number
 from feldspark.operators.monitoring import SPIKE_FACTOR, THRESHOLDS, exceeding, loss_spikes
+from feldspark.operators.ordering import order_number
 from feldspark.session import materialize, remove_path, scratch_path
 
 
@@ -18,15 +20,33 @@ def read_stream(spark: SparkSession, folder: str, pattern: str, schema, files: i
     return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(folder)
 
 
-def land(rows: DataFrame, time: str, folder: str, parts: int = 4) -> None:
-    """Write ``rows`` as ``parts`` files that arrive one after the other, in order of time."""
-    spans = rows.agg(F.percentile_approx(F.unix_micros(F.col(time).cast("timestamp")), [i / parts for i in range(1, parts)])).first()[0] or []
-    at = F.unix_micros(F.col(time).cast("timestamp"))
-    edges = [None, *sorted(set(spans)), None]
-    for low, high in zip(edges, edges[1:]):
-        part = rows if low is None else rows.filter(at > low)
-        part = part if high is None else part.filter(at <= high)
-        part.coalesce(1).write.mode("append").parquet(folder)
+class Arrivals:
+    """A table that arrives in spans, for runs of a stream over what has landed so far.
+
+    Spans follow ``arrival`` (by default ``time``), about equal numbers of rows each. A span is written with Spark's
+    own partitions into a folder of its own; iterating lands one span after the other, and a stream that is run over
+    ``stream`` after each takes that span as one batch.
+    """
+
+    def __init__(self, rows: DataFrame, time: str, parts: int = 4, arrival: Column | None = None):
+        self.folder = scratch_path(rows.sparkSession, "arrivals")
+        self.columns = rows.columns
+        at = F.unix_micros(F.col(time).cast("timestamp")) if arrival is None else arrival
+        self.rows, self.spark, self.schema = rows.withColumn("_at", at), rows.sparkSession, rows.schema
+        cuts = self.rows.agg(F.percentile_approx("_at", [i / parts for i in range(1, parts)])).first()[0] or []
+        self.edges = [None, *sorted(set(cuts)), None]
+
+    def __iter__(self):
+        at = F.col("_at")
+        for k, (low, high) in enumerate(zip(self.edges, self.edges[1:])):
+            inside = F.lit(True) if high is None else at <= high
+            # rows without a time come first
+            inside = F.coalesce(inside, F.lit(True)) if low is None else inside & (at > low)
+            self.rows.filter(inside).select(*self.columns).write.parquet(f"{self.folder}/span={k:05d}")
+            yield k
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(f"{self.folder}/*")
 
 
 def window_summary(metrics: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -44,25 +64,30 @@ def alert_stream(metrics: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 
 
 class SpikeDetector:
-    """Loss spikes per context over micro-batches.
-
-    Between batches only the last ``window - 1`` losses of each context are kept. Each
-    batch writes them for the contexts it has seen, and every ``compact`` batches for
-    all; earlier state is read for the contexts of the batch only. A batch runs the
-    batch operator over kept and new rows, so a hot context is cut into blocks here
-    too. A replayed batch reads the same earlier state and writes the same rows again.
-    Rows must not arrive in a later batch than rows of their context that follow them in
-    time; those that do are compared as if they came last, and ``late`` returns them.
+    """Loss spikes per context over micro-batches, in order of event time.
+
+    Rows wait in an event-time buffer until the watermark (the newest time seen less ``delay`` seconds) has passed
+    them, so rows may arrive in any order within the delay. Those that are ready are judged by the batch operator
+    together with the last ``window - 1`` losses kept of their contexts; a hot context is cut into blocks here too.
+    The buffer is a table per batch. Kept losses are written for the contexts of a batch, and every ``compact``
+    batches for all; earlier ones are read for the contexts of the batch only. A replayed batch reads the same
+    earlier tables and writes the same rows again. Rows that come after later rows of their context have been judged
+    take no part; ``late`` returns them. ``results`` holds what the watermark has passed, ``waiting`` judges the rest.
     """
 
     def __init__(
-        self, path: str, context: str = "context", window: int = 10, factor: float = SPIKE_FACTOR, compact: int = 20
+        self, path: str, context: str = "context", window: int = 10, factor: float = SPIKE_FACTOR, compact: int = 20, delay: float = 0.0
     ):
         self.path, self.context, self.window, self.factor, self.compact = path, context, window, factor, compact
+        self.delay = int(delay * 1_000_000)
+        self.mark: tuple[int, int | None] | None = None  # (batch, watermark after it)
 
     def _state(self, batch: int) -> str:
         return f"{self.path}/state/batch={batch}"
 
+    def _buffer(self, batch: int) -> str:
+        return f"{self.path}/buffer/batch={batch}"
+
     def _tail(self, rows: DataFrame) -> DataFrame:
         newest = Window.partitionBy(self.context).orderBy(F.desc("ts"), F.desc("seq"))
         # the limit on the rank is applied before the shuffle, so a hot context shrinks first
@@ -70,36 +95,91 @@ class SpikeDetector:
 
     def _kept(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
         """The newest losses of every context before this batch."""
-        first = (batch_id - 1) // self.compact * self.compact
+        first = max(batch_id - 1, 0) // self.compact * self.compact
         paths = [self._state(b) for b in range(first, batch_id)]
+        if not paths:
+            return spark.createDataFrame([], schema)
         rows = spark.read.schema(schema).parquet(*paths)
         return self._tail(rows.dropDuplicates([self.context, "seq"]))
 
+    def _waiting(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
+        """Rows that were buffered after a batch."""
+        if not self.delay or batch_id < 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self._buffer(batch_id)).filter("seq IS NOT NULL")
+
+    def _mark_after(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The watermark after a batch: kept here, or read back after a restart."""
+        if batch_id < 0 or not self.delay:
+            return None
+        if self.mark is None or self.mark[0] != batch_id:
+            self.mark = (batch_id, spark.read.schema("mark long").parquet(f"{self.path}/mark/batch={batch_id}").first()[0])
+        return self.mark[1]
+
+    def _ready(self, rows: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows marked where later ones of their context are judged already, and the kept rows of their contexts."""
+        same = F.col(self.context).eqNullSafe(F.col("_seen"))
+        seen = rows.select(F.col(self.context).alias("_seen")).distinct()
+        mine = kept.join(seen, same, "left_semi")
+        newest = kept.groupBy(F.col(self.context).alias("_seen")).agg(F.max(F.struct("ts", "seq")).alias("_last"))
+        marked = rows.join(newest, same, "left")
+        late = F.coalesce(F.struct("ts", "seq") < F.col("_last"), F.lit(False))
+        return marked.select(*rows.columns, late.alias("_late")), mine
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = batch.select("seq", self.context, "ts", number(batch, "value").alias("value"))
-        new = materialize(new, "batch")  # read several times below
-        rows = new
-        if batch_id > 0:
-            kept = self._kept(spark, batch_id, new.schema)
-            seen = new.select(F.col(self.context).alias("_seen")).distinct()
-            mine = kept.join(seen, F.col(self.context).eqNullSafe(F.col("_seen")), "left_semi")
-            rows = materialize(new.unionByName(mine), "batch")
-            newest = mine.groupBy(F.col(self.context).alias("_seen")).agg(F.max(F.struct("ts", "seq")).alias("_last"))
-            behind = new.join(newest, F.col(self.context).eqNullSafe(F.col("_seen"))).filter(F.struct("ts", "seq") < F.col("_last"))
-            behind.select(*new.columns).write.mode("overwrite").parquet(f"{self.path}/late/batch={batch_id}")
-        found = loss_spikes(rows, self.context, self.window, self.factor)
-        if batch_id > 0:
-            found = found.join(new.select("seq"), "seq", "left_semi")
-        found.write.mode("overwrite").parquet(f"{self.path}/spikes/batch={batch_id}")
+        schema = new.schema
+        rows = new.unionByName(self._waiting(spark, batch_id - 1, schema)) if self.delay else new
+        at = order_number(rows, "ts")
+        # one light job: the watermark and the largest context
+        by = rows.groupBy(self.context).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
+        newest, largest, total = by.agg(F.max("at"), F.max("n"), F.sum("n")).first()
+        before = self._mark_after(spark, batch_id - 1)
+        mark = max((m for m in (before, None if newest is None else newest - self.delay) if m is not None), default=None)
+        passed = F.lit(False) if mark is None else F.coalesce(at <= F.lit(mark), F.lit(True))
+        kept = self._kept(spark, batch_id, schema)
+        if batch_id:
+            ready, mine = self._ready(rows.filter(passed) if self.delay else rows, kept)
+            both = materialize(ready.withColumn("_new", F.lit(True)).unionByName(
+                mine.withColumn("_late", F.lit(False)).withColumn("_new", F.lit(False))), "batch")
+        else:
+            ready = rows.filter(passed) if self.delay else rows
+            both = materialize(ready.withColumn("_late", F.lit(False)).withColumn("_new", F.lit(True)), "batch")
+        fine = both.filter("NOT _late")
+        sizes = ((largest or 0) + self.window, (total or 0) + self.window)
+        found = loss_spikes(fine.select(*schema.names), self.context, self.window, self.factor, sizes=sizes)
+        if batch_id:
+            found = found.join(fine.filter("_new").select("seq"), "seq", "left_semi")
+        judged = fine.select(*schema.names)
         full = batch_id > 0 and batch_id % self.compact == 0
-        state = new.unionByName(kept) if full else rows
-        self._tail(state).write.mode("overwrite").parquet(self._state(batch_id))
+        writes = [
+            (found, f"{self.path}/spikes/batch={batch_id}"),
+            (self._tail(judged.unionByName(kept).dropDuplicates([self.context, "seq"]) if full else judged), self._state(batch_id)),
+        ]
+        if batch_id:
+            writes.append((both.filter("_late").select(*schema.names), f"{self.path}/late/batch={batch_id}"))
+        if self.delay:
+            writes.append((rows.filter(~passed), self._buffer(batch_id)))
+            writes.append((spark.createDataFrame([(mark,)], "mark long").coalesce(1), f"{self.path}/mark/batch={batch_id}"))
+        with ThreadPool(len(writes)) as pool:  # small jobs that do not depend on each other
+            pool.map(lambda w: w[0].write.mode("overwrite").parquet(w[1]), writes)
+        self.mark = (batch_id, mark)
+        if self.delay and batch_id > 1:
+            remove_path(spark, self._buffer(batch_id - 2))
         if batch_id % self.compact == 1 % self.compact and batch_id > self.compact:
             # the batch before was a full one, so a replay of this batch needs nothing older
             for old in range(max(batch_id - 1 - self.compact, 0), batch_id - 1):
                 remove_path(spark, self._state(old))
 
+    def waiting(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
+        """Spikes among the rows that the watermark had not passed after a batch, judged as if nothing else came."""
+        rows = self._waiting(spark, batch_id, schema)
+        ready, mine = self._ready(rows, self._kept(spark, batch_id + 1, schema))
+        fine = materialize(ready.filter("NOT _late").drop("_late"), "batch")
+        found = loss_spikes(fine.unionByName(mine), self.context, self.window, self.factor)
+        return found.join(fine.select("seq"), "seq", "left_semi")
+
     def late(self, spark: SparkSession) -> DataFrame:
         """Rows that came after rows of their context that follow them; needs two batches or more."""
         return spark.read.parquet(f"{self.path}/late").drop("batch")
@@ -116,40 +196,63 @@ def _drain(writer, checkpoint: str) -> None:
         query.stop()
 
 
-def run_to_table(stream: DataFrame, label: str) -> DataFrame:
+def run_to_table(stream: DataFrame | Callable[[DataFrame], DataFrame], label: str, arrivals: Arrivals | None = None) -> DataFrame:
     """Process all that is available, append mode, into a parquet table; return the table.
 
     In append mode a window is written once the watermark has passed it; the windows
-    still open at the end stay in the state for the next run.
+    still open at the end stay in the state for the next run. With ``arrivals`` the stream is a
+    function of their stream, run after each span.
     """
-    spark = stream.sparkSession
+    build = (lambda: stream(arrivals.stream())) if arrivals else lambda: stream
+    spark = arrivals.spark if arrivals else stream.sparkSession
     path = scratch_path(spark, label)
-    _drain(stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/data"), f"{path}/checkpoint")
-    return spark.read.schema(stream.schema).parquet(f"{path}/data")
+    for _ in arrivals or (0,):
+        out = build()
+        _drain(out.writeStream.format("parquet").outputMode("append").option("path", f"{path}/data"), f"{path}/checkpoint")
+    return spark.read.schema(out.schema).parquet(f"{path}/data")
 
 
-def run_updates(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
+def run_updates(
+    stream: DataFrame | Callable[[DataFrame], DataFrame], label: str, keys: list[str], arrivals: Arrivals | None = None
+) -> DataFrame:
     """Process all that is available in update mode and return the newest row per key.
 
     Every batch overwrites its own folder, so a replayed batch leaves no second copy.
     """
-    spark = stream.sparkSession
+    build = (lambda: stream(arrivals.stream())) if arrivals else lambda: stream
+    spark = arrivals.spark if arrivals else stream.sparkSession
     path = scratch_path(spark, label)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
 
-    _drain(stream.writeStream.outputMode("update").foreachBatch(write), f"{path}/checkpoint")
+    for _ in arrivals or (0,):
+        out = build()
+        _drain(out.writeStream.outputMode("update").foreachBatch(write), f"{path}/checkpoint")
     rows = spark.read.parquet(f"{path}/data")
-    values = [c for c in stream.columns if c not in keys]
+    values = [c for c in out.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
 
 
-def run_spikes(stream: DataFrame, label: str = "spikes", **options) -> DataFrame:
-    """Run the spike detector over all that is available and return its findings."""
-    spark = stream.sparkSession
+def run_spikes(
+    stream: DataFrame | Callable[[DataFrame], DataFrame], label: str = "spikes", arrivals: Arrivals | None = None, **options
+) -> DataFrame:
+    """Run the spike detector over all that is available and return its findings, rows still waiting included."""
+    build = (lambda: stream(arrivals.stream())) if arrivals else lambda: stream
+    spark = arrivals.spark if arrivals else stream.sparkSession
     path = scratch_path(spark, label)
     detector = SpikeDetector(path, **options)
-    process: Callable[[DataFrame, int], None] = detector.__call__
-    _drain(stream.writeStream.foreachBatch(process), f"{path}/checkpoint")
-    return detector.results(spark)
+    last = [-1]
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        detector(batch, batch_id)
+        last[0] = batch_id
+
+    for _ in arrivals or (0,):
+        out = build()
+        _drain(out.writeStream.foreachBatch(process), f"{path}/checkpoint")
+    found = detector.results(spark)
+    if detector.delay:
+        schema = out.select("seq", detector.context, "ts", number(out, "value").alias("value")).schema
+        found = found.unionByName(detector.waiting(spark, last[0], schema))
+    return found

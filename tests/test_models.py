@@ -83,6 +83,53 @@ def test_blocks_do_not_depend_on_partitions(rows):
     assert np.allclose(a.weights, b.weights, atol=1e-6)
 
 
+def test_training_goes_on_where_it_stopped(rows, spark, tmp_path):
+    registry = J.ModelRegistry(spark, str(tmp_path / "models"))
+    options = {"hidden": (8,), "batch_size": 64, "learning_rate": 1e-2, "block_rows": 300, "plateau": {"patience": 2}, "patience": 9}
+    whole = mlp.train_mlp(rows, X, "y", epochs=7, **options)
+    mlp.train_mlp(rows, X, "y", epochs=4, on_epoch=mlp.checkpointer(registry, "net", every=2), **options)
+    resumed = mlp.train_mlp(rows, X, "y", epochs=7, resume=registry.load("net", "epoch-00004"), **options)
+    assert resumed.weights == whole.weights and resumed.history == whole.history and resumed.optimizer == whole.optimizer
+    assert mlp.train_mlp(rows, X, "y", epochs=7, resume=whole, **options).weights == whole.weights  # nothing left to do
+    with pytest.raises(ValueError, match="resume"):
+        mlp.train_mlp(rows, X, "y", epochs=7, resume=whole, **{**options, "hidden": (9,)})
+
+
+def test_arrays_are_added_in_a_tree(spark):
+    state = lambda i: (i, [float(i), 1.0], i, 1, 0.5, 2, 0.25)
+    df = spark.createDataFrame([state(i) for i in range(200)], mlp.SUMS)
+    for tasks in (1, 200, 10_000):
+        row = mlp.added_up(df, tasks)
+        assert row["state"].tolist() == [19900.0, 200.0] and (row["steps"], row["rows"], row["held"]) == (199, 200, 400)
+
+
+def test_equal_rows_share_no_block(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN 1.0D ELSE double(id) END AS a", "1.0D AS b")
+    ready = mlp.prepare_training(df, ["a"], "b", validation_split=0.0, block_rows=100)
+    sizes = [len(r.fitted) // 16 for r in spark.read.parquet(ready.path).collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 150
+
+
+def test_sampled_trials_report_stop_and_fail(spark):
+    space = K.search_space(spark.range(6).withColumnRenamed("id", "trial"))
+
+    def start(config):
+        if config["trial"] == 2:
+            raise RuntimeError("no room")
+        return config["trial"]
+
+    def epoch(state, rate):
+        return state, 1.0 + state, (None if state == 5 else 2.0 - state if state == 1 else 1.0 + state)
+
+    got = K.tune_sampled(space, start, epoch, epochs=9, patience=3, plateau=2).orderBy("trial", "epoch").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.trial, []).append(r)
+    assert [len(by[t]) for t in range(6)] == [4, 4, 1, 4, 4, 4] and by[2][0].error.startswith("RuntimeError")
+    assert by[0][3].rate == pytest.approx(by[0][0].rate / 2) and by[0][2].rate == by[0][0].rate
+    assert K.best_trial(K.last_epochs(space.sparkSession.createDataFrame([r for r in got])), "val_loss").first().trial in (0, 1)
+
+
 def test_network_stops_and_is_kept(rows, spark, tmp_path):
     registry = J.ModelRegistry(spark, str(tmp_path / "models"))
     options = {"hidden": (4,), "learning_rate": 1e-9, "epochs": 9, "patience": 2, "plateau": {"patience": 1}}

@@ -210,6 +210,68 @@ def test_old_state_is_removed(spark, tmp_path):
     assert detector._kept(spark, 6, df.select("seq", "context", "ts", "value").schema).count() == 6
 
 
+@pytest.mark.parametrize("compact", [1, 3])
+def test_stream_spikes_in_any_order_within_the_delay(spark, compact):
+    rng = random.Random(9)
+    values = [rng.expovariate(1) for _ in range(150)]
+    contexts = ["rare" if i % 37 == 0 else None if i % 3 == 0 else rng.choice("aab") for i in range(150)]
+    df = _metrics(spark, values, contexts, seconds=[float(i) for i in range(150)])
+    arrival = F.col("seq") + F.pmod(F.xxhash64("seq"), F.lit(40))
+    arrivals = N.Arrivals(df, "ts", 6, arrival)
+    found = N.run_spikes(lambda rows: rows, arrivals=arrivals, compact=compact, delay=40.0)
+    assert {r.seq for r in found.collect()} == _spikes(values, contexts, range(150))
+    assert found.count() == len(_spikes(values, contexts, range(150)))
+
+
+def test_late_rows_take_no_part_and_replays_repeat(spark, tmp_path):
+    df = _metrics(spark, [1.0, 1.0, 1.0, 90.0, 1.0, 80.0], seconds=[0.0, 1.0, 2.0, 3.0, 50.0, 60.0])
+    detector = N.SpikeDetector(str(tmp_path / "d"), delay=10.0)
+    detector(df.filter("seq in (0, 1, 4)"), 0)  # the watermark is 40 now, row 4 waits
+    fresh = N.SpikeDetector(str(tmp_path / "d"), delay=10.0)  # after a restart
+    for _ in range(2):
+        fresh(df.filter("seq in (3, 5)"), 1)
+    fresh(df.filter("seq = 2"), 2)
+    assert sorted(r.seq for r in fresh.results(spark).collect()) == [3]
+    assert [r.seq for r in fresh.late(spark).collect()] == [2]
+    schema = spark.read.parquet(fresh._buffer(2)).schema
+    assert [r.seq for r in fresh.waiting(spark, 2, schema).collect()] == []  # 80 against a mean with 90 in it
+    assert sorted(r.seq for r in spark.read.parquet(fresh._buffer(2)).collect()) == [5]
+
+
+def test_plateaus_of_a_long_steady_run(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr("'long' AS run", "id AS epoch", "1 - id * 0.0002 AS loss")
+    end = spark.createDataFrame([("long", n + i, 5.0) for i in range(30)], "run string, epoch long, loss double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("few", "few")
+    row = R.early_stop(df.unionByName(end), "run", "epoch", "loss", 10, block_rows=2_000).first()
+    assert row.stopped_epoch == n + 9 and row.best_loss == pytest.approx(1 - (n - 1) * 0.0002)
+    assert len(tracker.getJobIdsForGroup("few")) < 30  # 100 blocks
+    spark.sparkContext.setJobGroup("rest", "rest")
+    rates = R.lr_schedule(df.unionByName(end), "run", "epoch", "loss", patience=5, block_rows=2_000)
+    assert {(r.epoch, r.lr) for r in rates.filter(f"epoch in (7, {n + 3}, {n + 4}, {n + 29})").collect()} == {
+        (7, 1e-3), (n + 3, 1e-3), (n + 4, 5e-4), (n + 29, 1e-3 * 0.5**6)}
+    with pytest.raises(ValueError):
+        R.lr_schedule(df, "run", "epoch", "loss", factor=1.0)
+
+
+def test_exact_small_sample_probabilities():
+    from itertools import combinations
+
+    for n, m in ((1, 1), (3, 3), (4, 2), (5, 3)):
+        gaps = []
+        for pick in combinations(range(n + m), n):
+            i = j = 0
+            top = 0.0
+            for k in range(n + m):
+                i, j = (i + 1, j) if k in pick else (i, j + 1)
+                top = max(top, abs(i / n - j / m))
+            gaps.append(top)
+        for g in sorted(set(gaps)):
+            assert M.ks_exact(g, n, m) == pytest.approx(sum(x > g - 1e-9 for x in gaps) / len(gaps))
+    assert M.ks_exact(0.0, 5, 5) == 1.0 and 0 <= M.ks_exact(0.03, 10_000, 9_000) < 1e-3
+
+
 def test_stream_summary_and_alerts(spark, tmp_path):
     df = _metrics(spark, [float(i) for i in range(120)], names=["system.cpu.percent", "x"], seconds=[i * 60 for i in range(120)])
     stream = _stream(spark, tmp_path, df, 3)

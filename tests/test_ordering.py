@@ -78,6 +78,26 @@ def test_missing_order_values_come_first(spark):
     assert sorted(r.position for r in got if r.t is None) == [1, 2, 3, 4, 5]
 
 
+@pytest.mark.parametrize("kind", ["prefix", "long", "decimal", "null", "empty"])
+def test_rank_within_whole_keys(spark, kind):
+    """Values alike in their first bytes, longs beyond 2**53 and decimals of 20 digits keep their order in small chunks."""
+    rng = random.Random(7)
+    from decimal import Decimal
+
+    value = {
+        "prefix": lambda: "checkpoint/epoch-%03d" % rng.randrange(40), "long": lambda: (1 << 60) + rng.randrange(40),
+        "decimal": lambda: Decimal("1234567890123456789.0") + rng.randrange(40), "null": lambda: None, "empty": lambda: "",
+    }[kind]
+    shape = {"prefix": "string", "long": "long", "decimal": "decimal(25,1)", "null": "string", "empty": "string"}[kind]
+    rows = [(rng.choice(["hot"] * 5 + ["a", None]), value(), i) for i in range(200)]
+    df = spark.createDataFrame(rows, f"g string, t {shape}, id long")
+    got = {(r.g, r.id): r.position for r in O.rank_within(df, ["g"], ["t", "id"], chunk_rows=9).collect()}
+    groups = {}
+    for g, t, i in rows:
+        groups.setdefault(g, []).append((t is not None, t if t is not None else 0, i))
+    assert got == {(g, i): k for g, held in groups.items() for k, (_, _, i) in enumerate(sorted(held), 1)}
+
+
 def test_blocks_repeat_the_tail(spark):
     df = spark.range(1, 26).withColumnRenamed("id", "p")
     rows = O.in_blocks(df, "p", 10, halo=3).collect()
@@ -97,6 +117,18 @@ def test_lookup_is_the_same_salted(spark, how):
     assert len(small) == sum(how == "left" or (0 if i % 3 == 0 else i % 50) < 40 for i in range(200))
 
 
+def test_only_hot_keys_are_repeated(spark):
+    df = spark.range(600).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS k", "'x' AS other")
+    lookup = spark.range(600).selectExpr("id AS k", "id * 10 AS v")
+    assert O.hot_keys(df, ["k"], 150) and len(O.hot_keys(df, ["k"], 150)) == 2 and O.hot_keys(df, ["k"], 250) == []
+    for how in ("left", "inner"):
+        plain = sorted((tuple(r) for r in df.join(lookup, ["k"], how).select("id", "k", "v").collect()), key=str)
+        for options in ({"max_rows": 1, "hot_rows": 150, "salts": 4}, {"max_bytes": 10, "hot_rows": 10**9}):
+            got = O.join_lookup(df, lookup, ["k"], how, **options)
+            assert got.columns == ["k", "id", "other", "v"]
+            assert sorted((tuple(r) for r in got.select("id", "k", "v").collect()), key=str) == plain
+
+
 def test_order_number_keeps_microseconds(spark):
     times = [dt.datetime(2024, 3, 31, 2, 30, 0, 1), dt.datetime(2024, 3, 31, 2, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
     df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")

@@ -137,3 +137,46 @@ def test_prediction_log_is_repeatable(spark):
 def test_latest_versions(spark):
     df = spark.createDataFrame([("a", "9"), ("a", "10"), ("a", "x"), ("b", "v1"), ("b", "v2")], "model string, version string")
     assert {r.model: r.latest_version for r in V.latest_versions(df).collect()} == {"a": "10", "b": "v2"}
+
+
+def test_failing_second_step_keeps_the_old_version(store, counting, monkeypatch):
+    from feldspark.operators import store as module
+
+    store.write(counting, "d", "1", overwrite=True)
+    monkeypatch.setattr(module, "create_file", lambda spark, path, text, real=module.create_file: (
+        real(spark, path, text) if "_reserved" in path else (_ for _ in ()).throw(OSError("no space"))))
+    with pytest.raises(OSError):
+        store.write(counting.limit(3), "d", "1", overwrite=True)
+    monkeypatch.undo()
+    df, known = store.read("d", "1")
+    assert df.count() == 100 and known.num_rows == 100
+    store.write(counting.limit(3), "d", "1", overwrite=True)
+    assert store.read("d", "1")[0].count() == 3 and store.catalog().count() == 1
+    store.delete("d", "1")
+    assert store.catalog().count() == 0
+
+
+def test_of_two_writers_the_later_one_fails(store, counting, monkeypatch):
+    from feldspark.operators import store as module
+
+    real = module.write_parquet
+
+    def slow(df, path, *args, **kwargs):
+        monkeypatch.setattr(module, "write_parquet", real)
+        store.write(counting.limit(7), "d", "1", overwrite=True)  # another writer comes and commits in between
+        real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(module, "write_parquet", slow)
+    with pytest.raises(ValueError, match="already exists"):
+        store.write(counting, "d", "1", overwrite=True)
+    assert store.read("d", "1")[0].count() == 7
+
+
+def test_failing_first_write_leaves_nothing(store, counting):
+    with pytest.raises(Exception):
+        store.write(counting.withColumn("x", F.raise_error(F.lit("bad")).cast("int")), "d", "1")
+    assert store.catalog().collect() == []
+    with pytest.raises(LookupError):
+        store.read("d", "1")
+    store.write(counting, "d", "1")
+    assert store.read("d")[0].count() == 100
