@@ -875,7 +875,7 @@ e AS (SELECT trial, 0 AS epoch, rate, rate AS used, 0::DOUBLE AS b, 0::DOUBLE AS
       SELECT e.*, p.*, b - rate * 2 * (b + w * ax - ay) AS b2, w - rate * 2 * (b * ax + w * xx - xy) AS w2 FROM e, p WHERE epoch < 12 AND waited < 4)))),
 h AS (SELECT * FROM e WHERE epoch > 0),
 z AS (SELECT trial FROM (SELECT trial, val_loss, row_number() OVER (PARTITION BY trial ORDER BY epoch DESC) AS r FROM h) WHERE r = 1 ORDER BY val_loss, trial LIMIT 1)
-SELECT trial, epoch, round(used, 9) AS rate, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss, trial = (SELECT trial FROM z) AS best FROM h"""
+SELECT trial::BIGINT AS trial, epoch::BIGINT AS epoch, round(used, 9) AS rate, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss, trial = (SELECT trial FROM z) AS best FROM h"""
 
 
 @query(_TUNE_SQL)
@@ -909,7 +909,7 @@ e AS (SELECT 0 AS epoch, 0 AS t, {w!r}::DOUBLE AS w, {b!r}::DOUBLE AS b, 0::DOUB
   UNION ALL SELECT epoch + 1, t + 1, {mean(step(gw, 'w', 'mw', 'vw'))}, {mean(step(gb, 'b', 'mb', 'vb'))},
     {mean(f'0.9 * mw + 0.1 * {gw}')}, {mean(f'0.9 * mb + 0.1 * {gb}')}, {mean(f'0.999 * vw + 0.001 * pow({gw}, 2)')}, {mean(f'0.999 * vb + 0.001 * pow({gb}, 2)')},
     {mean(loss)} FROM e, l WHERE epoch < 6)
-SELECT epoch, round(train_loss, 5) AS train_loss, round({mean(loss).replace('blocks', 'kept')}, 5) AS val_loss, round(w, 5) AS weight, round(b, 5) AS bias FROM e, l WHERE epoch > 0"""
+SELECT epoch::BIGINT AS epoch, round(train_loss, 5) AS train_loss, round({mean(loss).replace('blocks', 'kept')}, 5) AS val_loss, round(w, 5) AS weight, round(b, 5) AS bias FROM e, l WHERE epoch > 0"""
 
 
 @query(_linear_history_sql())
@@ -1109,6 +1109,26 @@ _KS = _union([_ks_sql("value", "value"), _ks_sql("user", "user_id"),
               _ks_sql("shifted", "value + (event_id % 2) * 4")])
 
 
+# the share of lattice paths inside the band, diagonal by diagonal
+_SMALL_KS = """WITH RECURSIVE v AS (SELECT x, count(*) FILTER (WHERE NOT late) AS a, count(*) FILTER (WHERE late) AS b
+  FROM (SELECT avg(value) AS x, dayofmonth(ts) > 12 AS late FROM events GROUP BY dayofmonth(ts)) GROUP BY x),
+r AS (SELECT sum(a) OVER (ORDER BY x) AS ra, sum(b) OVER (ORDER BY x) AS rb, sum(a) OVER () AS n, sum(b) OVER () AS m FROM v),
+d AS (SELECT max(abs(ra * m - rb * n))::BIGINT AS h, max(n)::BIGINT AS n, max(m)::BIGINT AS m FROM r),
+p AS (SELECT 0::BIGINT AS s, h, n, m, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 AND h > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS u FROM d
+  UNION ALL SELECT s + 1, h, n, m, list_transform(range(0, n + 1), lambda i: CASE WHEN i <= s + 1 AND s + 1 - i <= m AND abs(i * m - (s + 1 - i) * n) < h
+    THEN coalesce(i / (s + 1) * u[i], 0) + (s + 1 - i) / (s + 1) * u[i + 1] ELSE 0.0::DOUBLE END) FROM p WHERE s < n + m),
+e AS (SELECT h::DOUBLE / (n * m) AS ks, 1 - u[n + 1] AS p FROM p WHERE s = n + m)
+SELECT 'daily' AS feature, round(ks, 6) AS ks_statistic, round(p, 6) AS ks_pvalue, p < 0.05 AS drift_detected FROM e"""
+
+
+@query(_SMALL_KS)
+def ks_drift_small(spark, sf):
+    """Daily means of the first twelve days of the month against those of the others: exact p-values."""
+    day = F.dayofmonth("ts")
+    daily = table(spark, sf, "events").groupBy(day.alias("day")).agg(F.avg("value").alias("daily"))
+    return rounded(monitoring.ks_drift(daily.filter("day <= 12"), daily.filter("day > 12"), ["daily"]))
+
+
 def _drift(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", "value", F.col("user_id").alias("user"),
