@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feldspark.functions.missing import number
 from feldspark.operators.monitoring import SPIKE_FACTOR, THRESHOLDS, exceeding, loss_spikes
-from feldspark.operators.ordering import order_number
+from feldspark.operators.ordering import CHUNK_ROWS, group_sizes, order_number
 from feldspark.session import materialize, remove_path, scratch_path
 
 
@@ -93,20 +94,21 @@ class SpikeDetector:
         # the limit on the rank is applied before the shuffle, so a hot context shrinks first
         return rows.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") < self.window).drop("_r")
 
-    def _kept(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
-        """The newest losses of every context before this batch."""
+    def _stored(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
+        """Losses kept before this batch, those of older batches too; a row may stand in several."""
         first = max(batch_id - 1, 0) // self.compact * self.compact
         paths = [self._state(b) for b in range(first, batch_id)]
-        if not paths:
-            return spark.createDataFrame([], schema)
-        rows = spark.read.schema(schema).parquet(*paths)
-        return self._tail(rows.dropDuplicates([self.context, "seq"]))
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+    def _kept(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
+        """The newest losses of every context before this batch."""
+        return self._tail(self._stored(spark, batch_id, schema).dropDuplicates([self.context, "seq"]))
 
     def _waiting(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
         """Rows that were buffered after a batch."""
         if not self.delay or batch_id < 0:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self._buffer(batch_id)).filter("seq IS NOT NULL")
+        return spark.read.schema(schema).parquet(self._buffer(batch_id))
 
     def _mark_after(self, spark: SparkSession, batch_id: int) -> int | None:
         """The watermark after a batch: kept here, or read back after a restart."""
@@ -116,21 +118,53 @@ class SpikeDetector:
             self.mark = (batch_id, spark.read.schema("mark long").parquet(f"{self.path}/mark/batch={batch_id}").first()[0])
         return self.mark[1]
 
-    def _ready(self, rows: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows marked where later ones of their context are judged already, and the kept rows of their contexts."""
+    def _judged(self, ready: DataFrame, batch_id: int, largest: int, total: int, every: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(spikes, losses to keep, late rows) of the rows that are ready after those kept before the batch.
+
+        With ``every`` the losses of all contexts are returned to keep, else those of the contexts of the batch.
+        """
+        spark, schema, names = ready.sparkSession, ready.schema, ready.columns
+        key, place = F.col(self.context), F.struct("ts", "seq")
+        if largest + self.window * (self.compact + 1) > CHUNK_ROWS:
+            return self._judged_hot(ready, self._kept(spark, batch_id, schema), (largest + self.window, total), every)
+        stored = self._stored(spark, batch_id, schema)
+        rows = ready.withColumn("_new", F.lit(True)).unionByName(stored.withColumn("_new", F.lit(False)))
+        # one shuffle by context; older rows than the kept ones do no harm, as only the nearest before a row count
+        of_context = Window.partitionBy(self.context)
+        rows = rows.withColumns({
+            "_seen": F.max("_new").over(of_context), "_last": F.max(F.when(~F.col("_new"), place)).over(of_context),
+            "_again": F.lag(place).over(of_context.orderBy("ts", "seq")).eqNullSafe(place) & ~F.col("_new"),
+        }).filter(~F.col("_again") & (F.col("_seen") | F.lit(every)))
+        rows = rows.withColumn("_late", F.col("_new") & F.coalesce(place < F.col("_last"), F.lit(False)))
+        order = Window.partitionBy(self.context, "_late").orderBy("ts", "seq")
+        rows = rows.withColumns({
+            "previous": F.avg("value").over(order.rowsBetween(1 - self.window, -1)),
+            "_newest": F.lead(F.lit(1), self.window - 1).over(order).isNull() if self.window > 1 else F.lit(False),
+        })
+        both = materialize(rows.select(*names, "_new", "_late", "previous", "_newest"), "batch")
+        fine = both.filter("NOT _late")
+        spikes = fine.filter(F.col("_new") & (F.col("previous") > 0) & (F.col("value") > F.col("previous") * F.lit(self.factor)))
+        return spikes.select(*names, "previous"), fine.filter("_newest").select(*names), both.filter("_late").select(*names)
+
+    def _judged_hot(self, ready: DataFrame, kept: DataFrame, sizes: tuple[int, int], every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The same where a context may be too large for one task: the batch operator cuts it into blocks."""
+        names = ready.columns
         same = F.col(self.context).eqNullSafe(F.col("_seen"))
-        seen = rows.select(F.col(self.context).alias("_seen")).distinct()
-        mine = kept.join(seen, same, "left_semi")
+        seen = ready.select(F.col(self.context).alias("_seen")).distinct()
+        mine = kept if every else kept.join(seen, same, "left_semi")
         newest = kept.groupBy(F.col(self.context).alias("_seen")).agg(F.max(F.struct("ts", "seq")).alias("_last"))
-        marked = rows.join(newest, same, "left")
         late = F.coalesce(F.struct("ts", "seq") < F.col("_last"), F.lit(False))
-        return marked.select(*rows.columns, late.alias("_late")), mine
+        marked = ready.join(newest, same, "left").select(*names, late.alias("_late"), F.lit(True).alias("_new"))
+        both = materialize(marked.unionByName(mine.withColumn("_late", F.lit(False)).withColumn("_new", F.lit(False))), "batch")
+        fine = both.filter("NOT _late")
+        found = loss_spikes(fine.select(*names), self.context, self.window, self.factor, sizes=sizes)
+        found = found.join(fine.filter("_new").select("seq"), "seq", "left_semi")
+        return found, self._tail(fine.select(*names)), both.filter("_late").select(*names)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = batch.select("seq", self.context, "ts", number(batch, "value").alias("value"))
-        schema = new.schema
-        rows = new.unionByName(self._waiting(spark, batch_id - 1, schema)) if self.delay else new
+        rows = new.unionByName(self._waiting(spark, batch_id - 1, new.schema)) if self.delay else new
         at = order_number(rows, "ts")
         # one light job: the watermark and the largest context
         by = rows.groupBy(self.context).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("at"))
@@ -138,27 +172,12 @@ class SpikeDetector:
         before = self._mark_after(spark, batch_id - 1)
         mark = max((m for m in (before, None if newest is None else newest - self.delay) if m is not None), default=None)
         passed = F.lit(False) if mark is None else F.coalesce(at <= F.lit(mark), F.lit(True))
-        kept = self._kept(spark, batch_id, schema)
-        if batch_id:
-            ready, mine = self._ready(rows.filter(passed) if self.delay else rows, kept)
-            both = materialize(ready.withColumn("_new", F.lit(True)).unionByName(
-                mine.withColumn("_late", F.lit(False)).withColumn("_new", F.lit(False))), "batch")
-        else:
-            ready = rows.filter(passed) if self.delay else rows
-            both = materialize(ready.withColumn("_late", F.lit(False)).withColumn("_new", F.lit(True)), "batch")
-        fine = both.filter("NOT _late")
-        sizes = ((largest or 0) + self.window, (total or 0) + self.window)
-        found = loss_spikes(fine.select(*schema.names), self.context, self.window, self.factor, sizes=sizes)
-        if batch_id:
-            found = found.join(fine.filter("_new").select("seq"), "seq", "left_semi")
-        judged = fine.select(*schema.names)
         full = batch_id > 0 and batch_id % self.compact == 0
-        writes = [
-            (found, f"{self.path}/spikes/batch={batch_id}"),
-            (self._tail(judged.unionByName(kept).dropDuplicates([self.context, "seq"]) if full else judged), self._state(batch_id)),
-        ]
+        ready = rows.filter(passed) if self.delay else rows
+        spikes, state, late = self._judged(ready, batch_id, largest or 0, total or 0, full)
+        writes = [(spikes, f"{self.path}/spikes/batch={batch_id}"), (state, self._state(batch_id))]
         if batch_id:
-            writes.append((both.filter("_late").select(*schema.names), f"{self.path}/late/batch={batch_id}"))
+            writes.append((late, f"{self.path}/late/batch={batch_id}"))
         if self.delay:
             writes.append((rows.filter(~passed), self._buffer(batch_id)))
             writes.append((spark.createDataFrame([(mark,)], "mark long").coalesce(1), f"{self.path}/mark/batch={batch_id}"))
@@ -175,10 +194,7 @@ class SpikeDetector:
     def waiting(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
         """Spikes among the rows that the watermark had not passed after a batch, judged as if nothing else came."""
         rows = self._waiting(spark, batch_id, schema)
-        ready, mine = self._ready(rows, self._kept(spark, batch_id + 1, schema))
-        fine = materialize(ready.filter("NOT _late").drop("_late"), "batch")
-        found = loss_spikes(fine.unionByName(mine), self.context, self.window, self.factor)
-        return found.join(fine.select("seq"), "seq", "left_semi")
+        return self._judged(rows, batch_id + 1, *group_sizes(rows, [self.context]))[0]
 
     def late(self, spark: SparkSession) -> DataFrame:
         """Rows that came after rows of their context that follow them; needs two batches or more."""
@@ -188,6 +204,17 @@ class SpikeDetector:
         return spark.read.parquet(f"{self.path}/spikes").drop("batch")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session for a while; a stream keeps what holds when it starts."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _drain(writer, checkpoint: str) -> None:
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
@@ -226,9 +253,10 @@ def run_updates(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
 
-    for _ in arrivals or (0,):
-        out = build()
-        _drain(out.writeStream.outputMode("update").foreachBatch(write), f"{path}/checkpoint")
+    with _setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):  # they bring no update
+        for _ in arrivals or (0,):
+            out = build()
+            _drain(out.writeStream.outputMode("update").foreachBatch(write), f"{path}/checkpoint")
     rows = spark.read.parquet(f"{path}/data")
     values = [c for c in out.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
