@@ -19,6 +19,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_PRIME = np.uint64((1 << 61) - 1)
+_HALF = np.uint64((1 << 31) - 1)
+_EXACT_BASE = 0x0A3C59AC2B7F1E4D
 
 
 def batches(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -104,6 +107,59 @@ def slice_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts])
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of numbers below 2**61 - 1, modulo 2**61 - 1, from halves of 30 and 31 bits."""
+    one, half = np.uint64(31), np.uint64(30)
+    a1, a0, b1, b0 = a >> one, a & _HALF, b >> one, b & _HALF
+    mid = a1 * b0 + a0 * b1
+    return _fold((a1 * b1 << np.uint64(1)) + (mid >> half) + ((mid & np.uint64((1 << 30) - 1)) << one) + a0 * b0)
+
+
+def _exact_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    held = worker_cache()
+    size = max(1 << 16, 1 << int(n).bit_length())
+    if "exact powers" not in held or len(held["exact powers"][0]) < size:
+        out = []
+        for base in (_EXACT_BASE, pow(_EXACT_BASE, -1, int(_PRIME))):
+            table = np.ones(1, np.uint64)
+            while len(table) < size:
+                table = np.append(table, _times(table, np.full(1, pow(base, len(table), int(_PRIME)), np.uint64)))
+            out.append(table)
+        held["exact powers"] = tuple(out)
+    return held["exact powers"]
+
+
+def exact_prefix(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``prefix_hash``, modulo a prime, for hashes that stand for their slices: two sums of half products.
+
+    Modulo a power of two, whatever the base, there are short words of two letters with equal hashes.
+    """
+    n = len(values)
+    up = _exact_powers(n)[0][:n]
+    high, low = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+    if values.dtype == np.uint8 and n <= 1 << 24:  # sums of small factors fit as they are
+        v = values.astype(np.uint64) + np.uint64(1)
+        np.cumsum(v * (up >> np.uint64(31)), out=high[1:])
+        np.cumsum(v * (up & _HALF), out=low[1:])
+    else:
+        x = _times(_fold(_fold(values.astype(np.uint64)) + np.uint64(1)), up)
+        np.cumsum(x >> np.uint64(31), out=high[1:])
+        np.cumsum(x & _HALF, out=low[1:])
+    return high, low
+
+
+def exact_hash(prefix: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """61-bit hashes, spread over 64 bits, of the slices of an ``exact_prefix``."""
+    high, low = (p[ends] - p[starts] for p in prefix)
+    whole = _fold(_times(_fold(high), np.full(1, 1 << 31, np.uint64)) + _fold(low))
+    return mix(_times(whole, _exact_powers(len(prefix[0]))[1][starts]))
+
+
 def window_hash(values: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive values."""
     n = len(values) - size + 1

@@ -65,6 +65,8 @@ class Codec:
         return np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()), np.uint32)
 
     def encode(self, text: str, leaf: int = LEAF) -> np.ndarray:
+        if leaf < 1:
+            raise ValueError("leaf must be at least one character")
         if len(text) <= leaf:
             return self.piece(text)
         return self._node(text, 0, len(text), leaf)[0]
@@ -109,7 +111,7 @@ class Codec:
         edges = [begin, *(x for x in mine if x <= stop)]
         window = [self.piece(text[i:j]) for i, j in zip(edges, edges[1:])]
         ids = np.concatenate([self._before(a, len(text[begin:seam].encode())), *window, self._after(b, len(text[seam:stop].encode()))])
-        if settled < stop:
+        if settled < stop or settled > hi - AHEAD:
             settled = max([begin, *(x for x in mine if x <= min(stop, hi - AHEAD))])
         return ids, settled
 

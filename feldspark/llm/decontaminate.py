@@ -38,7 +38,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     _, data, lo, hi = arrays.joined(texts)
     data = arrays.LOWER[data]
     starts, ends = arrays.word_bounds(data, arrays.ALNUM)
-    words = arrays.slice_hash(arrays.prefix_hash(data), starts, ends)
+    words = arrays.exact_hash(arrays.exact_prefix(data), starts, ends)
     return words, np.searchsorted(starts, lo), np.searchsorted(starts, hi)
 
 

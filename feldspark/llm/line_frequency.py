@@ -44,7 +44,7 @@ def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         starts, ends = arrays.word_bounds(data)
         first, last = np.searchsorted(starts, lo), np.searchsorted(starts, hi)
         n_words = last - first
-        prefix = arrays.prefix_hash(data)
+        prefix = arrays.exact_prefix(data)
         # code points of words: bytes that begin a character
         heads = np.zeros(len(data) + 1, np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
@@ -58,12 +58,12 @@ def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         full = line_last > line_first
         line_starts, line_ends, line_first, line_last = (x[full] for x in (line_starts, line_ends, line_first, line_last))
         owner = np.searchsorted(lo, line_starts, side="right") - 1
-        exact = arrays.slice_hash(prefix, line_starts, line_ends)
+        exact = arrays.exact_hash(prefix, line_starts, line_ends)
         distinct = np.unique(arrays.mix(exact + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]
         lines = np.bincount(owner, minlength=n)
         n_dup = lines - np.bincount(owner[distinct], minlength=n)
 
-        words = arrays.slice_hash(prefix, starts, ends)
+        words = arrays.exact_hash(prefix, starts, ends)
         word_owner = np.repeat(np.arange(n), n_words)
         windows = arrays.window_hash(words, WINDOW)
         n_repeat = np.zeros(n, np.int64)
@@ -75,15 +75,15 @@ def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             hit = arrays.covered(len(words), twice, twice + WINDOW)
             n_repeat = np.bincount(word_owner[hit], minlength=n)
 
-        low = arrays.slice_hash(arrays.prefix_hash(arrays.LOWER[data]), starts, ends)
-        normal = arrays.slice_hash(arrays.prefix_hash(low), line_first, line_last).view(np.int64)
+        low = arrays.exact_hash(arrays.exact_prefix(arrays.LOWER[data]), starts, ends)
+        normal = arrays.exact_hash(arrays.exact_prefix(low), line_first, line_last).view(np.int64)
         offsets = pa.array(np.append(0, np.cumsum(lines)), pa.int32())
         columns = [
             n_words, chars[last] - chars[first], np.searchsorted(symbols, hi) - np.searchsorted(symbols, lo), n_dup, n_repeat,
         ]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(arrays.slice_hash(prefix, lo, hi).view(np.int64)),
+                batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(arrays.exact_hash(prefix, lo, hi).view(np.int64)),
                 *(pa.array(np.asarray(c, np.int64)) for c in columns),
                 pa.ListArray.from_arrays(offsets, pa.array(normal)),
                 pa.ListArray.from_arrays(offsets, pa.array((line_last - line_first).astype(np.int32))),
@@ -167,7 +167,7 @@ def line_hashes(lines: list[str]) -> list[int | None]:
         if not len(starts):
             out.append(None)
             continue
-        low = arrays.slice_hash(arrays.prefix_hash(data), starts, ends)
-        whole = arrays.slice_hash(arrays.prefix_hash(low), np.array([0]), np.array([len(low)]))
+        low = arrays.exact_hash(arrays.exact_prefix(data), starts, ends)
+        whole = arrays.exact_hash(arrays.exact_prefix(low), np.array([0]), np.array([len(low)]))
         out.append(int(whole.view(np.int64)[0]))
     return out

@@ -56,7 +56,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     _, data, lo, hi = arrays.joined(texts)
     data = arrays.LOWER[data]
     starts, ends = arrays.word_bounds(data)
-    words = arrays.slice_hash(arrays.prefix_hash(data), starts, ends)
+    words = arrays.exact_hash(arrays.exact_prefix(data), starts, ends)
     first, last = np.searchsorted(starts, lo), np.searchsorted(starts, hi)
     grams = arrays.window_hash(words, size)
     out = []
@@ -136,7 +136,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # below each node: its smaller neighbours hang from the least of them
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -168,14 +168,22 @@ def _confirm(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return materialize(map_batches(both, compare, "u long, v long, linked boolean"), "confirmed")
 
 
+def _unlike(x: Column) -> Column:
+    """How many four-bit marks of a long are not zero."""
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def _summed(m: str, other: str, of) -> Column:
+    """Sum over two arrays of longs; one short expression however long they are."""
+    return F.aggregate(F.zip_with(m, other, of), F.lit(0), lambda s, x: s + x)
+
+
 def _mismatches(m: str, other: str, n_hash: int) -> Column:
-    """How many of the four-bit marks of two rows differ."""
+    """How many of the four-bit marks of two rows differ; a few longs, so each is spelled out for generated code."""
     out = F.lit(0)
     for k in range(-(-n_hash // 16)):
-        x = F.col(m)[k].bitwiseXOR(F.col(other)[k])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        out = out + F.bit_count(x)
+        out = out + _unlike(F.col(m)[k].bitwiseXOR(F.col(other)[k]))
     return out
 
 
@@ -185,12 +193,8 @@ def _bins_allow() -> Column:
     Draws are without replacement, so the spread shrinks as bins cover the union; the limit is four and a
     half standard deviations above the differing bins expected at the similarity that links.
     """
-    differ, either = F.lit(0), F.lit(0)
-    for k in range(BINS // 16):
-        for x, add in ((F.col("w")[k].bitwiseXOR(F.col("w_")[k]), True), (F.col("w")[k].bitwiseOR(F.col("w_")[k]), False)):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-            x = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
-            differ, either = (differ + x, either) if add else (differ, either + x)
+    differ = _summed("w", "w_", lambda x, y: _unlike(x.bitwiseXOR(y)))
+    either = _summed("w", "w_", lambda x, y: _unlike(x.bitwiseOR(y)))
     s = NUMERATOR / DENOMINATOR
     chance = (1 - s) * 14 / 15
     whole = (F.col("n") + F.col("n_")) / (1 + s)
@@ -225,13 +229,19 @@ def _across(known: DataFrame, comp: DataFrame, tried: DataFrame, differ: float,
     """
     rows = known.join(comp, "did").select("did", "comp", "n", "m", "w", "a", "b", F.explode("a").alias("key"))
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds")
-    ).where("kinds > 1").select("key", F.col("top.comp").alias("top"))
-    rows = rows.join(sizes, "key")
-    few = rows.where("comp <> top").select(*(F.col(c).alias(f"{c}_") for c in ("did", "comp", "n", "m", "w", "a", "b", "key")))
+        F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("kinds"), F.sum("c").alias("all")
+    ).where("kinds > 1")
+    # a key of many small components is dealt to several tasks: each has a part of the few and all rows
+    slots = F.ceil((F.col("all") - F.col("top.c")) / PART_ROWS).cast("int")
+    rows = rows.join(sizes.select("key", F.col("top.comp").alias("top"), slots.alias("slots")), "key")
+    few = rows.where("comp <> top").select(
+        *(F.col(c).alias(f"{c}_") for c in ("did", "comp", "n", "m", "w", "a", "b", "key")), F.pmod(F.xxhash64("did"), "slots").alias("slot_")
+    )
+    rows = rows.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
     # two rows that are both few meet twice; the smaller id of them stands on the left
     near = (
-        (F.col("key_") == F.col("key")) & F.expr("comp <> comp_ AND (comp = top OR did_ < did)") & _sizes_allow("n", "n_")
+        (F.col("key_") == F.col("key")) & (F.col("slot_") == F.col("slot"))
+        & F.expr("comp <> comp_ AND (comp = top OR did_ < did)") & _sizes_allow("n", "n_")
         & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & _bins_allow() & F.arrays_overlap("b", "b_")
         & (F.array_min(F.array_intersect("a", "a_")) == F.col("key"))
     )

@@ -11,7 +11,7 @@ Encoding: white space separates the pieces that the tokenizer merges within, and
 between a Latin-1 letter and a full stop or comma; ids of a text are those of its pieces in order.
 Each distinct piece is encoded once per worker by the tokenizers library and kept (up to
 ``CACHE`` pieces, then afresh). Upper-case ASCII letters are folded first where that is what the
-tokenizer's normalizer does anyway. Pieces are told apart by 64-bit hashes.
+tokenizer's normalizer does anyway. Pieces are told apart by hashes modulo 2**61 - 1.
 
 A null text is empty and holds the end id only. Rows that repeat a doc_id are each stored, in order
 of text; rows without a doc_id come first.
@@ -102,7 +102,7 @@ class Pieces:
         letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
         cut = np.flatnonzero(letter[:-1] & _STOP[data[1:]]) + 1
         starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
-        keys, first, piece = np.unique(arrays.slice_hash(arrays.prefix_hash(data), starts, ends), return_index=True, return_inverse=True)
+        keys, first, piece = np.unique(arrays.exact_hash(arrays.exact_prefix(data), starts, ends), return_index=True, return_inverse=True)
         if self.n + len(keys) > CACHE:
             self.clear()
         known = [self.slot.get(k, -1) for k in keys.tolist()]
