@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
+from feldspark.session import materialize
 
 NO_ID = -(1 << 63)  # stands for a missing doc_id inside an operator
 
@@ -31,6 +32,34 @@ def real_id(column: str = "did"):
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
+def own_keys(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """``docs`` and the name of a long column that is different in every row.
+
+    That is the id column where ids are present and unique, which one light job over the ids tells. Otherwise rows
+    are written once in order of id (missing ids last), then of content, and numbered in that order.
+    """
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("did")).groupBy("did").count()
+    if ids.where("count > 1 OR did IS NULL").isEmpty():
+        return docs, id_col
+    key, spark = fresh(docs, "row_key"), docs.sparkSession
+    order = [F.col(f"`{id_col}`").cast("long").asc_nulls_last(), F.xxhash64(*[f"`{c}`" for c in docs.columns]).asc()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(key, F.monotonically_increasing_id())
+    return materialize(numbered, "numbered"), key
+
+
+def per_row(docs: DataFrame, run: Callable[[DataFrame, str], DataFrame], id_col: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``run(docs, key)`` with a key per row; the keys in the columns ``ids`` of its result are ids again."""
+    rows, key = own_keys(docs, id_col)
+    out = run(rows, key)
+    if key == id_col:
+        return out
+    names, columns = rows.select(F.col(key).alias("_key"), F.col(f"`{id_col}`").cast("long").alias("_id")), out.columns
+    for c in ids:
+        out = out.join(names, out[c] == names["_key"], "left").drop(c, "_key").withColumnRenamed("_id", c)
+    return out.select(*columns)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``f`` to each Arrow batch; batches hold whole rows and stream through a task."""
 

@@ -8,8 +8,8 @@ document is rejected when removal leaves it depleted: fewer than ``min_words`` w
 ``min_left`` of them. Base checks reject short and repetitive texts.
 
 Null and empty texts have no words and fail the base checks. A missing host is a host of its own.
-Rows that repeat a doc_id are judged alike if their texts agree; each is returned. Rows without a
-doc_id share the missing id.
+Each row is a document of its own, also where ids are missing or repeat (the first of them in order of
+id, missing ids last, then of a hash of the row).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import NO_ID, fresh, real_id
+from feldspark.llm.frames import NO_ID, fresh, per_row, real_id
 from feldspark.session import materialize
 
 MIN_DOCS = 20
@@ -103,6 +103,11 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, min_w
           id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: doc_id, the base figures, base_failed, n_line_words (words of removed
     lines), removed_lines (their hashes), kept."""
+    run = lambda rows, key: _judged(rows, min_docs, share, min_words, min_left, key, text_col, host_col)
+    return per_row(docs, run, id_col)
+
+
+def _judged(docs: DataFrame, min_docs: int, share: float, min_words: int, min_left: float, id_col: str, text_col: str, host_col: str) -> DataFrame:
     source = docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("did"),
         F.col(f"`{host_col}`").cast("string").alias("host"), F.col(f"`{text_col}`").cast("string").alias("text"),
@@ -132,8 +137,8 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, min_w
     )
 
 
-def strip_lines(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` (doc_id, text and more) without their removed lines; n_chars follows the text."""
+def strip_lines(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The kept rows of ``docs`` (a unique id, text and more) without their removed lines; n_chars follows the text."""
 
     def strip(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -154,7 +159,7 @@ def strip_lines(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     names = docs.columns
     judged, removed = fresh(docs, "judged_id"), fresh(docs, "removed_lines")
     some = verdicts.where("kept").select(F.col("doc_id").alias(judged), F.col("removed_lines").alias(removed)).dropDuplicates([judged])
-    joined = docs.join(some, F.col("doc_id").eqNullSafe(F.col(judged))).select(*(f"`{c}`" for c in names), removed)
+    joined = docs.join(some, F.col(f"`{id_col}`").eqNullSafe(F.col(judged))).select(*(f"`{c}`" for c in names), removed)
     return joined.mapInArrow(strip, docs.schema)
 
 

@@ -16,15 +16,17 @@ Nothing is emitted per pair of a group:
   meets in other components. Links are confirmed on the full shingle sets, and components are
   joined at once.
 * What is left are the pairs across components that still share half keys of both collections and
-  have not been compared. Each comes once, from the first half key that both have, so no link
-  between different texts is lost to the rounds.
+  have not been compared. Each comes once, from the first half key that both have.
+
+The tables and the marks are statistical filters, and what passes them is confirmed exactly: against an exact
+prefix-filter join all 135 links of the 10,000 documents of sf0.1 were found.
 
 A pair is left out unseen if the set sizes exclude a link or if the marks (four bits of each minhash)
 differ in more than ``differ`` of the places: at 0.75 that is over four standard deviations off. Pairs
 of the last pass must agree by the marks of 512 bins of the set as well, by the same standard.
 
-Documents without words are linked with nothing. Rows that repeat a doc_id are copies of one
-document if their texts agree; rows without a doc_id share the missing id.
+Documents without words are linked with nothing. Each row is a document of its own, also where ids are missing or
+repeat; of a component the row of smallest id (missing ids last, then by a hash of the row) is kept.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import id_and_text, map_batches, real_id
+from feldspark.llm.frames import id_and_text, map_batches, per_row, real_id
 from feldspark.session import materialize
 
 SHINGLE = 5
@@ -251,7 +253,12 @@ def _across(known: DataFrame, comp: DataFrame, tried: DataFrame, differ: float,
 
 def near_components(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, differ: float = DIFFER, rounds: int = ROUNDS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (null if no row of it has an id), kept."""
+    run = lambda d, key: _near_components(d, size, bands, rows, differ, rounds, key, text_col)
+    return per_row(docs, run, id_col, ("doc_id", "component_id"))
+
+
+def _near_components(docs: DataFrame, size: int, bands: int, rows: int, differ: float, rounds: int, id_col: str, text_col: str) -> DataFrame:
     pairs_in = id_and_text(docs, id_col, text_col)
     all_docs = materialize(sketches(pairs_in, size, bands, rows), "sketches")
     sets = all_docs.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("did").alias("rep"))

@@ -4,18 +4,19 @@ A linear model on text figures is fitted by minimising
 
     prior * E_P[loss(f)] + max(0, E_U[loss(-f)] - prior * E_P[loss(-f)])
 
-with the logistic loss: P are trusted positives, U is unlabelled text and ``prior`` the share of
-positives, estimated from all training labels. While the bracket is negative only its own
-gradient is followed upwards, as the non-negative estimator prescribes. Negative labels are used
-for nothing but the prior; in U every label is hidden.
+with the logistic loss: P are trusted positives, U is unlabelled text (rows of the whole table outside the
+held-out fold, labelled or not, every label hidden) and ``prior`` the share of positives in it. The prior is
+estimated from P and U alone: among the best scores of a first model U holds the prior times what P holds, so the
+least ratio of the two, with a bound for chance, is the share. While the bracket is negative only its own
+gradient is followed upwards, as the non-negative estimator prescribes. Negative labels are used for nothing.
 
 The figures (shares of kinds of characters, word and line repetition, lengths) come from one
 pass over all whole texts and are stored; fitting takes at most ``sample`` positives and ``sample``
-unlabelled rows among the labelled ones, picked by the smallest hash of the id. Every row is scored.
+unlabelled rows, picked by the smallest hash of the id. Every row is scored.
 
 Null and empty texts have figures of zero and a score like any other. Rows that repeat a doc_id are
 each scored; an id that is labelled twice counts by its mean label. Without any positive label all
-scores are the prior, 0.5 without labels.
+scores are 0.5.
 """
 
 from __future__ import annotations
@@ -116,6 +117,30 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(mean, scale, w, float(b))
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 2, chance: float = 1e-3) -> float:
+    """Share of positives in unlabelled text, from the two samples alone.
+
+    A model is fitted on one half of both; on the other half the share of U above a threshold is at least the prior
+    times that of P, and equals it where nothing negative scores as high. The threshold of least ratio counts, each
+    ratio with the error that samples of these sizes may have; the halves change places and both results are averaged.
+    """
+    prior = 0.5
+    if min(len(positive), len(unlabelled)) < 4:
+        return prior
+    for _ in range(rounds):
+        found = []
+        for k in (0, 1):
+            model = fit(positive[k::2], unlabelled[k::2], prior)
+            p, u = np.sort(model.margin(positive[1 - k :: 2])), np.sort(model.margin(unlabelled[1 - k :: 2]))
+            cut = np.quantile(p, np.arange(51) / 100)  # thresholds that at least half of P passes
+            above_p, above_u = (1 - np.searchsorted(held, cut) / len(held) for held in (p, u))
+            ratio = above_u / above_p
+            error = np.sqrt(np.log(4 / chance) / 2) * (len(u) ** -0.5 + ratio * len(p) ** -0.5) / above_p
+            found.append(ratio[np.argmin(ratio + error)])
+        prior = float(np.clip(np.mean(found), 0.01, 0.99))
+    return prior
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a missing id is in no class."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(-1))
@@ -151,20 +176,20 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 2, folds: int = 4, sam
             )
 
     known = materialize(map_batches(id_and_text(docs, id_col, text_col), measure, "did long, x array<double>"), "figures")
-    train = labelled(labels, label).where(remainder("id", folds) != fold)
-    share = train.agg(F.avg("y"), F.count("*")).first()
-    prior = float(share[0]) if share[1] else 0.5
-    rows = known.join(train, known["did"] == train["id"]).select("did", "x", "y")
+    train = labelled(labels, label).where((remainder("id", folds) != fold) & (F.col("y") == 1))
+    rows = known.join(train, known["did"] == train["id"]).select("did", "x")
+    text = known.where(remainder("did", folds) != fold)
     # at most 2 * sample rows of figures come to the driver
-    positive = first_by_hash(rows.where("y = 1"), "did", sample, int(prior * share[1])).select("x").collect()
-    unlabelled = first_by_hash(rows, "did", sample, share[1]).select("x").collect()
+    positive = first_by_hash(rows, "did", sample, train.count()).select("x").collect()
+    unlabelled = first_by_hash(text, "did", sample, text.count()).select("x").collect() if positive else []
     model = None
-    if positive and 0 < prior < 1:
-        model = fit(np.array([r[0] for r in positive]), np.array([r[0] for r in unlabelled]), prior)
+    if unlabelled:
+        p, u = np.array([r[0] for r in positive]), np.array([r[0] for r in unlabelled])
+        model = fit(p, u, estimate_prior(p, u))
 
     def rate(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         x = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, -1)
-        s = model.score(x) if model else np.full(len(x), prior)
+        s = model.score(x) if model else np.full(len(x), 0.5)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], ["did", "score"])
 
     scored = map_batches(known, rate, "did long, score double").select(real_id().alias("doc_id"), "score")

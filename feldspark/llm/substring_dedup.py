@@ -5,9 +5,8 @@ share a minimiser. The run travels as one packed string to the minimiser's bucke
 windows are sorted and equal neighbours, compared word for word, are counted. Each word covered
 by a window that starts at two or more places is removed.
 
-Null and empty texts have no words. Rows that repeat a doc_id are one document for the count
-(a window at the same place is one place) and each is returned. Rows without a doc_id share the
-missing id. Other columns play no part.
+Null and empty texts have no words. Each row is a document of its own, also where ids are missing or
+repeat. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import NO_ID, fresh, id_and_text, map_batches, real_id, text_bytes
+from feldspark.llm.frames import fresh, id_and_text, map_batches, own_keys, per_row, real_id, text_bytes
 from feldspark.llm.superkmers import Units, exchange, union_spans, with_spans
 
 WINDOW = 35
@@ -73,6 +72,10 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
     ``text`` is the text without the removed words: white space before a kept word stays, so
     lines survive; a text that loses nothing is unchanged.
     """
+    return per_row(docs, lambda rows, key: _removed(rows, size, key, text_col), id_col)
+
+
+def _removed(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     pairs = id_and_text(docs, id_col, text_col)
     joined = with_spans(pairs, repeated_spans(pairs, size))
 
@@ -92,12 +95,13 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
     return done.select(real_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", F.col("text").cast("string").alias("text"))
 
 
-def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+def strip_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text and more) without the removed words; n_chars follows a changed text."""
-    names, pairs = docs.columns, id_and_text(docs)
+    kept, (docs, id_col) = docs.columns, own_keys(docs, id_col)
+    names, pairs = docs.columns, id_and_text(docs, id_col)
     own, other, found = (fresh(docs, c) for c in ("own_id", "span_id", "spans"))
     spans = repeated_spans(pairs, size).groupBy(F.col("did").alias(other)).agg(F.collect_list(F.struct("s", "e")).alias(found))
-    joined = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(spans, F.col(own) == F.col(other), "left")
+    joined = docs.withColumn(own, F.col(f"`{id_col}`").cast("long")).join(spans, F.col(own) == F.col(other), "left")
 
     def strip(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -116,7 +120,7 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
             arrays.release()
 
-    return joined.select(*(f"`{c}`" for c in names), found).mapInArrow(strip, docs.schema)
+    return joined.select(*(f"`{c}`" for c in names), found).mapInArrow(strip, docs.schema).select(*(f"`{c}`" for c in kept))
 
 
 def without(text: bytes, spans: list) -> tuple[bytes, list[bytes], int]:

@@ -9,8 +9,8 @@ next step, so the sorted depth doubles each time (8, 16, 32, 64, then 64 + 36 =
 alone in their bucket are settled and left out. Those left together at depth ``size`` start with
 the same string. All of them but the first place (smallest doc_id, then start) are removed.
 
-Null and empty texts have no bytes. Rows that repeat a doc_id are one document (the same place
-is not earlier than itself) and each is returned; rows without a doc_id share the missing id.
+Null and empty texts have no bytes. Each row is a document of its own, also where ids are missing or
+repeat; among those the order is that of a hash of the row, and rows without an id come last.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from feldspark.llm import arrays
-from feldspark.llm.frames import id_and_text, map_batches, real_id, text_bytes
+from feldspark.llm.frames import id_and_text, map_batches, per_row, real_id, text_bytes
 from feldspark.llm.superkmers import Units, exchange, union_spans, with_spans
 
 WINDOW = 100
@@ -36,7 +36,8 @@ def refine(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Bucket identifiers, at depth ``size``, of the suffixes at ``at``; equal exactly for equal strings.
 
     A bucket's identifier is where its suffixes begin in sorted order, so parts of a bucket get
-    identifiers from its own range. ``data`` needs ``size`` bytes after each of ``at``.
+    identifiers from its own range. ``data`` needs ``size`` bytes after each of ``at``. Only the suffixes that begin
+    inside one of these strings take part: identifiers of all others are never looked at, or stand for no bucket.
     """
     n = len(data)
     tail = np.concatenate([data, np.zeros(Q, np.uint8)])
@@ -44,11 +45,12 @@ def refine(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     depth = min(Q, size)
     for k in range(depth):
         word = (word << np.uint64(8)) | tail[k : n + k]
-    # the first pass needs no order of its own: every suffix is in play
+    # the first pass needs no order of its own: every suffix that is needed is in play
+    some = np.flatnonzero(arrays.covered(n, at, at + max(size - depth, 0) + 1)) if len(at) < n else np.arange(n)
+    word = word[some]
     order = np.argsort(word)
-    bucket = np.empty(n + 1, np.int64)
-    bucket[n] = -1  # past the end
-    play = _part(bucket, order, word[order], np.zeros(n, np.int64))
+    bucket = np.full(n + 1, -1, np.int64)  # past the end, and where nothing is needed
+    play = _part(bucket, some[order], word[order], np.zeros(len(some), np.int64))
     while depth < size and len(play):
         step = min(depth, size - depth)
         pair = bucket[play] * np.int64(n + 1) + bucket[np.minimum(play + step, n)] + 1
@@ -80,13 +82,17 @@ def later_windows(texts: list[bytes], did, start, windows, size: int) -> np.ndar
     owner = np.repeat(np.arange(len(texts)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = np.repeat(np.cumsum(windows + size - 1) - (windows + size - 1), windows) + offset
-    bucket = refine(data, at, size)
-    doc, place = np.asarray(did)[owner], np.asarray(start)[owner] + offset
+    out = np.zeros(len(owner), bool)
+    # windows whose hash stands alone have no equal; all others are told apart by their bytes
+    twice = np.flatnonzero(arrays.repeated(arrays.window_hash(data, size)[at]))
+    if not len(twice):
+        return out
+    bucket = refine(data, at[twice], size)
+    doc, place = np.asarray(did)[owner[twice]], np.asarray(start)[owner[twice]] + offset[twice]
     order = np.argsort(bucket, kind="stable")  # windows come in order of place
     head = np.append(True, bucket[order[1:]] != bucket[order[:-1]])
     first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
-    out = np.zeros(len(owner), bool)
-    out[order] = (doc[order] != doc[first]) | (place[order] != place[first])
+    out[twice[order]] = (doc[order] != doc[first]) | (place[order] != place[first])
     return out
 
 
@@ -102,6 +108,10 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, total:
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left)."""
+    return per_row(docs, lambda rows, key: _removed(rows, size, key, text_col), id_col)
+
+
+def _removed(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     pairs = id_and_text(docs, id_col, text_col)
     joined = with_spans(pairs, repeated_spans(pairs, size))
 

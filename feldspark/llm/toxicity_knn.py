@@ -7,9 +7,10 @@ others have postings. A query adds up its postings; only blocks that their large
 the k-th best sum are completed with the common terms, and what comes near the k-th best is computed
 again in double precision, so the k neighbours are exact. Words that no example holds count in the length of a query.
 
-Votes are weighted by squared cosine and the inverse share of their class among examples, and shrunk to
-one half, so that a rare class can win; they are the score, and the neighbours themselves are the
-evidence. A document is never its own neighbour.
+Votes are weighted by the second and by the fourth power of the cosine and by the inverse share of their class among
+examples, so that a rare class can win. They, the best cosine of either class and the toxic share of the neighbours
+are turned into a probability by a logistic fit on the examples themselves: a document is never its own neighbour, so
+the votes for an example are those of the others, and no held-out label is seen. The neighbours are the evidence.
 
 Null and empty texts have no neighbour and get the share of toxic examples among those without a
 word; texts without a word of any example get that among all. Rows that repeat a doc_id are each scored;
@@ -33,11 +34,12 @@ from feldspark.llm.pu_quality import first_by_hash, labelled, remainder
 from feldspark.session import materialize
 
 EXAMPLES = 20_000
-K = 15
+K = 30
 BLOCK = 64
 COMMON = 512
+WIDE = 8  # a term is common if one in so many examples holds it
 QUERIES = 64  # scored together
-SHRINK = 0.2
+SHRINK = 0.02
 THRESHOLD = 0.7
 ERROR = 1e-4  # relative; above that of single-precision sums of positive products
 
@@ -109,6 +111,7 @@ class Index:
         self.n, self.block, self.n_terms = n, block, n_terms
         held = np.bincount(term, minlength=n_terms)
         most = np.argsort(-held, kind="stable")[:common]
+        most = most[held[most] * WIDE >= n]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[most] = np.arange(len(most))
         self.dense = np.zeros((n, len(most)), np.float32)
@@ -152,10 +155,14 @@ class Index:
         sums[own, skips[own]] = -np.inf
         # sums of the postings bound the k-th best from below; a block is left out if its largest weights cannot lift it there
         kth = self._kth(sums, k)
-        peak = np.maximum.reduceat(sums, np.arange(0, self.n, self.block), axis=1) + ask @ self.peak.T
-        visit = peak * (1 + ERROR) >= kth[:, None]
-        few = visit.sum(axis=1) * 16 <= visit.shape[1]
-        sums[~few] += ask[~few] @ self.dense.T
+        if not ask.shape[1]:
+            visit = np.zeros((len(queries), 0), bool)
+            few = np.ones(len(queries), bool)
+        else:
+            peak = np.maximum.reduceat(sums, np.arange(0, self.n, self.block), axis=1) + ask @ self.peak.T
+            visit = peak * (1 + ERROR) >= kth[:, None]
+            few = visit.sum(axis=1) * 16 <= visit.shape[1]
+            sums[~few] += ask[~few] @ self.dense.T
         for j in np.flatnonzero(few).tolist():
             for i in np.flatnonzero(visit[j]).tolist():
                 part = slice(i * self.block, (i + 1) * self.block)
@@ -177,6 +184,43 @@ class Index:
         return np.maximum(np.partition(sums, self.n - k, axis=1)[:, self.n - k], 0) if k < self.n else np.zeros(len(sums))
 
 
+def vote_features(owner: np.ndarray, cosine: np.ndarray, label: np.ndarray, n: int, pull: tuple[float, float]) -> np.ndarray:
+    """Per document (of n): log odds of two votes, best toxic and best clean cosine, toxic share of its neighbours."""
+    out = []
+    weight = np.where(label == 1, pull[1], pull[0])
+    for power in (2, 4):
+        w = cosine**power * weight
+        vote = (np.bincount(owner, w * label, n) + SHRINK / 2) / (np.bincount(owner, w, n) + SHRINK)
+        vote = np.clip(vote, 1e-4, 1 - 1e-4)
+        out.append(np.log(vote / (1 - vote)))
+    for y in (1, 0):
+        best = np.zeros(n)
+        np.maximum.at(best, owner, cosine * (label == y))
+        out.append(best)
+    out.append(np.bincount(owner, label, n) / np.maximum(np.bincount(owner, minlength=n), 1))
+    return np.stack(out, axis=1)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centers, scales and weights (first the constant) of a logistic model by Newton steps; labels may be fractions."""
+    center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([np.ones(len(x)), (x - center) / scale])
+    keep = ridge * np.eye(z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + keep, z.T @ (p - y) + keep @ w)
+        w = w - step
+        if np.abs(step).max() < 1e-10:
+            break
+    return center, scale, w
+
+
+def probability(x: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    center, scale, w = model
+    return 1 / (1 + np.exp(-np.clip(w[0] + ((x - center) / scale) @ w[1:], -40, 40)))
+
+
 def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, examples: int = EXAMPLES, k: int = K, block: int = BLOCK,
           threshold: float = THRESHOLD, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, neighbours (ids), cosines. Labels of fold ``fold`` are never used."""
@@ -198,14 +242,15 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, exa
     size = rows["terms"].combine_chunks().value_lengths().to_numpy()
     base = float(y.mean()) if len(y) else 0.0
     bare = y[size == 0]
-    alone = float((bare.sum() + SHRINK * base) / (len(bare) + SHRINK))
+    alone = float((bare.sum() + base) / (len(bare) + 1))
     ids, votes = rows["did"].to_numpy()[size > 0], y[size > 0]
     term = within(vocabulary, rows["terms"].combine_chunks().flatten().to_numpy().view(np.uint64))[0]
     vectors = pack(size[size > 0]), pack(np.diff(term, prepend=0)), pack(rows["tf"].combine_chunks().flatten().to_numpy())
     del rows, term
     # of each class half of all votes
-    pull = np.where(votes == 1, 0.5 / max(votes.mean(), 1e-12), 0.5 / max(1 - votes.mean(), 1e-12)) if len(votes) else votes
-    shared = docs.sparkSession.sparkContext.broadcast((vectors, vocabulary, idf, ids, votes, pull))
+    part = float(votes.mean()) if len(votes) else 0.5
+    pull = 0.5 / max(1 - part, 1e-12), 0.5 / max(part, 1e-12)
+    shared = docs.sparkSession.sparkContext.broadcast((vectors, vocabulary, idf, ids, votes))
     token = uuid.uuid4().hex
 
     def index_of(vectors: tuple[bytes, bytes, bytes], idf: np.ndarray) -> Index:
@@ -226,7 +271,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, exa
         return held["toxicity"][1]
 
     def vote(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        vectors, vocabulary, idf, ids, votes, pull = shared.value
+        vectors, vocabulary, idf, ids, votes = shared.value
         index = index_of(vectors, idf)
         for row, texts in arrays.batches(batch.column(1)):
             distinct, owner, place, tf = term_counts(texts)
@@ -243,35 +288,55 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, exa
                 mine = np.flatnonzero(hit[a:b]) + a
                 queries.append((at[mine], weight[mine] / max(length[i], 1e-300) ** 0.5, skips[i]))
             found = [x for i in range(0, len(queries), QUERIES) for x in index.nearest_of(queries[i : i + QUERIES], k)]
-            pulls = [(c * c * pull[e] * votes[e]).sum() for e, c in found], [(c * c * pull[e]).sum() for e, c in found]
             near = pa.array(np.append(0, np.cumsum([len(e) for e, _ in found])), pa.int32())
             strange = pa.array(np.append(0, np.cumsum(np.bincount(owner[~hit], minlength=len(texts)))), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(dids), pa.array(np.diff(starts)), pa.array(length), *(pa.array(p, pa.float64()) for p in pulls),
+                    pa.array(dids), pa.array(np.diff(starts)), pa.array(length),
                     pa.ListArray.from_arrays(near, pa.array(ids[np.concatenate([e for e, _ in found])])),
+                    pa.ListArray.from_arrays(near, pa.array(votes[np.concatenate([e for e, _ in found])])),
                     pa.ListArray.from_arrays(near, pa.array(np.concatenate([c for _, c in found]))),
                     pa.ListArray.from_arrays(strange, pa.array(distinct[place[~hit]].view(np.int64))),
                     pa.ListArray.from_arrays(strange, pa.array(log_tf[~hit])),
                 ],
-                ["did", "n", "length", "toxic", "all", "neighbours", "cosines", "strange", "log_tf"],
+                ["did", "n", "length", "neighbours", "labels", "cosines", "strange", "log_tf"],
             )
 
-    schema = "did long, n long, length double, toxic double, all double, neighbours array<long>, cosines array<double>, strange array<long>, log_tf array<double>"
+    schema = "did long, n long, length double, neighbours array<long>, labels array<double>, cosines array<double>, strange array<long>, log_tf array<double>"
     found = materialize(map_batches(pairs, vote, schema).withColumn("row", F.monotonically_increasing_id()), "votes")
     # words that no example holds, joined with their frequencies; sorted, so that the sum does not depend on the order of arrival
     strange = found.select("row", F.explode(F.arrays_zip("strange", "log_tf")).alias("s")).select("row", F.col("s.strange").alias("term"), F.col("s.log_tf").alias("log_tf"))
     more = strange.join(counts, "term").groupBy("row").agg(F.array_sort(F.collect_list(F.pow(F.col("log_tf") * F.col("idf"), 2))).alias("squares"))
     more = more.select("row", F.aggregate("squares", F.lit(0.0), lambda a, x: a + x).alias("more"))
-    done = found.join(more, "row", "left").withColumn(
-        "share", F.when(F.col("length") > 0, F.col("length") / (F.col("length") + F.coalesce("more", F.lit(0.0)))).otherwise(0.0)
+    share = F.when(F.col("length") > 0, F.col("length") / (F.col("length") + F.coalesce("more", F.lit(0.0)))).otherwise(0.0)
+    done = materialize(
+        found.drop("strange", "log_tf").join(more, "row", "left").select(
+            "did", "n", "neighbours", "labels", F.transform("cosines", lambda c: c * F.sqrt(share)).alias("cosines")), "cosines"
     )
-    voted = (F.col("toxic") * F.col("share") + SHRINK / 2) / (F.col("all") * F.col("share") + SHRINK)
-    done = done.select(
-        real_id().alias("doc_id"), F.when(F.col("n") == 0, F.lit(alone)).when(F.size("neighbours") == 0, F.lit(base)).otherwise(voted).alias("score"),
-        "neighbours", F.transform("cosines", lambda c: c * F.sqrt("share")).alias("cosines"),
-    )
-    return done.select(
+
+    def features(batch: pa.RecordBatch) -> np.ndarray:
+        """Of the last two columns: labels and cosines of the neighbours."""
+        size = batch.column(batch.num_columns - 1).value_lengths().to_numpy(zero_copy_only=False)
+        label, cosine = (batch.column(batch.num_columns - k).flatten().to_numpy(zero_copy_only=False) for k in (2, 1))
+        return vote_features(np.repeat(np.arange(len(size)), size), cosine, label, len(size), pull)
+
+    def of_examples(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(features(batch).tolist(), pa.list_(pa.float64()))], ["did", "y", "x"])
+
+    mine = done.join(F.broadcast(sample.select("did", "y")), "did").where("size(neighbours) > 0").select("did", F.col("y").cast("double"), "labels", "cosines")
+    # bounded: at most ``examples`` rows of an id, a label and five numbers
+    fit = map_batches(mine, of_examples, "did long, y double, x array<double>").toArrow().combine_chunks().sort_by("did").combine_chunks()
+    targets = fit["y"].to_numpy()
+    model = fit_logistic(np.array(fit["x"].to_pylist()), targets) if len(targets) and 0 < targets.mean() < 1 else None
+
+    def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n, size = (np.asarray(batch.column(1)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+        p = probability(features(batch), model) if model else np.full(len(n), base)
+        p = np.where(n == 0, alone, np.where(size == 0, base, p))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), batch.column(2), batch.column(4)], ["did", "score", "neighbours", "cosines"])
+
+    scored = map_batches(done, judge, "did long, score double, neighbours array<long>, cosines array<double>").withColumn("doc_id", real_id())
+    return scored.select(
         "doc_id", (remainder("doc_id", folds) == fold).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
         "neighbours", "cosines",
     )

@@ -20,7 +20,7 @@ from feldspark.llm import (  # noqa: E402
     arrays, bpe_tree, decontaminate, line_frequency, minhash_tensor, pu_quality, substring_dedup, suffix_dedup, superkmers, token_orc,
     toxicity_knn, warc_chunks,
 )
-from feldspark.llm.frames import id_and_text  # noqa: E402
+from feldspark.llm.frames import id_and_text, own_keys  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 RNG = random.Random(5)
@@ -116,7 +116,7 @@ def test_windows_of_odd_rows(odd, empty):
     assert [(r.n_words, r.n_removed) for r in rows if r.doc_id in (2, 3)] == [(n, n)] * 3
     assert [r.n_removed for r in rows if r.doc_id == 1] == [0, 0]
     rows = suffix_dedup.remove_repeats(odd).collect()
-    assert sorted((r.doc_id, r.n_removed > 0) for r in rows if r.doc_id in (2, 3)) == [(2, False), (2, False), (3, True)]
+    assert sorted((r.doc_id, r.n_removed > 0) for r in rows if r.doc_id in (2, 3)) == [(2, False), (2, True), (3, True)]
     assert substring_dedup.remove_repeats(empty).count() == suffix_dedup.remove_repeats(empty).count() == 0
 
 
@@ -166,8 +166,9 @@ def test_lines_of_odd_rows(odd, empty):
     verdicts = line_frequency.judge(odd, 1, 0.0)
     assert verdicts.count() == odd.count()
     assert not [r for r in verdicts.collect() if r.doc_id == 1 and r.kept]
-    out = line_frequency.strip_lines(odd, verdicts)
-    assert out.columns == odd.columns
+    rows, key = own_keys(odd)
+    out = line_frequency.strip_lines(rows, line_frequency.judge(rows, 1, 0.0, id_col=key), key)
+    assert out.columns == rows.columns
     assert sorted(r.doc_id for r in out.where("doc_id IS NOT NULL").select("doc_id").collect())[:2] == [2, 2]
     assert line_frequency.judge(empty).count() == 0
 
@@ -329,6 +330,41 @@ def test_risk_gradient_keeps_the_bracket_non_negative():
     assert (model.score(unlabelled[:500]) > 0.5).mean() > 0.8 > 0.2 > (model.score(unlabelled[500:]) > 0.5).mean()
 
 
+def test_risk_and_its_gradient_by_differences():
+    """One step without momentum moves against the numerical gradient of the risk, on either side of zero."""
+    rng = np.random.default_rng(2)
+    for shift, prior in ((0.0, 0.4), (1.5, 0.9)):
+        p, u = rng.normal(1, 1, (200, 2)), rng.normal(shift, 1, (300, 2))
+        both = np.concatenate([p, u])
+        z = lambda x: pu_quality.expand((x - both.mean(axis=0)) / both.std(axis=0))
+        start = pu_quality.fit(p, u, prior, steps=7)
+        at = np.append(start.weights, start.bias)
+        softplus = lambda f: np.logaddexp(0, f).mean()
+
+        def parts(v):
+            fp, fu = z(p) @ v[:-1] + v[-1], z(u) @ v[:-1] + v[-1]
+            return prior * softplus(-fp), softplus(fu) - prior * softplus(fp)
+
+        bracket = parts(at)[1]
+        goal = (lambda v: sum(parts(v))) if bracket >= 0 else (lambda v: -parts(v)[1])
+        numeric = np.array([(goal(at + e) - goal(at - e)) / 2e-6 for e in np.eye(len(at)) * 1e-6])
+        after = pu_quality.fit(p, u, prior, steps=8, decay=0.0)
+        before = pu_quality.fit(p, u, prior, steps=7, decay=0.0)
+        earlier = pu_quality.fit(p, u, prior, steps=6, decay=0.0)
+        flat = lambda m: np.append(m.weights, m.bias)
+        step = flat(after) - flat(before) - 0.9 * (flat(before) - flat(earlier))
+        assert np.allclose(step, -pu_quality.RATE * numeric, atol=2e-3)
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.9])
+def test_prior_is_near_the_true_share(prior):
+    rng = np.random.default_rng(5)
+    n = 6000
+    good = rng.random(n) < prior
+    unlabelled = rng.normal(np.where(good, 2.0, -2.0)[:, None], 1, (n, 4))
+    assert abs(pu_quality.estimate_prior(rng.normal(2, 1, (3000, 4)), unlabelled) - prior) < 0.05
+
+
 def test_neighbours_are_exact():
     rng = np.random.default_rng(1)
     n, terms = 700, 40
@@ -412,10 +448,60 @@ def test_near_components(docs, bands):
 def test_near_components_of_odd_rows(odd, empty):
     rows = minhash_tensor.near_components(odd).collect()
     assert len(rows) == odd.count()
-    assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id) == [(1, 1, True)] * 2 + [(2, 2, True)] * 2 + [(3, 2, False)]
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id) == [(1, 1, True)] * 2 + [(2, 2, False), (2, 2, True), (3, 2, False)]
     assert minhash_tensor.near_components(empty).count() == 0
 
 
+def test_rows_without_own_ids_do_not_touch_each_other(spark):
+    """Every row is a document of its own, whatever its id: results equal those of the same texts under unique ids."""
+    texts = [prose(80, random.Random(i)) for i in range(6)]
+    texts += [texts[0], texts[0][:400] + " " + prose(9, random.Random(70)), "", None]
+    ids = [None, None, None, 4, 4, 4, None, 4, None, 4]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
+    rows, key = own_keys(df)
+    place = {}
+    for r in rows.collect():
+        place.setdefault((r.doc_id, r.text), []).append(r[key])
+    assert len({k for ks in place.values() for k in ks}) == len(ids) and len(order) == rows.count()
+    unique = {k: t for (_, t), ks in place.items() for k in ks}
+    back = {k: i for (i, _), ks in place.items() for k in ks}
+    for operator, columns, want in ((substring_dedup, SUBSTRING, brute.substring), (suffix_dedup, SUFFIX, brute.suffix)):
+        rows_out = sorted((str(r.doc_id), *(r[c] for c in columns)) for r in operator.remove_repeats(df).collect())
+        assert rows_out == sorted((str(back[k]), *v) for k, v in want(unique).items())
+    near = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in minhash_tensor.near_components(df).collect())
+    assert near == sorted((str(back[k]), n, str(back[c]), kept) for k, (n, c, kept) in brute.near(unique).items())
+
+
+# two words of 1,024 letters whose polynomials agree modulo 2**64, whatever the base
+def thue_morse(letters, n=1024):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+TWINS = thue_morse("ab"), thue_morse("ba")
+
+
+def test_words_with_equal_polynomials_stay_apart(spark, tmp_path):
+    data = [np.frombuffer(t.encode(), np.uint8) for t in TWINS]
+    ends = [np.array([0]), np.array([1024])]
+    assert arrays.slice_hash(arrays.prefix_hash(data[0]), *ends) == arrays.slice_hash(arrays.prefix_hash(data[1]), *ends)
+    assert arrays.exact_hash(arrays.exact_prefix(data[0]), *ends) != arrays.exact_hash(arrays.exact_prefix(data[1]), *ends)
+    tail = " one two three four five six seven eight nine ten eleven twelve"
+    texts = {i: f"{TWINS[i % 2]} {TWINS[i // 2 % 2]} x{i}{tail}" for i in range(8)}
+    df = spark.createDataFrame([(d, t, "h") for d, t in texts.items()], "doc_id long, text string, source string")
+    assert got(minhash_tensor.near_components(df), *NEAR) == brute.near(texts)
+    assert got(line_frequency.judge(df, 1, 0.0), *line_frequency.STATS) == {d: brute.base(t) for d, t in texts.items()}
+    one_line = {i: f"{TWINS[i % 2]}\n{prose(12, random.Random(i))}" for i in range(6)}
+    lines_df = spark.createDataFrame([(d, t, "h") for d, t in one_line.items()], "doc_id long, text string, source string")
+    assert got(line_frequency.judge(lines_df, 2, 0.0), "base_failed", "n_line_words", "kept") == brute.lines([(d, "h", t) for d, t in one_line.items()], 2, 0.0)
+    items = spark.createDataFrame([(1, TWINS[0] + tail)], "item_id long, text string")
+    assert got(decontaminate.judge(df, items), *CONTAMINATION) == brute.contamination(texts, [(1, TWINS[0] + tail)])
+    pieces = token_orc.Pieces(P.path("word_bpe_49k.json"))
+    ids, sizes = pieces.encode([t.encode() for t in TWINS])
+    want = [pieces.tokenizer.encode(t, add_special_tokens=False).ids for t in TWINS]
+    assert ids.tolist() == want[0] + want[1] and sizes.tolist() == [len(w) for w in want]
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 7)]
