@@ -2,7 +2,9 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet below the
 shared scratch folder and reads it again for the next. All stages but the last return the columns
-of ``documents`` as they came, with ``n_chars`` following a changed text.
+of ``documents`` as they came, with ``n_chars`` following a changed text. Every row is a document of its own: where
+ids are missing or repeat, rows are numbered by id and content for the stage. A null text is an empty one (it has no
+words, so the quality stage rejects it); an empty table stays empty; other columns come along unchanged.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feldspark.llm import bpe_tree, decontaminate, line_frequency, minhash_tensor, substring_dedup
+from feldspark.llm.frames import fresh, own_keys
 from feldspark.session import materialize
 
 ORACLE_SQL = None  # byte-level BPE has no SQL; tests hold each stage against plain Python
@@ -19,13 +22,17 @@ ORACLE_SQL = None  # byte-level BPE has no SQL; tests hold each stage against pl
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject texts by base rules and line frequency; take frequent lines out of those kept."""
-    return line_frequency.strip_lines(docs, materialize(line_frequency.judge(docs), "verdicts")).select(*docs.columns)
+    rows, key = own_keys(docs)
+    verdicts = materialize(line_frequency.judge(rows, id_col=key), "verdicts")
+    return line_frequency.strip_lines(rows, verdicts, key).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document (the smallest doc_id) of each component of near duplicates."""
-    found = minhash_tensor.near_components(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["kept_id"]), "left_semi")
+    rows, key = own_keys(docs)
+    kept_id = fresh(rows, "kept_id")
+    found = minhash_tensor.near_components(rows, id_col=key).where("kept").select(F.col("doc_id").alias(kept_id))
+    return rows.join(found, rows[key] == found[kept_id], "left_semi").select(*docs.columns)
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
