@@ -11,7 +11,7 @@ Nothing is emitted per pair of a group:
 * Documents with the same shingle set are one representative from the start.
 * Half keys that stand in one document only are dropped before keys are formed, and of the
   table keys with the same members one is kept.
-* In each of the first rounds the members of a table are put in an order drawn anew, large tables
+* In each of the first rounds the members of each table are put in an order of its own, large tables
   in parts, and only neighbours meet. Every document is compared with the most alike of all it
   meets in other components. Links are confirmed on the full shingle sets, and components are
   joined at once.
@@ -49,7 +49,7 @@ ROWS = 2
 NUMERATOR, DENOMINATOR = 75, 100  # similarity that links
 BINS = 512  # of a set's bin marks, four bits each
 DIFFER = 0.5  # largest share of unequal marks for which sets are compared in the last round
-ROUNDS = 3
+ROUNDS = 2
 PART_ROWS = 1000
 
 
@@ -211,11 +211,12 @@ def _sizes_allow(n: str, other: str) -> Column:
 def _partners(held: DataFrame, round_: int, differ: float, n_hash: int) -> DataFrame:
     """(u, v): for each document the most alike of the members of other components next to it in its tables.
 
-    Members of a table stand in an order that is drawn anew each round; a large table is dealt into
+    Members of a table stand in an order drawn for the table and the round; a large table is dealt into
     parts of about ``PART_ROWS`` first.
     """
     part = F.pmod(F.xxhash64(F.lit(round_), "did"), F.ceil(F.col("c") / PART_ROWS))
-    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("did", F.lit(round_)), "did")
+    # another order in each table, so that a document meets other members in each of its tables
+    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("did", "key", F.lit(round_)), "did")
     beside = held.withColumn("part", part).withColumn("p", F.lag(F.struct("did", "comp", "n", "m")).over(order))
     met = beside.where(F.expr("p.comp <> comp") & _sizes_allow("n", "p.n")).withColumn("d", _mismatches("m", "p.m", n_hash))
     met = met.where(F.col("d") <= differ * n_hash).select(F.col("did").alias("x"), F.col("p.did").alias("y"), "d")
