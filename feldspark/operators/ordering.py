@@ -37,7 +37,8 @@ def order_number(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.IntegralType):
         return c.cast("long")
     if isinstance(kind, T.DecimalType):
-        return c.cast("double")
+        # up to 18 digits are exact as whole numbers of the last place, more are compared as doubles
+        return (c * F.lit(10**kind.scale)).cast("long") if kind.precision <= 18 else c.cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(kind, T.DateType):

@@ -137,10 +137,25 @@ def group_split(
     return df.withColumn(output, _label(mine <= F.lit(first), mine <= F.lit(second)))
 
 
-def _tie_number(df: DataFrame, key: str) -> Column:
-    if isinstance(df.schema[key].dataType, T.StringType):
-        return F.conv(F.substring(F.md5(F.col(key)), 1, 15), 16, 10).cast("long")
-    return order_number(df, key)
+def _among_first(tied: DataFrame, key: str, rest: int, same: int, **search) -> Column:
+    """Whether one of ``same`` tied rows is among the first ``rest`` by key (NULL first).
+
+    Numbers are selected directly. Strings are selected seven bytes at a time, each as a whole number that keeps
+    their order: among the rows that agree so far the next seven bytes of the cut key are found, until it ends.
+    """
+    if not isinstance(tied.schema[key].dataType, T.StringType):
+        tie = order_number(tied, key)
+        return tie <= F.lit(select_ranks(tied, {"tie": tie}, {"tie": [rest]}, {"tie": same}, **search)["tie", rest][0])
+    text, rows, depth = F.col(f"`{key}`"), tied, 0
+    while True:
+        head = F.rpad(F.hex(F.substring(text.cast("binary"), 7 * depth + 1, 7)), 14, "0")
+        piece = F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1))
+        value, below, same = select_ranks(rows, {"p": piece}, {"p": [rest]}, {"p": same}, **search)["p", rest]
+        if value == -1:
+            return text.isNull()
+        rows, rest, depth = rows.filter(piece == F.lit(value)), rest - below, depth + 1
+        if same == 1 or value % 256 == 0:  # one row is left, or all rows left end here and are equal
+            return text.isNull() | (text <= F.lit(rows.agg(F.max(text)).first()[0]))
 
 
 def time_split(
@@ -155,9 +170,9 @@ def time_split(
     if isinstance(kind, T.TimestampNTZType):
         when = F.coalesce(F.col(time), literal(datetime.min))
     else:
-        floating = isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType))
+        wide = isinstance(kind, T.DecimalType) and kind.precision > 18
+        floating = wide or isinstance(kind, (T.FloatType, T.DoubleType))
         when = F.coalesce(order_number(df, time), F.lit(float("-inf")) if floating else F.lit(-(2**62)))
-    tie = _tie_number(df, key)
     total = df.count()
     first = int(total * train)
     second = first + int(total * validation)
@@ -172,8 +187,7 @@ def time_split(
         if rest == same:
             return when <= literal(value)
         tied = df.filter(when == literal(value))
-        cut = select_ranks(tied, {"tie": tie}, {"tie": [rest]}, {"tie": same}, **search)["tie", rest][0]
-        return (when < literal(value)) | ((when == literal(value)) & (tie <= F.lit(cut)))
+        return (when < literal(value)) | ((when == literal(value)) & _among_first(tied, key, rest, same, **search))
 
     return df.withColumn(output, _label(upto(first), upto(second)))
 

@@ -69,6 +69,27 @@ def test_time_split_with_ties(spark, gather):
     assert got == _expected(list(times), lambda k: (times[k], k))
 
 
+@pytest.mark.parametrize("times", [1, 3])
+def test_time_split_cuts_string_keys_in_their_order(spark, times):
+    keys = ["order/2024/number-%05d" % i for i in range(300)] + ["", "a", "ab", "é", "日本", "order/2024/number-"]
+    rows = [(k, i % times) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "id string, t int").repartition(4)
+    got = {r.id: r.split for r in S.time_split(df, "t", "id", gather_rows=20).collect()}
+    order = [k for k, t in sorted(rows, key=lambda r: (r[1], r[0].encode()))]
+    a, b = int(len(rows) * 0.7), int(len(rows) * 0.15)
+    assert [got[k] for k in order] == ["train"] * a + ["validation"] * b + ["test"] * (len(rows) - a - b)
+
+
+def test_time_split_by_decimals(spark):
+    from decimal import Decimal
+
+    rows = [(i, Decimal("12345678901234.%04d" % ((i * 37) % 500))) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, t decimal(18,4)")
+    got = {r.id: r.split for r in S.time_split(df, "t", "id").collect()}
+    order = [i for i, _ in sorted(rows, key=lambda r: r[1])]
+    assert [got[i] for i in order] == ["train"] * 350 + ["validation"] * 75 + ["test"] * 75
+
+
 def test_time_split_string_keys_and_missing_times(spark):
     rows = [(f"k{i}", None if i < 10 else float(i % 4)) for i in range(100)]
     df = spark.createDataFrame(rows, "id string, t double")
