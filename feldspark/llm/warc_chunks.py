@@ -8,9 +8,10 @@ the format provides for payloads over ``chunk_bytes``. A page whose payload (of
 payload.
 
 Archives are written by Spark as gzip-compressed files of records ended by two line ends, so any
-file system of Spark's can hold them. The reader takes each file as a stream: it inflates and
-parses piece by piece, gives back the chunk table, and digests chunks in order, carrying the
-running digest from chunk to chunk. Single-chunk records never leave the task that reads them.
+file system of Spark's can hold them; a file holds at most about ``file_bytes`` of records before
+compression. The reader gets the compressed bytes of a file at once, which that limit bounds, and
+inflates and parses them piece by piece. It gives back the chunk table, and digests chunks in order,
+carrying the running digest from chunk to chunk. Single-chunk records never leave the task that reads them.
 
 A null payload is empty; a null url is written as ``about:blank``. Rows that repeat a page_id with
 the same payload are all responses (none has a smaller id). Rows without a page_id are revisits of
@@ -32,6 +33,7 @@ from feldspark.session import materialize
 CHUNK_BYTES = 4 << 20
 MIN_BYTES = 100
 READ_BYTES = 1 << 20
+FILE_BYTES = 256 << 20
 # fixed values of the format
 END = b"\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -131,15 +133,26 @@ def clean(url: str | None) -> str:
     return "".join(c if c.isprintable() and not c.isspace() else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else "about:blank"
 
 
-def write_archives(table: DataFrame, path: str) -> None:
-    """Write a chunk table as WARC files to the new folder ``path``."""
+def write_archives(table: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, file_bytes: int = FILE_BYTES) -> None:
+    """Write a chunk table as WARC files to the new folder ``path``.
+
+    Records are gathered to lines of about ``chunk_bytes``, so a limit on the lines of a file limits its bytes.
+    """
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in source:
-            lines = [record(r, r["payload_bytes"]).decode() for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-
-    table.mapInArrow(run, "value string").write.option("lineSep", END.decode()).option("compression", "gzip").text(path)
+            for row in batch.to_pylist():
+                held.append(record(row, row["payload_bytes"]))
+                size += len(held[-1])
+                if size >= chunk_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([END.join(held).decode()], pa.string())], ["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([END.join(held).decode()], pa.string())], ["value"])
+
+    lines = table.mapInArrow(run, "value string").write.option("lineSep", END.decode()).option("compression", "gzip")
+    lines.option("maxRecordsPerFile", max(1, file_bytes // (2 * chunk_bytes))).text(path)
 
 
 class Stream:

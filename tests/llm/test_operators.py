@@ -430,6 +430,12 @@ def test_archives(spark, tmp_path, size):
     assert sorted(map(tuple, warc_chunks.payload_index(read).collect()), key=str) == archive_rows(rows)
     heads = [gzip.open(f).read() for f in glob.glob(str(tmp_path / "w" / "*.gz"))]
     assert all(h.startswith(b"WARC/1.1\r\n") and h.endswith(b"\r\n\r\n") for h in heads if h)
+    # files of bounded size, and rows as those of few large ones
+    warc_chunks.write_archives(table.coalesce(1), str(tmp_path / "small"), 400, 1000)
+    small = glob.glob(str(tmp_path / "small" / "*.gz"))
+    assert len(small) > 3 and max(len(gzip.open(f).read()) for f in small) < 1000 + size + 2000
+    again = warc_chunks.payload_index(warc_chunks.read_archives(spark, str(tmp_path / "small")))
+    assert sorted(map(tuple, again.collect()), key=str) == archive_rows(rows)
     warc_chunks.write_archives(warc_chunks.chunk_table(warc_chunks.classify(pages.limit(0))), str(tmp_path / "none"))
     assert warc_chunks.payload_index(warc_chunks.read_archives(spark, str(tmp_path / "none"))).count() == 0
 
