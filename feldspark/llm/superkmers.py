@@ -84,19 +84,25 @@ def find_runs(dids: np.ndarray, texts: list[bytes], units: Units, buckets: int,
     valid = np.cumsum(step[: len(least)]) > 0
     if not valid.any():
         return None
-    value = arrays.mix(grams ^ np.uint64(0x5851F42D4C957F2D))[seat]
-    route = (value % np.uint64(buckets)).astype(np.int64)
-    if split:
-        parts = np.ones(buckets, np.int64)
-        parts[list(split)] = list(split.values())
-        heavy = parts[route]
-        if (heavy > 1).any():
-            other = [arrays.sliding_min(arrays.mix(grams * np.uint64(k)), width) for k in (0x2545F491, 0x9E3779B1)]
-            sub = (arrays.mix(other[0] ^ (other[1] << np.uint64(1))) % heavy.astype(np.uint64)).astype(np.int64)
-            route = route + buckets * sub
     new = valid.copy()
-    new[1:] &= ~valid[:-1] | (seat[1:] != seat[:-1]) | (route[1:] != route[:-1])
+    new[1:] &= ~valid[:-1] | (seat[1:] != seat[:-1])
     start = np.flatnonzero(new)
+    # windows of a run have one value, and one route unless their bucket is heavy
+    value = arrays.mix(grams[seat[start]] ^ np.uint64(0x5851F42D4C957F2D))
+    route = (value % np.uint64(buckets)).astype(np.int64)
+    known = np.array(sorted(split), np.int64)
+    place = np.minimum(np.searchsorted(known, route), max(len(known) - 1, 0))
+    heavy = known[place] == route if len(known) else np.zeros(len(route), bool)
+    if heavy.any():
+        parts = np.where(heavy, np.array([split[k] for k in known.tolist()], np.int64)[place], 1)
+        other = [arrays.sliding_min(arrays.mix(grams * np.uint64(k)), width) for k in (0x2545F491, 0x9E3779B1)]
+        run = np.cumsum(new) - 1
+        run[run < 0] = 0  # before the first window, where nothing is valid
+        sub = (arrays.mix(other[0] ^ (other[1] << np.uint64(1))) % parts[run].astype(np.uint64)).astype(np.int64)
+        each = route[run] + buckets * sub
+        new[1:] |= valid[1:] & valid[:-1] & (each[1:] != each[:-1])
+        start = np.flatnonzero(new)
+        value, route = value[run[start]], each[start]
     stop = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) + 1
     windows = stop - start
     if units.words:
@@ -110,21 +116,20 @@ def find_runs(dids: np.ndarray, texts: list[bytes], units: Units, buckets: int,
     else:
         text, low, high = raw, start, start + windows + units.size - 1
     owner = np.searchsorted(first, start, side="right") - 1
-    return Runs(text, dids[owner], start - first[owner], windows, low, high, route[start], value[start])
+    return Runs(text, dids[owner], start - first[owner], windows, low, high, route, value)
 
 
 def measure(docs: DataFrame, units: Units, buckets: int, share: float) -> dict[int, int]:
     """How many parts each bucket needs that holds far more than its ``share`` of the packed bytes of all texts."""
 
     def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
         dids = np.asarray(batch.column(0))
         for row, texts in arrays.batches(batch.column(1)):
             runs = find_runs(dids[row : row + len(texts)], texts, units, buckets, {})
             if runs:
-                total += np.bincount(runs.route, runs.high - runs.low, buckets).astype(np.int64)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "size"])
+                some, at = np.unique(runs.route, return_inverse=True)
+                total = np.bincount(at, runs.high - runs.low, len(some)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total)], ["bucket", "size"])
 
     sizes = map_batches(docs, weigh, "bucket long, size long").groupBy("bucket").agg(F.sum("size").alias("size"))
     target = max(BUCKET_BYTES, share)
