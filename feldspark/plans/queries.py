@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feldspark.functions.expressions import bin_edges, bin_index
 from feldspark.functions.hashing import driver_normal
 from feldspark.operators import filters, models, monitoring, quality, runs, serving, splits, stats, tuning
 from feldspark.operators.mlp import history_frame, initial_weights, prepare_training, train_mlp
@@ -24,7 +25,7 @@ from feldspark.plans.flows import build_features, preprocess_table, score_record
 from feldspark.plans.frames import feature_frame, metric_frame, system_metrics, table
 from feldspark.session import scratch_path
 from feldspark.sources import synthetic
-from feldspark.sources.parquet import read_parquet, write_parquet
+from feldspark.sources.parquet import create_source, read_parquet, write_parquet
 from feldspark.streaming import metrics as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -632,6 +633,57 @@ def store_list(spark, sf):
     return store.list_datasets().drop("created_at")
 
 
+@query("""SELECT 'events' AS name, 'b' AS version, count(*) AS num_rows FROM events
+UNION ALL SELECT 'orders', 'b', count(*) FILTER (WHERE o_totalprice > 100000) FROM orders""")
+def store_delete(spark, sf):
+    """What is left after one version, one whole dataset and a replaced version."""
+    store, events, orders = _store(spark), table(spark, sf, "events").select("event_id"), table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    for version in ("a", "b"):
+        store.write(events, "events", version)
+        store.write(orders, "orders", version)
+        store.write(orders, "gone", version)
+    store.write(orders.filter("o_totalprice > 100000"), "orders", "b", overwrite=True)
+    store.delete("events", "a")
+    store.delete("orders", "a")
+    store.delete("gone")
+    rows = [(name, *(lambda df, known: (known.version, df.count()))(*store.read(name))) for name in ("events", "orders")]
+    left = spark.createDataFrame(rows, "name string, version string, num_rows long")
+    return store.catalog().select("name", "version").join(left, ["name", "version"])
+
+
+@query("""SELECT l_returnflag AS flag, CASE WHEN l_returnflag = 'N' THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN l_returnflag <> 'N' THEN count(*)::VARCHAR END AS result, CASE WHEN l_returnflag = 'N' THEN 'ValueError: not returned' END AS error
+FROM lineitem GROUP BY l_returnflag""")
+def run_series(spark, sf):
+    """A run per return flag, one of which fails while the others go on."""
+    items = table(spark, sf, "lineitem")
+    flags = [r[0] for r in items.select("l_returnflag").distinct().orderBy("l_returnflag").collect()]
+
+    def run(config):
+        if config["flag"] == "N":
+            raise ValueError("not returned")
+        return items.filter(F.col("l_returnflag") == config["flag"]).count()
+
+    done = runs.run_series(spark, [{"flag": f} for f in flags], run)
+    names = spark.createDataFrame(list(enumerate(flags)), "run int, flag string")
+    return done.join(names, "run").select("flag", "status", "result", "error")
+
+
+@query("""SELECT 4::BIGINT AS bins, CASE WHEN l_quantity IS NOT NULL THEN 1::BIGINT END AS bin, count(*) AS n FROM lineitem GROUP BY ALL""")
+def constant_bins(spark, sf):
+    """A column with one value equals the middle edge; intervals are closed on the right, so it falls below."""
+    items = table(spark, sf, "lineitem").select(F.when(F.col("l_quantity").isNotNull(), F.lit(3.0)).alias("x"))
+    low, high = items.agg(F.min("x"), F.max("x")).first()
+    index = bin_index(F.col("x"), bin_edges(low, high, 4))
+    return items.select(F.lit(4).cast("long").alias("bins"), index.cast("long").alias("bin")).groupBy("bins", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 10")
+def source_factory(spark, sf):
+    items = create_source(spark, "parquet", path=f"{sf}/lineitem.parquet", schema_validation=False)
+    return items.filter("l_quantity > 10").select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query(f"SELECT id, target, {_NORMED}, {_DEFAULT}, 'features' AS stage FROM {sql_scaled('minmax')}")
 def feature_store_build(spark, sf):
     store, scaled = _store(spark), Preprocessor("minmax").fit_transform(_frame(spark, sf))
