@@ -37,7 +37,8 @@ EXAMPLES = 20_000
 K = 30
 BLOCK = 64
 COMMON = 512
-WIDE = 8  # a term is common if one in so many examples holds it
+TOGETHER = 16  # blocks looked at together
+WIDE = 20  # a term is common if one in so many examples holds it
 QUERIES = 64  # scored together
 SHRINK = 0.02
 THRESHOLD = 0.7
@@ -117,6 +118,11 @@ class Index:
         self.dense = np.zeros((n, len(most)), np.float32)
         spot = np.flatnonzero(self.column[term] >= 0)
         self.dense[owner[spot], self.column[term[spot]]] = weight[spot]
+        # examples that share common terms stand together, so that blocks differ; ``number`` leads back
+        self.number = self._order()
+        self.place = np.empty(n, np.int64)
+        self.place[self.number] = np.arange(n)
+        self.dense, owner = self.dense[self.number], self.place[owner].astype(np.int32)
         self.peak = np.maximum.reduceat(self.dense, np.arange(0, n, block), axis=0) if n else self.dense
         spot = np.flatnonzero(self.column[term] < 0)
         spot = spot[np.argsort(term[spot], kind="stable")]
@@ -130,6 +136,15 @@ class Index:
         self.term, self.weight = term.astype(np.int32, copy=False), weight
         self.start = np.append(0, np.cumsum(np.bincount(owner, minlength=n)))
 
+    def _order(self) -> np.ndarray:
+        """Examples by the leading direction of the common terms that they lean on most, then by how much."""
+        if not self.n or not self.dense.shape[1]:
+            return np.arange(self.n)
+        few = self.dense[:: max(1, self.n // 4096)]
+        lead = np.abs(self.dense @ np.linalg.eigh(few.T @ few)[1][:, -8:].astype(np.float32))
+        most = lead[:, :-1].argmax(axis=1) if lead.shape[1] > 1 else np.zeros(self.n, np.int64)
+        return np.lexsort((np.arange(self.n), lead[np.arange(self.n), most], most))
+
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine with a query (smaller number first among equals), and the cosines."""
         return self.nearest_of([(term, weight, skip)], k)[0]
@@ -150,38 +165,39 @@ class Index:
                 owner = np.concatenate([self.post_owner[p:q] for p, q in spans])
                 value = np.concatenate([self.post_weight[p:q] for p, q in spans]) * np.repeat(factor, b - a)
                 sums[j] = np.bincount(owner, value, self.n)
-        skips = np.array([skip for *_, skip in queries])
+        skips = np.array([self.place[skip] if skip >= 0 else -1 for *_, skip in queries])
         own = np.flatnonzero(skips >= 0)
         sums[own, skips[own]] = -np.inf
         # sums of the postings bound the k-th best from below; a block is left out if its largest weights cannot lift it there
-        kth = self._kth(sums, k)
-        if not ask.shape[1]:
-            visit = np.zeros((len(queries), 0), bool)
-            few = np.ones(len(queries), bool)
-        else:
-            peak = np.maximum.reduceat(sums, np.arange(0, self.n, self.block), axis=1) + ask @ self.peak.T
-            visit = peak * (1 + ERROR) >= kth[:, None]
-            few = visit.sum(axis=1) * 16 <= visit.shape[1]
-            sums[~few] += ask[~few] @ self.dense.T
-        for j in np.flatnonzero(few).tolist():
-            for i in np.flatnonzero(visit[j]).tolist():
-                part = slice(i * self.block, (i + 1) * self.block)
-                sums[j, part] += self.dense[part] @ ask[j]
-        kth = self._kth(sums, k)
+        starts = np.arange(0, self.n, self.block)
+        if ask.shape[1]:
+            best = np.maximum.reduceat(sums, starts, axis=1)
+            visit = (best + ask @ self.peak.T) * (1 + ERROR) >= self._bound(best, k)[:, None]
+            for i in range(0, len(starts), TOGETHER):
+                mine = np.flatnonzero(visit[:, i : i + TOGETHER].any(axis=1))
+                part = slice(i * self.block, (i + TOGETHER) * self.block)
+                if len(mine):
+                    sums[mine, part] += ask[mine] @ self.dense[part].T
+        bound = self._bound(np.maximum.reduceat(sums, starts, axis=1), k)
         full, out = np.zeros(self.n_terms), []
         for j, (term, weight, _) in enumerate(queries):
-            near = np.flatnonzero((sums[j] > 0) & (sums[j] >= kth[j] * (1 - ERROR)))
+            near = np.flatnonzero((sums[j] > 0) & (sums[j] >= bound[j] * (1 - ERROR)))
+            if len(near) > k:
+                near = near[sums[j, near] >= np.partition(sums[j, near], len(near) - k)[len(near) - k] * (1 - ERROR)]
             full[term] = weight
             size = self.start[near + 1] - self.start[near]
             at = runs(self.start[near], size)
             cosine = np.add.reduceat(full[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(near) else np.zeros(0)
             full[term] = 0
+            near = self.number[near]
             order = np.lexsort((near, -np.round(cosine, 9)))[:k]
             out.append((near[order], cosine[order]))
         return out
 
-    def _kth(self, sums: np.ndarray, k: int) -> np.ndarray:
-        return np.maximum(np.partition(sums, self.n - k, axis=1)[:, self.n - k], 0) if k < self.n else np.zeros(len(sums))
+    def _bound(self, best: np.ndarray, k: int) -> np.ndarray:
+        """No more than the k-th best sum: k blocks have a sum of at least the k-th best of the blocks' best."""
+        m = best.shape[1]
+        return np.maximum(np.partition(best, m - k, axis=1)[:, m - k], 0) if k <= m else np.zeros(len(best))
 
 
 def vote_features(owner: np.ndarray, cosine: np.ndarray, label: np.ndarray, n: int, pull: tuple[float, float]) -> np.ndarray:
