@@ -37,7 +37,7 @@ END_ID = 2
 FILE_BYTES = 64 << 20  # text bytes that one file should hold
 STRIPE_BYTES = 16 << 20
 CACHE = 1_000_000
-TEXT_BYTES = 6 << 20  # texts whose pieces are looked up together
+TEXT_BYTES = 1 << 20  # texts whose pieces are looked up together; arrays of about 60 times this size stand beside them
 BROADCAST_FILES = 1_000_000  # two numbers a file: up to 16 MB
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -60,7 +60,7 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and where their pieces stand
         self.start, self.size, self.flat, self.n, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0, 0
 
     @staticmethod
@@ -71,7 +71,7 @@ class Pieces:
             cache[key] = Pieces(path)
         return cache[key]
 
-    def _add(self, keys: list[int], texts: list[str]) -> None:
+    def _add(self, texts: list[str]) -> None:
         for i in range(0, len(texts), 4096):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
@@ -83,7 +83,6 @@ class Pieces:
             self.start[self.n : self.n + len(found)] = self.used + np.cumsum(sizes) - sizes
             self.size[self.n : self.n + len(found)] = sizes
             self.flat[self.used : self.used + len(flat)] = flat
-            self.slot.update(zip(keys[i : i + 4096], range(self.n, self.n + len(found))))
             self.n += len(found)
             self.used += len(flat)
 
@@ -105,13 +104,17 @@ class Pieces:
         keys, first, piece = np.unique(arrays.exact_hash(arrays.exact_prefix(data), starts, ends), return_index=True, return_inverse=True)
         if self.n + len(keys) > CACHE:
             self.clear()
-        known = [self.slot.get(k, -1) for k in keys.tolist()]
-        fresh = [i for i, s in enumerate(known) if s < 0]
-        if fresh:
+        at = np.searchsorted(self.keys, keys)
+        new = at == len(self.keys)
+        new[~new] = self.keys[at[~new]] != keys[~new]
+        fresh = np.flatnonzero(new)
+        if len(fresh):
             a, b = starts[first[fresh]].tolist(), ends[first[fresh]].tolist()
-            self._add(keys[fresh].tolist(), [raw[i:j].decode("utf-8", "replace") for i, j in zip(a, b)])
-            known = [self.slot[k] for k in keys.tolist()]
-        slot = np.array(known, np.int64)[piece]
+            place = np.arange(self.n, self.n + len(fresh), dtype=np.int32)
+            self._add([raw[i:j].decode("utf-8", "replace") for i, j in zip(a, b)])
+            self.keys, self.slot = np.insert(self.keys, at[fresh], keys[fresh]), np.insert(self.slot, at[fresh], place)
+            at = np.searchsorted(self.keys, keys)
+        slot = self.slot[at][piece]
         size = self.size[slot]
         total = np.append(0, np.cumsum(size))
         ids = self.flat[np.repeat(self.start[slot] - total[:-1], size) + np.arange(total[-1])]
@@ -139,6 +142,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     ["doc_id", "at", "n_tokens", "ids"],
                 )
                 at += int(offsets[-1])
+            arrays.release()
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     parts = parts_for(docs.sparkSession, text_bytes(source), file_bytes)
