@@ -325,34 +325,42 @@ def rank_within(
     NULL and NaN come first and are ties; then numbers, times or strings ascend. A light job (unless ``sizes`` are
     given) measures the largest group. If one task can sort it, this is a plain window. Otherwise the rows are dealt
     to ranges of the whole key (groups, then every order column, compared as they are; the cut rows are sampled), so
-    that a group of any size is spread over many tasks whatever its leading values look like. Positions are taken
-    inside (group, range) and shifted by the rows of the group in the ranges before.
+    that a group of any size is spread over many tasks whatever its leading values look like. A range is sorted where
+    it lies, which spills if it must; a position is a row's place in its range, counted from the first row of its group
+    there and shifted by the rows of the group in the ranges before. However small ``chunk_rows``, there are no more
+    ranges than the shuffle has partitions, or than ranges of ``CHUNK_ROWS``.
     """
     order_by = [_present(df, c).asc_nulls_first() for c in order]
     largest, total = sizes or group_sizes(df, groups)
     if largest <= chunk_rows:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by)))
 
-    chunks = math.ceil(total / chunk_rows)
-    ranged = df.repartitionByRange(chunks, *[F.col(f"`{g}`").asc_nulls_first() for g in groups], *order_by)
+    key = [*[F.col(f"`{g}`").asc_nulls_first() for g in groups], *order_by]
+    ranged = df.repartitionByRange(_ranges(df, total, chunk_rows), *key).sortWithinPartitions(*key)
     # written once: the jobs below must see the same ranges
-    staged = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "ranges")
+    staged = materialize(
+        ranged.withColumn("_chunk", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "ranges"
+    )
     keys = [*groups, "_chunk"]
     by_group = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
         .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
-                F.coalesce(F.sum("_n").over(by_group), F.lit(0)).alias("_before"))
+                (F.coalesce(F.sum("_n").over(by_group), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     )
-    local = Window.partitionBy(*keys).orderBy(*[_present(staged, c).asc_nulls_first() for c in order])
-    placed = staged.withColumn("_local", F.row_number().over(local))
     same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
-    return placed.join(offsets, same, "inner").select(
-        *df.columns, (F.col("_local") + F.col("_before")).cast("long").alias(output)
+    return staged.join(offsets, same, "inner").select(
+        *df.columns, (F.col("_row") + F.col("_shift")).cast("long").alias(output)
     )
 
 
+def _ranges(df: DataFrame, total: int, chunk_rows: int) -> int:
+    """How many ranges ``total`` rows are dealt to: what ``chunk_rows`` asks for, within what tasks are worth."""
+    worth = max(math.ceil(total / CHUNK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(math.ceil(total / chunk_rows), worth))
+
+
 def in_blocks(df: DataFrame, position: str, block_rows: int, halo: int = 0) -> DataFrame:
     """Add ``_block`` (consecutive runs of ``block_rows`` positions) and ``_own``.
 

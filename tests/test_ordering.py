@@ -78,6 +78,19 @@ def test_missing_order_values_come_first(spark):
     assert sorted(r.position for r in got if r.t is None) == [1, 2, 3, 4, 5]
 
 
+def test_small_chunks_make_no_more_ranges_than_the_shuffle(spark, monkeypatch):
+    """Thousands of chunks of a few rows are no thousands of tasks, and a hot group is still parted."""
+    made, write = [], O.materialize
+    monkeypatch.setattr(O, "materialize", lambda df, label: made.append(df.rdd.getNumPartitions()) or write(df, label))
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN id % 7 END AS g", "(id * 37) % 11 AS t", "id")
+    got = O.rank_within(df, ["g"], ["t", "id"], chunk_rows=2)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    assert made == [int(parts)]
+    rows = [(r.g, r.t, r.id) for r in df.collect()]
+    assert {(r.g, r.t, r.id): r.position for r in got.collect()} == _brute(rows)
+    assert O._ranges(df, 10 * O.CHUNK_ROWS, O.CHUNK_ROWS) == 10 and O._ranges(df, 50, 30) == 2
+
+
 @pytest.mark.parametrize("kind", ["prefix", "long", "decimal", "null", "empty"])
 def test_rank_within_whole_keys(spark, kind):
     """Values alike in their first bytes, longs beyond 2**53 and decimals of 20 digits keep their order in small chunks."""
