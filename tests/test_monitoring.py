@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feldspark.operators import monitoring as M
+from feldspark.operators import ordering
 from feldspark.operators import runs as R
 from feldspark.streaming import metrics as N
 
@@ -44,6 +45,21 @@ def test_spikes_in_hot_contexts(spark, chunk_rows):
     assert got == _spikes(values, contexts, seconds) and got
 
 
+def test_spikes_of_text_order_need_few_tasks(spark, monkeypatch):
+    """Steps of text alike in their first bytes, in chunks of twelve rows: no task a chunk."""
+    made, write = [], ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df, label: made.append(df.rdd.getNumPartitions()) or write(df, label))
+    rng = random.Random(8)
+    values = [rng.expovariate(1) for _ in range(600)]
+    contexts = [rng.choice(["hot", "hot", "a"]) for _ in values]
+    seconds = [rng.randint(10, 60) for _ in values]
+    df = _metrics(spark, values, contexts, seconds=seconds)
+    df = df.withColumn("ts", F.concat(F.lit("runs/checkpoint-"), F.date_format("ts", "HH:mm:ss")))
+    got = {r.seq for r in M.loss_spikes(df, chunk_rows=12).collect()}
+    assert got == _spikes(values, contexts, seconds) and got
+    assert made == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
 def _ks(a, b):
     points = sorted(set(a) | set(b))
     return max(abs(np.mean([x <= p for x in a]) - np.mean([x <= p for x in b])) for p in points)
