@@ -1,10 +1,10 @@
 """A dense network for regression, trained data-parallel with one Spark job per round.
 
 Rows are written once in blocks that follow from their values, a block packed into one row of a
-table. In a round each block is passed by mini-batch Adam, starting from the shared weights and
-moments; the new ones are the row-weighted means over the blocks. A task adds its blocks up and
-returns one array, and arrays of many tasks are added in a tree, so a round moves a fixed number of
-parameters per task, whatever the size of the table.
+table, or into several pieces if it is large. In a round each block is passed by mini-batch Adam,
+starting from the shared weights and moments; the new ones are the row-weighted means over the blocks.
+A task adds its blocks up and returns one array, and arrays of many tasks are added in a tree, so a
+round moves a fixed number of parameters per task, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from pyspark.sql.functions import pandas_udf
 
 from feldspark.functions.hashing import driver_normal
 from feldspark.operators.models import complete_rows
+from feldspark.operators.ordering import group_sizes
 from feldspark.session import remove_path, scratch_path
 
 # The batch functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 65_536  # rows of a block; a block is one packed row and never split between tasks
+BLOCK_ROWS = 65_536  # rows of a block, or of a piece of a larger one; either is one packed row
+PIECES = 16  # of a block that one task cuts, about
 FILES = 10_000  # of a prepared table, at most about so many
 FAN_IN = 64  # arrays that are added up by one task of the tree
 
@@ -124,7 +126,7 @@ def initial_weights(sizes: Sequence[int], seed: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-PACKED = "block long, fitted binary, held binary"
+PACKED = "block long, piece long, fitted binary, held binary"
 
 
 @dataclass
@@ -135,6 +137,8 @@ class Prepared:
     features: list[str]
     centers: list[float]
     scales: list[float]
+    blocks: int = 0  # how many there are, if some are in several pieces
+    largest: int = 0  # rows of the largest one then
 
 
 def prepare_training(
@@ -145,7 +149,8 @@ def prepare_training(
 
     Block, order within it and what is held out follow from the values of a row, so they do
     not depend on how the table or the cluster is partitioned. A whole-number column ``block`` may name the
-    blocks (each must fit a task), and a boolean column ``held`` the rows held out.
+    blocks, and a boolean column ``held`` the rows held out. Named blocks of more than ``block_rows`` are cut into
+    pieces by many tasks, so that none holds a block.
     """
     names = [*features, target]
     draw = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -184,12 +189,55 @@ def prepare_training(
         times, held = rows["_n"].to_numpy(), rows["_held"].to_numpy(dtype=bool)
         matrix = rows[values].to_numpy(np.float64)
         out = [np.repeat(matrix[m], times[m], axis=0).tobytes() for m in (~held, held)]
-        return pd.DataFrame({"block": [int(key[0])], "fitted": [out[0]], "held": [out[1]]})
+        return pd.DataFrame({"block": [int(key[0])], "piece": [0], "fitted": [out[0]], "held": [out[1]]})
 
     path = scratch_path(df.sparkSession, "training")
-    per_file = max(1, (blocks or 1) // FILES)
-    packed.groupBy("_block").applyInPandas(pack, PACKED).write.option("maxRecordsPerFile", per_file).parquet(path)
-    return Prepared(path, list(features), centers, scales)
+    largest = group_sizes(packed, ["_block"])[0] if blocks is None else 0
+    if largest <= block_rows:
+        per_file = max(1, (blocks or 1) // FILES)
+        packed.groupBy("_block").applyInPandas(pack, PACKED).write.option("maxRecordsPerFile", per_file).parquet(path)
+        return Prepared(path, list(features), centers, scales)
+
+    known = F.coalesce(F.col("_block").cast("long"), F.raise_error(F.lit("a row without a block")).cast("long"))
+    key = ["_block", "_order", *values]
+    ranged = packed.withColumn("_block", known).repartitionByRange(-(-row["total"] // (PIECES * block_rows)), *key)
+    # the first place of a piece is its number: pieces of a block ascend as its rows do
+    placed = ranged.sortWithinPartitions(*key).select(
+        "_block", F.monotonically_increasing_id().alias("_at"), F.coalesce("_held", F.lit(False)).alias("_held"), *values
+    )
+    per_file = max(1, row["total"] // block_rows // FILES)
+    placed.mapInPandas(_cut(values, block_rows), PACKED).write.option("maxRecordsPerFile", per_file).parquet(path)
+    blocks = df.sparkSession.read.schema(PACKED).parquet(path).select("block").distinct().count()
+    return Prepared(path, list(features), centers, scales, blocks, largest)
+
+
+def _cut(values: Sequence[str], piece_rows: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows in order of their blocks as packed pieces of at most ``piece_rows``; holds one piece at a time."""
+
+    def piece(block: int, at: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        matrix, held = (np.concatenate(x) for x in zip(*parts))
+        out = [np.ascontiguousarray(matrix[m]).tobytes() for m in (~held, held)]
+        return pd.DataFrame({"block": [block], "piece": [at], "fitted": [out[0]], "held": [out[1]]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, at, size, parts = None, None, 0, []
+        for frame in batches:
+            names, places = frame["_block"].to_numpy(), frame["_at"].to_numpy()
+            matrix, held = frame[values].to_numpy(np.float64), frame["_held"].to_numpy(dtype=bool)
+            start = 0
+            while start < len(names):
+                if size and (names[start] != block or size == piece_rows):
+                    yield piece(block, at, parts)
+                    size, parts = 0, []
+                if not size:
+                    block, at = int(names[start]), int(places[start])
+                end = min(int(np.searchsorted(names, block, side="right")), start + piece_rows - size)
+                parts.append((matrix[start:end], held[start:end]))
+                size, start = size + end - start, end
+        if size:
+            yield piece(block, at, parts)
+
+    return run
 
 
 def train_mlp(
@@ -244,9 +292,18 @@ def train_mlp(
     done = patience is not None and waited >= patience
     for epoch in range(len(history) + 1, epochs + 1) if not done else ():
         shared = spark.sparkContext.broadcast((flat, first, second, steps))
-        work = _block_round(shared, sizes, activation, batch_size, rate, weight_decay, np.float64 if double else np.float32)
+        kind = np.float64 if double else np.float32
+        work = _block_round(shared, sizes, activation, batch_size, rate, weight_decay, kind)
         # the held rows are scored with the weights the round starts from: the last epoch's
-        sums = added_up(table.mapInPandas(work, SUMS), tasks)
+        if not ready.blocks:
+            sums = added_up(table.mapInPandas(work, SUMS), tasks)
+        elif batch_size >= ready.largest:
+            # one step a block: its gradient is a sum over pieces, wherever they lie
+            grads = table.mapInPandas(_piece_gradients(shared, sizes, activation, kind), f"block long, {SUMS}")
+            summed = grads.groupBy("block").applyInPandas(_add, SUMS)
+            sums = added_up(summed.mapInPandas(_one_step(shared, rate, weight_decay, kind), SUMS), ready.blocks)
+        else:
+            sums = added_up(_by_block(table, ready.blocks).mapInPandas(work, SUMS), ready.blocks)
         shared.unpersist()
         flat, first, second = (sums["state"].reshape(3, -1) / sums["rows"]) if sums["rows"] else (flat, first, second)
         steps = max(steps, int(sums["steps"]))
@@ -313,40 +370,89 @@ def checkpointer(registry, name: str, every: int = 5, keep: int = 3) -> Callable
     return store
 
 
+def _adam(state: tuple, grad: np.ndarray, learning_rate: float, weight_decay: float) -> tuple:
+    """Weights, moments and steps after one step."""
+    flat, first, second, steps = state
+    grad = grad + weight_decay * flat
+    steps += 1
+    first = 0.9 * first + 0.1 * grad
+    second = 0.999 * second + 0.001 * grad**2
+    flat = flat - learning_rate * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.999**steps)) + 1e-8)
+    return flat, first, second, steps
+
+
+def _begin(shared, kind) -> tuple:
+    flat, first, second, steps = shared.value
+    return flat.astype(kind), first.astype(kind), second.astype(kind), steps
+
+
+class _Pass:
+    """Mini-batch Adam over the rows of one block, piece by piece; a batch may reach over pieces."""
+
+    def __init__(self, state: tuple, sizes, activation, batch_size: int, learning_rate: float, weight_decay: float):
+        self.state, self.options = state, (sizes, activation)
+        self.batch_size, self.rates = batch_size, (learning_rate, weight_decay)
+        self.grad, self.seen, self.rows, self.error = None, 0, 0, 0.0  # of the batch: mean gradient, rows
+
+    def take(self, values: np.ndarray) -> None:
+        at = 0
+        while at < len(values):
+            part = values[at:at + self.batch_size - self.seen]
+            grad, loss = _gradient(self.state[0], self.options[0], part[:, :-1], part[:, -1], self.options[1])
+            n = self.seen + len(part)
+            self.grad = grad if not self.seen else (self.grad * (self.seen / n) + grad * (len(part) / n)).astype(grad.dtype)
+            self.seen, at = n, at + len(part)
+            self.rows, self.error = self.rows + len(part), self.error + loss * len(part)
+            if self.seen == self.batch_size:
+                self.step()
+
+    def step(self) -> None:
+        if self.seen:
+            self.state, self.seen = _adam(self.state, self.grad, *self.rates), 0
+
+    def end(self) -> tuple[np.ndarray, int]:
+        self.step()
+        return np.concatenate(self.state[:3]).astype(np.float64), self.state[3]
+
+
+def _by_block(table: DataFrame, blocks: int) -> DataFrame:
+    """The pieces of a block in one task, in order."""
+    tasks = min(blocks, max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), table.rdd.getNumPartitions()))
+    return table.repartition(tasks, "block").sortWithinPartitions("block", "piece")
+
+
+def _matrix(packed: bytes, width: int, kind) -> np.ndarray:
+    return np.frombuffer(packed).reshape(-1, width).astype(kind)
+
+
 def _block_round(shared, sizes, activation, batch_size, learning_rate, weight_decay, kind):
     """A pass over each block from the shared state; the weighted sum of the results of a task, one row."""
     width = sizes[0] + 1
 
-    def passed(values: np.ndarray) -> tuple[np.ndarray, int, float]:
-        flat, first, second, steps = shared.value
-        flat, first, second = flat.astype(kind), first.astype(kind), second.astype(kind)
-        error = 0.0
-        for at in range(0, len(values), batch_size):
-            part = values[at:at + batch_size]
-            grad, loss = _gradient(flat, sizes, part[:, :-1], part[:, -1], activation)
-            grad = grad + weight_decay * flat
-            steps += 1
-            first = 0.9 * first + 0.1 * grad
-            second = 0.999 * second + 0.001 * grad**2
-            flat = flat - learning_rate * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.999**steps)) + 1e-8)
-            error += loss * len(part)
-        return np.concatenate([flat, first, second]).astype(np.float64), steps, error
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         start = shared.value[0].astype(kind)
         place, total, most, rows, error, held, held_error = None, np.zeros(3 * len(start)), 0, 0, 0.0, 0, 0.0
+        now, going = None, None
+
+        def close() -> None:
+            nonlocal total, most, rows, error
+            if going is not None and going.rows:
+                state, steps = going.end()
+                total += state * going.rows
+                most, rows, error = max(most, steps), rows + going.rows, error + going.error
+
         for frame in batches:
             for block, fitted, kept in zip(frame["block"], frame["fitted"], frame["held"]):
                 place = block if place is None else min(place, block)
-                values = np.frombuffer(fitted).reshape(-1, width).astype(kind)
-                apart = np.frombuffer(kept).reshape(-1, width).astype(kind)
+                apart = _matrix(kept, width, kind)
                 if len(apart):
                     held += len(apart)
                     held_error += _squared_error(start, sizes, apart, activation)
-                if len(values):
-                    state, steps, loss = passed(values)
-                    total += state * len(values)
-                    most, rows, error = max(most, steps), rows + len(values), error + loss
+                if going is None or block != now:
+                    close()
+                    now, going = block, _Pass(_begin(shared, kind), sizes, activation, batch_size, learning_rate, weight_decay)
+                going.take(_matrix(fitted, width, kind))
+        close()
         if place is not None:
             yield pd.DataFrame({"place": [place], "state": [total], "steps": [most], "rows": [rows], "error": [error],
                                 "held": [held], "held_error": [held_error]})
@@ -354,6 +460,52 @@ def _block_round(shared, sizes, activation, batch_size, learning_rate, weight_de
     return run
 
 
+def _piece_gradients(shared, sizes, activation, kind):
+    """Per block of a task the sum of its rows' gradients at the shared weights."""
+    width = sizes[0] + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start, found = shared.value[0].astype(kind), {}
+        for frame in batches:
+            for block, piece, fitted, kept in zip(frame["block"], frame["piece"], frame["fitted"], frame["held"]):
+                row = found.setdefault(block, {"place": piece, "state": np.zeros(len(start)), "steps": 0, "rows": 0,
+                                               "error": 0.0, "held": 0, "held_error": 0.0})
+                row["place"] = min(row["place"], piece)
+                values, apart = _matrix(fitted, width, kind), _matrix(kept, width, kind)
+                if len(apart):
+                    row["held"] += len(apart)
+                    row["held_error"] += _squared_error(start, sizes, apart, activation)
+                if len(values):
+                    grad, loss = _gradient(start, sizes, values[:, :-1], values[:, -1], activation)
+                    row["state"] += grad.astype(np.float64) * len(values)
+                    row["rows"] += len(values)
+                    row["error"] += loss * len(values)
+        if found:
+            yield pd.DataFrame([{"block": block, **row} for block, row in found.items()])
+
+    return run
+
+
+def _one_step(shared, learning_rate, weight_decay, kind):
+    """From the gradient sums of blocks their states after one step; the weighted sum of a task, one row."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
+        for frame in batches:
+            for r in frame.to_dict("records"):
+                if r["rows"]:
+                    grad = (np.asarray(r["state"]) / r["rows"]).astype(kind)
+                    *state, r["steps"] = _adam(_begin(shared, kind), grad, learning_rate, weight_decay)
+                    r["state"] = np.concatenate(state).astype(np.float64) * r["rows"]
+                else:
+                    r["state"] = np.zeros(3 * len(shared.value[0]))
+                out.append(r)
+        if out:
+            yield _add(pd.DataFrame(out))
+
+    return run
+
+
 def _squared_error(flat: np.ndarray, sizes: Sequence[int], values: np.ndarray, activation: str) -> float:
     out = _forward(flat, sizes, values[:, :-1], activation)[0][-1][:, 0]
     return float(np.sum((out - values[:, -1]) ** 2))

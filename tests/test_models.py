@@ -110,6 +110,26 @@ def test_equal_rows_share_no_block(spark):
     assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 150
 
 
+@pytest.mark.parametrize("batch_size", [16, 130, 1 << 40])
+def test_large_blocks_are_trained_in_pieces(rows, spark, batch_size):
+    """Named blocks of any size lie in pieces of ``block_rows``, and train as if they were whole."""
+    named = rows.withColumn("block", F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 3)).withColumn("held", F.col("id") % 5 == 0)
+    found = []
+    for block_rows in (64, 1500):
+        ready = mlp.prepare_training(named, X, "y", block_rows=block_rows, block="block", held="held")
+        sizes = {}
+        for r in spark.read.parquet(ready.path).collect():
+            sizes.setdefault(r.block, []).append((len(r.fitted) + len(r.held)) // 40)
+            assert sizes[r.block][-1] <= block_rows
+        assert {b: sum(n) for b, n in sizes.items()} == {7: 1000, 0: 166, 1: 167, 2: 167}
+        options = {"hidden": (5,), "epochs": 3, "batch_size": batch_size, "learning_rate": 1e-2, "weight_decay": 1e-3, "double": True}
+        found.append(mlp.train_mlp(named, X, "y", prepared=ready, **options))
+    a, b = found
+    assert np.allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12) and a.optimizer["steps"] == b.optimizer["steps"]
+    for x, y in zip(a.history, b.history, strict=True):
+        assert x == pytest.approx(y, rel=1e-9)
+
+
 def test_sampled_trials_report_stop_and_fail(spark):
     space = K.search_space(spark.range(6).withColumnRenamed("id", "trial"))
 
