@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import traceback
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -151,57 +151,104 @@ def _block_outcomes(position: np.ndarray, loss: np.ndarray, patience: int, min_d
     ]
 
 
-def _fold_outcomes(blocks: list[tuple], patience: int, min_delta: float, limit: int) -> tuple[float, list[tuple[int, float]]]:
-    """Best loss and plateaus (position, best loss then) of one run, from its blocks (first, last, outcomes) in order."""
-    best, origin, drops = float("inf"), 0, []
-    for first, last, outcomes in blocks:
-        entry = next((o for o in outcomes if o["loss"] < best - min_delta), None)
+class _Fold:
+    """Best loss and plateaus (position, best loss then) of one run, from the outcomes of its blocks in order."""
+
+    def __init__(self, patience: int, min_delta: float, limit: int):
+        self.patience, self.min_delta, self.limit = patience, min_delta, limit
+        self.best, self.origin, self.drops = float("inf"), 0, []
+
+    def take(self, last: int, outcomes: Sequence[dict]) -> None:
+        """The next block, which ends at ``last``."""
+        if len(self.drops) == self.limit:
+            return
+        entry = next((o for o in outcomes if o["loss"] < self.best - self.min_delta), None)
         until = last if entry is None else entry["position"] - 1
-        for p in range(origin + patience, until + 1, patience):
-            if len(drops) == limit:
-                break
-            drops.append((p, best))
-            origin = p
-        if len(drops) == limit:
-            return best, drops
+        for p in range(self.origin + self.patience, until + 1, self.patience):
+            self.drops.append((p, self.best))
+            self.origin = p
+            if len(self.drops) == self.limit:
+                return
         if entry is not None:
-            more = [(d["position"], d["best"]) for d in entry["drops"]][: limit - len(drops)]
-            drops += more
-            best, origin = entry["best"], entry["origin"]
-            if len(drops) == limit:
-                return drops[-1][1], drops
-    return best, drops
+            self.drops += [(d["position"], d["best"]) for d in entry["drops"]][: self.limit - len(self.drops)]
+            self.best, self.origin = entry["best"], entry["origin"]
+            if len(self.drops) == self.limit:
+                self.best = self.drops[-1][1]
+
+
+def _block_starts(rows: pd.DataFrame, before: tuple[int, int] = (-1, -1)) -> np.ndarray:
+    """Where blocks begin in rows in order of run and position; ``before`` is the block and position of the row before."""
+    block, position = (np.concatenate([[b], rows[c].to_numpy()]) for b, c in zip(before, ("_block", "position")))
+    return np.flatnonzero((block[1:] != block[:-1]) | (position[1:] != position[:-1] + 1))
 
 
 def plateaus(placed: DataFrame, run: str, loss: str, patience: int, min_delta: float, limit: int) -> DataFrame:
     """(run, best, drops) of runs of any length, in a fixed number of jobs.
 
     ``placed`` has positions and blocks of consecutive ones, none shorter than ``patience`` but the last. Blocks are
-    summed up side by side; a summary holds at most ``patience * (limit + 1)`` outcomes, as an improvement later in
-    the block comes after the last plateau that matters. Summaries of a run, one row a block, are then folded.
-    Only the first ``limit`` plateaus count.
+    summed up side by side, those of a task from one stream of rows; a summary holds at most ``patience * (limit + 1)``
+    outcomes, as an improvement later in the block comes after the last plateau that matters. Summaries of a run, one
+    row a block, are then folded as they come. Only the first ``limit`` plateaus count.
     """
-    kind = placed.schema[run].dataType.simpleString()
+    field = placed.schema[run].dataType
+    kind = field.simpleString()
     zone = patience * (limit + 1)
 
-    def sum_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("position")
-        position = rows["position"].to_numpy(np.int64)
-        found = _block_outcomes(position, rows[loss].to_numpy(np.float64), patience, min_delta, zone, limit)
-        return pd.DataFrame({run: [key[0]], "block": [key[1]], "first": [position[0]], "last": [position[-1]], "outcomes": [found]})
-
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        best, drops = _fold_outcomes(list(zip(rows["first"], rows["last"], rows["outcomes"])), patience, min_delta, limit)
-        return pd.DataFrame({run: [key[0]], "best": [best], "drops": [[{"position": int(p), "best": v} for p, v in drops]]})
+    def summaries(rows: pd.DataFrame) -> pd.DataFrame:
+        starts = _block_starts(rows)
+        position, losses = rows["position"].to_numpy(np.int64), rows[loss].to_numpy(np.float64)
+        ends = [*starts[1:], len(rows)]
+        found = [_block_outcomes(position[a:b], losses[a:b], patience, min_delta, zone, limit) for a, b in zip(starts, ends)]
+        return pd.DataFrame({
+            run: rows[run].iloc[starts].reset_index(drop=True), "block": rows["_block"].to_numpy()[starts],
+            "last": position[np.array(ends) - 1], "outcomes": found,
+        })
+
+    def sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept, before = [], (-1, -1)  # the rows so far of the block that a batch may have cut
+        for rows in batches:
+            if not len(rows):
+                continue
+            starts = _block_starts(rows, before)
+            before = (rows["_block"].iloc[-1], rows["position"].iloc[-1])
+            if not len(starts):
+                kept.append(rows)
+                continue
+            whole = pd.concat([*kept, rows.iloc[:starts[-1]]], ignore_index=True)
+            kept = [rows.iloc[starts[-1]:]]
+            if len(whole):
+                yield summaries(whole)
+        if kept:
+            yield summaries(pd.concat(kept, ignore_index=True))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        going: list[tuple] = []  # runs with their folds; the last one may go on
+        for rows in batches:
+            for value, block, last, outcomes in zip(rows[run], rows["block"], rows["last"], rows["outcomes"]):
+                if block == 0:
+                    going.append((value, _Fold(patience, min_delta, limit)))
+                going[-1][1].take(last, outcomes)
+            if len(going) > 1:
+                yield folded(going[:-1])
+                going = going[-1:]
+        if going:
+            yield folded(going)
+
+    def folded(done: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({
+            run: [value for value, _ in done], "best": [float(f.best) for _, f in done],
+            "drops": [[{"position": int(p), "best": float(v)} for p, v in f.drops] for _, f in done],
+        })
 
     drop = "array<struct<position: bigint, best: double>>"
     outcome = f"array<struct<position: bigint, loss: double, best: double, origin: bigint, drops: {drop}>>"
-    slim = placed.select(run, "_block", "position", F.col(loss).cast("double").alias(loss))
-    summed = slim.groupBy(run, "_block").applyInPandas(
-        sum_up, f"`{run}` {kind}, block bigint, first bigint, last bigint, outcomes {outcome}"
+    # -0.0 and 0.0 are one run
+    name = (F.col(run) + F.lit(0.0)).cast(field).alias(run) if isinstance(field, (T.FloatType, T.DoubleType)) else F.col(run)
+    slim = placed.select(name, "_block", "position", F.col(loss).cast("double").alias(loss))
+    summed = slim.repartition(run, "_block").sortWithinPartitions(run, "_block", "position").mapInPandas(
+        sum_up, f"`{run}` {kind}, block bigint, last bigint, outcomes {outcome}"
     )
-    return summed.groupBy(run).applyInPandas(fold, f"`{run}` {kind}, best double, drops {drop}")
+    return summed.repartition(run).sortWithinPartitions(run, "block").mapInPandas(fold, f"`{run}` {kind}, best double, drops {drop}")
 
 
 def early_stop(

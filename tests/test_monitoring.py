@@ -161,6 +161,26 @@ def test_folds_match_a_loop(spark, block_rows):
     assert rates == {(run, i): x for run, losses in RUNS.items() for i, x in enumerate(_rates(losses, 2))}
 
 
+def test_small_blocks_are_summed_up_in_streams(spark):
+    """No call of Python a block or run: a task streams them, whatever the batches that cut them."""
+    rows = [(run, i, loss) for run, losses in RUNS.items() for i, loss in enumerate(losses)]
+    df = spark.createDataFrame(rows, "run string, epoch int, loss double").repartition(3)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "5")
+    try:
+        stops = R.early_stop(df, "run", "epoch", "loss", 3, block_rows=7)
+        plan = stops._jdf.queryExecution().executedPlan().toString()
+        assert "MapInPandas" in plan and "FlatMapGroupsInPandas" not in plan
+        assert {r.run: (r.best_loss, r.stopped_epoch) for r in stops.collect()} == {run: _early(losses, 3) for run, losses in RUNS.items()}
+        rates = {(r.run, r.epoch): r.lr for r in R.lr_schedule(df, "run", "epoch", "loss", patience=2, block_rows=7).collect()}
+        assert rates == {(run, i): x for run, losses in RUNS.items() for i, x in enumerate(_rates(losses, 2))}
+    finally:
+        spark.conf.set(size, before)
+    zeros = spark.createDataFrame([(-0.0 if i % 2 else 0.0, i, float(-i)) for i in range(9)], "run double, epoch int, loss double")
+    assert [(r.best_loss, r.stopped_epoch) for r in R.early_stop(zeros, "run", "epoch", "loss", 3, block_rows=4).collect()] == [(-8.0, None)]
+
+
 def test_compare_runs(spark):
     rows = [("b", "val_loss", 0.5), ("a", "val_loss", 0.5), ("c", "acc", 1.0), ("d", "val_loss", float("nan"))]
     df = spark.createDataFrame(rows, "run string, metric string, value double")
