@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feldspark.functions.missing import number
+from feldspark.operators.forest import CELLS, cells, find_splits, grow_forest
 from feldspark.operators.serving import score_linear
 from feldspark.session import path_exists, remove_path
 
+BAGGED_BYTES = 1 << 30  # of rows with their draws that Spark's own forests may keep
+
 _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 ENTRY = (
     "name string, version string, framework string, created_at string, kind string, state string, "
@@ -109,17 +112,27 @@ class ForestModel:
 
 def random_forest(
     df: DataFrame, features: Sequence[str], target: str, trees: int = 100, depth: int = 5, seed: int = 42,
-    every_feature: bool = False, all_rows: bool = False, bins: int = 32,
+    every_feature: bool = False, all_rows: bool = False, bins: int = 32, bagged_bytes: int = BAGGED_BYTES,
 ) -> ForestModel:
     """A forest grown level by level from binned statistics over the partitions.
 
-    ``every_feature`` lets each split look at all features; ``all_rows`` grows each tree on all rows.
+    ``every_feature`` lets each split look at all features; ``all_rows`` grows each tree on all rows. Spark's own
+    forests keep every row with a draw per tree and pass over them once a level. Where that is more than
+    ``bagged_bytes``, a forest grows from sums per cell of the binned features instead, if these are few enough.
     """
     forest = RandomForestRegressor(
         featuresCol="vector", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins,
         featureSubsetStrategy="all" if every_feature else "auto", bootstrap=not all_rows,
     )
-    fitted = forest.fit(assemble(df, features, target))
+    rows = complete_rows(df, [*features, target])
+    n = rows.count()
+    splits = find_splits(rows, features, bins, seed, n) if n * (100 + 4 * trees) > bagged_bytes else None
+    if splits is not None and cells(splits) * trees <= CELLS:
+        fitted = grow_forest(rows, features, target, splits, trees, depth, seed, every_feature, all_rows)
+        fitted._set(**{p.name: v for p, v in forest.extractParamMap().items() if fitted.hasParam(p.name)})
+        fitted._transfer_params_to_java()
+    else:
+        fitted = forest.fit(assemble(df, features, target))
     return ForestModel(list(features), fitted, {"trees": trees, "depth": depth, "seed": seed})
 
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,39 @@ def test_forest(rows):
     assert J.forest_predictions(fitted, rows, X, "y").count() == 1500
 
 
+def test_forest_of_sums_splits_as_sparks_own(rows):
+    """Without draws the trees are the same, node by node; the table is rounded, so that both bin at all values."""
+    few = rows.select(*[F.round(F.col(x), 0).alias(x) for x in X], "y")
+    options = {"trees": 2, "depth": 4, "every_feature": True, "all_rows": True}
+    spark_s, ours = (J.random_forest(few, X, "y", bagged_bytes=b, **options) for b in (1 << 40, 0))
+    assert str(ours.forest.uid).startswith("rfr_") and ours.forest.getNumTrees == 2
+    one = [r.prediction for r in J.forest_predictions(spark_s, few, X, "y").orderBy(*X, "y").collect()]
+    assert [r.prediction for r in J.forest_predictions(ours, few, X, "y").orderBy(*X, "y").collect()] == pytest.approx(one, rel=1e-9)
+    tree = lambda m: [line for line in m.forest.trees[0].toDebugString.splitlines() if "feature" in line]
+    assert tree(ours) == tree(spark_s) and len(tree(ours)) > 10
+
+
+def test_forest_of_sums_draws_rows_and_is_kept(rows, spark, tmp_path):
+    ours, again, spark_s = (J.random_forest(rows, X, "y", trees=40, bagged_bytes=b) for b in (0, 0, 1 << 40))
+    error = lambda m: J.forest_predictions(m, rows, X, "y").agg(F.avg((F.col("prediction") - F.col("y")) ** 2)).first()[0]
+    assert error(ours) == error(again) and error(ours) == pytest.approx(error(spark_s), rel=0.15)
+    trees = [t.toDebugString.split("\n", 1)[1] for t in ours.forest.trees]
+    assert len(trees) == 40 and len(set(trees)) == 40
+    registry = J.ModelRegistry(spark, str(tmp_path / "models"))
+    registry.save("forest", "1", ours)
+    assert error(registry.load("forest", "1")) == pytest.approx(error(ours))
+
+
+def test_poisson_draws():
+    from feldspark.operators.forest import _draws
+
+    got = _draws()(np.random.default_rng(1), (1000, 1000))
+    for k in range(6):
+        p = np.exp(-1) / math.factorial(k)
+        assert (got == k).mean() == pytest.approx(p, abs=5 * np.sqrt(p / 1e6))
+    assert got.mean() == pytest.approx(1, abs=0.005) and got.var() == pytest.approx(1, abs=0.01)
+
+
 def test_gradient_matches_differences():
     sizes = [3, 5, 2, 1]
     rng = np.random.default_rng(0)
