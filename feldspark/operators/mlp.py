@@ -29,7 +29,7 @@ from feldspark.session import remove_path, scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 65_536  # rows of a block, or of a piece of a larger one; either is one packed row
-PIECES = 16  # of a block that one task cuts, about
+PIECES = 16  # that one task cuts, about, at most
 FILES = 10_000  # of a prepared table, at most about so many
 FAN_IN = 64  # arrays that are added up by one task of the tree
 
@@ -200,12 +200,13 @@ def prepare_training(
 
     known = F.coalesce(F.col("_block").cast("long"), F.raise_error(F.lit("a row without a block")).cast("long"))
     key = ["_block", "_order", *values]
-    ranged = packed.withColumn("_block", known).repartitionByRange(-(-row["total"] // (PIECES * block_rows)), *key)
+    pieces, parts = -(-row["total"] // block_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = packed.withColumn("_block", known).repartitionByRange(max(-(-pieces // PIECES), min(pieces, parts)), *key)
     # the first place of a piece is its number: pieces of a block ascend as its rows do
     placed = ranged.sortWithinPartitions(*key).select(
         "_block", F.monotonically_increasing_id().alias("_at"), F.coalesce("_held", F.lit(False)).alias("_held"), *values
     )
-    per_file = max(1, row["total"] // block_rows // FILES)
+    per_file = max(1, pieces // FILES)
     placed.mapInPandas(_cut(values, block_rows), PACKED).write.option("maxRecordsPerFile", per_file).parquet(path)
     blocks = df.sparkSession.read.schema(PACKED).parquet(path).select("block").distinct().count()
     return Prepared(path, list(features), centers, scales, blocks, largest)
