lr_schedule_blocked: sum up blocks where they lie, look up rates in generated code

Symptom: lr_schedule_blocked took 205 to 266 CPU seconds per input GB over a table that a fold needs to pass once (the two larger runs of the profiler).
Evidence: event log on 60 copies of sf0.1 events (6 million rows): rows already in order of run and position were sorted again by block, written, then shuffled and sorted once more to be summed up; blocks of 12 rows gave three outcomes each, as large as the rows they stand for; the rate of a row came from an interpreted filter over an array of structs (7 of 41 JVM task seconds).
Fix: positions are written in the order the window leaves, each task sums up the blocks it reads and only summaries are shuffled to their runs; no block is shorter than the outcomes its summary may hold, the first block of a run has one outcome; the rate is chosen by a few comparisons of drop positions.
Effect: at 1 GB of input CPU 536 -> 346 s, shuffle 0.26 -> 0.15 GB, spill 0.00 -> 0.00 GB, read 0.12 -> 0.12 GB, longest task 15 -> 8 s, most memory of a task 101 -> 50 MB; at 6 GB of input CPU 1448 -> 678 s, shuffle 1.59 -> 0.95 GB, spill 0.00 -> 0.00 GB, read 0.92 -> 0.91 GB, longest task 48 -> 17 s, most memory of a task 570 -> 268 MB; with hot keys, at 1 GB of input CPU 398 -> 378 s, shuffle 0.25 -> 0.14 GB, spill 0.00 -> 0.00 GB, read 0.13 -> 0.13 GB, longest task 12 -> 20 s, most memory of a task 336 -> 168 MB.

@@ -21,6 +21,7 @@ from feldspark.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 100_000
+SPELLED_OUT = 32  # rates in one expression
 
 
 def compare_runs(metrics: DataFrame, run: str, metric: str, value: str, names: Sequence[str]) -> DataFrame:
@@ -110,9 +111,14 @@ def _slim(df: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
 def _placed(slim: DataFrame, run: str, epoch: str, loss: str, block_rows: int, sizes: tuple[int, int]) -> DataFrame:
     # by epoch, then loss, as when a run is folded in one task
     placed = in_blocks(rank_within(slim, [run], [epoch, loss], sizes=sizes), "position", block_rows)
-    # Several jobs follow; a written table keeps them on the same positions. Sorted files
-    # let each of them skip the row groups of other blocks.
-    return materialize(placed.drop("_own").sortWithinPartitions("_block"), "positions")
+    # Several jobs follow; a written table keeps them on the same positions. Files in order of the runs (as the window
+    # leaves them, so that Spark sorts only after the path by ranges) need no further shuffle to be summed up.
+    return materialize(placed.drop("_own").sortWithinPartitions(run, epoch), "positions")
+
+
+def _zone(patience: int, limit: int) -> int:
+    """How many positions of a block may hold its first improvement that matters; as many outcomes a summary may have, so no block is shorter."""
+    return patience * (limit + 1)
 
 
 def _block_outcomes(position: np.ndarray, loss: np.ndarray, patience: int, min_delta: float, zone: int, limit: int) -> list[dict]:
@@ -121,13 +127,16 @@ def _block_outcomes(position: np.ndarray, loss: np.ndarray, patience: int, min_d
     Whatever the best loss before the block, an improvement is lower than everything before it in the block, so only
     prefix minima count, and the next improvement after one is found by binary search among them. Each is followed
     once, from the last one back. A plateau comes ``patience`` positions after the last improvement or plateau.
+    At the start of a run nothing is before, so its first loss is the only one to follow.
     """
     loss = np.where(np.isnan(loss), np.inf, loss)
     record = np.flatnonzero(loss < np.concatenate([[np.inf], np.minimum.accumulate(loss)[:-1]]))
     x, at, end = loss[record], position[record], int(position[-1])
     after = np.searchsorted(-x, -(x - min_delta), side="right")  # the first record below x - min_delta
     known: dict[int, tuple] = {}
-    for start in range(int(np.searchsorted(at, position[0] + zone)) - 1, -1, -1):
+    near = int(np.searchsorted(at, position[0] + zone))
+    near = min(near, 1) if position[0] == 1 else near
+    for start in range(near - 1, -1, -1):
         chain = [start]
         while chain[-1] not in known and after[chain[-1]] < len(x):
             chain.append(int(after[chain[-1]]))
@@ -143,11 +152,10 @@ def _block_outcomes(position: np.ndarray, loss: np.ndarray, patience: int, min_d
             else:
                 best, origin, more = known[int(after[i])]
                 known[i] = (best, origin, (drops + more)[:limit] if drops else more)
-    zone_records = [i for i in sorted(known) if at[i] < position[0] + zone]
     return [
         {"position": int(at[i]), "loss": float(x[i]), "best": known[i][0], "origin": known[i][1],
          "drops": [{"position": p, "best": v} for p, v in known[i][2]]}
-        for i in zone_records
+        for i in range(near)
     ]
 
 
@@ -176,41 +184,43 @@ class _Fold:
                 self.best = self.drops[-1][1]
 
 
-def _block_starts(rows: pd.DataFrame, before: tuple[int, int] = (-1, -1)) -> np.ndarray:
-    """Where blocks begin in rows in order of run and position; ``before`` is the block and position of the row before."""
-    block, position = (np.concatenate([[b], rows[c].to_numpy()]) for b, c in zip(before, ("_block", "position")))
-    return np.flatnonzero((block[1:] != block[:-1]) | (position[1:] != position[:-1] + 1))
+def _block_starts(rows: pd.DataFrame, run: str, before: pd.DataFrame | None = None) -> np.ndarray:
+    """Where rows do not go on the block of the row before them; ``before`` is the last row of the batch before."""
+    at = rows if before is None else pd.concat([before, rows])
+    name, block, position = (at[c].to_numpy() for c in (run, "_block", "position"))
+    new = np.flatnonzero((name[1:] != name[:-1]) | (block[1:] != block[:-1]) | (position[1:] != position[:-1] + 1))
+    return np.append(0, new + 1) if before is None else new
 
 
 def plateaus(placed: DataFrame, run: str, loss: str, patience: int, min_delta: float, limit: int) -> DataFrame:
     """(run, best, drops) of runs of any length, in a fixed number of jobs.
 
-    ``placed`` has positions and blocks of consecutive ones, none shorter than ``patience`` but the last. Blocks are
-    summed up side by side, those of a task from one stream of rows; a summary holds at most ``patience * (limit + 1)``
-    outcomes, as an improvement later in the block comes after the last plateau that matters. Summaries of a run, one
-    row a block, are then folded as they come. Only the first ``limit`` plateaus count.
+    ``placed`` has positions and blocks of consecutive ones, in order of the runs wherever its files were cut. Blocks are
+    summed up side by side where they lie, those of a task from one stream of rows, a block that files cut as several; a
+    summary holds at most ``_zone(patience, limit)`` outcomes, as an improvement later in the block comes after the last
+    plateau that matters. Only summaries are dealt to their runs, and folded as they come. Only the first ``limit``
+    plateaus count. Rows in another order give the same result from more summaries.
     """
     field = placed.schema[run].dataType
     kind = field.simpleString()
-    zone = patience * (limit + 1)
+    zone = _zone(patience, limit)
 
     def summaries(rows: pd.DataFrame) -> pd.DataFrame:
-        starts = _block_starts(rows)
+        starts = _block_starts(rows, mark)
         position, losses = rows["position"].to_numpy(np.int64), rows[loss].to_numpy(np.float64)
         ends = [*starts[1:], len(rows)]
         found = [_block_outcomes(position[a:b], losses[a:b], patience, min_delta, zone, limit) for a, b in zip(starts, ends)]
         return pd.DataFrame({
-            run: rows[run].iloc[starts].reset_index(drop=True), "block": rows["_block"].to_numpy()[starts],
-            "last": position[np.array(ends) - 1], "outcomes": found,
+            run: rows[run].iloc[starts].reset_index(drop=True), "first": position[starts], "last": position[np.array(ends) - 1],
+            "outcomes": found,
         })
 
     def sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept, before = [], (-1, -1)  # the rows so far of the block that a batch may have cut
+        kept: list[pd.DataFrame] = []  # the rows so far of the block that a batch may have cut
         for rows in batches:
             if not len(rows):
                 continue
-            starts = _block_starts(rows, before)
-            before = (rows["_block"].iloc[-1], rows["position"].iloc[-1])
+            starts = _block_starts(rows, mark, kept[-1].iloc[-1:] if kept else None)
             if not len(starts):
                 kept.append(rows)
                 continue
@@ -224,8 +234,8 @@ def plateaus(placed: DataFrame, run: str, loss: str, patience: int, min_delta: f
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         going: list[tuple] = []  # runs with their folds; the last one may go on
         for rows in batches:
-            for value, block, last, outcomes in zip(rows[run], rows["block"], rows["last"], rows["outcomes"]):
-                if block == 0:
+            for value, first, last, outcomes in zip(rows[run], rows["first"], rows["last"], rows["outcomes"]):
+                if first == 1:
                     going.append((value, _Fold(patience, min_delta, limit)))
                 going[-1][1].take(last, outcomes)
             if len(going) > 1:
@@ -244,11 +254,13 @@ def plateaus(placed: DataFrame, run: str, loss: str, patience: int, min_delta: f
     outcome = f"array<struct<position: bigint, loss: double, best: double, origin: bigint, drops: {drop}>>"
     # -0.0 and 0.0 are one run
     name = (F.col(run) + F.lit(0.0)).cast(field).alias(run) if isinstance(field, (T.FloatType, T.DoubleType)) else F.col(run)
-    slim = placed.select(name, "_block", "position", F.col(loss).cast("double").alias(loss))
-    summed = slim.repartition(run, "_block").sortWithinPartitions(run, "_block", "position").mapInPandas(
-        sum_up, f"`{run}` {kind}, block bigint, last bigint, outcomes {outcome}"
-    )
-    return summed.repartition(run).sortWithinPartitions(run, "block").mapInPandas(fold, f"`{run}` {kind}, best double, drops {drop}")
+    # Python tells whole numbers and strings apart as they are, others (NaN, nested values) by their JSON
+    plain = isinstance(field, (T.IntegralType, T.StringType))
+    mark = run if plain else "_run"
+    marks = [] if plain else [F.to_json(F.struct(name)).alias(mark)]
+    slim = placed.select(name, *marks, "_block", "position", F.col(loss).cast("double").alias(loss))
+    summed = slim.mapInPandas(sum_up, f"`{run}` {kind}, first bigint, last bigint, outcomes {outcome}")
+    return summed.repartition(run).sortWithinPartitions(run, "first").mapInPandas(fold, f"`{run}` {kind}, best double, drops {drop}")
 
 
 def early_stop(
@@ -283,7 +295,7 @@ def early_stop(
         packed = _packed(slim, run, epoch, loss)
         states = packed.select(run, F.aggregate("_rows", initial, step).alias("_state"))
     else:
-        placed = _placed(slim, run, epoch, loss, max(block_rows, patience), sizes)
+        placed = _placed(slim, run, epoch, loss, max(block_rows, _zone(patience, 1)), sizes)
         found = plateaus(placed, run, loss, patience, min_delta, 1)
         found = found.select(run, "best", F.get("drops", F.lit(0))["position"].alias("position"))
         stops = placed.select(F.col(run).alias("_run"), "position", F.col(epoch).alias("_stopped"))
@@ -295,6 +307,16 @@ def early_stop(
     )
 
 
+def _rate_after(drops: Column, position: Column, rates: Sequence[float]) -> Column:
+    """The rate after the drops (ascending positions) at or before ``position``; a few are spelled out for generated code."""
+    if len(rates) > SPELLED_OUT:
+        return F.get(F.array(*[F.lit(r) for r in rates]), F.size(F.filter(drops, lambda d: d <= position)))
+    rate = F.when(drops.isNotNull(), F.lit(rates[0]))
+    for i, lower in enumerate(rates[1:]):
+        rate = F.when(F.get(drops, F.lit(i)) <= position, F.lit(lower)).otherwise(rate)
+    return rate
+
+
 def lr_schedule(
     df: DataFrame, run: str, epoch: str, loss: str, initial_lr: float = 1e-3, factor: float = 0.5,
     patience: int = 5, min_lr: float = 1e-6, min_delta: float = 1e-4, block_rows: int = BLOCK_ROWS,
@@ -337,15 +359,13 @@ def lr_schedule(
         rates = F.transform("_rows", lambda r: F.struct(
             r["epoch"].alias(epoch), rate_at(F.col("_drops"), r["position"]).alias("lr")))
         return folded.select(run, F.inline(rates))
-    placed = _placed(slim, run, epoch, loss, max(block_rows, patience), sizes)
     rates = [float(initial_lr)]
     while rates[-1] > min_lr and max(rates[-1] * factor, min_lr) < rates[-1]:
         rates.append(max(rates[-1] * factor, float(min_lr)))
+    placed = _placed(slim, run, epoch, loss, max(block_rows, _zone(patience, len(rates) - 1)), sizes)
     found = plateaus(placed, run, loss, patience, min_delta, len(rates) - 1)
-    held = F.array(*[F.lit(r) for r in rates])
-    drops = F.transform("drops", lambda d, i: F.struct(d["position"].alias("position"), F.get(held, i + 1).alias("lr")))
-    joined = join_lookup(placed, found.select(run, F.concat(F.array(drop), drops).alias("_drops")), [run])
-    return joined.select(run, epoch, rate_at(F.col("_drops"), F.col("position")).alias("lr"))
+    joined = join_lookup(placed, found.select(run, F.transform("drops", lambda d: d["position"]).alias("_drops")), [run])
+    return joined.select(run, epoch, _rate_after(F.col("_drops"), F.col("position"), rates).alias("lr"))
 
 
 def best_checkpoints(df: DataFrame, run: str, epoch: str, loss: str, keep: int = 3) -> DataFrame:

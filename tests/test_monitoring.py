@@ -1,4 +1,5 @@
 import datetime as dt
+import functools
 import random
 
 import numpy as np
@@ -181,6 +182,57 @@ def test_small_blocks_are_summed_up_in_streams(spark):
     assert [(r.best_loss, r.stopped_epoch) for r in R.early_stop(zeros, "run", "epoch", "loss", 3, block_rows=4).collect()] == [(-8.0, None)]
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint", "double", "struct<a: bigint, b: string>", "array<bigint>"])
+def test_blocks_are_summed_up_where_they_lie(spark, kind):
+    """Only summaries are shuffled; files may cut blocks anywhere, in any order, and put runs side by side that fit together."""
+    ids = {
+        "string": list(RUNS), "bigint": [2**60 + i for i in range(len(RUNS))], "double": [float(i) - 0.5 for i in range(len(RUNS))],
+        "struct<a: bigint, b: string>": [(i, None) for i in range(len(RUNS))], "array<bigint>": [[i] for i in range(len(RUNS))],
+    }[kind]
+    rows = [(i, n + 1, n // 4, loss) for i, losses in zip(ids, RUNS.values()) for n, loss in enumerate(losses)]
+    schema = f"run {kind}, position bigint, _block bigint, loss double"
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "5")
+    try:
+        for order in (rows, sorted(rows, key=lambda r: (r[1], str(r[0]))), random.Random(1).sample(rows, len(rows))):
+            found = R.plateaus(spark.createDataFrame(order, schema), "run", "loss", 2, 1e-4, 3)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1, plan
+            got = {str(r.run): (r.best, [d.position for d in r.drops]) for r in found.collect()}
+            assert len(got) == len(RUNS)
+            for run, losses in zip(spark.createDataFrame([(i,) for i in ids], f"run {kind}").collect(), RUNS.values()):
+                rates = _rates(losses, 2)
+                want = [n + 1 for n, (a, b) in enumerate(zip([1e-3, *rates], rates)) if a != b][:3]
+                assert got[str(run.run)][1] == want
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_runs_dealt_to_ranges_are_summed_up_in_order(spark, monkeypatch):
+    """Positions found by ranges lie in order too, so a block is few summaries."""
+    monkeypatch.setattr(R, "rank_within", functools.partial(R.rank_within, chunk_rows=30))
+    rows = [(run, i, loss) for run, losses in RUNS.items() for i, loss in enumerate(losses)]
+    rows += [(None, 0, 1.0), ("twice", 1, 2.0), ("twice", 1, 2.0), ("twice", 1, None)]
+    df = spark.createDataFrame(rows, "run string, epoch int, loss double").repartition(5)
+    slim = R._slim(df, "run", "epoch", "loss")
+    placed = R._placed(slim, "run", "epoch", "loss", 10, (60, slim.count()))
+    parts = placed.withColumn("file", F.input_file_name()).withColumn("row", F.monotonically_increasing_id()).orderBy("row").collect()
+    ends = sum((a.file, a.run, a.position + 1) != (b.file, b.run, b.position) for a, b in zip(parts, parts[1:]))
+    assert ends < len(RUNS) + 1 + 16
+    rates = {(r.run, r.epoch): r.lr for r in R.lr_schedule(df.where("run <> 'twice'"), "run", "epoch", "loss", patience=2, block_rows=7).collect()}
+    assert rates == {(run, i): x for run, losses in RUNS.items() for i, x in enumerate(_rates(losses, 2))}
+
+
+def test_many_rates_are_looked_up_as_few(spark):
+    df = spark.createDataFrame([("flat", i, 1.0) for i in range(90)], "run string, epoch int, loss double")
+    for factor in (0.5, 0.9):  # 11 rates, 67 rates
+        one, blocks = (
+            {r.epoch: r.lr for r in R.lr_schedule(df, "run", "epoch", "loss", factor=factor, patience=1, block_rows=n).collect()} for n in (1000, 7)
+        )
+        assert one == pytest.approx(blocks, rel=1e-12) and len(one) == 90 and min(one.values()) == 1e-6
+
+
 def test_compare_runs(spark):
     rows = [("b", "val_loss", 0.5), ("a", "val_loss", 0.5), ("c", "acc", 1.0), ("d", "val_loss", float("nan"))]
     df = spark.createDataFrame(rows, "run string, metric string, value double")
