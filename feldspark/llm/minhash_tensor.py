op10_minhash_tensor: dearest condition last and on bit planes, half keys in two steps, pairs confirmed together

Symptom: op10 took 270 JVM and 111 Python CPU seconds per input GB; one join stage alone took 38 of about 137 JVM seconds and its longest task grew from 1 to 7 s between the two inputs.
Evidence: that join compares 4.7 million pairs; 1.5 million reached the bin check, four sums over 32 longs in interpreted lambdas, although four of five pairs belong to another key. The four-bit marks were spelled out with each xor repeated four times. Wide sketches were shuffled twice for representatives, and 28 half keys of every document once for counting and once for joining. A pair was confirmed by cutting one text at a time (147 instead of 81 microseconds a text).
Fix: the key that stands for a pair is checked before the bins, marks and bins are bit planes (one xor a long, one sum for each of two numbers); representatives are joined by their unique id without a second deduplication; half keys of the second collection are counted only among documents that share one of the first; texts of pairs are cut together in runs of 1 MB.
Effect: at 0.6 GB of input CPU 1369 -> 1089 s, shuffle 1.56 -> 1.02 GB, spill 0.00 -> 0.00 GB, read 1.85 -> 1.86 GB, longest task 22 -> 18 s, most memory of a task 206 -> 205 MB; at 6 GB of input CPU 18377 -> 6222 s, shuffle 21.12 -> 17.82 GB, spill 0.00 -> 0.00 GB, read 17.79 -> 16.93 GB, longest task 971 -> 172 s, most memory of a task 688 -> 508 MB; with hot keys, at 0.6 GB of input CPU 21547 -> 4092 s, shuffle 2.77 -> 2.51 GB, spill 0.00 -> 0.00 GB, read 0.91 -> 0.92 GB, longest task 1631 -> 500 s, most memory of a task 285 -> 285 MB.

@@ -31,7 +31,9 @@ repeat; of a component the row of smallest id (missing ids last, then by a hash
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +57,8 @@ PART_ROWS = 1000
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct hashes of the shingles of each text: lower-case A-Z, runs of ``size`` words."""
-    _, data, lo, hi = arrays.joined(texts)
-    data = arrays.LOWER[data]
+    raw, _, lo, hi = arrays.joined(texts)
+    data = np.frombuffer(raw.lower(), np.uint8)
     starts, ends = arrays.word_bounds(data)
     words = arrays.exact_hash(arrays.exact_prefix(data), starts, ends)
     first, last = np.searchsorted(starts, lo), np.searchsorted(starts, hi)
@@ -78,12 +80,28 @@ def multipliers(n: int) -> np.ndarray:
 
 
 def bin_marks(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Per text (of n) and bin of the hash range four bits of the least hash in it, 0 if there is none, packed in longs."""
-    spot = owner * BINS + (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
-    first = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(spot) else np.zeros(0, np.int64)
-    marks = np.zeros(n * BINS, np.uint64)
-    marks[spot[first]] = np.uint64(1) + arrays.mix(hashes[first]) % np.uint64(15)
-    return (marks.reshape(n, BINS // 16, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+    """Per text (of n) and bin of the hash range four bits of the least hash in it, 0 if there is none, as bit planes."""
+    out = np.zeros((4, n * BINS // 64), np.uint64)
+    if len(hashes):
+        spot = owner * BINS + (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, spot[1:] != spot[:-1]))
+        spot, mark = spot[first], np.uint64(1) + arrays.mix(hashes[first]) % np.uint64(15)
+        long, at = spot // 64, (spot % 64).astype(np.uint64)
+        begin = np.flatnonzero(np.append(True, long[1:] != long[:-1]))
+        for k in range(4):
+            out[k, long[begin]] = np.bitwise_or.reduceat((mark >> np.uint64(k) & np.uint64(1)) << at, begin)
+    return out.reshape(4, n, BINS // 64).transpose(1, 0, 2).reshape(n, -1)
+
+
+def bit_planes(marks: np.ndarray) -> np.ndarray:
+    """Four-bit marks (rows of them) as longs: the first bits of all marks, 64 a long, then the second bits and so on."""
+    n, width = marks.shape
+    longs = -(-width // 64)
+    wide = np.zeros((n, longs * 64), np.uint64)
+    wide[:, :width] = marks
+    wide = wide.reshape(n, longs, 64)
+    at = np.arange(64, dtype=np.uint64)
+    return np.concatenate([((wide >> np.uint64(b) & np.uint64(1)) << at).sum(axis=2, dtype=np.uint64) for b in range(4)], axis=1)
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -115,10 +133,7 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             flat = lambda x: pa.ListArray.from_arrays(
                 pa.array(np.arange(len(sets) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).view(np.int64).ravel())
             )
-            longs = -(-n_hash // 16)
-            nibble = np.zeros((len(sets), longs * 16), np.uint64)
-            nibble[:, :n_hash] = (least >> np.uint64(20)) & np.uint64(15)
-            mark = (nibble.reshape(len(sets), longs, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+            mark = bit_planes((least >> np.uint64(20)) & np.uint64(15))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(row, len(sets)), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
@@ -149,19 +164,35 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _together(left: list[bytes], right: list[bytes]) -> Iterator[list[tuple[bytes, bytes]]]:
+    """Pairs of packed texts in runs of about ``arrays.BATCH_BYTES`` of text, each text of a run counted once."""
+    run, seen, size = [], set(), 0
+    for pair in zip(left, right):
+        more = sum(zstandard.frame_content_size(x) for x in set(pair) - seen)
+        if run and size + more > arrays.BATCH_BYTES:
+            yield run
+            run, seen, size = [], set(), 0
+            more = sum(zstandard.frame_content_size(x) for x in set(pair))
+        run.append(pair)
+        seen.update(pair)
+        size += more
+    if run:
+        yield run
+
+
 def _confirm(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     """(u, v, linked) with the sets of both texts compared in full."""
 
     def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         u, v, pu, pv = batch.columns
-        held: dict[bytes, np.ndarray] = {}
         linked = []
-        for x, y in zip(pu.to_pylist(), pv.to_pylist()):
-            if y not in held:
-                held = {y: shingle_sets([zstandard.decompress(y)], size)[0]}
-            p, q = shingle_sets([zstandard.decompress(x)], size)[0], held[y]
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            linked.append(DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both))
+        for pairs in _together(pu.to_pylist(), pv.to_pylist()):
+            texts = list(dict.fromkeys(x for pair in pairs for x in pair))
+            sets = dict(zip(texts, shingle_sets([zstandard.decompress(x) for x in texts], size)))
+            for x, y in pairs:
+                p, q = sets[x], sets[y]
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                linked.append(DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both))
         yield pa.RecordBatch.from_arrays([u, v, pa.array(linked, pa.bool_())], ["u", "v", "linked"])
 
     left = packed.select(F.col("did").alias("u"), F.col("packed").alias("pu"))
@@ -170,23 +201,21 @@ def _confirm(pairs: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return materialize(map_batches(both, compare, "u long, v long, linked boolean"), "confirmed")
 
 
-def _unlike(x: Column) -> Column:
-    """How many four-bit marks of a long are not zero."""
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+def _mismatches(m: str, other: str, n_hash: int) -> Column:
+    """How many of the four-bit marks of two rows differ; a few longs (bit planes), so each is spelled out for generated code."""
+    longs = -(-n_hash // 64)
+    planes = [F.col(m)[k].bitwiseXOR(F.col(other)[k]) for k in range(4 * longs)]
+    return reduce(add, [F.bit_count(reduce(Column.bitwiseOR, planes[k::longs])) for k in range(longs)])
 
 
-def _summed(m: str, other: str, of) -> Column:
-    """Sum over two arrays of longs; one short expression however long they are."""
-    return F.aggregate(F.zip_with(m, other, of), F.lit(0), lambda s, x: s + x)
+def _bins(of: Callable[[Column, Column], Column]) -> Column:
+    """In how many bins ``of`` the marks of two rows has a bit; one short expression however many bins there are."""
+    longs = BINS // 64
 
+    def bits(i: Column) -> Column:
+        return reduce(Column.bitwiseOR, [of(F.get("w", i + k * longs), F.get("w_", i + k * longs)) for k in range(4)])
 
-def _mismatches(m: str, other: str, n_hash: int) -> Column:
-    """How many of the four-bit marks of two rows differ; a few longs, so each is spelled out for generated code."""
-    out = F.lit(0)
-    for k in range(-(-n_hash // 16)):
-        out = out + _unlike(F.col(m)[k].bitwiseXOR(F.col(other)[k]))
-    return out
+    return F.aggregate(F.sequence(F.lit(0), F.lit(longs - 1)), F.lit(0), lambda s, i: s + F.bit_count(bits(i)))
 
 
 def _bins_allow() -> Column:
@@ -195,19 +224,28 @@ def _bins_allow() -> Column:
     Draws are without replacement, so the spread shrinks as bins cover the union; the limit is four and a
     half standard deviations above the differing bins expected at the similarity that links.
     """
-    differ = _summed("w", "w_", lambda x, y: _unlike(x.bitwiseXOR(y)))
-    either = _summed("w", "w_", lambda x, y: _unlike(x.bitwiseOR(y)))
-    s = NUMERATOR / DENOMINATOR
+    differ, s = _bins(Column.bitwiseXOR), NUMERATOR / DENOMINATOR
     chance = (1 - s) * 14 / 15
     whole = (F.col("n") + F.col("n_")) / (1 + s)
-    spread = either * (s * (1 - s) * (1 - F.least(F.lit(1.0), either / whole)) + (1 - s) * 14 / 225)
-    return differ <= chance * either + 4.5 * F.sqrt(spread) + 1
+
+    def allowed(either: Column) -> Column:
+        spread = either * (s * (1 - s) * (1 - F.least(F.lit(1.0), either / whole)) + (1 - s) * 14 / 225)
+        return differ <= chance * either + 4.5 * F.sqrt(spread) + 1
+
+    return F.exists(F.array(_bins(Column.bitwiseOR)), allowed)  # so that it is added up once
 
 
 def _sizes_allow(n: str, other: str) -> Column:
     return F.expr(f"{DENOMINATOR} * least({n}, {other}) >= {NUMERATOR} * greatest({n}, {other})")
 
 
+def _shared_halves(docs: DataFrame, some: DataFrame, side: str) -> DataFrame:
+    """(did, side) of the documents of ``some`` (did) that share half keys of a collection with others of them: these half keys."""
+    halves = docs.select("did", side).join(some, "did", "left_semi").select("did", F.explode(side).alias("h"))
+    shared = halves.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    return halves.join(shared, "h", "left_semi").groupBy("did").agg(F.collect_set("h").alias(side))
+
+
 def _partners(held: DataFrame, round_: int, differ: float, n_hash: int) -> DataFrame:
     """(u, v): for each document the most alike of the members of other components next to it in its tables.
 
@@ -245,8 +283,8 @@ def _across(known: DataFrame, comp: DataFrame, tried: DataFrame, differ: float,
     near = (
         (F.col("key_") == F.col("key")) & (F.col("slot_") == F.col("slot"))
         & F.expr("comp <> comp_ AND (comp = top OR did_ < did)") & _sizes_allow("n", "n_")
-        & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & _bins_allow() & F.arrays_overlap("b", "b_")
-        & (F.array_min(F.array_intersect("a", "a_")) == F.col("key"))
+        & (_mismatches("m", "m_", n_hash) <= differ * n_hash) & (F.array_min(F.array_intersect("a", "a_")) == F.col("key"))
+        & F.arrays_overlap("b", "b_") & _bins_allow()  # the dearest last, once a pair
     )
     pairs = few.join(rows, near).select(F.greatest("did", "did_").alias("u"), F.least("did", "did_").alias("v"))
     return pairs.join(tried.select("u", "v"), ["u", "v"], "left_anti")
@@ -264,16 +302,11 @@ def _near_components(docs: DataFrame, size: int, bands: int, rows: int, differ:
     all_docs = materialize(sketches(pairs_in, size, bands, rows), "sketches")
     sets = all_docs.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("did").alias("rep"))
     sets = materialize(sets, "sets")
-    reps = all_docs.join(sets.select(F.col("rep").alias("did"), "f1", "f2"), ["did", "f1", "f2"], "left_semi").dropDuplicates(["did", "f1", "f2"])
-
-    # half keys of two or more documents
-    halves = reps.select("did", F.explode(F.concat("a", "b")).alias("h"))
-    shared = halves.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    kept = halves.join(shared, "h", "left_semi").groupBy("did").agg(F.collect_set("h").alias("hs"))
-    known = reps.join(kept, "did").select(
-        "did", "n", "m", "w", F.array_intersect("a", "hs").alias("a"), F.array_intersect("b", "hs").alias("b")
-    ).where("size(a) > 0 AND size(b) > 0")
-    known = materialize(known, "known")
+    reps = sets.select(F.col("rep").alias("did"))  # one row a set, as ids are unique here (per_row)
+    # documents that meet in a table share half keys of both collections: the second is looked at among those left by the first
+    in_a = materialize(_shared_halves(all_docs, reps, "a"), "halves")
+    in_b = _shared_halves(all_docs, in_a.select("did"), "b")
+    known = materialize(all_docs.select("did", "n", "m", "w").join(in_a, "did").join(in_b, "did"), "known")
     keys = known.select("did", "b", F.explode("a").alias("x")).select("did", "x", F.explode("b").alias("y"))
     keys = keys.select("did", F.xxhash64("x", "y").alias("key"))
     # tables with two or more members, one for each set of members
@@ -289,7 +322,7 @@ def _near_components(docs: DataFrame, size: int, bands: int, rows: int, differ:
                 [batch.column(0).slice(row, len(texts)), pa.array([tool.compress(t) for t in texts], pa.binary())], ["did", "packed"]
             )
 
-    packed = map_batches(pairs_in, shrink, "did long, packed binary").join(wanted, "did", "left_semi").dropDuplicates(["did"])
+    packed = map_batches(pairs_in, shrink, "did long, packed binary").join(wanted, "did", "left_semi")  # ids are unique here (per_row)
     packed = materialize(packed, "packed")
     n_hash = 2 * bands * rows
     comp = None  # at first every document is its own component

@@ -481,6 +481,90 @@ def test_near_components_of_odd_rows(odd, empty):
     assert minhash_tensor.near_components(empty).count() == 0
 
 
+def test_marks_of_pairs_are_compared_in_full(spark):
+    """Unequal marks from bit planes, and what bins allow, as mark by mark."""
+    rng = np.random.default_rng(3)
+    for width in (1, 12, 56, 64, 70):
+        x = rng.integers(0, 16, (40, width)).astype(np.uint64)
+        y = np.where(rng.random((40, width)) < 0.5, x, rng.integers(0, 16, (40, width)).astype(np.uint64))
+        longs = [minhash_tensor.bit_planes(z).view(np.int64).tolist() for z in (x, y)]
+        df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(zip(*longs))], "i long, m array<long>, m_ array<long>")
+        found = [r.d for r in df.withColumn("d", minhash_tensor._mismatches("m", "m_", width)).orderBy("i").collect()]
+        assert found == (x != y).sum(axis=1).tolist()
+    rows, sizes = [], []
+    for share in (0.0, 0.5, 0.6, 0.65, 0.7, 0.75, 0.8, 1.0):
+        for n in (1, 5, 60, 700, 9000):
+            both = rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+            keep = int(n * share)
+            for h in (both, np.append(both[:keep], rng.integers(0, 1 << 63, n - keep).astype(np.uint64) * np.uint64(2))):
+                h = np.unique(h)
+                rows.append(minhash_tensor.bin_marks(h, np.zeros(len(h), np.int64), 1)[0])
+                sizes.append(len(h))
+    w, other = np.array(rows[0::2]), np.array(rows[1::2])
+    total = np.array(sizes[0::2]) + np.array(sizes[1::2])
+    want = []
+    for p, q, n in zip(w.tolist(), other.tolist(), total.tolist()):
+        marks = [[sum((z[8 * k + i // 64] >> i % 64 & 1) << k for k in range(4)) for i in range(512)] for z in (p, q)]
+        differ = sum(a != b for a, b in zip(*marks))
+        either = sum(a > 0 or b > 0 for a, b in zip(*marks))
+        spread = either * (0.75 * 0.25 * (1 - min(1.0, either / (n / 1.75))) + 0.25 * 14 / 225)
+        want.append(differ <= 0.25 * 14 / 15 * either + 4.5 * spread**0.5 + 1)
+    pairs = zip(range(len(want)), w.view(np.int64).tolist(), other.view(np.int64).tolist(), sizes[0::2], sizes[1::2])
+    df = spark.createDataFrame(list(pairs), "i int, w array<long>, w_ array<long>, n long, n_ long")
+    assert [r.ok for r in df.withColumn("ok", minhash_tensor._bins_allow()).orderBy("i").collect()] == want and 0 < sum(want) < len(want)
+    h = np.sort(rng.integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2))
+    for n in (1, 3):  # the middle of three texts is empty
+        owner = np.repeat(np.arange(n)[::2], [100, 100][:n - n // 2] if n > 1 else [200])
+        planes = minhash_tensor.bin_marks(h if n == 1 else np.concatenate([h[:100], h[100:]]), owner, n)
+        least = {}
+        for x, o in sorted(zip(h.tolist(), owner.tolist())):
+            least.setdefault((o, x >> 55), x)
+        dense = [[0] * 512 for _ in range(n)]
+        for (o, b), x in least.items():
+            dense[o][b] = 1 + int(arrays.mix(np.array([x], np.uint64))[0]) % 15
+        assert (minhash_tensor.bit_planes(np.array(dense, np.uint64)) == planes).all()
+    assert minhash_tensor.bin_marks(h[:0], np.zeros(0, np.int64), 2).tolist() == [[0] * 32] * 2
+
+
+def test_half_keys_and_pairs_in_plain_plans(docs):
+    """The second collection is counted among documents left by the first; the dearest condition of a pair comes last."""
+    sketches = minhash_tensor.sketches(id_and_text(docs), 5, 4, 2).where("n > 0").cache()
+    rows = {r.did: r for r in sketches.collect()}
+    some = set(list(rows)[::2])
+
+    def shared(side, ids):
+        halves = [h for i in ids for h in set(getattr(rows[i], side))]
+        found = {i: {h for h in getattr(rows[i], side) if halves.count(h) > 1} for i in ids}
+        return {i: h for i, h in found.items() if h}
+
+    ids = docs.sparkSession.createDataFrame([(i,) for i in some], "did long")
+    in_a = minhash_tensor._shared_halves(sketches, ids, "a")
+    assert {r.did: set(r.a) for r in in_a.collect()} == shared("a", some)
+    in_b = minhash_tensor._shared_halves(sketches, in_a.select("did"), "b")
+    assert {r.did: set(r.b) for r in in_b.collect()} == shared("b", shared("a", some))
+    comp = sketches.select("did", F.col("did").alias("comp"))
+    tried = docs.sparkSession.createDataFrame([], "u long, v long, linked boolean")
+    pairs = minhash_tensor._across(sketches.drop("f1", "f2"), comp, tried, 0.5, 16)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("array_intersect") < plan.index("exists(")
+    near = {tuple(sorted(p)) for p in pairs.collect()}
+    sets = {i: set(s.tolist()) for i, s in zip(rows, minhash_tensor.shingle_sets([(TEXTS[i] or "").encode() for i in rows]))}
+    linked = {(i, j) for i in rows for j in rows if i < j and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])}
+    meet = {(i, j) for i, j in linked if set(rows[i].a) & set(rows[j].a) and set(rows[i].b) & set(rows[j].b)}
+    assert meet and meet <= near
+
+
+def test_pairs_are_confirmed_together(monkeypatch):
+    """Texts of a run are cut into shingles in one call, each once; runs are bounded by bytes of text."""
+    zstandard = minhash_tensor.zstandard
+    packed = [zstandard.compress(bytes([97 + i]) * 100) for i in range(4)]
+    monkeypatch.setattr(arrays, "BATCH_BYTES", 250)
+    left, right = [packed[i] for i in (0, 1, 2, 3, 0)], [packed[i] for i in (1, 0, 2, 3, 3)]
+    runs = list(minhash_tensor._together(left, right))
+    assert [len(r) for r in runs] == [2, 2, 1] and [p for r in runs for p in r] == list(zip(left, right))
+    assert list(minhash_tensor._together([], [])) == []
+
+
 def test_rows_without_own_ids_do_not_touch_each_other(spark):
     """Every row is a document of its own, whatever its id: results equal those of the same texts under unique ids."""
     texts = [prose(80, random.Random(i)) for i in range(6)]
